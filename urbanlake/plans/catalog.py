@@ -11,8 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from urbanlake.operators import context as ctx
 from urbanlake.operators import expectations as dq
+from urbanlake.operators import serving as sv
 from urbanlake.operators.gold import gold_day, gold_hour
 from urbanlake.operators.silver import project_bronze
 from urbanlake.session import read_table
@@ -93,3 +96,116 @@ def gold_hour_q(spark, sf_dir):
 def gold_day_q(spark, sf_dir):
     return gd(spark, sf_dir)
 
+
+
+@query()
+def table_counts(spark, sf_dir):
+    s = sil(spark, sf_dir)
+    return sv.table_counts({"silver_sensor_data": s,
+                            "gold_sensor_metrics_by_city_hour": gold_hour(s, scale=M2),
+                            "gold_sensor_metrics_by_city_day": gold_day(s, scale=M2)})
+
+
+@query()
+def gold_date_range(spark, sf_dir):
+    return sv.date_range(gd(spark, sf_dir))
+
+
+@query()
+def distinct_cities(spark, sf_dir):
+    return sv.distinct_cities(gd(spark, sf_dir))
+
+
+@query()
+def city_list_string(spark, sf_dir):
+    return sv.city_list_string(gd(spark, sf_dir))
+
+
+@query()
+def preview_limit(spark, sf_dir):
+    return sv.preview(gd(spark, sf_dir), 10)
+
+
+# ----------------------------------------------------------------- serving
+
+@query()
+def city_recent_hourly(spark, sf_dir):
+    return sv.city_rows(gh(spark, sf_dir), "C0")
+
+
+@query()
+def kpi_latest_hourly(spark, sf_dir):
+    return sv.kpi_latest(gh(spark, sf_dir))
+
+
+@query()
+def kpi_latest_daily(spark, sf_dir):
+    return sv.kpi_latest(gd(spark, sf_dir))
+
+
+@query()
+def kpi_change_by_type(spark, sf_dir):
+    return sv.kpi_change_by_type(gd(spark, sf_dir))
+
+
+@query()
+def trend_hourly(spark, sf_dir):
+    return sv.trend(gh(spark, sf_dir), 168)
+
+
+@query()
+def trend_daily_7(spark, sf_dir):
+    return sv.trend(gd(spark, sf_dir), 7)
+
+
+@query()
+def trend_daily_30(spark, sf_dir):
+    return sv.trend(gd(spark, sf_dir), 30)
+
+
+@query()
+def recent_summary_hourly(spark, sf_dir):
+    return sv.recent_summary(gh(spark, sf_dir), 24, mean_scale=M6, sum_scale=M2)
+
+
+@query()
+def recent_summary_daily(spark, sf_dir):
+    return sv.recent_summary(gd(spark, sf_dir), 24, mean_scale=M6, sum_scale=M2)
+
+
+@query()
+def breakdown_sensor_type(spark, sf_dir):
+    return sv.breakdown_by_sensor_type(gh(spark, sf_dir), mean_scale=M6, sum_scale=M2)
+
+
+@query()
+def comparison_city_type(spark, sf_dir):
+    return sv.comparison_by_city_type(gd(spark, sf_dir), ["C0", "C1", "C2"], mean_scale=M6)
+
+
+@query()
+def city_profile(spark, sf_dir):
+    return sv.city_profile(gd(spark, sf_dir), mean_scale=M6)
+
+
+@query()
+def city_profile_json(spark, sf_dir):
+    """The JSON text per city, parsed back into its four fields (lossless round trip)."""
+    js = sv.city_profile_json(gd(spark, sf_dir), mean_scale=M6)
+    parsed = F.from_json("metrics_json", sv.PROFILE_JSON_SCHEMA)
+    return js.select("city_id", *[parsed[k].alias(k) for k, _ in sv.PROFILE_JSON_KEYS])
+
+
+@query()
+def context_kpis(spark, sf_dir):
+    return sv.context_kpis(gd(spark, sf_dir), ["C0", "C1"], mean_scale=M6)
+
+
+@query()
+def recent_summary_text(spark, sf_dir):
+    return ctx.recent_summary_text(sv.recent_summary(gh(spark, sf_dir), 24, mean_scale=M6, sum_scale=M2), "hourly")
+
+
+@query()
+def city_context_text(spark, sf_dir):
+    return ctx.city_context_text(sv.city_profile(gd(spark, sf_dir), mean_scale=M6))
