@@ -57,8 +57,10 @@ def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> dict:
     out["rows_match"] = len(spark_pdf) == len(duck_pdf)
     if out["cols_match"]:
         a, b = canon_rows(spark_pdf), canon_rows(duck_pdf)
-        diff_a = [r for r in a if r not in set(b)]
-        diff_b = [r for r in b if r not in set(a)]
+        from collections import Counter
+        ca, cb = Counter(a), Counter(b)
+        diff_a = list((ca - cb).elements())
+        diff_b = list((cb - ca).elements())
         out["values_match"] = a == b
         out["examples"] = {"spark_only": diff_a[:3], "oracle_only": diff_b[:3], "cols": sorted(spark_pdf.columns)}
     else:

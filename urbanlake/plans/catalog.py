@@ -15,12 +15,19 @@ from pyspark.sql import functions as F
 
 from urbanlake.operators import context as ctx
 from urbanlake.operators import expectations as dq
+from urbanlake.operators import policy as pol
 from urbanlake.operators import serving as sv
+from urbanlake.operators import weekly as wk
 from urbanlake.operators.gold import gold_day, gold_hour
 from urbanlake.operators.silver import project_bronze
-from urbanlake.session import read_table
+from urbanlake.session import read_table, work_path
 from urbanlake.sources.csv import to_bronze_text
-from urbanlake.sources.fixtures import policy_observations, sensor_readings, weekly_observations
+from urbanlake.sources.fixtures import (
+    OBSERVATION_ORIGIN,
+    policy_observations,
+    sensor_readings,
+    weekly_observations,
+)
 
 M2 = 2
 M6 = 6
@@ -209,3 +216,70 @@ def recent_summary_text(spark, sf_dir):
 @query()
 def city_context_text(spark, sf_dir):
     return ctx.city_context_text(sv.city_profile(gd(spark, sf_dir), mean_scale=M6))
+
+
+# ------------------------------------------------------- weekly demand table
+WO_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+@query("weekly_spine")
+def weekly_spine_q(spark, sf_dir):
+    """Sundays x services over the weeks the line items cover."""
+    return wk.weekly_spine_over(read_table(spark, sf_dir, "lineitem"), "l_shipdate")
+
+
+@query("calendar_flags")
+def calendar_flags_q(spark, sf_dir):
+    return wk.calendar_flags(wo(spark, sf_dir), "obs_date", OBSERVATION_ORIGIN)
+
+
+@query("city_state_features")
+def city_state_features_q(spark, sf_dir):
+    return wk.city_state_features(wo(spark, sf_dir), WO_KEYS).select(*WO_KEYS, "population", "congestion", "signal_load")
+
+
+def weekly_table(spark, sf_dir):
+    return wk.elastic_demand_table(wo(spark, sf_dir), WO_KEYS)
+
+
+@query("elastic_demand")
+def elastic_demand_q(spark, sf_dir):
+    return weekly_table(spark, sf_dir).select(*WO_KEYS, "service", "price", "demand", "revenue")
+
+
+@query("demand_features")
+def demand_features_q(spark, sf_dir):
+    return wk.demand_features(weekly_table(spark, sf_dir), WO_KEYS)
+
+
+@query()
+def city_data_roundtrip(spark, sf_dir):
+    """The weekly table written as a stored table (overwrite) and read back."""
+    table = wk.city_data(weekly_table(spark, sf_dir), OBSERVATION_ORIGIN, keys=WO_KEYS)
+    return wk.save_table(table, work_path(spark, "city_data"))
+
+
+# ---------------------------------------------------------- policy scoring
+
+@query("policy_unpivot")
+def policy_unpivot_q(spark, sf_dir):
+    return pol.policy_unpivot(policies(spark, sf_dir))
+
+
+@query("policy_features")
+def policy_features_q(spark, sf_dir):
+    return pol.policy_features(pol.validate_policies(policies(spark, sf_dir)))
+
+
+def scored_elastic(spark, sf_dir):
+    return pol.score_elastic(pol.policy_features(policies(spark, sf_dir)))
+
+
+@query()
+def policy_score_elastic(spark, sf_dir):
+    return scored_elastic(spark, sf_dir)
+
+
+@query("policy_totals")
+def policy_totals_q(spark, sf_dir):
+    return pol.policy_totals(scored_elastic(spark, sf_dir), demand_scale=4, revenue_scale=2)
