@@ -15,13 +15,16 @@ from pyspark.sql import functions as F
 
 from urbanlake.operators import context as ctx
 from urbanlake.operators import expectations as dq
+from urbanlake.operators import ml
 from urbanlake.operators import policy as pol
 from urbanlake.operators import serving as sv
 from urbanlake.operators import weekly as wk
-from urbanlake.operators.gold import gold_day, gold_hour
+from urbanlake.operators.gold import gold_day, gold_hour, write_clustered
 from urbanlake.operators.silver import project_bronze
 from urbanlake.session import read_table, work_path
-from urbanlake.sources.csv import to_bronze_text
+from urbanlake.schemas import BRONZE_COLUMNS
+from urbanlake.sources.csv import to_bronze_text, write_bronze_csv
+from urbanlake.streaming import ingest as st
 from urbanlake.sources.fixtures import (
     OBSERVATION_ORIGIN,
     policy_observations,
@@ -283,3 +286,69 @@ def policy_score_elastic(spark, sf_dir):
 @query("policy_totals")
 def policy_totals_q(spark, sf_dir):
     return pol.policy_totals(scored_elastic(spark, sf_dir), demand_scale=4, revenue_scale=2)
+
+
+# ------------------------------------------------------------- demand model
+
+def demand_model(spark, sf_dir):
+    feats = demand_features_q(spark, sf_dir)
+    return ml.fit_or_load(spark, feats, WO_KEYS, sf_dir), feats
+
+
+@query()
+def demand_model_metrics(spark, sf_dir):
+    model, feats = demand_model(spark, sf_dir)
+    return ml.evaluation(model, feats, WO_KEYS)
+
+
+@query("model_card")
+def model_card_q(spark, sf_dir):
+    model, _ = demand_model(spark, sf_dir)
+    return ml.model_card(spark, model)
+
+
+@query()
+def policy_score_rf(spark, sf_dir):
+    model, _ = demand_model(spark, sf_dir)
+    return ml.score_policies(model, pol.policy_features(policies(spark, sf_dir)))
+
+
+# ------------------------------------------------ streaming and table layout
+
+def _bronze_run(spark, sf_dir):
+    """Sensor rows written as raw CSV files, then ingested by the bronze stream."""
+    base = work_path(spark, "sensor")
+    source = f"{base}/source"
+    write_bronze_csv(sr(spark, sf_dir).drop("event_id"), source)
+    st.wait(st.start_bronze(spark, source, f"{base}/bronze", f"{base}/bronze_ckpt"))
+    return base
+
+
+@query()
+def bronze_stream_ingest(spark, sf_dir):
+    base = _bronze_run(spark, sf_dir)
+    bronze = spark.read.parquet(f"{base}/bronze")
+    return bronze.select(*[F.col(f"`{h}`").alias(n) for h, n, _ in BRONZE_COLUMNS])
+
+
+@query("silver_stream")
+def silver_stream_q(spark, sf_dir):
+    base = _bronze_run(spark, sf_dir)
+    st.wait(st.start_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver_ckpt"))
+    return spark.read.parquet(f"{base}/silver").drop("processed_at")
+
+
+@query()
+def silver_clustered(spark, sf_dir):
+    path = work_path(spark, "silver_clustered")
+    write_clustered(sil(spark, sf_dir), path, ["sensor_type", "city_id"])
+    return spark.read.parquet(path)
+
+
+@query()
+def mv_refresh_hour(spark, sf_dir):
+    """The hourly view materialized twice (second refresh overwrites the first), read back."""
+    path = work_path(spark, "gold_hour")
+    for _ in range(2):
+        write_clustered(gh(spark, sf_dir), path, ["city_id", "sensor_type"])
+    return spark.read.parquet(path)
