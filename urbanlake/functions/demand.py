@@ -36,17 +36,22 @@ def congestion_from_draw(u) -> Column:
 
 def elastic_demand(service, price, base_price, base_demand, elasticity, congestion, festival, holiday,
                    season: Column | None = None, noise: Column | None = None) -> Column:
+    """The curve as a product of factors, applied left to right.
+
+    Factors that do not apply are exactly 1.0, so the result equals applying
+    only the matching steps one after another.
+    """
     s = _c(service)
+    one = F.lit(1.0)
     d = _c(base_demand) * F.pow(_c(price) / _c(base_price), _c(elasticity))
     if season is not None:
         d = d * season
     if noise is not None:
-        d = d * (F.lit(1.0) + noise)
-    d = (F.when(s == "metro", d * (F.lit(1.0) + _c(congestion)))
-         .when(s == "private_transport", d * (F.lit(1.0) - _c(congestion)))
-         .otherwise(d))
-    d = F.when(_c(festival) == 1, d * F.lit(FESTIVAL_DEMAND)).otherwise(d)
-    d = (F.when((_c(holiday) == 1) & s.isin("metro", "bus"), d * F.lit(HOLIDAY_TRANSIT_DEMAND))
-         .when((_c(holiday) == 1) & (s == "private_transport"), d * F.lit(HOLIDAY_PRIVATE_DEMAND))
-         .otherwise(d))
-    return F.greatest(F.lit(1.0), d)
+        d = d * (one + noise)
+    congestion_factor = (F.when(s == "metro", one + _c(congestion))
+                         .when(s == "private_transport", one - _c(congestion)).otherwise(one))
+    festival_factor = F.when(_c(festival) == 1, F.lit(FESTIVAL_DEMAND)).otherwise(one)
+    holiday_factor = (F.when((_c(holiday) == 1) & s.isin("metro", "bus"), F.lit(HOLIDAY_TRANSIT_DEMAND))
+                      .when((_c(holiday) == 1) & (s == "private_transport"), F.lit(HOLIDAY_PRIVATE_DEMAND))
+                      .otherwise(one))
+    return F.greatest(one, d * congestion_factor * festival_factor * holiday_factor)

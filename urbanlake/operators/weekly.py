@@ -26,8 +26,14 @@ from urbanlake.schemas import (
 
 
 def service_dim(spark: SparkSession) -> DataFrame:
-    """The four-row service dimension (base price, base demand, elasticity)."""
-    return spark.createDataFrame(SERVICES, SERVICE_SCHEMA)
+    """The four-row service dimension (base price, base demand, elasticity).
+
+    Built from literals on the JVM side (a one-row range exploded into four
+    rows), so using it never starts a Python worker.
+    """
+    rows = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, SERVICE_SCHEMA.fields)])
+                     for row in SERVICES])
+    return spark.range(1).select(F.inline(rows))
 
 
 def with_services(df: DataFrame) -> DataFrame:
