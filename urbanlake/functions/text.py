@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def fmt(x, decimals: int, missing: str = "N/A") -> Column:
     """Fixed-decimal text of a number ('%.Nf'); NULL becomes ``missing``."""
     c = F.col(x) if isinstance(x, str) else x
-    return F.coalesce(F.format_string(f"%.{decimals}f", c), F.lit(missing))
+    # format_string prints NULL as (truncated) "null", so test for it first
+    return F.when(c.isNull(), F.lit(missing)).otherwise(F.format_string(f"%.{decimals}f", c.cast("double")))
 
 
 def py_repr_number(x) -> Column:
