@@ -338,6 +338,15 @@ def silver_stream_q(spark, sf_dir):
     return spark.read.parquet(f"{base}/silver").drop("processed_at")
 
 
+@query()
+def dq_metrics_stream(spark, sf_dir):
+    """Quality counters observed on the silver stream's micro-batches (summed), as a table."""
+    base = _bronze_run(spark, sf_dir)
+    sq = st.wait(st.start_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver_ckpt"))
+    return spark.createDataFrame(st.stream_dq_metrics(sq),
+                                 "expectation string, action string, passed bigint, failed bigint")
+
+
 @query()
 def silver_clustered(spark, sf_dir):
     path = work_path(spark, "silver_clustered")

@@ -82,8 +82,15 @@ def wait(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:
 def stream_dq_metrics(query: StreamingQuery, rules: list[Expectation] | None = None) -> list[tuple[str, str, int, int]]:
     """(expectation, action, passed, failed) summed over the query's recent micro-batches."""
     rules = SILVER_EXPECTATIONS if rules is None else rules
+    recent = query.recentProgress
+    active = SparkSession.getActiveSession()
+    kept = int(active.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")) if active else 100
+    if len(recent) >= kept:
+        # the oldest batches may have been dropped from the retained progress list
+        raise RuntimeError("too many micro-batches to sum from retained progress; "
+                           "raise spark.sql.streaming.numRecentProgressUpdates or use fewer triggers")
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
+    for progress in recent:
         row = (progress.observedMetrics or {}).get(DQ_METRIC)
         if row is None:
             continue
