@@ -198,5 +198,10 @@ def preview(gold: DataFrame, n: int = 10, order: list[str] | None = None) -> Dat
     return gold.orderBy(*(order or [period, "city_id", "sensor_type"])).limit(n)
 
 
+def default_city(gold: DataFrame) -> DataFrame:
+    """The first city (sorted), used when no city is chosen."""
+    return served(gold).select("city_id").distinct().orderBy("city_id").limit(1)
+
+
 def city_rows(gold: DataFrame, city: str) -> DataFrame:
     return gold.filter(F.col("city_id") == city)

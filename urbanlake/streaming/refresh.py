@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlake.operators.gold import gold_metrics, write_clustered
+from urbanlake.sources.tables import TABLES, with_comment
 from urbanlake.streaming.ingest import start_bronze, start_silver, stream_dq_metrics, wait
 
 
@@ -33,8 +34,9 @@ def refresh_view(spark: SparkSession, silver_path: str, out_path: str, grain: st
                  cluster_by: list[str] | None = None) -> DataFrame:
     """Recompute one gold view from all of silver and overwrite it."""
     silver = spark.read.parquet(silver_path)
-    gold = gold_metrics(silver, grain, scale)
-    write_clustered(gold, out_path, cluster_by or ["city_id", "sensor_type"])
+    info = TABLES["gold_hour" if grain == "hour" else "gold_day"]
+    gold = with_comment(gold_metrics(silver, grain, scale), info.comment)
+    write_clustered(gold, out_path, cluster_by or list(info.cluster_by))
     return spark.read.parquet(out_path)
 
 
