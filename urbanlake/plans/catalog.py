@@ -19,12 +19,13 @@ from urbanlake.operators import ml
 from urbanlake.operators import policy as pol
 from urbanlake.operators import serving as sv
 from urbanlake.operators import weekly as wk
-from urbanlake.operators.gold import gold_day, gold_hour, write_clustered
+from urbanlake.operators.gold import DAILY_COLUMNS, gold_day, gold_hour, write_clustered
 from urbanlake.operators.silver import project_bronze
 from urbanlake.session import read_table, work_path
 from urbanlake.schemas import BRONZE_COLUMNS
 from urbanlake.sources.csv import to_bronze_text, write_bronze_csv
 from urbanlake.streaming import ingest as st
+from urbanlake.streaming.refresh import start_incremental_gold
 from urbanlake.sources.fixtures import (
     OBSERVATION_ORIGIN,
     policy_observations,
@@ -347,6 +348,16 @@ def dq_metrics_stream(spark, sf_dir):
                                  "expectation string, action string, passed bigint, failed bigint")
 
 
+@query()
+def gold_day_incremental(spark, sf_dir):
+    """Daily gold kept current by a foreachBatch stream over silver (touched days recomputed)."""
+    base = _bronze_run(spark, sf_dir)
+    st.wait(st.start_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver_ckpt"))
+    st.wait(start_incremental_gold(spark, f"{base}/silver", f"{base}/gold_day", f"{base}/gold_day_ckpt",
+                                   "day", scale=M2))
+    return spark.read.parquet(f"{base}/gold_day").select(*DAILY_COLUMNS)
+
+
 @query()
 def silver_clustered(spark, sf_dir):
     path = work_path(spark, "silver_clustered")
