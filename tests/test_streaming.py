@@ -72,3 +72,20 @@ def test_refresh_and_incremental_gold(spark, tmp_dir):
     got = spark.read.parquet(inc).select(*full.columns)
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
     assert spark.read.parquet(p.gold_day).count() == full.count()
+
+
+def test_incremental_refresh_reads_only_touched_days(spark, tmp_dir):
+    from urbanlake.streaming.refresh import touched_silver
+
+    rows = sr(spark, SF_SMALL).drop("event_id")
+    p = TablePaths(tmp_dir)
+    write_bronze_csv(rows, p.source)
+    st.wait(st.start_bronze(spark, p.source, p.bronze, p.bronze_ckpt))
+    st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True))
+    new = rows.filter(F.dayofmonth("event_timestamp") == 3)
+    affected = touched_silver(spark, p.silver, new)
+    plan = affected._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan or "PartitionFilters: [event_date" in plan \
+        or "event_date IN" in plan, plan
+    days = {r[0] for r in affected.select(F.to_date("event_timestamp")).distinct().collect()}
+    assert len(days) == 1

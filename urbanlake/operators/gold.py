@@ -72,13 +72,16 @@ def gold_day(silver: DataFrame, scale: int | None = None) -> DataFrame:
     return gold_metrics(silver, "day", scale)
 
 
-def write_clustered(df: DataFrame, path: str, cluster_by: list[str], files: int | None = None) -> None:
+def write_clustered(df: DataFrame, path: str, cluster_by: list[str], files: int | None = None,
+                    max_records_per_file: int = 5_000_000) -> None:
     """Overwrite a table laid out by its clustering keys.
 
     Range partitioning on the keys + sort within files gives each file a
     narrow min/max on the keys, so parquet row-group statistics skip files
-    for key filters (the role of clustered tables).
+    for key filters (the role of clustered tables).  Without ``files`` the
+    number of ranges follows the shuffle settings and AQE merges small ones;
+    ``max_records_per_file`` splits large ranges into bounded files.
     """
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
-     .write.mode("overwrite").parquet(path))
+    ranged = df.repartitionByRange(files, *cluster_by) if files else df.repartitionByRange(*cluster_by)
+    (ranged.sortWithinPartitions(*cluster_by)
+     .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path))

@@ -352,7 +352,8 @@ def dq_metrics_stream(spark, sf_dir):
 def gold_day_incremental(spark, sf_dir):
     """Daily gold kept current by a foreachBatch stream over silver (touched days recomputed)."""
     base = _bronze_run(spark, sf_dir)
-    st.wait(st.start_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver_ckpt"))
+    st.wait(st.start_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver_ckpt",
+                            partition_by_date=True))
     st.wait(start_incremental_gold(spark, f"{base}/silver", f"{base}/gold_day", f"{base}/gold_day_ckpt",
                                    "day", scale=M2))
     return spark.read.parquet(f"{base}/gold_day").select(*DAILY_COLUMNS)

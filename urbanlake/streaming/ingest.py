@@ -16,6 +16,7 @@ resumes from the last committed micro-batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from urbanlake.operators.expectations import (
@@ -33,8 +34,10 @@ DQ_METRIC = "silver_dq"
 
 
 def _start(df: DataFrame, sink: str, checkpoint: str, available_now: bool, processing_time: str | None,
-           name: str | None) -> StreamingQuery:
+           name: str | None, partition_by: list[str] | None = None) -> StreamingQuery:
     w = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if name:
         w = w.queryName(name)
     if available_now:
@@ -53,19 +56,26 @@ def start_bronze(spark: SparkSession, source_dir: str, bronze_dir: str, checkpoi
 
 
 def silver_stream_frame(spark: SparkSession, bronze_dir: str, rules: list[Expectation] | None = None,
-                        processed_at: bool = True) -> DataFrame:
+                        processed_at: bool = True, partition_by_date: bool = False) -> DataFrame:
     rules = SILVER_EXPECTATIONS if rules is None else rules
     bronze = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_dir)
     typed = observe_expectations(project_bronze(bronze, processed_at), rules, DQ_METRIC)
-    return apply_expectations(typed, rules)
+    kept = apply_expectations(typed, rules)
+    return kept.withColumn("event_date", F.to_date("event_timestamp")) if partition_by_date else kept
 
 
 def start_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoint: str,
                  rules: list[Expectation] | None = None, processed_at: bool = True,
-                 available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Bronze parquet stream -> typed, quality-filtered silver parquet."""
-    return _start(silver_stream_frame(spark, bronze_dir, rules, processed_at), silver_dir, checkpoint,
-                  available_now, processing_time, None)
+                 available_now: bool = True, processing_time: str | None = None,
+                 partition_by_date: bool = False) -> StreamingQuery:
+    """Bronze parquet stream -> typed, quality-filtered silver parquet.
+
+    ``partition_by_date`` writes one folder per event date, so consumers that
+    need a few days (incremental gold) prune the rest at planning time.
+    """
+    return _start(silver_stream_frame(spark, bronze_dir, rules, processed_at, partition_by_date), silver_dir,
+                  checkpoint, available_now, processing_time, None,
+                  ["event_date"] if partition_by_date else None)
 
 
 def wait(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:

@@ -34,6 +34,8 @@ def refresh_view(spark: SparkSession, silver_path: str, out_path: str, grain: st
                  cluster_by: list[str] | None = None) -> DataFrame:
     """Recompute one gold view from all of silver and overwrite it."""
     silver = spark.read.parquet(silver_path)
+    if "event_date" in silver.columns:          # partition column of a date-partitioned silver
+        silver = silver.drop("event_date")
     info = TABLES["gold_hour" if grain == "hour" else "gold_day"]
     gold = with_comment(gold_metrics(silver, grain, scale), info.comment)
     write_clustered(gold, out_path, cluster_by or list(info.cluster_by))
@@ -45,31 +47,29 @@ def refresh(spark: SparkSession, source_dir: str, base: str, scale: int | None =
     """Run bronze and silver to completion (new files only), then rebuild both gold views."""
     p = TablePaths(base)
     wait(start_bronze(spark, source_dir, p.bronze, p.bronze_ckpt), timeout_s)
-    sq = wait(start_silver(spark, p.bronze, p.silver, p.silver_ckpt), timeout_s)
+    sq = wait(start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True), timeout_s)
     dq = stream_dq_metrics(sq)
     refresh_view(spark, p.silver, p.gold_hour, "hour", scale)
     refresh_view(spark, p.silver, p.gold_day, "day", scale)
     return {"paths": p, "dq_metrics": dq}
 
 
+MAX_PRUNED_DAYS = 1000
+
+
 def refresh_gold_incremental(spark: SparkSession, silver_path: str, new_rows: DataFrame, out_path: str,
                              grain: str = "day", scale: int | None = None) -> None:
-    """Recompute only the periods that ``new_rows`` touch and overwrite just those partitions.
+    """Recompute only the days that ``new_rows`` touch and overwrite just those partitions.
 
     Distinct counts and averages do not merge by addition, so whole touched
-    periods are recomputed from silver (pruned to those periods by a semi
-    join on the period key).  The gold folder is partitioned by ``event_date``
-    and written with dynamic partition overwrite, so untouched days are never
-    rewritten.
+    days are recomputed from silver.  The touched days (at most
+    ``MAX_PRUNED_DAYS`` of them are fetched; a micro-batch spans few days)
+    become a partition filter on a date-partitioned silver, so only those
+    folders are read; beyond that bound an exact semi join is used instead.
+    The gold folder is partitioned by ``event_date`` and written with dynamic
+    partition overwrite, so untouched days are never rewritten.
     """
-    from urbanlake.functions.periods import day_of
-
-    touched = new_rows.select(day_of("event_timestamp").alias("touched_date")).distinct()
-    silver = spark.read.parquet(silver_path).withColumn("event_date", day_of("event_timestamp"))
-    # null-safe: new rows without a timestamp refresh the NULL-period group too
-    affected = (silver.join(touched, silver["event_date"].eqNullSafe(touched["touched_date"]), "left_semi")
-                .drop("event_date"))
-    gold = gold_metrics(affected, grain, scale)
+    gold = gold_metrics(touched_silver(spark, silver_path, new_rows), grain, scale)
     if "event_date" not in gold.columns:
         gold = gold.withColumn("event_date", F.to_date("event_hour"))
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
@@ -80,6 +80,26 @@ def refresh_gold_incremental(spark: SparkSession, silver_path: str, new_rows: Da
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def touched_silver(spark: SparkSession, silver_path: str, new_rows: DataFrame) -> DataFrame:
+    """All silver rows of the days that ``new_rows`` touch (pruned to those date folders)."""
+    from urbanlake.functions.periods import day_of
+
+    touched = new_rows.select(day_of("event_timestamp").alias("touched_date")).distinct()
+    silver = spark.read.parquet(silver_path)
+    if "event_date" not in silver.columns:
+        silver = silver.withColumn("event_date", day_of("event_timestamp"))
+    days = [r.touched_date for r in touched.limit(MAX_PRUNED_DAYS + 1).collect()]
+    if len(days) <= MAX_PRUNED_DAYS:
+        known = [d for d in days if d is not None]
+        cond = F.col("event_date").isin(known) if known else F.lit(False)
+        if len(known) < len(days):          # rows without a timestamp: refresh the NULL-period group too
+            cond = cond | F.col("event_date").isNull()
+        affected = silver.filter(cond)
+    else:
+        affected = silver.join(touched, silver["event_date"].eqNullSafe(touched["touched_date"]), "left_semi")
+    return affected.drop("event_date")
+
+
 def start_incremental_gold(spark: SparkSession, silver_path: str, out_path: str, checkpoint: str,
                            grain: str = "day", scale: int | None = None, available_now: bool = True):
     """Keep a gold view current from the silver stream, one micro-batch at a time.
@@ -87,12 +107,11 @@ def start_incremental_gold(spark: SparkSession, silver_path: str, out_path: str,
     Each batch recomputes its touched periods from silver, so replaying a
     batch after a failure gives the same table (idempotent).
     """
-    from urbanlake.schemas import SILVER_SCHEMA
-
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         refresh_gold_incremental(spark, silver_path, batch, out_path, grain, scale)
 
-    stream = spark.readStream.schema(SILVER_SCHEMA).parquet(silver_path)
+    # the silver sink's own schema (includes its partition column when date-partitioned)
+    stream = spark.readStream.schema(spark.read.parquet(silver_path).schema).parquet(silver_path)
     w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
