@@ -70,3 +70,22 @@ def test_metrics_json_document(spark):
     assert per_city["C1"] == doc["C1"]
     lines = {r.city_id: r.text for r in ctx.city_context_text(prof).collect()}
     assert lines["C2"].startswith("C2: avg_vehicles=")
+
+
+def test_fixed_text_matches_python_formatting(spark):
+    import random
+
+    from urbanlake.functions.text import fixed, with_fixed_text
+
+    rnd = random.Random(7)
+    vals = [0.25, 0.75, 2.675, 0.5, 1.5, 2.5, 12.25, 1.005, 0.125, 0.375, 1e-5, 99.95, 0.05, -0.25, -2.675,
+            0.0, -0.001, 0.001953125, 0.005, 0.015, 4503599627370495.5]
+    vals += [rnd.uniform(-1e4, 1e4) for _ in range(500)] + [rnd.randint(0, 10**6) / 8 for _ in range(500)]
+    vals += [rnd.randint(0, 10**7) / 1000 for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
+    staged = with_fixed_text(df, [("t0", "x", 0), ("t1", "x", 1), ("t2", "x", 2)]).collect()
+    direct = df.select(*[fixed("x", d).alias(f"t{d}") for d in range(3)]).collect()
+    for row, drow in zip(staged, direct):
+        for d in range(3):
+            want = "N/A" if row.x is None else f"{row.x:.{d}f}"
+            assert row[f"t{d}"] == want == drow[f"t{d}"], (row.x, d)

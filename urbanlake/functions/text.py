@@ -2,18 +2,97 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+EXACT_LIMIT = 2.0 ** 52      # below this magnitude ``fixed`` reproduces the exact-binary rounding
+
+
+def _c(x) -> Column:
+    return F.col(x) if isinstance(x, str) else x
+
+
+def _shift_parts(c: Column, scale: int) -> tuple[Column, Column]:
+    """k and t = (|c| * 2^k) * scale + 2^(k-1) for the exact rounding below."""
+    a = F.abs(c)
+    # k = 53 - floor(log2 a) makes |c| * 2^k an integer below 2^55 even if log2 is off by one
+    k = (F.lit(53) - F.floor(F.log2(a))).cast("int")
+    return k, a
+
+
+def _rounded(a: Column, k: Column, t: Column) -> Column:
+    """round-half-even(|c| * scale) from t = |c|*2^k*scale + 2^(k-1): shift, and on an exact tie clear bit 0."""
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), k) - F.lit(1)
+    q = F.call_function("shiftright", t, k)          # round-half-up of the exact value
+    tie = t.bitwiseAND(mask) == 0
+    return (F.when(a < F.lit(2.0 ** -9), F.lit(0).cast("bigint"))
+            .when(tie, q.bitwiseAND(F.lit(-2).cast("bigint"))).otherwise(q))
+
+
+def _digits(c: Column, rounded: Column, decimals: int, missing: str) -> Column:
+    scale = 10 ** decimals
+    frac = rounded % F.lit(scale)
+    whole = ((rounded - frac).cast("decimal(20,0)") / F.lit(scale)).cast("bigint")   # exact integer division
+    digits = whole.cast("string") if decimals == 0 else \
+        F.concat(whole.cast("string"), F.lit("."), F.lpad(frac.cast("string"), decimals, "0"))
+    text = F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), digits)
+    # beyond 2^52 every double is an integer: plain formatting is exact there
+    text = F.when(F.abs(c) >= F.lit(EXACT_LIMIT), F.format_string(f"%.{decimals}f", c)).otherwise(text)
+    return F.when(c.isNull(), F.lit(missing)).otherwise(text)
+
+
+def _check(decimals: int) -> int:
+    if not 0 <= decimals <= 2:
+        raise ValueError("decimals must be 0, 1 or 2")
+    return 10 ** decimals
+
+
+def fixed(x, decimals: int, missing: str = "N/A") -> Column:
+    """Text of ``x`` with ``decimals`` (0-2) places, rounded like C printf / Python ``f"{x:.Nf}"``.
+
+    Java's formatter rounds half-up on the shortest decimal form (2.675 ->
+    "2.68"); C and Python round the exact binary value half-to-even (2.675 is
+    2.67499999... -> "2.67", 0.125 -> "0.12").  This takes the exact value
+    apart as N / 2^k (scaling by a power of two is exact), multiplies by
+    10^decimals in integers and rounds with bit shifts.  NULL becomes
+    ``missing``.  For many numbers in one projection prefer
+    ``with_fixed_text``, which computes each intermediate once.
+    """
+    scale = _check(decimals)
+    c = _c(x).cast("double")
+    k, a = _shift_parts(c, scale)
+    t = (a * F.pow(F.lit(2.0), k)).cast("bigint") * F.lit(scale) + \
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), k - 1)
+    return _digits(c, _rounded(a, k, t), decimals, missing)
+
+
+def with_fixed_text(df: DataFrame, specs: list[tuple[str, str, int]], missing: str = "N/A") -> DataFrame:
+    """Add text columns ``(out, source, decimals)`` formatted like ``fixed``, in staged projections.
+
+    Each stage's values are referenced several times by the next one, so
+    Catalyst keeps the stages apart and every intermediate is computed once
+    per row (one small codegen method instead of a duplicated expression tree).
+    """
+    tmp = [(f"__fx{i}", out, src, _check(d), d) for i, (out, src, d) in enumerate(specs)]
+    df = df.select("*", *[_c(src).cast("double").alias(f"{t}_c") for t, _, src, _, _ in tmp])
+    df = df.select("*", *[_shift_parts(F.col(f"{t}_c"), sc)[0].alias(f"{t}_k") for t, _, _, sc, _ in tmp])
+    df = df.select("*", *[
+        ((F.abs(F.col(f"{t}_c")) * F.pow(F.lit(2.0), F.col(f"{t}_k"))).cast("bigint") * F.lit(sc)
+         + F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(f"{t}_k") - 1)).alias(f"{t}_t")
+        for t, _, _, sc, _ in tmp])
+    df = df.select("*", *[_rounded(F.abs(F.col(f"{t}_c")), F.col(f"{t}_k"), F.col(f"{t}_t")).alias(f"{t}_r")
+                          for t, _, _, _, _ in tmp])
+    df = df.select("*", *[_digits(F.col(f"{t}_c"), F.col(f"{t}_r"), d, missing).alias(out)
+                          for t, out, _, _, d in tmp])
+    return df.drop(*[f"{t}_{s}" for t, *_ in tmp for s in ("c", "k", "t", "r")])
+
 
 def fmt(x, decimals: int, missing: str = "N/A") -> Column:
-    """Fixed-decimal text of a number ('%.Nf'); NULL becomes ``missing``."""
-    c = F.col(x) if isinstance(x, str) else x
-    # format_string prints NULL as (truncated) "null", so test for it first
-    return F.when(c.isNull(), F.lit(missing)).otherwise(F.format_string(f"%.{decimals}f", c.cast("double")))
+    """Fixed-decimal text of a number; NULL becomes ``missing`` (see ``fixed``)."""
+    return fixed(x, decimals, missing)
 
 
 def py_repr_number(x) -> Column:
     """Number as text like a Python dict repr would show it (NULL -> nan)."""
-    c = F.col(x) if isinstance(x, str) else x
+    c = _c(x)
     return F.coalesce(c.cast("string"), F.lit("nan"))

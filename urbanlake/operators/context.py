@@ -10,36 +10,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlake.functions.text import fmt, py_repr_number
+from urbanlake.functions.text import py_repr_number, with_fixed_text
 from urbanlake.operators.serving import KPI_VALUES, PROFILE_JSON_KEYS
 
 
 def recent_summary_text(summary: DataFrame, time_period: str = "hourly", n: int = 24) -> DataFrame:
     """city_id, text: the data summary block of a city's latest ``n`` rows."""
+    hourly = "peak_vehicles" in summary.columns
+    specs = [("_t_avg_vehicles", "avg_vehicles", 0)]
+    if hourly:
+        specs.append(("_t_peak", "peak_vehicles", 0))
+    specs += [("_t_energy_total", "total_energy_kwh", 2), ("_t_energy_avg", "avg_energy_kwh", 2),
+              ("_t_occupancy", "avg_occupancy_rate", 1), ("_t_noise", "avg_noise_level", 1)]
+    t = with_fixed_text(summary, specs)
     lines = [
-        F.format_string(f"Smart City Infrastructure Data Summary ({time_period}):"),
+        F.lit(f"Smart City Infrastructure Data Summary ({time_period}):"),
         F.lit(""),
         F.concat(F.lit("Cities: "), F.col("city_id")),
         F.lit(f"Time period: Last {n} {time_period} records"),
         F.lit(""),
         F.lit("Traffic Metrics:"),
-        F.concat(F.lit("- Average vehicles: "), fmt("avg_vehicles", 0)),
+        F.concat(F.lit("- Average vehicles: "), F.col("_t_avg_vehicles")),
     ]
-    if "peak_vehicles" in summary.columns:
-        lines.append(F.concat(F.lit("- Peak vehicle count: "), fmt("peak_vehicles", 0)))
+    if hourly:
+        lines.append(F.concat(F.lit("- Peak vehicle count: "), F.col("_t_peak")))
     lines += [
         F.lit(""),
         F.lit("Energy Metrics:"),
-        F.concat(F.lit("- Total energy consumption: "), fmt("total_energy_kwh", 2), F.lit(" kWh")),
-        F.concat(F.lit("- Average energy per reading: "), fmt("avg_energy_kwh", 2), F.lit(" kWh")),
+        F.concat(F.lit("- Total energy consumption: "), F.col("_t_energy_total"), F.lit(" kWh")),
+        F.concat(F.lit("- Average energy per reading: "), F.col("_t_energy_avg"), F.lit(" kWh")),
         F.lit(""),
         F.lit("Waste Management:"),
-        F.concat(F.lit("- Average occupancy rate: "), fmt("avg_occupancy_rate", 1), F.lit("%")),
+        F.concat(F.lit("- Average occupancy rate: "), F.col("_t_occupancy"), F.lit("%")),
         F.lit(""),
         F.lit("Environmental:"),
-        F.concat(F.lit("- Average noise level: "), fmt("avg_noise_level", 1), F.lit(" dB")),
+        F.concat(F.lit("- Average noise level: "), F.col("_t_noise"), F.lit(" dB")),
     ]
-    return summary.select("city_id", F.concat_ws("\n", *lines).alias("text"))
+    return t.select("city_id", F.concat_ws("\n", *lines).alias("text"))
 
 
 def city_context_text(profile: DataFrame) -> DataFrame:
