@@ -89,3 +89,20 @@ def test_incremental_refresh_reads_only_touched_days(spark, tmp_dir):
         or "event_date IN" in plan, plan
     days = {r[0] for r in affected.select(F.to_date("event_timestamp")).distinct().collect()}
     assert len(days) == 1
+
+
+def test_continuous_query_picks_up_new_files(spark, tmp_dir):
+    rows = sr(spark, SF_SMALL).drop("event_id")
+    p = TablePaths(tmp_dir)
+    write_bronze_csv(rows.filter(F.dayofmonth("event_timestamp") <= 10), p.source, files=2)
+    q = st.start_bronze(spark, p.source, p.bronze, p.bronze_ckpt, available_now=False, processing_time="1 second",
+                        max_files_per_trigger=1)
+    try:
+        q.processAllAvailable()
+        first = spark.read.parquet(p.bronze).count()
+        write_bronze_csv(rows.filter(F.dayofmonth("event_timestamp") > 10), p.source, files=2)
+        q.processAllAvailable()
+        assert spark.read.parquet(p.bronze).count() == rows.count() > first
+        assert len([x for x in q.recentProgress if x.numInputRows]) >= 3     # one file per micro-batch
+    finally:
+        q.stop()

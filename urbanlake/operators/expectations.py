@@ -113,12 +113,12 @@ def dq_metrics(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     """
     counts = df.agg(*metric_columns(rules))
     rows = F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(r.name).alias("expectation"), F.lit(r.action).alias("action"),
+        F.struct(F.lit(r.name).alias("expectation"), F.lit(r.action).alias("action"),
                  F.col(f"{r.name}__passed").cast("bigint").alias("passed"),
                  F.col(f"{r.name}__failed").cast("bigint").alias("failed"))
-        for i, r in enumerate(rules)
+        for r in rules
     ])
-    return counts.select(F.inline(rows)).drop("pos")
+    return counts.select(F.inline(rows))
 
 
 def observe_expectations(df: DataFrame, rules: list[Expectation], name: str = "dq") -> DataFrame:

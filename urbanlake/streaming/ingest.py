@@ -56,9 +56,13 @@ def start_bronze(spark: SparkSession, source_dir: str, bronze_dir: str, checkpoi
 
 
 def silver_stream_frame(spark: SparkSession, bronze_dir: str, rules: list[Expectation] | None = None,
-                        processed_at: bool = True, partition_by_date: bool = False) -> DataFrame:
+                        processed_at: bool = True, partition_by_date: bool = False,
+                        max_files_per_trigger: int | None = None) -> DataFrame:
     rules = SILVER_EXPECTATIONS if rules is None else rules
-    bronze = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_dir)
+    reader = spark.readStream.schema(BRONZE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    bronze = reader.parquet(bronze_dir)
     typed = observe_expectations(project_bronze(bronze, processed_at), rules, DQ_METRIC)
     kept = apply_expectations(typed, rules)
     return kept.withColumn("event_date", F.to_date("event_timestamp")) if partition_by_date else kept
@@ -67,13 +71,16 @@ def silver_stream_frame(spark: SparkSession, bronze_dir: str, rules: list[Expect
 def start_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoint: str,
                  rules: list[Expectation] | None = None, processed_at: bool = True,
                  available_now: bool = True, processing_time: str | None = None,
-                 partition_by_date: bool = False) -> StreamingQuery:
+                 partition_by_date: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Bronze parquet stream -> typed, quality-filtered silver parquet.
 
     ``partition_by_date`` writes one folder per event date, so consumers that
     need a few days (incremental gold) prune the rest at planning time.
+    ``max_files_per_trigger`` bounds each micro-batch (a large backfill runs
+    as many bounded batches, each committed on its own).
     """
-    return _start(silver_stream_frame(spark, bronze_dir, rules, processed_at, partition_by_date), silver_dir,
+    return _start(silver_stream_frame(spark, bronze_dir, rules, processed_at, partition_by_date,
+                                      max_files_per_trigger), silver_dir,
                   checkpoint, available_now, processing_time, None,
                   ["event_date"] if partition_by_date else None)
 

@@ -43,11 +43,16 @@ def refresh_view(spark: SparkSession, silver_path: str, out_path: str, grain: st
 
 
 def refresh(spark: SparkSession, source_dir: str, base: str, scale: int | None = None,
-            timeout_s: float = 1800.0) -> dict:
-    """Run bronze and silver to completion (new files only), then rebuild both gold views."""
+            timeout_s: float = 1800.0, max_files_per_trigger: int | None = None) -> dict:
+    """Run bronze and silver to completion (new files only), then rebuild both gold views.
+
+    ``max_files_per_trigger`` splits a large backlog into bounded micro-batches.
+    """
     p = TablePaths(base)
-    wait(start_bronze(spark, source_dir, p.bronze, p.bronze_ckpt), timeout_s)
-    sq = wait(start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True), timeout_s)
+    wait(start_bronze(spark, source_dir, p.bronze, p.bronze_ckpt, max_files_per_trigger=max_files_per_trigger),
+         timeout_s)
+    sq = wait(start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True,
+                           max_files_per_trigger=max_files_per_trigger), timeout_s)
     dq = stream_dq_metrics(sq)
     refresh_view(spark, p.silver, p.gold_hour, "hour", scale)
     refresh_view(spark, p.silver, p.gold_day, "day", scale)
