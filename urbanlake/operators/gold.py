@@ -85,3 +85,55 @@ def write_clustered(df: DataFrame, path: str, cluster_by: list[str], files: int
     ranged = df.repartitionByRange(files, *cluster_by) if files else df.repartitionByRange(*cluster_by)
     (ranged.sortWithinPartitions(*cluster_by)
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path))
+
+
+# ------------------------------------------------- shared pass for both views
+METRICS = ["vehicle_count", "energy_kwh", "occupancy_rate", "noise_level"]
+
+
+def sensor_hours(silver: DataFrame, scale: int | None = None) -> DataFrame:
+    """One row per (city, type, hour, sensor): the mergeable parts of every gold measure.
+
+    Both gold views can be derived from this table, so silver is scanned once
+    per refresh.  Sums are exact integers of 10^-scale when a scale is given.
+    """
+    from urbanlake.functions.measures import scaled
+
+    parts = [F.count(F.lit(1)).alias("n_rows"), F.sum("vehicle_count").alias("vehicle_count_total"),
+             F.min("event_timestamp").alias("first_ts"), F.max("event_timestamp").alias("last_ts")]
+    for m in METRICS:
+        value = scaled(m, scale) if scale is not None else F.col(m)
+        parts += [F.sum(value).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"), F.max(m).alias(f"{m}_max")]
+    return (silver.withColumn("event_hour", GRAINS["hour"][1]("event_timestamp"))
+            .groupBy(*GOLD_KEYS, "event_hour", "sensor_id").agg(*parts))
+
+
+def gold_from_sensor_hours(sh: DataFrame, grain: str, scale: int | None = None) -> DataFrame:
+    """Hourly or daily gold from ``sensor_hours`` (equal to ``gold_metrics`` on the same silver)."""
+    unit = float(10 ** scale) if scale is not None else 1.0
+
+    def avg(m):
+        return F.sum(f"{m}_sum").cast("double") / (F.nullif(F.sum(f"{m}_n"), F.lit(0)).cast("double") * F.lit(unit))
+
+    def total(m):
+        return F.sum(f"{m}_sum").cast("double") / F.lit(unit)
+
+    if grain == "hour":
+        keys, sensors = [*GOLD_KEYS, "event_hour"], F.count("sensor_id")      # one row per sensor already
+        aggs = [F.sum("vehicle_count_total").alias("total_vehicles"), avg("vehicle_count").alias("avg_vehicles"),
+                F.max("vehicle_count_max").alias("max_vehicles"),
+                total("energy_kwh").alias("total_energy_kwh"), avg("energy_kwh").alias("avg_energy_kwh"),
+                F.max("energy_kwh_max").alias("max_energy_kwh"),
+                avg("occupancy_rate").alias("avg_occupancy_rate"), F.max("occupancy_rate_max").alias("max_occupancy_rate"),
+                avg("noise_level").alias("avg_noise_level"), F.max("noise_level_max").alias("max_noise_level"),
+                F.sum("n_rows").alias("record_count"), sensors.alias("unique_sensors"),
+                F.min("first_ts").alias("period_start"), F.max("last_ts").alias("period_end")]
+        return sh.groupBy(*keys).agg(*aggs)
+    if grain == "day":
+        return (sh.withColumn("event_date", F.to_date("event_hour"))
+                .groupBy(*GOLD_KEYS, "event_date").agg(
+                    F.sum("vehicle_count_total").alias("total_vehicles"), avg("vehicle_count").alias("avg_vehicles"),
+                    total("energy_kwh").alias("total_energy_kwh"), avg("energy_kwh").alias("avg_energy_kwh"),
+                    avg("occupancy_rate").alias("avg_occupancy_rate"), avg("noise_level").alias("avg_noise_level"),
+                    F.sum("n_rows").alias("record_count"), F.count_distinct("sensor_id").alias("unique_sensors")))
+    raise ValueError(f"unknown grain {grain!r}; expected 'hour' or 'day'")

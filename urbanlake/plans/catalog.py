@@ -19,7 +19,14 @@ from urbanlake.operators import ml
 from urbanlake.operators import policy as pol
 from urbanlake.operators import serving as sv
 from urbanlake.operators import weekly as wk
-from urbanlake.operators.gold import DAILY_COLUMNS, gold_day, gold_hour, write_clustered
+from urbanlake.operators.gold import (
+    DAILY_COLUMNS,
+    gold_day,
+    gold_from_sensor_hours,
+    gold_hour,
+    sensor_hours,
+    write_clustered,
+)
 from urbanlake.operators.silver import project_bronze
 from urbanlake.schemas import BRONZE_COLUMNS
 from urbanlake.session import read_table, work_path
@@ -359,6 +366,23 @@ def gold_day_incremental(spark, sf_dir):
     return spark.read.parquet(f"{base}/gold_day").select(*DAILY_COLUMNS)
 
 
+def _sensor_hour_table(spark, sf_dir):
+    """Silver reduced once to (city, type, hour, sensor) rows, written to the shared folder."""
+    path = work_path(spark, "sensor_hour")
+    sensor_hours(sil(spark, sf_dir), scale=M2).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query()
+def gold_hour_shared_pass(spark, sf_dir):
+    return gold_from_sensor_hours(_sensor_hour_table(spark, sf_dir), "hour", scale=M2)
+
+
+@query()
+def gold_day_shared_pass(spark, sf_dir):
+    return gold_from_sensor_hours(_sensor_hour_table(spark, sf_dir), "day", scale=M2)
+
+
 @query()
 def silver_clustered(spark, sf_dir):
     path = work_path(spark, "silver_clustered")

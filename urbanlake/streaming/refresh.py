@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.operators.gold import gold_metrics, write_clustered
+from urbanlake.operators.gold import gold_from_sensor_hours, gold_metrics, sensor_hours, write_clustered
 from urbanlake.sources.tables import TABLES, with_comment
 from urbanlake.streaming.ingest import start_bronze, start_silver, stream_dq_metrics, wait
 
@@ -43,10 +43,11 @@ def refresh_view(spark: SparkSession, silver_path: str, out_path: str, grain: st
 
 
 def refresh(spark: SparkSession, source_dir: str, base: str, scale: int | None = None,
-            timeout_s: float = 1800.0, max_files_per_trigger: int | None = None) -> dict:
+            timeout_s: float = 1800.0, max_files_per_trigger: int | None = None, shared_pass: bool = True) -> dict:
     """Run bronze and silver to completion (new files only), then rebuild both gold views.
 
-    ``max_files_per_trigger`` splits a large backlog into bounded micro-batches.
+    ``max_files_per_trigger`` splits a large backlog into bounded micro-batches;
+    ``shared_pass`` builds both views from one scan of silver.
     """
     p = TablePaths(base)
     wait(start_bronze(spark, source_dir, p.bronze, p.bronze_ckpt, max_files_per_trigger=max_files_per_trigger),
@@ -54,11 +55,34 @@ def refresh(spark: SparkSession, source_dir: str, base: str, scale: int | None =
     sq = wait(start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True,
                            max_files_per_trigger=max_files_per_trigger), timeout_s)
     dq = stream_dq_metrics(sq)
-    refresh_view(spark, p.silver, p.gold_hour, "hour", scale)
-    refresh_view(spark, p.silver, p.gold_day, "day", scale)
+    if shared_pass:
+        refresh_views_shared(spark, p.silver, base, scale)
+    else:
+        refresh_view(spark, p.silver, p.gold_hour, "hour", scale)
+        refresh_view(spark, p.silver, p.gold_day, "day", scale)
     return {"paths": p, "dq_metrics": dq}
 
 
+def refresh_views_shared(spark: SparkSession, silver_path: str, base: str, scale: int | None = None) -> None:
+    """Rebuild both gold views with one scan of silver.
+
+    Silver is reduced to one row per (city, type, hour, sensor) and written to
+    ``<base>/sensor_hour`` (a table in the shared folder, so the two views
+    start from it rather than from the silver lineage); both views aggregate
+    that table.  With a ``scale`` the results equal ``refresh_view`` exactly.
+    """
+    p = TablePaths(base)
+    silver = spark.read.parquet(silver_path)
+    if "event_date" in silver.columns:
+        silver = silver.drop("event_date")
+    sensor_hours(silver, scale).write.mode("overwrite").parquet(p.sensor_hour)
+    sh = spark.read.parquet(p.sensor_hour)
+    for grain, name in (("hour", "gold_hour"), ("day", "gold_day")):
+        info = TABLES[name]
+        gold = with_comment(gold_from_sensor_hours(sh, grain, scale), info.comment)
+        write_clustered(gold, getattr(p, name), list(info.cluster_by))
+
+
 MAX_PRUNED_DAYS = 1000
 
 
