@@ -106,3 +106,20 @@ def test_continuous_query_picks_up_new_files(spark, tmp_dir):
         assert len([x for x in q.recentProgress if x.numInputRows]) >= 3     # one file per micro-batch
     finally:
         q.stop()
+
+
+def test_header_drift_fails_loudly_and_header_only_file_is_empty(spark, tmp_dir):
+    import pytest
+
+    from urbanlake.schemas import BRONZE_HEADERS
+
+    row = ["C1", "S1", "10", "10", "2024-01-01 00:00:00", "Trafik Sayacı", "Cadde", "Park", "1", "", "", ""]
+    cases = {"missing": (BRONZE_HEADERS[:-1], [row[:-1]]), "extra": (BRONZE_HEADERS + ["Extra"], [row + ["x"]]),
+             "empty": (BRONZE_HEADERS, [])}
+    for name, (header, rows) in cases.items():
+        text = "\n".join([",".join(header)] + [",".join(r) for r in rows])
+        spark.sparkContext.parallelize([text], 1).saveAsTextFile(f"{tmp_dir}/{name}")
+    assert read_bronze_batch(spark, f"{tmp_dir}/empty").count() == 0
+    for name in ("missing", "extra"):
+        with pytest.raises(Exception):
+            read_bronze_batch(spark, f"{tmp_dir}/{name}").collect()
