@@ -51,3 +51,23 @@ def test_overwrite_rerun_is_idempotent(spark):
 
 def test_default_city(spark):
     assert sv.default_city(gh(spark, SF_SMALL)).first().city_id == "C0"
+
+
+def test_cli_refresh_and_score(spark, tmp_dir):
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+    from urbanlake.cli import main
+    from urbanlake.plans.catalog import policies, sr
+    from urbanlake.sources.csv import write_bronze_csv
+
+    write_bronze_csv(sr(spark, SF_SMALL).drop("event_id"), f"{tmp_dir}/src")
+    assert main(["refresh", "--source", f"{tmp_dir}/src", "--base", f"{tmp_dir}/lake", "--scale", "2"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/lake/gold_day").count() > 0
+    policies(spark, SF_SMALL).write.parquet(f"{tmp_dir}/policies")
+    assert main(["score", "--policies", f"{tmp_dir}/policies", "--out", f"{tmp_dir}/scored"]) == 0
+    assert spark.read.parquet(f"{tmp_dir}/scored").count() == 4 * policies(spark, SF_SMALL).count()
+    help_text = subprocess.run([sys.executable, "-m", "urbanlake", "--help"], cwd=ROOT, capture_output=True,
+                               text=True, timeout=120).stdout
+    assert "refresh" in help_text and "score" in help_text

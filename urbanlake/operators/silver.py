@@ -24,12 +24,17 @@ def castable_column(header: str, spark_type: str) -> Column:
     return c.isNull() | _typed(header, spark_type).isNotNull()
 
 
-def project_bronze(bronze: DataFrame, processed_at: bool = True, keep: list[str] | None = None) -> DataFrame:
+def project_bronze(bronze: DataFrame, processed_at: bool = True, keep: list[str] | None = None,
+                   timestamp_type: str = "timestamp_ntz") -> DataFrame:
     """Raw text columns -> English names and Spark types (optionally processed_at).
 
     ``keep``: extra columns passed through unchanged in front (e.g. a key).
+    ``timestamp_type``: ``timestamp_ntz`` keeps the files' wall-clock times
+    (independent of the session time zone); ``timestamp`` reads them in the
+    session time zone as instants.
     """
-    cols = [F.col(k) for k in keep or []] + [_typed(h, t).alias(n) for h, n, t in BRONZE_COLUMNS]
+    types = {n: (timestamp_type if t.startswith("timestamp") else t) for _, n, t in BRONZE_COLUMNS}
+    cols = [F.col(k) for k in keep or []] + [_typed(h, types[n]).alias(n) for h, n, _ in BRONZE_COLUMNS]
     if processed_at:
         cols.append(F.current_timestamp().alias("processed_at"))
     return bronze.select(*cols)
