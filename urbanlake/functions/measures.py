@@ -18,8 +18,13 @@ def _col(c) -> Column:
 
 
 def scaled(c, scale: int) -> Column:
-    """Value as an integer count of 10^-scale units."""
-    return F.round(_col(c) * F.lit(float(10 ** scale))).cast("bigint")
+    """Value as an integer count of 10^-scale units (nearest, half away from zero).
+
+    Plain arithmetic rather than ``round`` (which goes through a BigDecimal
+    per value): this runs once per metric value on the hot path of gold.
+    """
+    x = _col(c) * F.lit(float(10 ** scale))
+    return (F.signum(x) * F.floor(F.abs(x) + F.lit(0.5))).cast("bigint")
 
 
 def fixed_sum(c, scale: int | None = None, wide: bool = False) -> Column:
@@ -47,21 +52,39 @@ def fixed_avg(c, scale: int | None = None, wide: bool = False) -> Column:
     return F.sum(units).cast("double") / F.nullif(n, F.lit(0)).cast("double")
 
 
+def _sql_units(expr: str, scale: int, wide: bool) -> str:
+    x = f"(({expr}) * CAST({10 ** scale} AS DOUBLE))"
+    units = f"CAST(sign({x}) * floor(abs({x}) + CAST(0.5 AS DOUBLE)) AS BIGINT)"
+    return f"CAST({units} AS DECIMAL(38,0))" if wide else units
+
+
 def sql_fixed_sum(expr: str, scale: int | None, wide: bool = False) -> str:
     """The same measure as SQL text (runs unchanged in Spark SQL and DuckDB)."""
     if scale is None:
         return f"sum({expr})"
-    units = f"CAST(round(({expr}) * CAST({10 ** scale} AS DOUBLE)) AS BIGINT)"
-    if wide:
-        units = f"CAST({units} AS DECIMAL(38,0))"
+    units = _sql_units(expr, scale, wide)
     return f"(CAST(sum({units}) AS DOUBLE) / CAST({10 ** scale} AS DOUBLE))"
 
 
 def sql_fixed_avg(expr: str, scale: int | None, wide: bool = False) -> str:
     if scale is None:
         return f"avg({expr})"
-    units = f"CAST(round(({expr}) * CAST({10 ** scale} AS DOUBLE)) AS BIGINT)"
-    if wide:
-        units = f"CAST({units} AS DECIMAL(38,0))"
+    units = _sql_units(expr, scale, wide)
     return (f"(CAST(sum({units}) AS DOUBLE) / "
             f"CAST(NULLIF(count({expr}) * {10 ** scale}, 0) AS DOUBLE))")
+
+
+def round_half_away(c, decimals: int) -> Column:
+    """Round to ``decimals`` places, half away from zero, on the scaled double.
+
+    Plain IEEE arithmetic (no per-value BigDecimal as in ``round``): cheap in
+    generated code, and the same operations give the same bits in any engine.
+    """
+    x = _col(c)
+    k = F.lit(float(10 ** decimals))
+    return F.signum(x) * F.floor(F.abs(x) * k + F.lit(0.5)).cast("double") / k
+
+
+def sql_round_half_away(expr: str, decimals: int) -> str:
+    k = f"CAST({10 ** decimals} AS DOUBLE)"
+    return f"(sign({expr}) * CAST(floor(abs({expr}) * {k} + CAST(0.5 AS DOUBLE)) AS DOUBLE) / {k})"

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlake.functions.demand import elastic_demand
-from urbanlake.functions.measures import fixed_avg
+from urbanlake.functions.measures import fixed_avg, round_half_away
 from urbanlake.operators.weekly import service_dim
 from urbanlake.schemas import (
     BASE_CONGESTION,
@@ -92,9 +92,9 @@ def score_elastic(features: DataFrame, demand_decimals: int | None = 4, revenue_
                             "festival", "holiday")
     out = j.withColumn("demand", demand).withColumn("revenue", F.col("demand") * F.col("price"))
     if demand_decimals is not None:
-        out = out.withColumn("demand", F.round("demand", demand_decimals))
+        out = out.withColumn("demand", round_half_away("demand", demand_decimals))
     if revenue_decimals is not None:
-        out = out.withColumn("revenue", F.round("revenue", revenue_decimals))
+        out = out.withColumn("revenue", round_half_away("revenue", revenue_decimals))
     return out.select("policy_id", "service", "demand", "revenue")
 
 

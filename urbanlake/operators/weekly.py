@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from urbanlake.functions.calendar import festival_flag, holiday_flag, seasonality, sunday_on_or_after, week_index
 from urbanlake.functions.demand import congestion_from_draw, elastic_demand
+from urbanlake.functions.measures import round_half_away
 from urbanlake.schemas import (
     BASE_POPULATION,
     SERVICE_NAMES,
@@ -98,9 +99,9 @@ def elastic_demand_table(obs: DataFrame, keys: list[str], demand_decimals: int |
            .withColumn("demand", demand)
            .withColumn("revenue", F.col("demand") * F.col("price")))
     if demand_decimals is not None:
-        out = out.withColumn("demand", F.round("demand", demand_decimals))
+        out = out.withColumn("demand", round_half_away("demand", demand_decimals))
     if revenue_decimals is not None:
-        out = out.withColumn("revenue", F.round("revenue", revenue_decimals))
+        out = out.withColumn("revenue", round_half_away("revenue", revenue_decimals))
     return out.select(*keys, "t", "service", "price", "demand", "revenue", "population", "congestion",
                       "signal_load", "festival", "holiday")
 
