@@ -31,8 +31,12 @@ def fixed_sum(c, scale: int | None = None, wide: bool = False) -> Column:
     """sum(c); exact at ``scale`` decimals when a scale is given.
 
     ``wide`` sums in DECIMAL(38,0) for global totals over very many rows
-    (a bigint sum of scaled values could overflow).
+    (a bigint sum of scaled values could overflow).  For a column name the
+    measure is built from its SQL text (one call into the JVM instead of one
+    per expression node).
     """
+    if isinstance(c, str):
+        return F.expr(sql_fixed_sum(f"`{c}`", scale, wide))
     if scale is None:
         return F.sum(_col(c))
     units = scaled(c, scale)
@@ -43,6 +47,8 @@ def fixed_sum(c, scale: int | None = None, wide: bool = False) -> Column:
 
 def fixed_avg(c, scale: int | None = None, wide: bool = False) -> Column:
     """avg(c) (NULLs skipped, NULL when no value); exact sum at ``scale`` decimals."""
+    if isinstance(c, str):
+        return F.expr(sql_fixed_avg(f"`{c}`", scale, wide))
     if scale is None:
         return F.avg(_col(c))
     units = scaled(c, scale)

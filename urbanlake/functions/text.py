@@ -71,19 +71,30 @@ def with_fixed_text(df: DataFrame, specs: list[tuple[str, str, int]], missing: s
 
     Each stage's values are referenced several times by the next one, so
     Catalyst keeps the stages apart and every intermediate is computed once
-    per row (one small codegen method instead of a duplicated expression tree).
+    per row (one small codegen method instead of a duplicated expression
+    tree).  The stages are SQL text: one call into the JVM per stage.
     """
-    tmp = [(f"__fx{i}", out, src, _check(d), d) for i, (out, src, d) in enumerate(specs)]
-    df = df.select("*", *[_c(src).cast("double").alias(f"{t}_c") for t, _, src, _, _ in tmp])
-    df = df.select("*", *[_shift_parts(F.col(f"{t}_c"), sc)[0].alias(f"{t}_k") for t, _, _, sc, _ in tmp])
-    df = df.select("*", *[
-        ((F.abs(F.col(f"{t}_c")) * F.pow(F.lit(2.0), F.col(f"{t}_k"))).cast("bigint") * F.lit(sc)
-         + F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(f"{t}_k") - 1)).alias(f"{t}_t")
-        for t, _, _, sc, _ in tmp])
-    df = df.select("*", *[_rounded(F.abs(F.col(f"{t}_c")), F.col(f"{t}_k"), F.col(f"{t}_t")).alias(f"{t}_r")
-                          for t, _, _, _, _ in tmp])
-    df = df.select("*", *[_digits(F.col(f"{t}_c"), F.col(f"{t}_r"), d, missing).alias(out)
-                          for t, out, _, _, d in tmp])
+    tmp = [(f"__fx{i}", out, f"`{src}`", _check(d), d) for i, (out, src, d) in enumerate(specs)]
+    tiny, big = repr(2.0 ** -9) + "D", repr(EXACT_LIMIT) + "D"
+    quoted_missing = missing.replace("'", "\\'")
+
+    def digits(t, sc, d):
+        if d == 0:
+            return f"CAST({t}_r AS STRING)"
+        return (f"concat(CAST(CAST(CAST({t}_r - {t}_r % {sc} AS DECIMAL(20,0)) / {sc} AS BIGINT) AS STRING), '.', "
+                f"lpad(CAST({t}_r % {sc} AS STRING), {d}, '0'))")
+
+    df = df.selectExpr("*", *[f"CAST({src} AS DOUBLE) AS {t}_c" for t, _, src, _, _ in tmp])
+    df = df.selectExpr("*", *[f"CAST(53 - floor(log2(abs({t}_c))) AS INT) AS {t}_k" for t, *_ in tmp])
+    df = df.selectExpr("*", *[f"CAST(abs({t}_c) * pow(2.0D, {t}_k) AS BIGINT) * {sc} + shiftleft(1L, {t}_k - 1) "
+                              f"AS {t}_t" for t, _, _, sc, _ in tmp])
+    df = df.selectExpr("*", *[f"CASE WHEN abs({t}_c) < {tiny} THEN 0L "
+                              f"WHEN ({t}_t & (shiftleft(1L, {t}_k) - 1L)) = 0 THEN shiftright({t}_t, {t}_k) & -2L "
+                              f"ELSE shiftright({t}_t, {t}_k) END AS {t}_r" for t, *_ in tmp])
+    df = df.selectExpr("*", *[f"CASE WHEN {t}_c IS NULL THEN '{quoted_missing}' "
+                              f"WHEN abs({t}_c) >= {big} THEN format_string('%.{d}f', {t}_c) "
+                              f"ELSE concat(CASE WHEN {t}_c < 0 THEN '-' ELSE '' END, {digits(t, sc, d)}) END AS `{out}`"
+                              for t, out, _, sc, d in tmp])
     return df.drop(*[f"{t}_{s}" for t, *_ in tmp for s in ("c", "k", "t", "r")])
 
 

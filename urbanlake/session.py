@@ -61,6 +61,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SCHEMAS: dict[tuple[str, int], object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    """Batch scan of one input table; Catalyst prunes columns and pushes filters."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Batch scan of one input table; Catalyst prunes columns and pushes filters.
+
+    The schema of a local file is inferred once per file version (path and
+    modification time) and then passed to the reader, so repeated queries skip
+    the footer read; other file systems infer it as usual.
+    """
+    path = table_path(sf_dir, name)
+    if ":" in path or not os.path.exists(path):          # URI or remote store: plain read
+        return spark.read.parquet(path)
+    key = (os.path.abspath(path), os.stat(path).st_mtime_ns)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)

@@ -1,64 +1,88 @@
 """Views that map the given test tables onto the sensor and city-service model.
 
-Each view exists twice: as DataFrame code (what the queries use) and as SQL
-text that runs in DuckDB (what the oracle uses).  Both give the same rows.
-They are narrow projections: no shuffle, filters and column pruning reach the
+Each view is a list of (SQL expression, name) pairs over one table.  Spark
+applies it with ``selectExpr`` (parsed once on the JVM, a single call from
+Python) and the oracle runs the same text in DuckDB: the views are specified
+to run unchanged on both engines, so both start from identical rows.  The two
+date expressions that differ between the engines are given per engine.  They
+are narrow projections: no shuffle; filters and column pruning reach the
 parquet scan.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- sensor view
+SENSOR_READINGS: list[tuple[str, str]] = [
+    ("event_id", "event_id"),
+    ("concat('C', CAST(user_id % 5 AS STRING))", "city_id"),
+    ("CASE WHEN event_id % 101 = 0 THEN NULL ELSE concat('S', CAST(user_id AS STRING)) END", "sensor_id"),
+    ("CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(36 + event_id % 61 AS DOUBLE) END", "latitude"),
+    ("CAST(26 + (event_id % 20) * 10 AS DOUBLE)", "longitude"),
+    ("ts", "event_timestamp"),
+    ("CASE event_type WHEN 'click' THEN 'Trafik Sayacı' WHEN 'purchase' THEN 'Enerji Metre' "
+     "WHEN 'view' THEN 'Atık Sensörü' WHEN 'error' THEN 'Çevre Sensörü' ELSE event_type END", "sensor_type"),
+    ("CASE event_id % 3 WHEN 0 THEN 'Cadde' WHEN 1 THEN 'Sokak' ELSE 'Bulvar' END", "street_type"),
+    ("CASE event_id % 2 WHEN 0 THEN 'Okul, Park' ELSE 'Hastane' END", "nearby_services"),
+    ("CASE WHEN event_type = 'click' THEN CAST(floor(value) AS INT) END", "vehicle_count"),
+    ("CASE WHEN event_type = 'purchase' THEN value END", "energy_kwh"),
+    ("CASE WHEN event_type = 'view' THEN least(value, CAST(100 AS DOUBLE)) END", "occupancy_rate"),
+    ("CASE WHEN event_type = 'error' THEN value END", "noise_level"),
+]
 
+# ----------------------------------------------------- weekly observation view
+OBSERVATION_ORIGIN = "1995-01-01"   # a Sunday; week index t counts from here
 
-def sensor_readings(events: DataFrame) -> DataFrame:
-    """Typed sensor rows (the shape of silver before quality rules) from ``events``."""
-    eid, et, uid, val = F.col("event_id"), F.col("event_type"), F.col("user_id"), F.col("value")
-    type_label = (F.when(et == "click", "Trafik Sayacı").when(et == "purchase", "Enerji Metre")
-                  .when(et == "view", "Atık Sensörü").when(et == "error", "Çevre Sensörü").otherwise(et))
-    return events.select(
-        eid,
-        F.concat(F.lit("C"), (uid % 5).cast("string")).alias("city_id"),
-        F.when(eid % 101 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("S"), uid.cast("string"))).alias("sensor_id"),
-        F.when(eid % 97 == 0, F.lit(None).cast("double"))
-        .otherwise((F.lit(36) + eid % 61).cast("double")).alias("latitude"),
-        (F.lit(26) + (eid % 20) * 10).cast("double").alias("longitude"),
-        F.col("ts").alias("event_timestamp"),
-        type_label.alias("sensor_type"),
-        F.when(eid % 3 == 0, "Cadde").when(eid % 3 == 1, "Sokak").otherwise("Bulvar").alias("street_type"),
-        F.when(eid % 2 == 0, "Okul, Park").otherwise("Hastane").alias("nearby_services"),
-        F.when(et == "click", F.floor(val).cast("int")).alias("vehicle_count"),
-        F.when(et == "purchase", val).alias("energy_kwh"),
-        F.when(et == "view", F.least(val, F.lit(100.0))).alias("occupancy_rate"),
-        F.when(et == "error", val).alias("noise_level"),
-    )
-
-
-SENSOR_READINGS_SQL = """
-SELECT event_id,
-  concat('C', CAST(user_id % 5 AS STRING)) AS city_id,
-  CASE WHEN event_id % 101 = 0 THEN NULL ELSE concat('S', CAST(user_id AS STRING)) END AS sensor_id,
-  CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(36 + event_id % 61 AS DOUBLE) END AS latitude,
-  CAST(26 + (event_id % 20) * 10 AS DOUBLE) AS longitude,
-  ts AS event_timestamp,
-  CASE event_type WHEN 'click' THEN 'Trafik Sayacı' WHEN 'purchase' THEN 'Enerji Metre'
-                  WHEN 'view' THEN 'Atık Sensörü' WHEN 'error' THEN 'Çevre Sensörü' ELSE event_type END AS sensor_type,
-  CASE event_id % 3 WHEN 0 THEN 'Cadde' WHEN 1 THEN 'Sokak' ELSE 'Bulvar' END AS street_type,
-  CASE event_id % 2 WHEN 0 THEN 'Okul, Park' ELSE 'Hastane' END AS nearby_services,
-  CASE WHEN event_type = 'click' THEN CAST(floor(value) AS INT) END AS vehicle_count,
-  CASE WHEN event_type = 'purchase' THEN value END AS energy_kwh,
-  CASE WHEN event_type = 'view' THEN least(value, CAST(100 AS DOUBLE)) END AS occupancy_rate,
-  CASE WHEN event_type = 'error' THEN value END AS noise_level
-FROM events
-"""
+_SPARK_DATES = {"DAYS": "datediff(CAST(l_shipdate AS DATE), DATE '1995-01-01')",
+                "ISODOW": "extract(DAYOFWEEK_ISO FROM CAST(l_shipdate AS DATE))"}
+_DUCKDB_DATES = {"DAYS": "date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE))",
+                 "ISODOW": "extract(isodow FROM l_shipdate)"}
+
+WEEKLY_OBSERVATIONS: list[tuple[str, str]] = [
+    ("l_orderkey", "l_orderkey"),
+    ("l_linenumber", "l_linenumber"),
+    ("CAST(l_shipdate AS DATE)", "obs_date"),
+    ("CAST(floor({DAYS} / CAST(7 AS DOUBLE)) AS INT)", "t"),
+    ("CASE l_suppkey % 4 WHEN 0 THEN 'metro' WHEN 1 THEN 'bus' WHEN 2 THEN 'private_transport' ELSE 'water' END",
+     "service"),
+    ("(l_discount - CAST(0.05 AS DOUBLE)) * 2", "price_u"),
+    ("(l_tax - CAST(0.04 AS DOUBLE)) * CAST(2.5 AS DOUBLE)", "congestion_u"),
+    ("CAST(-0.05 AS DOUBLE) + (l_quantity - 1) / 49 * CAST(0.15 AS DOUBLE)", "pop_u"),
+    ("CAST(l_linenumber - 4 AS DOUBLE) / 100", "noise_e"),
+    ("CASE WHEN month(l_shipdate) IN (1, 10, 11, 12) THEN 1 ELSE 0 END", "festival"),
+    ("CASE WHEN {ISODOW} >= 6 THEN 1 ELSE 0 END", "holiday"),
+]
 
-# ----------------------------------------------------- weekly observation view
+# ---------------------------------------------------------------- policy view
+# One pricing policy per order, every field inside its slider range: metro
+# 10-100, bus 5-50, private transport 50-150, water 1-20, fuel tax 0-0.30;
+# festival/holiday flags from the order date.
+POLICY_OBSERVATIONS: list[tuple[str, str]] = [
+    ("o_orderkey", "policy_id"),
+    ("CAST(10 + o_orderkey % 91 AS DOUBLE)", "metro_price"),
+    ("CAST(5 + o_custkey % 46 AS DOUBLE)", "bus_price"),
+    ("CAST(50 + CAST(floor(o_totalprice) AS BIGINT) % 101 AS DOUBLE)", "private_transport_price"),
+    ("CAST(1 + (o_orderkey + o_custkey) % 20 AS DOUBLE)", "water_price"),
+    ("CAST(o_orderkey % 31 AS DOUBLE) / 100", "fuel_tax"),
+    ("CASE WHEN month(o_orderdate) IN (1, 10, 11, 12) THEN 1 ELSE 0 END", "festival"),
+    ("CASE WHEN {ISODOW} >= 6 THEN 1 ELSE 0 END", "holiday"),
+]
+_POLICY_SPARK = {"ISODOW": "extract(DAYOFWEEK_ISO FROM CAST(o_orderdate AS DATE))"}
+_POLICY_DUCKDB = {"ISODOW": "extract(isodow FROM o_orderdate)"}
 
-OBSERVATION_ORIGIN = "1995-01-01"   # a Sunday; week index t counts from here
+
+def _exprs(view: list[tuple[str, str]], subst: dict[str, str] | None = None) -> list[str]:
+    return [f"{e.format(**subst) if subst else e} AS {a}" for e, a in view]
+
+
+def _sql(view: list[tuple[str, str]], table: str, subst: dict[str, str] | None = None) -> str:
+    return "SELECT " + ",\n  ".join(_exprs(view, subst)) + f"\nFROM {table}"
+
+
+def sensor_readings(events: DataFrame) -> DataFrame:
+    """Typed sensor rows (the shape of silver before quality rules) from ``events``."""
+    return events.selectExpr(*_exprs(SENSOR_READINGS))
 
 
 def weekly_observations(lineitem: DataFrame) -> DataFrame:
@@ -67,73 +91,14 @@ def weekly_observations(lineitem: DataFrame) -> DataFrame:
     The uniform draws of a week (price, congestion, population) become columns
     taken from line-item fields with the same ranges.
     """
-    d = F.to_date("l_shipdate")
-    days = F.datediff(d, F.lit(OBSERVATION_ORIGIN).cast("date"))
-    svc = F.col("l_suppkey") % 4
-    return lineitem.select(
-        "l_orderkey", "l_linenumber",
-        d.alias("obs_date"),
-        F.floor(days / F.lit(7.0)).cast("int").alias("t"),
-        F.when(svc == 0, "metro").when(svc == 1, "bus").when(svc == 2, "private_transport")
-        .otherwise("water").alias("service"),
-        ((F.col("l_discount") - F.lit(0.05)) * 2).alias("price_u"),
-        ((F.col("l_tax") - F.lit(0.04)) * F.lit(2.5)).alias("congestion_u"),
-        (F.lit(-0.05) + (F.col("l_quantity") - 1) / 49 * F.lit(0.15)).alias("pop_u"),
-        ((F.col("l_linenumber") - 4).cast("double") / 100).alias("noise_e"),
-        F.month("l_shipdate").isin(1, 10, 11, 12).cast("int").alias("festival"),
-        (F.dayofweek(d).isin(1, 7)).cast("int").alias("holiday"),
-    )
-
-
-_WO_SQL = """
-SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS obs_date,
-  CAST(floor({DAYS} / CAST(7 AS DOUBLE)) AS INT) AS t,
-  CASE l_suppkey % 4 WHEN 0 THEN 'metro' WHEN 1 THEN 'bus' WHEN 2 THEN 'private_transport' ELSE 'water' END AS service,
-  (l_discount - CAST(0.05 AS DOUBLE)) * 2 AS price_u,
-  (l_tax - CAST(0.04 AS DOUBLE)) * CAST(2.5 AS DOUBLE) AS congestion_u,
-  CAST(-0.05 AS DOUBLE) + (l_quantity - 1) / 49 * CAST(0.15 AS DOUBLE) AS pop_u,
-  CAST(l_linenumber - 4 AS DOUBLE) / 100 AS noise_e,
-  CASE WHEN month(l_shipdate) IN (1, 10, 11, 12) THEN 1 ELSE 0 END AS festival,
-  CASE WHEN {ISODOW} >= 6 THEN 1 ELSE 0 END AS holiday
-FROM lineitem
-"""
-
-WEEKLY_OBSERVATIONS_SQL = _WO_SQL.format(
-    DAYS="date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE))",
-    ISODOW="extract(isodow FROM l_shipdate)",
-)
-
-# ---------------------------------------------------------------- policy view
+    return lineitem.selectExpr(*_exprs(WEEKLY_OBSERVATIONS, _SPARK_DATES))
 
 
 def policy_observations(orders: DataFrame) -> DataFrame:
-    """One pricing policy per order, every field inside its slider range.
+    """One pricing policy per order (see POLICY_OBSERVATIONS)."""
+    return orders.selectExpr(*_exprs(POLICY_OBSERVATIONS, _POLICY_SPARK))
 
-    metro 10-100, bus 5-50, private transport 50-150, water 1-20, fuel tax
-    0-0.30, festival/holiday flags from the order date.
-    """
-    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
-    d = F.to_date("o_orderdate")
-    return orders.select(
-        ok.alias("policy_id"),
-        (F.lit(10) + ok % 91).cast("double").alias("metro_price"),
-        (F.lit(5) + ck % 46).cast("double").alias("bus_price"),
-        (F.lit(50) + F.floor("o_totalprice").cast("bigint") % 101).cast("double").alias("private_transport_price"),
-        (F.lit(1) + (ok + ck) % 20).cast("double").alias("water_price"),
-        ((ok % 31).cast("double") / 100).alias("fuel_tax"),
-        F.month("o_orderdate").isin(1, 10, 11, 12).cast("int").alias("festival"),
-        (F.dayofweek(d).isin(1, 7)).cast("int").alias("holiday"),
-    )
-
-
-POLICY_OBSERVATIONS_SQL = """
-SELECT o_orderkey AS policy_id,
-  CAST(10 + o_orderkey % 91 AS DOUBLE) AS metro_price,
-  CAST(5 + o_custkey % 46 AS DOUBLE) AS bus_price,
-  CAST(50 + CAST(floor(o_totalprice) AS BIGINT) % 101 AS DOUBLE) AS private_transport_price,
-  CAST(1 + (o_orderkey + o_custkey) % 20 AS DOUBLE) AS water_price,
-  CAST(o_orderkey % 31 AS DOUBLE) / 100 AS fuel_tax,
-  CASE WHEN month(o_orderdate) IN (1, 10, 11, 12) THEN 1 ELSE 0 END AS festival,
-  CASE WHEN extract(isodow FROM o_orderdate) >= 6 THEN 1 ELSE 0 END AS holiday
-FROM orders
-"""
+
+SENSOR_READINGS_SQL = _sql(SENSOR_READINGS, "events")
+WEEKLY_OBSERVATIONS_SQL = _sql(WEEKLY_OBSERVATIONS, "lineitem", _DUCKDB_DATES)
+POLICY_OBSERVATIONS_SQL = _sql(POLICY_OBSERVATIONS, "orders", _POLICY_DUCKDB)
