@@ -34,6 +34,12 @@ def seasonality(t) -> Column:
     return F.lit(1.0) + F.lit(SEASON_AMPLITUDE) * F.sin(F.lit(2 * math.pi) * _c(t) / F.lit(float(SEASON_PERIOD_WEEKS)))
 
 
+def seasonality_sql(t: str) -> str:
+    """SQL text of the yearly cycle (double literals, same arithmetic as ``seasonality``)."""
+    return (f"1.0D + {SEASON_AMPLITUDE!r}D * sin({2 * math.pi!r}D * {t} / "
+            f"{float(SEASON_PERIOD_WEEKS)!r}D)")
+
+
 def sunday_on_or_after(d) -> Column:
     """First Sunday on or after the date (a weekly spine starts there)."""
     return F.next_day(F.date_sub(F.to_date(_c(d)), 1), "Sun")

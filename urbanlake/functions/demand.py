@@ -6,6 +6,9 @@ demand = base_demand * (price / base_price) ^ elasticity
          * 1.2 in festival weeks
          * holiday effect (metro and bus x0.9, private transport x1.1)
 floored at 1; revenue = demand * price.
+
+Expressions are built as Spark SQL text over column names (one call into the
+JVM per expression) and returned as Columns.
 """
 
 from __future__ import annotations
@@ -21,37 +24,44 @@ from urbanlake.schemas import (
 )
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def d(x: float) -> str:
+    """A DOUBLE literal in Spark SQL (a plain 1.2 would be DECIMAL)."""
+    return repr(float(x)) + "D"
 
 
-def clamp01(x) -> Column:
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), _c(x)))
+def clamp01_sql(x: str) -> str:
+    return f"least({d(1)}, greatest({d(0)}, {x}))"
 
 
-def congestion_from_draw(u) -> Column:
+def congestion_from_draw(u: str) -> Column:
     """Weekly congestion 0.65 + u, clamped to [0, 1]."""
-    return clamp01(F.lit(BASE_CONGESTION) + _c(u))
+    return F.expr(clamp01_sql(f"{d(BASE_CONGESTION)} + {u}"))
 
 
-def elastic_demand(service, price, base_price, base_demand, elasticity, congestion, festival, holiday,
-                   season: Column | None = None, noise: Column | None = None) -> Column:
+def elastic_demand_sql(service: str, price: str, base_price: str, base_demand: str, elasticity: str,
+                       congestion: str, festival: str, holiday: str, season: str | None = None,
+                       noise: str | None = None) -> str:
     """The curve as a product of factors, applied left to right.
 
     Factors that do not apply are exactly 1.0, so the result equals applying
     only the matching steps one after another.
     """
-    s = _c(service)
-    one = F.lit(1.0)
-    d = _c(base_demand) * F.pow(_c(price) / _c(base_price), _c(elasticity))
+    base = f"{base_demand} * pow({price} / {base_price}, {elasticity})"
     if season is not None:
-        d = d * season
+        base = f"{base} * ({season})"
     if noise is not None:
-        d = d * (one + noise)
-    congestion_factor = (F.when(s == "metro", one + _c(congestion))
-                         .when(s == "private_transport", one - _c(congestion)).otherwise(one))
-    festival_factor = F.when(_c(festival) == 1, F.lit(FESTIVAL_DEMAND)).otherwise(one)
-    holiday_factor = (F.when((_c(holiday) == 1) & s.isin("metro", "bus"), F.lit(HOLIDAY_TRANSIT_DEMAND))
-                      .when((_c(holiday) == 1) & (s == "private_transport"), F.lit(HOLIDAY_PRIVATE_DEMAND))
-                      .otherwise(one))
-    return F.greatest(one, d * congestion_factor * festival_factor * holiday_factor)
+        base = f"{base} * ({d(1)} + {noise})"
+    congestion_factor = (f"CASE WHEN {service} = 'metro' THEN {d(1)} + {congestion} "
+                         f"WHEN {service} = 'private_transport' THEN {d(1)} - {congestion} ELSE {d(1)} END")
+    festival_factor = f"CASE WHEN {festival} = 1 THEN {d(FESTIVAL_DEMAND)} ELSE {d(1)} END"
+    holiday_factor = (f"CASE WHEN {holiday} = 1 AND {service} IN ('metro', 'bus') THEN {d(HOLIDAY_TRANSIT_DEMAND)} "
+                      f"WHEN {holiday} = 1 AND {service} = 'private_transport' THEN {d(HOLIDAY_PRIVATE_DEMAND)} "
+                      f"ELSE {d(1)} END")
+    return f"greatest({d(1)}, {base} * ({congestion_factor}) * ({festival_factor}) * ({holiday_factor}))"
+
+
+def elastic_demand(service: str, price: str, base_price: str, base_demand: str, elasticity: str, congestion: str,
+                   festival: str, holiday: str, season: str | None = None, noise: str | None = None) -> Column:
+    """Demand of each row (column names in, SQL text ``season``/``noise`` factors optional)."""
+    return F.expr(elastic_demand_sql(service, price, base_price, base_demand, elasticity, congestion, festival,
+                                     holiday, season, noise))

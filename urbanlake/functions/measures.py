@@ -94,3 +94,11 @@ def round_half_away(c, decimals: int) -> Column:
 def sql_round_half_away(expr: str, decimals: int) -> str:
     k = f"CAST({10 ** decimals} AS DOUBLE)"
     return f"(sign({expr}) * CAST(floor(abs({expr}) * {k} + CAST(0.5 AS DOUBLE)) AS DOUBLE) / {k})"
+
+
+def rounded_sql(expr: str, decimals: int | None) -> str:
+    """Spark SQL text of ``round_half_away`` (``expr`` unchanged when ``decimals`` is None)."""
+    if decimals is None:
+        return f"({expr})"
+    k = f"{float(10 ** decimals)!r}D"
+    return f"(signum({expr}) * CAST(floor(abs({expr}) * {k} + 0.5D) AS DOUBLE) / {k})"

@@ -15,7 +15,6 @@ per micro-batch (stream), measured on the rows *before* any drop.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +35,12 @@ class Expectation:
         if self.action not in ACTIONS:
             raise ValueError(f"unknown action {self.action!r}; expected one of {ACTIONS}")
 
+    def passed_sql(self) -> str:
+        """TRUE exactly when the row passes (a NULL predicate counts as ``null_passes``)."""
+        return f"coalesce(({self.predicate}), {str(self.null_passes).lower()})"
+
     def passed(self) -> Column:
-        return F.coalesce(F.expr(self.predicate), F.lit(self.null_passes))
+        return F.expr(self.passed_sql())
 
 
 def expect(name: str, predicate: str, null_passes: bool = False) -> Expectation:
@@ -65,8 +68,12 @@ SILVER_EXPECTATIONS: list[Expectation] = [
 ]
 
 
-def _all(cols: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, cols, F.lit(True))
+def _all_sql(rules: list[Expectation]) -> str:
+    return " AND ".join(r.passed_sql() for r in rules) if rules else "true"
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _fail_guard(df: DataFrame, rules: list[Expectation]) -> DataFrame:
@@ -74,16 +81,16 @@ def _fail_guard(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     if not fails:
         return df
     # raise_error inside the plan: no extra pass, works on streams too.
-    guard = reduce(lambda acc, r: F.when(~r.passed(), F.raise_error(F.lit(f"expectation {r.name} failed")))
-                   .otherwise(acc), fails, F.lit(True))
-    return df.filter(guard)
+    branches = " ".join(f"WHEN NOT {r.passed_sql()} THEN raise_error({_quote('expectation ' + r.name + ' failed')})"
+                        for r in fails)
+    return df.filter(F.expr(f"CASE {branches} ELSE true END"))
 
 
 def apply_expectations(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     """Rows that pass every drop rule (warn rules only count; fail rules raise)."""
     df = _fail_guard(df, rules)
-    drops = [r.passed() for r in rules if r.action == "drop"]
-    return df.filter(_all(drops)) if drops else df
+    drops = [r for r in rules if r.action == "drop"]
+    return df.filter(F.expr(_all_sql(drops))) if drops else df
 
 
 def quarantine(df: DataFrame, rules: list[Expectation]) -> DataFrame:
@@ -91,18 +98,23 @@ def quarantine(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     drops = [r for r in rules if r.action == "drop"]
     if not drops:
         return df.withColumn("failed_expectations", F.lit(None).cast("string")).limit(0)
-    failed = F.concat_ws(",", *[F.when(~r.passed(), F.lit(r.name)) for r in drops])
-    return df.filter(~_all([r.passed() for r in drops])).withColumn("failed_expectations", failed)
+    failed = ", ".join(f"CASE WHEN NOT {r.passed_sql()} THEN {_quote(r.name)} END" for r in drops)
+    return (df.filter(F.expr(f"NOT ({_all_sql(drops)})"))
+            .withColumn("failed_expectations", F.expr(f"concat_ws(',', {failed})")))
+
+
+def metric_sql(rules: list[Expectation]) -> list[str]:
+    """One pass/fail counter pair per rule as SQL text."""
+    out = []
+    for r in rules:
+        out.append(f"count_if({r.passed_sql()}) AS `{r.name}__passed`")
+        out.append(f"count_if(NOT {r.passed_sql()}) AS `{r.name}__failed`")
+    return out
 
 
 def metric_columns(rules: list[Expectation]) -> list[Column]:
     """One pass/fail counter pair per rule, for ``agg`` or ``observe``."""
-    cols = []
-    for r in rules:
-        p = r.passed()
-        cols.append(F.count_if(p).alias(f"{r.name}__passed"))
-        cols.append(F.count_if(~p).alias(f"{r.name}__failed"))
-    return cols
+    return [F.expr(e) for e in metric_sql(rules)]
 
 
 def dq_metrics(df: DataFrame, rules: list[Expectation]) -> DataFrame:
@@ -112,13 +124,9 @@ def dq_metrics(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     so nothing but counters is shuffled.
     """
     counts = df.agg(*metric_columns(rules))
-    rows = F.array(*[
-        F.struct(F.lit(r.name).alias("expectation"), F.lit(r.action).alias("action"),
-                 F.col(f"{r.name}__passed").cast("bigint").alias("passed"),
-                 F.col(f"{r.name}__failed").cast("bigint").alias("failed"))
-        for r in rules
-    ])
-    return counts.select(F.inline(rows))
+    rows = ", ".join(f"{_quote(r.name)}, {_quote(r.action)}, CAST(`{r.name}__passed` AS BIGINT), "
+                     f"CAST(`{r.name}__failed` AS BIGINT)" for r in rules)
+    return counts.selectExpr(f"stack({len(rules)}, {rows}) AS (expectation, action, passed, failed)")
 
 
 def observe_expectations(df: DataFrame, rules: list[Expectation], name: str = "dq") -> DataFrame:

@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.functions.demand import elastic_demand
-from urbanlake.functions.measures import fixed_avg, round_half_away
+from urbanlake.functions.demand import d, elastic_demand_sql
+from urbanlake.functions.measures import fixed_avg, rounded_sql
 from urbanlake.operators.weekly import service_dim
 from urbanlake.schemas import (
     BASE_CONGESTION,
@@ -66,8 +66,8 @@ def policy_grid(spark: SparkSession, sweeps: list[tuple[str, list]] | None = Non
 
 def policy_unpivot(policies: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """policy_id, service, price: one row per (policy, service)."""
-    rows = F.array(*[F.struct(F.lit(s).alias("service"), F.col(f"{s}_price").alias("price")) for s in SERVICE_NAMES])
-    return policies.select("policy_id", *(keep or []), F.inline(rows))
+    rows = ", ".join(f"named_struct('service', '{s}', 'price', {s}_price)" for s in SERVICE_NAMES)
+    return policies.selectExpr("policy_id", *(keep or []), f"inline(array({rows}))")
 
 
 def policy_features(policies: DataFrame) -> DataFrame:
@@ -76,26 +76,23 @@ def policy_features(policies: DataFrame) -> DataFrame:
     population 1.1e7, congestion 0.65 + 0.3 * fuel_tax, signal_load 0.6.
     """
     long = policy_unpivot(policies, keep=["fuel_tax", "festival", "holiday"])
-    return long.select(
+    return long.selectExpr(
         "policy_id", "service", "price",
-        F.lit(BASE_POPULATION).alias("population"),
-        (F.lit(BASE_CONGESTION) + F.lit(FUEL_TAX_CONGESTION) * F.col("fuel_tax")).alias("congestion"),
-        F.lit(SCORING_SIGNAL_LOAD).alias("signal_load"),
-        F.col("festival").cast("int").alias("festival"), F.col("holiday").cast("int").alias("holiday"))
+        f"{d(BASE_POPULATION)} AS population",
+        f"{d(BASE_CONGESTION)} + {d(FUEL_TAX_CONGESTION)} * fuel_tax AS congestion",
+        f"{d(SCORING_SIGNAL_LOAD)} AS signal_load",
+        "CAST(festival AS INT) AS festival", "CAST(holiday AS INT) AS holiday")
 
 
 def score_elastic(features: DataFrame, demand_decimals: int | None = 4, revenue_decimals: int | None = 2) -> DataFrame:
     """policy_id, service, demand, revenue from the closed-form curve (no season, no noise)."""
     spark = features.sparkSession
     j = features.join(F.broadcast(service_dim(spark)), "service")
-    demand = elastic_demand("service", "price", "base_price", "base_demand", "elasticity", "congestion",
-                            "festival", "holiday")
-    out = j.withColumn("demand", demand).withColumn("revenue", F.col("demand") * F.col("price"))
-    if demand_decimals is not None:
-        out = out.withColumn("demand", round_half_away("demand", demand_decimals))
-    if revenue_decimals is not None:
-        out = out.withColumn("revenue", round_half_away("revenue", revenue_decimals))
-    return out.select("policy_id", "service", "demand", "revenue")
+    demand = elastic_demand_sql("service", "price", "base_price", "base_demand", "elasticity", "congestion",
+                                "festival", "holiday")
+    out = j.selectExpr("policy_id", "service", "price", f"{demand} AS demand")
+    return out.selectExpr("policy_id", "service", f"{rounded_sql('demand', demand_decimals)} AS demand",
+                          f"{rounded_sql('demand * price', revenue_decimals)} AS revenue")
 
 
 def policy_totals(scored: DataFrame, demand_scale: int | None = None, revenue_scale: int | None = None) -> DataFrame:

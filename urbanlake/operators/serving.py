@@ -22,7 +22,7 @@ Semantics kept from the dashboards:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanlake.functions.measures import fixed_avg, fixed_sum
@@ -40,7 +40,7 @@ def period_column(gold: DataFrame) -> str:
 
 
 def served(gold: DataFrame) -> DataFrame:
-    return gold.filter(F.col("city_id").isNotNull())
+    return gold.filter("city_id IS NOT NULL")
 
 
 def latest_first(period: str) -> list[Column]:
@@ -50,8 +50,16 @@ def latest_first(period: str) -> list[Column]:
 def latest_rows(gold: DataFrame, n: int, rank_col: str = "rn") -> DataFrame:
     """The latest ``n`` rows of every city, with their rank (1 = latest)."""
     period = period_column(gold)
-    w = Window.partitionBy("city_id").orderBy(*latest_first(period))
-    return served(gold).withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
+    rank = (f"row_number() OVER (PARTITION BY city_id ORDER BY {period} DESC NULLS LAST, "
+            f"sensor_type ASC NULLS LAST) AS {rank_col}")
+    return served(gold).selectExpr("*", rank).filter(f"{rank_col} <= {int(n)}")
+
+
+def change_sql(cur: str, prev: str, kind: str) -> str:
+    """% change (``pct``) or difference, shown only when the previous value is > 0."""
+    if kind == "pct":
+        return f"CASE WHEN {prev} > 0 THEN ({cur} - {prev}) / {prev} * 100.0D END"
+    return f"CASE WHEN {prev} > 0 THEN {cur} - {prev} END"
 
 
 def change(cur: Column, prev: Column, kind: str) -> Column:
@@ -63,27 +71,22 @@ def change(cur: Column, prev: Column, kind: str) -> Column:
 def kpi_latest(gold: DataFrame) -> DataFrame:
     """Latest row of each city with its change against the previous row."""
     period = period_column(gold)
-    rn = F.col("rn")
     top2 = latest_rows(gold, 2)
-    picked = top2.groupBy("city_id").agg(
-        F.max(F.when(rn == 1, F.col("sensor_type"))).alias("sensor_type"),
-        F.max(F.when(rn == 1, F.col(period))).alias(period),
-        *[F.max(F.when(rn == 1, F.col(c))).alias(c) for c in KPI_VALUES],
-        *[F.max(F.when(rn == 2, F.col(c))).alias(f"_prev_{c}") for c in KPI_VALUES],
-        F.max(rn).alias("_rows"),
-    )
-    prev = {c: F.when(F.col("_rows") == 1, F.col(c)).otherwise(F.col(f"_prev_{c}")) for c in KPI_VALUES}
-    return picked.select("city_id", "sensor_type", period, *KPI_VALUES,
-                         *[change(F.col(v), prev[v], k).alias(name) for name, v, k in KPI_DELTAS])
+    aggs = ([f"max(CASE WHEN rn = 1 THEN {c} END) AS {c}" for c in ["sensor_type", period, *KPI_VALUES]]
+            + [f"max(CASE WHEN rn = 2 THEN {c} END) AS _prev_{c}" for c in KPI_VALUES] + ["max(rn) AS _rows"])
+    picked = top2.groupBy("city_id").agg(*[F.expr(a) for a in aggs])
+    prev = {c: f"(CASE WHEN _rows = 1 THEN {c} ELSE _prev_{c} END)" for c in KPI_VALUES}
+    return picked.selectExpr("city_id", "sensor_type", period, *KPI_VALUES,
+                             *[f"{change_sql(v, prev[v], k)} AS {name}" for name, v, k in KPI_DELTAS])
 
 
 def kpi_change_by_type(gold: DataFrame) -> DataFrame:
     """Period-over-period change of each (city, sensor type) series (NULL for its first period)."""
     period = period_column(gold)
-    w = Window.partitionBy("city_id", "sensor_type").orderBy(F.col(period).asc_nulls_last())
-    return served(gold).select(
+    w = f"OVER (PARTITION BY city_id, sensor_type ORDER BY {period} ASC NULLS LAST)"
+    return served(gold).selectExpr(
         "city_id", "sensor_type", period, *KPI_VALUES,
-        *[change(F.col(v), F.lag(v).over(w), k).alias(name) for name, v, k in KPI_DELTAS])
+        *[f"{change_sql(v, f'lag({v}) {w}', k)} AS {name}" for name, v, k in KPI_DELTAS])
 
 
 def trend(gold: DataFrame, n: int) -> DataFrame:

@@ -12,13 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.functions.calendar import festival_flag, holiday_flag, seasonality, sunday_on_or_after, week_index
-from urbanlake.functions.demand import congestion_from_draw, elastic_demand
-from urbanlake.functions.measures import round_half_away
+from urbanlake.functions.calendar import festival_flag, holiday_flag, seasonality_sql, sunday_on_or_after, week_index
+from urbanlake.functions.demand import clamp01_sql, d, elastic_demand_sql
+from urbanlake.functions.measures import rounded_sql
 from urbanlake.schemas import (
+    BASE_CONGESTION,
     BASE_POPULATION,
     SERVICE_NAMES,
-    SERVICE_SCHEMA,
     SERVICES,
     SIGNAL_LOAD_PER_CONGESTION,
     WEEKLY_SPINE_PERIODS,
@@ -32,9 +32,9 @@ def service_dim(spark: SparkSession) -> DataFrame:
     Built from literals on the JVM side (a one-row range exploded into four
     rows), so using it never starts a Python worker.
     """
-    rows = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, SERVICE_SCHEMA.fields)])
-                     for row in SERVICES])
-    return spark.range(1).select(F.inline(rows))
+    rows = ", ".join(f"named_struct('service', '{s}', 'base_price', {d(p)}, 'base_demand', {d(q)}, "
+                     f"'elasticity', {d(e)})" for s, p, q, e in SERVICES)
+    return spark.range(1).selectExpr(f"inline(array({rows}))")
 
 
 def with_services(df: DataFrame) -> DataFrame:
@@ -73,13 +73,12 @@ def city_state_features(obs: DataFrame, keys: list[str]) -> DataFrame:
     population = 1.1e7 * (1 + pop_u [+ 0.1 in festival weeks]);
     congestion = clamp(0.65 + congestion_u, 0, 1); signal_load = 0.6 * congestion.
     """
-    drift = (F.lit(1.0) + F.col("pop_u")) + F.when(F.col("festival") == 1, F.lit(0.1)).otherwise(F.lit(0.0))
-    congestion = congestion_from_draw("congestion_u")
-    return obs.select(*keys, F.col("service"), F.col("t"), F.col("festival"), F.col("holiday"),
-                      F.col("price_u"), F.col("noise_e"),
-                      (F.lit(BASE_POPULATION) * drift).alias("population"),
-                      congestion.alias("congestion")
-                      ).withColumn("signal_load", F.col("congestion") * F.lit(SIGNAL_LOAD_PER_CONGESTION))
+    drift = f"(1.0D + pop_u) + CASE WHEN festival = 1 THEN 0.1D ELSE 0.0D END"
+    congestion = clamp01_sql(f"{d(BASE_CONGESTION)} + congestion_u")
+    return obs.selectExpr(*keys, "service", "t", "festival", "holiday", "price_u", "noise_e",
+                          f"{d(BASE_POPULATION)} * ({drift}) AS population",
+                          f"{congestion} AS congestion",
+                          f"{congestion} * {d(SIGNAL_LOAD_PER_CONGESTION)} AS signal_load")
 
 
 def elastic_demand_table(obs: DataFrame, keys: list[str], demand_decimals: int | None = 4,
@@ -92,18 +91,15 @@ def elastic_demand_table(obs: DataFrame, keys: list[str], demand_decimals: int |
     spark = obs.sparkSession
     feats = city_state_features(obs, keys)
     joined = feats.join(F.broadcast(service_dim(spark)), "service")
-    price = F.col("base_price") * (F.lit(1.0) + F.col("price_u"))
-    demand = elastic_demand("service", "price", "base_price", "base_demand", "elasticity", "congestion",
-                            "festival", "holiday", season=seasonality("t"), noise=F.col("noise_e"))
-    out = (joined.withColumn("price", price)
-           .withColumn("demand", demand)
-           .withColumn("revenue", F.col("demand") * F.col("price")))
-    if demand_decimals is not None:
-        out = out.withColumn("demand", round_half_away("demand", demand_decimals))
-    if revenue_decimals is not None:
-        out = out.withColumn("revenue", round_half_away("revenue", revenue_decimals))
-    return out.select(*keys, "t", "service", "price", "demand", "revenue", "population", "congestion",
-                      "signal_load", "festival", "holiday")
+    demand = elastic_demand_sql("service", "price", "base_price", "base_demand", "elasticity", "congestion",
+                                "festival", "holiday", season=seasonality_sql("t"), noise="noise_e")
+    priced = joined.selectExpr("*", "base_price * (1.0D + price_u) AS price")
+    out = priced.selectExpr(*keys, "t", "service", "price", f"{demand} AS demand", "population", "congestion",
+                            "signal_load", "festival", "holiday")
+    return out.selectExpr(*keys, "t", "service", "price",
+                          f"{rounded_sql('demand', demand_decimals)} AS demand",
+                          f"{rounded_sql('demand * price', revenue_decimals)} AS revenue",
+                          "population", "congestion", "signal_load", "festival", "holiday")
 
 
 def demand_features(table: DataFrame, keys: list[str]) -> DataFrame:
