@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanlake.functions.measures import fixed_avg, fixed_sum
+from urbanlake.functions.measures import sql_fixed_avg, sql_fixed_sum
 from urbanlake.functions.periods import GRAINS
 
 GOLD_KEYS = ["city_id", "sensor_type"]
@@ -25,41 +25,52 @@ DAILY_COLUMNS = ["city_id", "sensor_type", "event_date", "total_vehicles", "avg_
                  "avg_energy_kwh", "avg_occupancy_rate", "avg_noise_level", "record_count", "unique_sensors"]
 
 
-def gold_measures(grain: str, scale: int | None = None) -> list[Column]:
-    """Measures of the hourly (14) or daily (8) table.
+def gold_measure_sql(grain: str, scale: int | None = None) -> list[str]:
+    """Measures of the hourly (14) or daily (8) table as SQL text.
 
     ``scale``: add metric values as exact integers of that many decimals
     (order-independent results); ``None`` uses plain sum/avg.
     """
-    total_vehicles = F.sum("vehicle_count").alias("total_vehicles")
-    avg_vehicles = fixed_avg("vehicle_count", scale).alias("avg_vehicles")
-    total_energy = fixed_sum("energy_kwh", scale).alias("total_energy_kwh")
-    avg_energy = fixed_avg("energy_kwh", scale).alias("avg_energy_kwh")
-    avg_occ = fixed_avg("occupancy_rate", scale).alias("avg_occupancy_rate")
-    avg_noise = fixed_avg("noise_level", scale).alias("avg_noise_level")
-    count = F.count(F.lit(1)).alias("record_count")
-    sensors = F.count_distinct("sensor_id").alias("unique_sensors")
+    total_vehicles = "sum(vehicle_count) AS total_vehicles"
+    avg_vehicles = f"{sql_fixed_avg('vehicle_count', scale)} AS avg_vehicles"
+    total_energy = f"{sql_fixed_sum('energy_kwh', scale)} AS total_energy_kwh"
+    avg_energy = f"{sql_fixed_avg('energy_kwh', scale)} AS avg_energy_kwh"
+    avg_occ = f"{sql_fixed_avg('occupancy_rate', scale)} AS avg_occupancy_rate"
+    avg_noise = f"{sql_fixed_avg('noise_level', scale)} AS avg_noise_level"
+    count, sensors = "count(1) AS record_count", "count(DISTINCT sensor_id) AS unique_sensors"
     if grain == "hour":
-        return [total_vehicles, avg_vehicles, F.max("vehicle_count").alias("max_vehicles"),
-                total_energy, avg_energy, F.max("energy_kwh").alias("max_energy_kwh"),
-                avg_occ, F.max("occupancy_rate").alias("max_occupancy_rate"),
-                avg_noise, F.max("noise_level").alias("max_noise_level"),
-                count, sensors,
-                F.min("event_timestamp").alias("period_start"), F.max("event_timestamp").alias("period_end")]
+        return [total_vehicles, avg_vehicles, "max(vehicle_count) AS max_vehicles",
+                total_energy, avg_energy, "max(energy_kwh) AS max_energy_kwh",
+                avg_occ, "max(occupancy_rate) AS max_occupancy_rate",
+                avg_noise, "max(noise_level) AS max_noise_level", count, sensors,
+                "min(event_timestamp) AS period_start", "max(event_timestamp) AS period_end"]
     if grain == "day":
         return [total_vehicles, avg_vehicles, total_energy, avg_energy, avg_occ, avg_noise, count, sensors]
     raise ValueError(f"unknown grain {grain!r}; expected 'hour' or 'day'")
 
 
+def gold_measures(grain: str, scale: int | None = None) -> list[Column]:
+    return [F.expr(m) for m in gold_measure_sql(grain, scale)]
+
+
+PERIOD_SQL = {
+    # start of the hour on wall-clock fields: stays TIMESTAMP_NTZ, independent of the session time zone
+    "hour": ("event_hour", "make_timestamp_ntz(year(event_timestamp), month(event_timestamp), "
+                           "day(event_timestamp), hour(event_timestamp), 0, 0)"),
+    "day": ("event_date", "to_date(event_timestamp)"),
+}
+
+
 def gold_metrics(silver: DataFrame, grain: str = "hour", scale: int | None = None) -> DataFrame:
     """Hourly (``grain='hour'``) or daily gold table from silver rows.
 
     NULL timestamps form their own NULL-period group; NULL sensor ids are
     counted in record_count but not in unique_sensors.
     """
-    period_name, period_fn = GRAINS[grain]
-    return (silver
-            .withColumn(period_name, period_fn("event_timestamp"))
+    if grain not in PERIOD_SQL:
+        raise ValueError(f"unknown grain {grain!r}; expected 'hour' or 'day'")
+    period_name, period_sql = PERIOD_SQL[grain]
+    return (silver.selectExpr("*", f"{period_sql} AS {period_name}")
             .groupBy(*GOLD_KEYS, period_name)
             .agg(*gold_measures(grain, scale)))
 
