@@ -32,9 +32,35 @@ def test_gold_pre_aggregates_before_shuffle(spark):
     assert "HashAggregate" in text
 
 
-def test_service_lookup_is_a_broadcast_join(spark):
+def test_service_lookup_needs_no_join(spark):
     final = QUERIES["policy_score_elastic"](spark, SF_SMALL)._jdf.queryExecution().toString()
-    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+    assert "Join" not in final
+
+
+def test_custom_service_table_is_broadcast_only_when_small(spark):
+    from urbanlake.operators.weekly import service_dim, with_service_attributes
+    from urbanlake.plans.catalog import policies
+    from urbanlake.operators.policy import policy_features
+
+    feats = policy_features(policies(spark, SF_SMALL))
+    small = with_service_attributes(feats, service_dim(spark))._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = with_service_attributes(feats, service_dim(spark), max_broadcast_rows=2)._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" not in big and "SortMergeJoin" in big
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unknown_service_stops_the_job(spark):
+    import pytest
+
+    from urbanlake.operators.weekly import with_service_attributes
+
+    df = spark.createDataFrame([("metro",), ("tram",)], "service string")
+    with pytest.raises(Exception, match="unknown service: tram"):
+        with_service_attributes(df).collect()
 
 
 def test_scan_reads_only_needed_columns(spark):

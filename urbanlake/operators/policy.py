@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from urbanlake.functions.demand import d, elastic_demand_sql
 from urbanlake.functions.measures import fixed_avg, rounded_sql
-from urbanlake.operators.weekly import service_dim
+from urbanlake.operators.weekly import with_service_attributes
 from urbanlake.schemas import (
     BASE_CONGESTION,
     BASE_POPULATION,
@@ -84,10 +84,13 @@ def policy_features(policies: DataFrame) -> DataFrame:
         "CAST(festival AS INT) AS festival", "CAST(holiday AS INT) AS holiday")
 
 
-def score_elastic(features: DataFrame, demand_decimals: int | None = 4, revenue_decimals: int | None = 2) -> DataFrame:
-    """policy_id, service, demand, revenue from the closed-form curve (no season, no noise)."""
-    spark = features.sparkSession
-    j = features.join(F.broadcast(service_dim(spark)), "service")
+def score_elastic(features: DataFrame, demand_decimals: int | None = 4, revenue_decimals: int | None = 2,
+                  services: DataFrame | None = None) -> DataFrame:
+    """policy_id, service, demand, revenue from the closed-form curve (no season, no noise).
+
+    ``services``: an optional dimension table replacing the built-in one.
+    """
+    j = with_service_attributes(features, services)
     demand = elastic_demand_sql("service", "price", "base_price", "base_demand", "elasticity", "congestion",
                                 "festival", "holiday")
     out = j.selectExpr("policy_id", "service", "price", f"{demand} AS demand")

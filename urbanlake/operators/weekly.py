@@ -1,10 +1,10 @@
 """Weekly price, demand and revenue table of the city services.
 
 Observations (one row per week draw and service) carry the uniform draws as
-columns; everything else is column arithmetic plus one broadcast hash join
-with the four-row service dimension (a fixed-size table, so broadcasting it
-is always safe).  No shuffle at all except where a query asks for distinct
-rows.
+columns; everything else is column arithmetic.  The four-row service
+dimension is compiled into CASE lookups (no join); a user-supplied dimension
+table is joined, broadcast behind a row-count check.  No shuffle at all
+except where a query asks for distinct rows.
 """
 
 from __future__ import annotations
@@ -37,6 +37,32 @@ def service_dim(spark: SparkSession) -> DataFrame:
     return spark.range(1).selectExpr(f"inline(array({rows}))")
 
 
+SERVICE_FIELDS = ["base_price", "base_demand", "elasticity"]
+
+
+def service_lookup_sql(field: str, key: str = "service") -> str:
+    """A service attribute as a CASE over the fixed dimension; an unknown service stops the job."""
+    idx = 1 + SERVICE_FIELDS.index(field)
+    branches = " ".join(f"WHEN '{row[0]}' THEN {d(row[idx])}" for row in SERVICES)
+    return f"CASE {key} {branches} ELSE raise_error(concat('unknown service: ', coalesce({key}, 'NULL'))) END"
+
+
+def with_service_attributes(df: DataFrame, services: DataFrame | None = None,
+                            max_broadcast_rows: int = 100_000) -> DataFrame:
+    """Add base_price, base_demand and elasticity of each row's service.
+
+    The built-in four-row dimension is compiled into CASE expressions: no join
+    and no hashing per row.  A user-supplied dimension table is joined, and
+    broadcast only after a bounded count shows it has at most
+    ``max_broadcast_rows`` rows; a larger one takes a regular shuffle join.
+    """
+    if services is None:
+        return df.selectExpr("*", *[f"{service_lookup_sql(f)} AS {f}" for f in SERVICE_FIELDS])
+    small = services.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
+    dim = services.select("service", *SERVICE_FIELDS)
+    return df.join(F.broadcast(dim) if small else dim, "service")
+
+
 def with_services(df: DataFrame) -> DataFrame:
     """One copy of each row per service (the weeks x services product, done as a narrow explode)."""
     return df.withColumn("service", F.explode(F.array(*[F.lit(s) for s in SERVICE_NAMES])))
@@ -88,9 +114,7 @@ def elastic_demand_table(obs: DataFrame, keys: list[str], demand_decimals: int |
     price = base_price * (1 + price_u); demand with seasonality(t) and noise
     (1 + noise_e), congestion, festival and holiday effects, floored at 1.
     """
-    spark = obs.sparkSession
-    feats = city_state_features(obs, keys)
-    joined = feats.join(F.broadcast(service_dim(spark)), "service")
+    joined = with_service_attributes(city_state_features(obs, keys))
     demand = elastic_demand_sql("service", "price", "base_price", "base_demand", "elasticity", "congestion",
                                 "festival", "holiday", season=seasonality_sql("t"), noise="noise_e")
     priced = joined.selectExpr("*", "base_price * (1.0D + price_u) AS price")
