@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlake.functions.demand import d, elastic_demand_sql
-from urbanlake.functions.measures import fixed_avg, rounded_sql
+from urbanlake.functions.measures import rounded_sql, scaled
 from urbanlake.operators.weekly import with_service_attributes
 from urbanlake.schemas import (
     BASE_CONGESTION,
@@ -99,10 +99,33 @@ def score_elastic(features: DataFrame, demand_decimals: int | None = 4, revenue_
 
 
 def policy_totals(scored: DataFrame, demand_scale: int | None = None, revenue_scale: int | None = None) -> DataFrame:
-    """Per service: number of policies, mean/min/max demand and revenue (partial aggregation, 4 groups)."""
-    return scored.groupBy("service").agg(
-        F.count(F.lit(1)).alias("policies"),
-        fixed_avg("demand", demand_scale, wide=True).alias("avg_demand"),
-        F.min("demand").alias("min_demand"), F.max("demand").alias("max_demand"),
-        fixed_avg("revenue", revenue_scale, wide=True).alias("avg_revenue"),
-        F.min("revenue").alias("min_revenue"), F.max("revenue").alias("max_revenue"))
+    """Per service: number of policies, mean/min/max demand and revenue.
+
+    Two levels: each input partition first reduces its own rows per service
+    with bigint sums (one split holds a few million rows, far from overflow),
+    then the per-partition rows -- four per task -- are added per service in
+    DECIMAL(38,0), so totals over any number of rows cannot overflow while the
+    per-row work stays on 64-bit integers.  Each service holds a quarter of
+    all rows; the first level never moves them.  With scales the means are
+    exact.
+    """
+    unit = {"demand": demand_scale, "revenue": revenue_scale}
+    first = []
+    for m in ("demand", "revenue"):
+        value = scaled(m, unit[m]) if unit[m] is not None else F.col(m)
+        first += [F.sum(value).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"),
+                  F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max")]
+    per_bucket = (scored.withColumn("_bucket", F.spark_partition_id())
+                  .groupBy("service", "_bucket").agg(F.count(F.lit(1)).alias("_rows"), *first))
+
+    def mean(m):
+        total = F.sum(F.col(f"{m}_sum").cast("decimal(38,0)") if unit[m] is not None else F.col(f"{m}_sum"))
+        k = float(10 ** unit[m]) if unit[m] is not None else 1.0
+        return total.cast("double") / (F.nullif(F.sum(f"{m}_n"), F.lit(0)).cast("double") * F.lit(k))
+
+    return per_bucket.groupBy("service").agg(
+        F.sum("_rows").alias("policies"),
+        mean("demand").alias("avg_demand"), F.min("demand_min").alias("min_demand"),
+        F.max("demand_max").alias("max_demand"),
+        mean("revenue").alias("avg_revenue"), F.min("revenue_min").alias("min_revenue"),
+        F.max("revenue_max").alias("max_revenue"))
