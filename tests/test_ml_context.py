@@ -89,3 +89,30 @@ def test_fixed_text_matches_python_formatting(spark):
         for d in range(3):
             want = "N/A" if row.x is None else f"{row.x:.{d}f}"
             assert row[f"t{d}"] == want == drow[f"t{d}"], (row.x, d)
+
+
+def test_python_repr_of_numbers(spark):
+    import random
+
+    from urbanlake.functions.text import py_repr_number, with_py_repr
+
+    rnd = random.Random(11)
+    vals = [12.345, 1e7, 12345678.9, 1e-4, 0.00012, 1e16, 1.5e16, 123.0, 0.1 + 0.2, 2 / 3, 1e-5, -2.5, 0.5,
+            1e300, float("inf"), float("nan"), 0.0]
+    vals += [rnd.uniform(-1e6, 1e6) for _ in range(400)] + [10 ** rnd.uniform(-6, 15) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
+    want = [repr(v) for v in vals] + ["nan"]
+    assert [r[0] for r in df.select(py_repr_number("x")).collect()] == want
+    assert [r.o for r in with_py_repr(df, [("o", "x")]).collect()] == want
+
+
+def test_proposal_context_block(spark):
+    selected = sv.select_cities(gd(spark, SF_SMALL), ["C1", "C0"])
+    prof = sv.city_profile(selected)
+    text = ctx.proposal_context_text(prof).first().text
+    means = {r.city_id: r for r in prof.collect()}
+    assert "Available Cities: C0, C1" in text
+    want = "{" + ", ".join(f"'{c}': {means[c].avg_vehicles!r}" for c in ["C0", "C1"]) + "}"
+    assert f"- Daily average vehicles: {want}" in text
+    zero = sv.kpi_latest(gh(spark, SF_SMALL), no_change_value=0.0).collect()
+    assert all(r.vehicles_pct is not None or r.avg_vehicles is None for r in zero)

@@ -103,7 +103,71 @@ def fmt(x, decimals: int, missing: str = "N/A") -> Column:
     return fixed(x, decimals, missing)
 
 
+def py_repr_sql(x: str) -> str:
+    """SQL text of a double written like Python's ``repr`` (shortest digits; NULL and NaN -> 'nan').
+
+    Java switches to exponent notation at 1e7 and 1e-3, Python at 1e16 and
+    1e-4: inside Python's plain range the digits come from a DECIMAL cast of
+    the shortest decimal text with trailing zeros removed; outside it the
+    exponent form is rewritten as Python's ('1.0E-5' -> '1e-05').  Java 17
+    sometimes prints one digit more than needed; then the 16- or 17-digit
+    rounding is used when it reads back as the same double (subnormal
+    numbers may still show an extra digit).
+    """
+    j = f"CAST({x} AS STRING)"
+    c16, c17 = f"format_string('%.15e', {x})", f"format_string('%.16e', {x})"
+    sig = f"length(regexp_replace(regexp_replace(regexp_extract({j}, '^-?([0-9.]+)', 1), '[.]', ''), '^0+', ''))"
+    best = (f"(CASE WHEN {sig} >= 17 AND CAST({c16} AS DOUBLE) = {x} THEN {c16} "
+            f"WHEN {sig} >= 18 AND CAST({c17} AS DOUBLE) = {x} THEN {c17} ELSE {j} END)")
+    dec = (f"CASE WHEN abs({x}) < 1.0E14D THEN CAST(CAST({best} AS DECIMAL(38,24)) AS STRING) "
+           f"ELSE CAST(CAST({best} AS DECIMAL(38,18)) AS STRING) END")
+    plain = f"regexp_replace(regexp_replace({dec}, '0+$', ''), '[.]$', '.0')"
+    mant = f"regexp_replace(regexp_replace(regexp_extract({best}, '^(-?[0-9.]+)[eE]', 1), '0+$', ''), '[.]$', '')"
+    expo = f"CAST(regexp_extract({best}, '[eE]([+-]?[0-9]+)$', 1) AS INT)"
+    sci = (f"concat({mant}, 'e', CASE WHEN {expo} < 0 THEN '-' ELSE '+' END, "
+           f"CASE WHEN abs({expo}) < 10 THEN '0' ELSE '' END, CAST(abs({expo}) AS STRING))")
+    return (f"CASE WHEN {x} IS NULL OR isnan({x}) THEN 'nan' "
+            f"WHEN {x} = double('inf') THEN 'inf' WHEN {x} = double('-inf') THEN '-inf' "
+            f"WHEN {x} = 0 THEN '0.0' "
+            f"WHEN abs({x}) >= 0.0001D AND abs({x}) < 1.0E16D THEN {plain} ELSE {sci} END")
+
+
 def py_repr_number(x) -> Column:
     """Number as text like a Python dict repr would show it (NULL -> nan)."""
-    c = _c(x)
-    return F.coalesce(c.cast("string"), F.lit("nan"))
+    return F.expr(py_repr_sql(f"`{x}`" if isinstance(x, str) else x))
+
+
+def with_py_repr(df: DataFrame, specs: list[tuple[str, str]]) -> DataFrame:
+    """Add text columns ``(out, source)`` written like ``py_repr_sql``, in staged projections.
+
+    Each intermediate (Java text, 16/17-digit candidates, chosen digits,
+    exponent) is its own projection, so it is computed once per row and the
+    generated code stays small.
+    """
+    tmp = [(f"__pr{i}", out, f"`{src}`") for i, (out, src) in enumerate(specs)]
+    df = df.selectExpr("*", *[f"CAST({src} AS DOUBLE) AS {t}_x" for t, _, src in tmp])
+    df = df.selectExpr("*", *[e for t, *_ in tmp for e in (
+        f"CAST({t}_x AS STRING) AS {t}_j", f"format_string('%.15e', {t}_x) AS {t}_c16",
+        f"format_string('%.16e', {t}_x) AS {t}_c17")])
+    df = df.selectExpr("*", *[
+        f"length(regexp_replace(regexp_replace(regexp_extract({t}_j, '^-?([0-9.]+)', 1), '[.]', ''), '^0+', '')) "
+        f"AS {t}_sig" for t, *_ in tmp])
+    df = df.selectExpr("*", *[
+        f"CASE WHEN {t}_sig >= 17 AND try_cast({t}_c16 AS DOUBLE) = {t}_x THEN {t}_c16 "
+        f"WHEN {t}_sig >= 18 AND try_cast({t}_c17 AS DOUBLE) = {t}_x THEN {t}_c17 ELSE {t}_j END AS {t}_b"
+        for t, *_ in tmp])
+    df = df.selectExpr("*", *[e for t, *_ in tmp for e in (
+        f"try_cast(regexp_extract({t}_b, '[eE]([+-]?[0-9]+)$', 1) AS INT) AS {t}_e",
+        f"regexp_replace(regexp_replace(regexp_extract({t}_b, '^(-?[0-9.]+)[eE]', 1), '0+$', ''), '[.]$', '') "
+        f"AS {t}_m",
+        f"CASE WHEN abs({t}_x) < 1.0E14D THEN CAST(try_cast({t}_b AS DECIMAL(38,24)) AS STRING) "
+        f"ELSE CAST(try_cast({t}_b AS DECIMAL(38,18)) AS STRING) END AS {t}_d")])
+    df = df.selectExpr("*", *[
+        f"CASE WHEN {t}_x IS NULL OR isnan({t}_x) THEN 'nan' "
+        f"WHEN {t}_x = double('inf') THEN 'inf' WHEN {t}_x = double('-inf') THEN '-inf' WHEN {t}_x = 0 THEN '0.0' "
+        f"WHEN abs({t}_x) >= 0.0001D AND abs({t}_x) < 1.0E16D "
+        f"THEN regexp_replace(regexp_replace({t}_d, '0+$', ''), '[.]$', '.0') "
+        f"ELSE concat({t}_m, 'e', CASE WHEN {t}_e < 0 THEN '-' ELSE '+' END, "
+        f"CASE WHEN abs({t}_e) < 10 THEN '0' ELSE '' END, CAST(abs({t}_e) AS STRING)) END AS `{out}`"
+        for t, out, _ in tmp])
+    return df.drop(*[f"{t}_{s}" for t, *_ in tmp for s in ("x", "j", "c16", "c17", "sig", "b", "e", "m", "d")])

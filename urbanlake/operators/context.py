@@ -10,9 +10,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlake.functions.text import py_repr_number, with_fixed_text
+from urbanlake.functions.text import with_fixed_text, with_py_repr
 from urbanlake.operators.serving import KPI_VALUES, PROFILE_JSON_KEYS
 
+QUOTE = "''''"    # a single quote character as a Spark SQL string literal
+
+
+def proposal_context_text(profile: DataFrame) -> DataFrame:
+    """text: the metric block of a city selection, each metric as a dict of city -> mean (one row).
+
+    Values are written like Python floats inside a dict (``{'C0': 12.5}``,
+    ``nan`` for a missing mean), cities in sorted order.  The block has one
+    entry per selected city, so build it for a bounded selection.
+    """
+    fields = [("avg_vehicles", "avg_vehicles"), ("energy", "total_energy_kwh"),
+              ("occupancy", "avg_occupancy_rate"), ("noise", "avg_noise_level")]
+    texts = with_py_repr(profile.filter("city_id IS NOT NULL"), [(f"_r_{key}", src) for key, src in fields])
+    entries = texts.selectExpr(
+        "city_id", *[f"concat({QUOTE}, city_id, {QUOTE}, ': ', _r_{key}) AS {key}" for key, _ in fields])
+    collected = entries.agg(F.expr("array_sort(collect_list(struct(city_id, "
+                                   + ", ".join(k for k, _ in fields) + "))) AS e"))
+
+    def as_dict(key):
+        return f"concat('{{', array_join(transform(e, x -> x.{key}), ', '), '}}')"
+
+    lines = ["'Current Smart City Infrastructure Status:'", "''",
+             "concat('Available Cities: ', array_join(transform(e, x -> x.city_id), ', '))", "''",
+             "'Current Infrastructure Metrics (Recent Averages):'", "'Traffic:'",
+             f"concat('- Daily average vehicles: ', {as_dict('avg_vehicles')})",
+             "'- Peak traffic hours: Varies by city'", "''", "'Energy Consumption:'",
+             f"concat('- Daily average: ', {as_dict('energy')}, ' kWh')", "''", "'Waste Management:'",
+             f"concat('- Average bin occupancy: ', {as_dict('occupancy')}, '%')", "''", "'Environmental:'",
+             f"concat('- Noise levels: ', {as_dict('noise')}, ' dB')"]
+    return collected.selectExpr(f"concat_ws(char(10), {', '.join(lines)}) AS text")
+
 
 def recent_summary_text(summary: DataFrame, time_period: str = "hourly", n: int = 24) -> DataFrame:
     """city_id, text: the data summary block of a city's latest ``n`` rows."""
@@ -51,8 +82,9 @@ def recent_summary_text(summary: DataFrame, time_period: str = "hourly", n: int
 
 def city_context_text(profile: DataFrame) -> DataFrame:
     """city_id, text: one line per city with its four mean metrics."""
-    parts = [F.concat(F.lit(f"{c}="), py_repr_number(c)) for c in KPI_VALUES]
-    return profile.select("city_id", F.concat(F.col("city_id"), F.lit(": "), F.concat_ws(", ", *parts)).alias("text"))
+    texts = with_py_repr(profile, [(f"_r_{c}", c) for c in KPI_VALUES])
+    parts = ", ".join(f"concat('{c}=', _r_{c})" for c in KPI_VALUES)
+    return texts.selectExpr("city_id", f"concat(city_id, ': ', concat_ws(', ', {parts})) AS text")
 
 
 def metrics_document(profile: DataFrame) -> DataFrame:
@@ -67,4 +99,4 @@ def metrics_document(profile: DataFrame) -> DataFrame:
         F.to_json(F.map_from_entries(entries)).alias("document"))
 
 
-__all__ = ["recent_summary_text", "city_context_text", "metrics_document", "KPI_VALUES"]
+__all__ = ["recent_summary_text", "city_context_text", "proposal_context_text", "metrics_document", "KPI_VALUES"]

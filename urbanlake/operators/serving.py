@@ -55,11 +55,16 @@ def latest_rows(gold: DataFrame, n: int, rank_col: str = "rn") -> DataFrame:
     return served(gold).selectExpr("*", rank).filter(f"{rank_col} <= {int(n)}")
 
 
-def change_sql(cur: str, prev: str, kind: str) -> str:
-    """% change (``pct``) or difference, shown only when the previous value is > 0."""
+def change_sql(cur: str, prev: str, kind: str, otherwise: float | None = None) -> str:
+    """% change (``pct``) or difference, shown only when the previous value is > 0.
+
+    ``otherwise``: the value shown when it is not (NULL by default; 0 in the
+    variant of the dashboard that shows a zero change instead of N/A).
+    """
+    other = "" if otherwise is None else f" ELSE {float(otherwise)!r}D"
     if kind == "pct":
-        return f"CASE WHEN {prev} > 0 THEN ({cur} - {prev}) / {prev} * 100.0D END"
-    return f"CASE WHEN {prev} > 0 THEN {cur} - {prev} END"
+        return f"CASE WHEN {prev} > 0 THEN ({cur} - {prev}) / {prev} * 100.0D{other} END"
+    return f"CASE WHEN {prev} > 0 THEN {cur} - {prev}{other} END"
 
 
 def change(cur: Column, prev: Column, kind: str) -> Column:
@@ -68,8 +73,12 @@ def change(cur: Column, prev: Column, kind: str) -> Column:
     return F.when(prev > 0, cur - prev)
 
 
-def kpi_latest(gold: DataFrame) -> DataFrame:
-    """Latest row of each city with its change against the previous row."""
+def kpi_latest(gold: DataFrame, no_change_value: float | None = None) -> DataFrame:
+    """Latest row of each city with its change against the previous row.
+
+    ``no_change_value``: shown instead of NULL when the previous value is not
+    positive (e.g. 0.0).
+    """
     period = period_column(gold)
     top2 = latest_rows(gold, 2)
     aggs = ([f"max(CASE WHEN rn = 1 THEN {c} END) AS {c}" for c in ["sensor_type", period, *KPI_VALUES]]
@@ -77,7 +86,8 @@ def kpi_latest(gold: DataFrame) -> DataFrame:
     picked = top2.groupBy("city_id").agg(*[F.expr(a) for a in aggs])
     prev = {c: f"(CASE WHEN _rows = 1 THEN {c} ELSE _prev_{c} END)" for c in KPI_VALUES}
     return picked.selectExpr("city_id", "sensor_type", period, *KPI_VALUES,
-                             *[f"{change_sql(v, prev[v], k)} AS {name}" for name, v, k in KPI_DELTAS])
+                             *[f"{change_sql(v, prev[v], k, no_change_value)} AS {name}"
+                               for name, v, k in KPI_DELTAS])
 
 
 def kpi_change_by_type(gold: DataFrame) -> DataFrame:

@@ -161,6 +161,12 @@ def kpi_latest_daily(spark, sf_dir):
     return sv.kpi_latest(gd(spark, sf_dir))
 
 
+@query()
+def kpi_latest_hourly_zero(spark, sf_dir):
+    """The dashboard variant that shows a change of 0 when there is no positive previous value."""
+    return sv.kpi_latest(gh(spark, sf_dir), no_change_value=0.0)
+
+
 @query()
 def kpi_change_by_type(spark, sf_dir):
     return sv.kpi_change_by_type(gd(spark, sf_dir))
@@ -224,6 +230,13 @@ def recent_summary_text(spark, sf_dir):
     return ctx.recent_summary_text(sv.recent_summary(gh(spark, sf_dir), 24, mean_scale=M6, sum_scale=M2), "hourly")
 
 
+@query()
+def proposal_context_text(spark, sf_dir):
+    """Metric block of the proposal view for the selected cities (C0, C1)."""
+    selected = sv.select_cities(gd(spark, sf_dir), ["C0", "C1"])
+    return ctx.proposal_context_text(sv.city_profile(selected, mean_scale=M6))
+
+
 @query()
 def city_context_text(spark, sf_dir):
     return ctx.city_context_text(sv.city_profile(gd(spark, sf_dir), mean_scale=M6))
