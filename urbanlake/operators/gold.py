@@ -70,7 +70,8 @@ def gold_metrics(silver: DataFrame, grain: str = "hour", scale: int | None = Non
     if grain not in PERIOD_SQL:
         raise ValueError(f"unknown grain {grain!r}; expected 'hour' or 'day'")
     period_name, period_sql = PERIOD_SQL[grain]
-    return (silver.selectExpr("*", f"{period_sql} AS {period_name}")
+    # withColumn replaces an existing period column (a date-partitioned silver already has event_date)
+    return (silver.withColumn(period_name, F.expr(period_sql))
             .groupBy(*GOLD_KEYS, period_name)
             .agg(*gold_measures(grain, scale)))
 
