@@ -71,3 +71,18 @@ def test_cli_refresh_and_score(spark, tmp_dir):
     help_text = subprocess.run([sys.executable, "-m", "urbanlake", "--help"], cwd=ROOT, capture_output=True,
                                text=True, timeout=120).stdout
     assert "refresh" in help_text and "score" in help_text
+
+
+def test_cli_train_then_score_with_model(spark, tmp_dir):
+    from urbanlake.cli import main
+    from urbanlake.plans.catalog import QUERIES, policies
+
+    QUERIES["demand_features"](spark, SF_SMALL).write.parquet(f"{tmp_dir}/features")
+    assert main(["train", "--features", f"{tmp_dir}/features", "--model", f"{tmp_dir}/model",
+                 "--trees", "5", "--depth", "4"]) == 0
+    policies(spark, SF_SMALL).write.parquet(f"{tmp_dir}/policies")
+    assert main(["score", "--policies", f"{tmp_dir}/policies", "--out", f"{tmp_dir}/scored",
+                 "--model", f"{tmp_dir}/model"]) == 0
+    scored = spark.read.parquet(f"{tmp_dir}/scored")
+    assert scored.count() == 4 * policies(spark, SF_SMALL).count()
+    assert scored.filter("demand IS NULL OR revenue IS NULL").count() == 0
