@@ -46,6 +46,13 @@ def test_bad_text_becomes_null(spark, tmp_dir):
     r = project_bronze(read_bronze_batch(spark, path), processed_at=False).first()
     assert r.latitude is None and r.event_timestamp is None and r.vehicle_count is None
     assert r.longitude == 10.0 and r.nearby_services == "Okul, Park"
+    from urbanlake.operators.silver import castable_expectations
+
+    m = {x.expectation: (x.passed, x.failed) for x in dq_metrics(read_bronze_batch(spark, path),
+                                                                castable_expectations()).collect()}
+    assert m["castable_latitude"] == (0, 1) and m["castable_event_timestamp"] == (0, 1)
+    assert m["castable_vehicle_count"] == (0, 1) and m["castable_longitude"] == (1, 0)
+    assert m["castable_energy_kwh"] == (1, 0)          # empty field: missing, not malformed
 
 
 def test_inferred_types(spark, tmp_dir):

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanlake.operators.expectations import SILVER_EXPECTATIONS, Expectation, apply_expectations
+from urbanlake.operators.expectations import SILVER_EXPECTATIONS, Expectation, apply_expectations, expect
 from urbanlake.schemas import BRONZE_COLUMNS
 
 
@@ -24,6 +24,16 @@ def castable_column(header: str, spark_type: str) -> Column:
     return c.isNull() | _typed(header, spark_type).isNotNull()
 
 
+def castable_expectations() -> list[Expectation]:
+    """Warn rules over the raw text columns: a value is present but does not parse as its silver type.
+
+    Counted on bronze (before typing), so a value that ``try_cast`` turns into
+    NULL is told apart from one that was missing in the file.
+    """
+    return [expect(f"castable_{n}", f"`{h}` IS NULL OR try_cast(`{h}` AS {t.upper()}) IS NOT NULL")
+            for h, n, t in BRONZE_COLUMNS if t != "string"]
+
+
 def project_bronze(bronze: DataFrame, processed_at: bool = True, keep: list[str] | None = None,
                    timestamp_type: str = "timestamp_ntz") -> DataFrame:
     """Raw text columns -> English names and Spark types (optionally processed_at).
