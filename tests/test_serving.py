@@ -114,9 +114,9 @@ def test_city_list_and_preview(spark):
 
 
 def test_window_group_limit_before_shuffle(spark):
-    plan = spark.sparkContext._jvm.java.lang.String  # noqa: F841 (keeps JVM alive)
     df = sv.trend(gh(spark, SF_SMALL), 168)
-    text = df._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in text or "AdaptiveSparkPlan" in text
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in optimized
+    physical = df._jdf.queryExecution().toString()
+    # the partial limit runs in the map tasks, below the exchange on city_id
+    assert physical.count("WindowGroupLimit") >= 2
