@@ -1,6 +1,7 @@
 """Property tests on random sensor rows (hypothesis)."""
 
 import datetime as dt
+import os
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -25,7 +26,8 @@ row = st.tuples(
     st.one_of(st.none(), st.integers(0, 500)),
     money, money, money,
 )
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=int(os.environ.get("URBANLAKE_HYPOTHESIS_EXAMPLES", "8")), deadline=None,
+                    suppress_health_check=list(HealthCheck))
 
 
 @SETTINGS
@@ -53,3 +55,57 @@ def test_row_order_does_not_matter(spark, rows):
     ga = gold_hour(apply_expectations(a, SILVER_EXPECTATIONS), scale=2)
     gb = gold_hour(apply_expectations(b, SILVER_EXPECTATIONS), scale=2)
     assert ga.exceptAll(gb).count() == 0 and gb.exceptAll(ga).count() == 0
+
+
+GOLD_SCHEMA = ("city_id string, sensor_type string, event_date date, avg_vehicles double, total_energy_kwh double, "
+               "avg_occupancy_rate double, avg_noise_level double")
+metric = st.one_of(st.none(), st.just(0.0), st.integers(-500, 5000).map(lambda c: c / 10))
+gold_row = st.tuples(st.sampled_from(["C0", "C1", None]), st.sampled_from(SENSOR_TYPES),
+                     st.one_of(st.none(), st.integers(0, 5).map(lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i))),
+                     metric, metric, metric, metric)
+
+
+def _expected_change(cur, prev, kind):
+    if prev is None or not prev > 0 or cur is None:
+        return None
+    return (cur - prev) / prev * 100.0 if kind == "pct" else cur - prev
+
+
+@SETTINGS
+@given(rows=st.lists(gold_row, min_size=1, max_size=30, unique_by=lambda r: (r[0], r[1], r[2])))
+def test_kpi_latest_and_change_match_brute_force(spark, rows):
+    from urbanlake.operators import serving as sv
+
+    gold = spark.createDataFrame(rows, GOLD_SCHEMA)
+    got = {r.city_id: r for r in sv.kpi_latest(gold).collect()}
+    cities = {r[0] for r in rows if r[0] is not None}
+    assert set(got) == cities
+    idx = {n: i for i, n in enumerate(["city_id", "sensor_type", "event_date", *sv.KPI_VALUES])}
+    for city in cities:
+        mine = [r for r in rows if r[0] == city]
+        # latest first: period descending with NULL last, then sensor type ascending
+        mine.sort(key=lambda r: (r[2] is None, -(r[2].toordinal() if r[2] else 0), r[1]))
+        latest, prev = mine[0], (mine[1] if len(mine) > 1 else mine[0])
+        assert got[city].sensor_type == latest[1] and got[city].event_date == latest[2]
+        for name, v, kind in sv.KPI_DELTAS:
+            want = _expected_change(latest[idx[v]], prev[idx[v]], kind)
+            have = got[city][name]
+            assert (want is None and have is None) or abs(want - have) <= 1e-9 * max(1.0, abs(want)), (name, want, have)
+    changes = {(r.city_id, r.sensor_type, r.event_date): r for r in sv.kpi_change_by_type(gold).collect()}
+    for (city, stype), series in _series(rows).items():
+        for i, r in enumerate(series):
+            p = series[i - 1] if i else None
+            for name, v, kind in sv.KPI_DELTAS:
+                want = _expected_change(r[idx[v]], p[idx[v]] if p else None, kind)
+                have = changes[(city, stype, r[2])][name]
+                assert (want is None and have is None) or abs(want - have) <= 1e-9 * max(1.0, abs(want))
+
+
+def _series(rows):
+    out = {}
+    for r in rows:
+        if r[0] is not None:
+            out.setdefault((r[0], r[1]), []).append(r)
+    for v in out.values():
+        v.sort(key=lambda r: (r[2] is None, r[2].toordinal() if r[2] else 0))
+    return out
