@@ -99,3 +99,33 @@ def test_refresh_shared_and_separate_passes_agree(spark, tmp_dir):
         a = spark.read.parquet(f"{tmp_dir}/a/{view}")
         b = spark.read.parquet(f"{tmp_dir}/b/{view}").select(*a.columns)
         assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_dashboard_panels(spark, tmp_dir):
+    from urbanlake.operators import serving as sv
+    from urbanlake.operators.dashboard import CityDashboard
+    from urbanlake.plans.catalog import sr
+    from urbanlake.sources.csv import write_bronze_csv
+
+    write_bronze_csv(sr(spark, SF_SMALL).drop("event_id"), f"{tmp_dir}/src")
+    out = refresh(spark, f"{tmp_dir}/src", f"{tmp_dir}/lake", scale=2)
+    p = out["paths"]
+    dash = CityDashboard(spark, p.gold_hour, p.gold_day)
+    try:
+        assert [r.city_id for r in dash.cities().collect()] == ["C0", "C1", "C2", "C3", "C4"]
+        latest = dash.latest_metrics("C1").collect()
+        assert len(latest) == 1 and latest[0].city_id == "C1"
+        full = {r.city_id: r for r in sv.kpi_latest(spark.read.parquet(p.gold_hour)).collect()}
+        assert latest[0] == full["C1"]
+        assert dash.trend("C1", "daily").count() == 7
+        assert "Cities: C1" in dash.insights_text("C1").first().text
+        assert dash.breakdown("C2", "daily").count() == 4
+        assert "Available Cities: C0, C3" in dash.proposal_context(["C3", "C0"]).first().text
+        assert dash.proposal_kpis(["C0"]).first().cities_analyzed == 1
+        assert "InMemoryTableScan" in dash.city("C1")._jdf.queryExecution().toString()
+    finally:
+        dash.close()
+    direct = CityDashboard(spark, p.gold_hour, p.gold_day, ttl_s=None)
+    plan = direct.city("C1")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(city_id,C1)" in plan
+    assert direct.latest_metrics("C1").first() == latest[0]
