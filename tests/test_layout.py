@@ -129,3 +129,16 @@ def test_dashboard_panels(spark, tmp_dir):
     plan = direct.city("C1")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(city_id,C1)" in plan
     assert direct.latest_metrics("C1").first() == latest[0]
+
+
+def test_clustered_write_splits_a_hot_key(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    hot = spark.range(20000).select(F.lit("HOT").alias("city_id"), F.lit("T").alias("sensor_type"), "id")
+    cold = spark.range(200).select(F.concat(F.lit("C"), (F.col("id") % 5).cast("string")).alias("city_id"),
+                                   F.lit("T").alias("sensor_type"), "id")
+    write_clustered(hot.unionByName(cold), f"{tmp_dir}/skew", ["city_id", "sensor_type"], files=8)
+    per_file = (spark.read.parquet(f"{tmp_dir}/skew").groupBy(F.input_file_name().alias("f"))
+                .agg(F.count(F.when(F.col("city_id") == "HOT", 1)).alias("hot")).collect())
+    assert sum(1 for r in per_file if r.hot > 0) >= 4          # the hot key is spread over several files
+    assert spark.read.parquet(f"{tmp_dir}/skew").count() == 20200

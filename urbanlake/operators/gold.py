@@ -85,7 +85,7 @@ def gold_day(silver: DataFrame, scale: int | None = None) -> DataFrame:
 
 
 def write_clustered(df: DataFrame, path: str, cluster_by: list[str], files: int | None = None,
-                    max_records_per_file: int = 5_000_000) -> None:
+                    max_records_per_file: int = 5_000_000, split_hot_keys: bool = True) -> None:
     """Overwrite a table laid out by its clustering keys.
 
     Range partitioning on the keys + sort within files gives each file a
@@ -93,8 +93,14 @@ def write_clustered(df: DataFrame, path: str, cluster_by: list[str], files: int
     for key filters (the role of clustered tables).  Without ``files`` the
     number of ranges follows the shuffle settings and AQE merges small ones;
     ``max_records_per_file`` splits large ranges into bounded files.
+    ``split_hot_keys`` adds a hash of the row as the last range key: a key
+    value holding a large share of the rows then spans several tasks
+    instead of one (deterministic, so a retried task gets the same rows).
     """
-    ranged = df.repartitionByRange(files, *cluster_by) if files else df.repartitionByRange(*cluster_by)
+    keys = [F.col(c) for c in cluster_by]
+    if split_hot_keys:
+        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
     (ranged.sortWithinPartitions(*cluster_by)
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path))
 
