@@ -125,7 +125,10 @@ def touched_silver(spark: SparkSession, silver_path: str, new_rows: DataFrame) -
             cond = cond | F.col("event_date").isNull()
         affected = silver.filter(cond)
     else:
-        affected = silver.join(touched, silver["event_date"].eqNullSafe(touched["touched_date"]), "left_semi")
+        # at most one row per calendar day (a few thousand for years of data): broadcast it, so silver is
+        # never shuffled by day (a day holding a large share of the rows would make one hot task)
+        affected = silver.join(F.broadcast(touched), silver["event_date"].eqNullSafe(touched["touched_date"]),
+                               "left_semi")
     return affected.drop("event_date")
 
 
