@@ -148,3 +148,20 @@ def test_restart_after_stop_resumes_without_duplicates(spark, tmp_dir):
     out = spark.read.parquet(p.bronze)
     assert out.count() == rows.count()
     assert out.distinct().count() == rows.select([F.col(c).cast("string") for c in rows.columns]).distinct().count()
+
+
+def test_incremental_semi_join_fallback_matches_pruned_path(spark, tmp_dir, monkeypatch):
+    import urbanlake.streaming.refresh as rf
+
+    rows = sr(spark, SF_SMALL).drop("event_id")
+    p = TablePaths(tmp_dir)
+    write_bronze_csv(rows, p.source)
+    st.wait(st.start_bronze(spark, p.source, p.bronze, p.bronze_ckpt))
+    st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True))
+    new = rows.filter(F.dayofmonth("event_timestamp").isin(3, 7))
+    pruned = rf.touched_silver(spark, p.silver, new)
+    monkeypatch.setattr(rf, "MAX_PRUNED_DAYS", 0)
+    joined = rf.touched_silver(spark, p.silver, new)
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().toString()
+    assert joined.count() == pruned.count() > 0
+    assert joined.exceptAll(pruned).count() == 0
