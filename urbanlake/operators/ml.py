@@ -73,16 +73,19 @@ def fit_or_load(spark: SparkSession, features: DataFrame, keys: list[str], sf_di
 def evaluation(model: PipelineModel, features: DataFrame, keys: list[str], label: str = "demand") -> DataFrame:
     """metric, value: rmse, r2 and the constant-mean baseline rmse on the holdout rows, plus row counts.
 
-    One pass: predictions of all rows go through one global aggregate of
-    conditional sums (train mean, test errors); no join, nothing collected.
+    Only holdout rows are scored (the forest is not run on the training rows);
+    training rows contribute their label sum and count.  Both are global
+    aggregates; their one-row results are stacked and merged with a second
+    aggregate, so there is no join and nothing is collected.
     """
-    pred = model.transform(features).select(holdout_flag(keys).alias("is_test"), F.col(label).alias("y"),
-                                            F.col("prediction").alias("p"))
-    t, y, p = F.col("is_test"), F.col("y"), F.col("p")
-    s = pred.agg(
-        F.count(F.when(~t, 1)).alias("n_train"), F.sum(F.when(~t, y)).alias("sum_train"),
-        F.count(F.when(t, 1)).alias("n_test"), F.sum(F.when(t, y)).alias("sum_y"),
-        F.sum(F.when(t, y * y)).alias("sum_y2"), F.sum(F.when(t, (p - y) * (p - y))).alias("sse"))
+    t = holdout_flag(keys)
+    y = F.col(label)
+    test = (model.transform(features.filter(t))
+            .agg(F.count(F.lit(1)).alias("n_test"), F.sum(y).alias("sum_y"), F.sum(y * y).alias("sum_y2"),
+                 F.sum((F.col("prediction") - y) * (F.col("prediction") - y)).alias("sse")))
+    train = features.filter(~t).agg(F.count(F.lit(1)).alias("n_train"), F.sum(y).alias("sum_train"))
+    cols = ["n_test", "sum_y", "sum_y2", "sse", "n_train", "sum_train"]
+    s = test.unionByName(train, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in cols])
     n = F.col("n_test").cast("double")
     mean_test = F.col("sum_y") / n
     sst = F.col("sum_y2") - n * mean_test * mean_test
