@@ -29,13 +29,8 @@ def week_index(d, origin: str) -> Column:
     return F.floor(F.datediff(F.to_date(_c(d)), F.lit(origin).cast("date")) / F.lit(7.0)).cast("int")
 
 
-def seasonality(t) -> Column:
-    """Yearly cycle 1 + a*sin(2*pi*t/52) of week index t."""
-    return F.lit(1.0) + F.lit(SEASON_AMPLITUDE) * F.sin(F.lit(2 * math.pi) * _c(t) / F.lit(float(SEASON_PERIOD_WEEKS)))
-
-
 def seasonality_sql(t: str) -> str:
-    """SQL text of the yearly cycle (double literals, same arithmetic as ``seasonality``)."""
+    """SQL text of the yearly cycle 1 + 0.1*sin(2*pi*t/52) of week index t (double literals)."""
     return (f"1.0D + {SEASON_AMPLITUDE!r}D * sin({2 * math.pi!r}D * {t} / "
             f"{float(SEASON_PERIOD_WEEKS)!r}D)")
 

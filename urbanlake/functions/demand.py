@@ -17,7 +17,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from urbanlake.schemas import (
-    BASE_CONGESTION,
     FESTIVAL_DEMAND,
     HOLIDAY_PRIVATE_DEMAND,
     HOLIDAY_TRANSIT_DEMAND,
@@ -33,11 +32,6 @@ def clamp01_sql(x: str) -> str:
     return f"least({d(1)}, greatest({d(0)}, {x}))"
 
 
-def congestion_from_draw(u: str) -> Column:
-    """Weekly congestion 0.65 + u, clamped to [0, 1]."""
-    return F.expr(clamp01_sql(f"{d(BASE_CONGESTION)} + {u}"))
-
-
 def elastic_demand_sql(service: str, price: str, base_price: str, base_demand: str, elasticity: str,
                        congestion: str, festival: str, holiday: str, season: str | None = None,
                        noise: str | None = None) -> str:

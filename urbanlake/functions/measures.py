@@ -80,24 +80,18 @@ def sql_fixed_avg(expr: str, scale: int | None, wide: bool = False) -> str:
             f"CAST(NULLIF(count({expr}) * {10 ** scale}, 0) AS DOUBLE))")
 
 
-def round_half_away(c, decimals: int) -> Column:
-    """Round to ``decimals`` places, half away from zero, on the scaled double.
-
-    Plain IEEE arithmetic (no per-value BigDecimal as in ``round``): cheap in
-    generated code, and the same operations give the same bits in any engine.
-    """
-    x = _col(c)
-    k = F.lit(float(10 ** decimals))
-    return F.signum(x) * F.floor(F.abs(x) * k + F.lit(0.5)).cast("double") / k
-
-
 def sql_round_half_away(expr: str, decimals: int) -> str:
     k = f"CAST({10 ** decimals} AS DOUBLE)"
     return f"(sign({expr}) * CAST(floor(abs({expr}) * {k} + CAST(0.5 AS DOUBLE)) AS DOUBLE) / {k})"
 
 
 def rounded_sql(expr: str, decimals: int | None) -> str:
-    """Spark SQL text of ``round_half_away`` (``expr`` unchanged when ``decimals`` is None)."""
+    """Round to ``decimals`` places, half away from zero on the scaled double, as Spark SQL text.
+
+    Plain IEEE arithmetic (no per-value BigDecimal as in ``round``): cheap in
+    generated code, and the same operations give the same bits in any engine.
+    ``expr`` is returned unchanged when ``decimals`` is None.
+    """
     if decimals is None:
         return f"({expr})"
     k = f"{float(10 ** decimals)!r}D"

@@ -98,11 +98,6 @@ def with_fixed_text(df: DataFrame, specs: list[tuple[str, str, int]], missing: s
     return df.drop(*[f"{t}_{s}" for t, *_ in tmp for s in ("c", "k", "t", "r")])
 
 
-def fmt(x, decimals: int, missing: str = "N/A") -> Column:
-    """Fixed-decimal text of a number; NULL becomes ``missing`` (see ``fixed``)."""
-    return fixed(x, decimals, missing)
-
-
 def py_repr_sql(x: str) -> str:
     """SQL text of a double written like Python's ``repr`` (shortest digits; NULL and NaN -> 'nan').
 

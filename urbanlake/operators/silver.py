@@ -18,12 +18,6 @@ def _typed(header: str, spark_type: str) -> Column:
     return c if spark_type == "string" else c.try_cast(spark_type)
 
 
-def castable_column(header: str, spark_type: str) -> Column:
-    """TRUE when the raw text is NULL or casts cleanly (for a 'castable' warn count)."""
-    c = F.col(f"`{header}`")
-    return c.isNull() | _typed(header, spark_type).isNotNull()
-
-
 def castable_expectations() -> list[Expectation]:
     """Warn rules over the raw text columns: a value is present but does not parse as its silver type.
 
