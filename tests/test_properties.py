@@ -109,3 +109,64 @@ def _series(rows):
     for v in out.values():
         v.sort(key=lambda r: (r[2] is None, r[2].toordinal() if r[2] else 0))
     return out
+
+
+def _close(a, b):
+    if a is None or (isinstance(a, float) and a != a):
+        return b is None or (isinstance(b, float) and b != b)
+    return b is not None and abs(a - b) <= 1e-9 * max(1.0, abs(a))
+
+
+@SETTINGS
+@given(rows=st.lists(row, min_size=1, max_size=40))
+def test_gold_day_matches_pandas(spark, rows):
+    import pandas as pd
+
+    df = apply_expectations(spark.createDataFrame(rows, SCHEMA), SILVER_EXPECTATIONS)
+    kept = df.toPandas()
+    got = {(r.city_id, r.sensor_type, r.event_date): r for r in gold_day(df, scale=2).collect()}
+    assert len(got) == len(kept.groupby(["city_id", "sensor_type", kept.event_timestamp.dt.date],
+                                        dropna=False)) if len(kept) else len(got) == 0
+    for (city, stype, day), g in kept.assign(d=kept.event_timestamp.dt.date).groupby(
+            ["city_id", "sensor_type", "d"], dropna=False):
+        day = None if pd.isna(day) else day
+        city = None if pd.isna(city) else city
+        r = got[(city, stype, day)]
+        assert r.record_count == len(g)
+        assert r.unique_sensors == g.sensor_id.dropna().nunique()
+        assert _close(g.vehicle_count.dropna().sum() if g.vehicle_count.notna().any() else None,
+                      None if r.total_vehicles is None else float(r.total_vehicles))
+        for col, out in [("energy_kwh", "avg_energy_kwh"), ("occupancy_rate", "avg_occupancy_rate"),
+                         ("noise_level", "avg_noise_level"), ("vehicle_count", "avg_vehicles")]:
+            vals = g[col].dropna()
+            assert _close(float(vals.mean()) if len(vals) else None, r[out]), (col, list(vals), r[out])
+
+
+gold_rows = st.lists(gold_row, min_size=1, max_size=30, unique_by=lambda r: (r[0], r[1], r[2]))
+
+
+@SETTINGS
+@given(rows=gold_rows)
+def test_breakdown_profile_comparison_match_pandas(spark, rows):
+    import pandas as pd
+
+    from urbanlake.operators import serving as sv
+
+    cols = ["city_id", "sensor_type", "event_date", "avg_vehicles", "total_energy_kwh", "avg_occupancy_rate",
+            "avg_noise_level"]
+    gold = spark.createDataFrame(rows, GOLD_SCHEMA).withColumn("unique_sensors", F.lit(2).cast("bigint"))
+    pdf = pd.DataFrame(rows, columns=cols).astype({c: "float64" for c in cols[3:]})
+    served = pdf[pdf.city_id.notna()]
+    b = {(r.city_id, r.sensor_type): r for r in sv.breakdown_by_sensor_type(gold).collect()}
+    for (city, stype), g in served.groupby(["city_id", "sensor_type"]):
+        r = b[(city, stype)]
+        assert _close(g.avg_vehicles.mean() if g.avg_vehicles.notna().any() else None, r.avg_vehicles)
+        assert _close(float(g.total_energy_kwh.sum()), r.total_energy_kwh)          # all-NULL sum is 0
+        assert r.unique_sensors == 2 * len(g)
+    prof = {r.city_id: r for r in sv.city_profile(gold).collect()}
+    assert set(prof) == set(served.city_id)
+    for city, g in served.groupby("city_id"):
+        for c in sv.KPI_VALUES:
+            assert _close(g[c].mean() if g[c].notna().any() else None, prof[city][c])
+    comp = {(r.city_id, r.sensor_type) for r in sv.comparison_by_city_type(gold, ["C0"]).collect()}
+    assert comp == {(c, s) for c, s in zip(served.city_id, served.sensor_type) if c == "C0"}
