@@ -165,3 +165,15 @@ def test_incremental_semi_join_fallback_matches_pruned_path(spark, tmp_dir, monk
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().toString()
     assert joined.count() == pruned.count() > 0
     assert joined.exceptAll(pruned).count() == 0
+
+
+def test_quality_counters_sum_over_many_micro_batches(spark, tmp_dir):
+    rows = sr(spark, SF_SMALL).drop("event_id")
+    p = TablePaths(tmp_dir)
+    write_bronze_csv(rows, p.source, files=5)
+    st.wait(st.start_bronze(spark, p.source, p.bronze, p.bronze_ckpt))
+    sq = st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt, max_files_per_trigger=1))
+    assert len([x for x in sq.recentProgress if x.numInputRows]) >= 2
+    counts = {n: (ps, fl) for n, _, ps, fl in st.stream_dq_metrics(sq)}
+    batch = {r.expectation: (r.passed, r.failed) for r in dq_metrics(rows, SILVER_EXPECTATIONS).collect()}
+    assert counts == batch
