@@ -142,3 +142,21 @@ def test_clustered_write_splits_a_hot_key(spark, tmp_dir):
                 .agg(F.count(F.when(F.col("city_id") == "HOT", 1)).alias("hot")).collect())
     assert sum(1 for r in per_file if r.hot > 0) >= 4          # the hot key is spread over several files
     assert spark.read.parquet(f"{tmp_dir}/skew").count() == 20200
+
+
+def test_sql_over_registered_views(spark, tmp_dir):
+    from urbanlake.plans.catalog import sr
+    from urbanlake.sources.csv import write_bronze_csv
+    from urbanlake.sources.tables import register_views
+
+    write_bronze_csv(sr(spark, SF_SMALL).drop("event_id"), f"{tmp_dir}/src")
+    refresh(spark, f"{tmp_dir}/src", f"{tmp_dir}/lake", scale=2)
+    names = register_views(spark, f"{tmp_dir}/lake")
+    assert set(names) == {"bronze_sensor_data", "silver_sensor_data", "gold_sensor_metrics_by_city_hour",
+                          "gold_sensor_metrics_by_city_day"}
+    r = spark.sql("SELECT MIN(event_date) AS start_date, MAX(event_date) AS end_date "
+                  "FROM gold_sensor_metrics_by_city_day").first()
+    assert r.start_date <= r.end_date
+    assert spark.sql("SELECT COUNT(*) AS n FROM silver_sensor_data").first().n == \
+        spark.read.parquet(f"{tmp_dir}/lake/silver").count()
+    assert len(spark.sql("SELECT * FROM gold_sensor_metrics_by_city_day LIMIT 10").collect()) == 10

@@ -61,3 +61,31 @@ class TableCache:
         for _, df in self._entries.values():
             df.unpersist()
         self._entries.clear()
+
+
+# Table names of the data model, for SQL written against them.
+VIEW_NAMES = {
+    "bronze": "bronze_sensor_data",
+    "silver": "silver_sensor_data",
+    "gold_hour": "gold_sensor_metrics_by_city_hour",
+    "gold_day": "gold_sensor_metrics_by_city_day",
+}
+
+
+def register_views(spark: SparkSession, base: str, extra: dict[str, str] | None = None) -> list[str]:
+    """Expose the tables under ``base`` (as written by ``refresh``) as session views for ``spark.sql``.
+
+    ``extra`` maps further view names to parquet paths (e.g. ``{"city_data": path}``).  Views are
+    session-scoped and read the stored parquet, so filters in the SQL reach the scan.
+    """
+    import os
+
+    names = []
+    paths = {view: f"{base.rstrip('/')}/{folder}" for folder, view in VIEW_NAMES.items()}
+    paths.update(extra or {})
+    for view, path in paths.items():
+        if "://" not in path and not os.path.exists(path):
+            continue
+        spark.read.parquet(path).createOrReplaceTempView(view)
+        names.append(view)
+    return names
