@@ -177,3 +177,17 @@ def test_quality_counters_sum_over_many_micro_batches(spark, tmp_dir):
     counts = {n: (ps, fl) for n, _, ps, fl in st.stream_dq_metrics(sq)}
     batch = {r.expectation: (r.passed, r.failed) for r in dq_metrics(rows, SILVER_EXPECTATIONS).collect()}
     assert counts == batch
+
+
+def test_batch_silver_equals_stream_silver(spark, tmp_dir):
+    from urbanlake.operators.silver import silver
+
+    rows = sr(spark, SF_SMALL).drop("event_id")
+    p = TablePaths(tmp_dir)
+    write_bronze_csv(rows, p.source, files=3)
+    st.wait(st.start_bronze(spark, p.source, p.bronze, p.bronze_ckpt))
+    st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt))
+    streamed = spark.read.parquet(p.silver).drop("processed_at")
+    batch = silver(read_bronze_batch(spark, p.source), processed_at=False)
+    assert batch.columns == streamed.columns
+    assert batch.exceptAll(streamed).count() == 0 and streamed.exceptAll(batch).count() == 0
