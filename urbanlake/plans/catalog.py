@@ -115,7 +115,6 @@ def gold_day_q(spark, sf_dir):
     return gd(spark, sf_dir)
 
 
-
 @query()
 def table_counts(spark, sf_dir):
     s = sil(spark, sf_dir)
