@@ -101,12 +101,9 @@ def refresh_gold_incremental(spark: SparkSession, silver_path: str, new_rows: Da
     gold = gold_metrics(touched_silver(spark, silver_path, new_rows), grain, scale)
     if "event_date" not in gold.columns:
         gold = gold.withColumn("event_date", F.to_date("event_hour"))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        gold.write.mode("overwrite").partitionBy("event_date").parquet(out_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # a per-write option: the session setting stays untouched for jobs running beside this one
+    (gold.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("event_date").parquet(out_path))
 
 
 def touched_silver(spark: SparkSession, silver_path: str, new_rows: DataFrame) -> DataFrame:
