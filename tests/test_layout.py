@@ -160,3 +160,12 @@ def test_sql_over_registered_views(spark, tmp_dir):
     assert spark.sql("SELECT COUNT(*) AS n FROM silver_sensor_data").first().n == \
         spark.read.parquet(f"{tmp_dir}/lake/silver").count()
     assert len(spark.sql("SELECT * FROM gold_sensor_metrics_by_city_day LIMIT 10").collect()) == 10
+
+
+def test_clustered_write_with_map_column(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    df = spark.range(100).select(F.lit("C").alias("city_id"), F.lit("T").alias("sensor_type"),
+                                 F.create_map(F.lit("k"), F.col("id")).alias("props"))
+    write_clustered(df, f"{tmp_dir}/maps", ["city_id", "sensor_type"], files=2)
+    assert spark.read.parquet(f"{tmp_dir}/maps").count() == 100

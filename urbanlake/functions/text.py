@@ -109,6 +109,7 @@ def py_repr_sql(x: str) -> str:
     rounding is used when it reads back as the same double (subnormal
     numbers may still show an extra digit).
     """
+    x = f"CAST({x} AS DOUBLE)"
     j = f"CAST({x} AS STRING)"
     c16, c17 = f"format_string('%.15e', {x})", f"format_string('%.16e', {x})"
     sig = f"length(regexp_replace(regexp_replace(regexp_extract({j}, '^-?([0-9.]+)', 1), '[.]', ''), '^0+', ''))"

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from urbanlake.functions.measures import sql_fixed_avg, sql_fixed_sum
 from urbanlake.functions.periods import GRAINS
@@ -98,8 +99,9 @@ def write_clustered(df: DataFrame, path: str, cluster_by: list[str], files: int
     instead of one (deterministic, so a retried task gets the same rows).
     """
     keys = [F.col(c) for c in cluster_by]
-    if split_hot_keys:
-        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]   # maps cannot be hashed
+    if split_hot_keys and hashable:
+        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
     ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
     (ranged.sortWithinPartitions(*cluster_by)
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path))
