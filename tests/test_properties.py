@@ -170,3 +170,26 @@ def test_breakdown_profile_comparison_match_pandas(spark, rows):
             assert _close(g[c].mean() if g[c].notna().any() else None, prof[city][c])
     comp = {(r.city_id, r.sensor_type) for r in sv.comparison_by_city_type(gold, ["C0"]).collect()}
     assert comp == {(c, s) for c, s in zip(served.city_id, served.sensor_type) if c == "C0"}
+
+
+policy = st.tuples(st.integers(1, 10**9), st.floats(10, 100), st.floats(5, 50), st.floats(50, 150), st.floats(1, 20),
+                   st.floats(0, 0.3), st.sampled_from([0, 1]), st.sampled_from([0, 1]))
+
+
+@SETTINGS
+@given(rows=st.lists(policy, min_size=1, max_size=20, unique_by=lambda r: r[0]))
+def test_policy_scoring_matches_python(spark, rows):
+    import math
+
+    from test_weekly_policy import reference_demand
+    from urbanlake.operators import policy as pol
+    from urbanlake.schemas import POLICY_SCHEMA
+
+    df = spark.createDataFrame(rows, POLICY_SCHEMA)
+    got = {(r.policy_id, r.service): r for r in pol.score_elastic(pol.policy_features(df), None, None).collect()}
+    assert len(got) == 4 * len(rows)
+    for pid, metro, bus, car, water, tax, fest, hol in rows:
+        for service, price in [("metro", metro), ("bus", bus), ("private_transport", car), ("water", water)]:
+            want = reference_demand(service, price, 0.65 + 0.3 * tax, fest, hol)
+            r = got[(pid, service)]
+            assert math.isclose(r.demand, want, rel_tol=1e-12) and math.isclose(r.revenue, want * price, rel_tol=1e-12)
