@@ -201,6 +201,11 @@ def breakdown_sensor_type(spark, sf_dir):
     return sv.breakdown_by_sensor_type(gh(spark, sf_dir), mean_scale=M6, sum_scale=M2)
 
 
+@query()
+def breakdown_sensor_type_daily(spark, sf_dir):
+    return sv.breakdown_by_sensor_type(gd(spark, sf_dir), mean_scale=M6, sum_scale=M2)
+
+
 @query()
 def comparison_city_type(spark, sf_dir):
     return sv.comparison_by_city_type(gd(spark, sf_dir), ["C0", "C1", "C2"], mean_scale=M6)
@@ -229,6 +234,12 @@ def recent_summary_text(spark, sf_dir):
     return ctx.recent_summary_text(sv.recent_summary(gh(spark, sf_dir), 24, mean_scale=M6, sum_scale=M2), "hourly")
 
 
+@query()
+def recent_summary_text_daily(spark, sf_dir):
+    """The daily summary block (no peak line: the daily table has no max_vehicles)."""
+    return ctx.recent_summary_text(sv.recent_summary(gd(spark, sf_dir), 24, mean_scale=M6, sum_scale=M2), "daily")
+
+
 @query()
 def proposal_context_text(spark, sf_dir):
     """Metric block of the proposal view for the selected cities (C0, C1)."""
