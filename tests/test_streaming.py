@@ -22,6 +22,7 @@ def test_two_file_drops_equal_one_and_rerun_adds_nothing(spark, tmp_dir):
     n1 = spark.read.parquet(p.silver).count()
     write_bronze_csv(second.drop("event_id"), p.source, files=2)
     st.wait(st.start_bronze(spark, p.source, p.bronze, p.bronze_ckpt))
+    counters = st.quality_counters(spark)
     sq = st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt))
     out = spark.read.parquet(p.silver).drop("processed_at")
     want = apply_expectations(rows.drop("event_id"), SILVER_EXPECTATIONS)
@@ -32,7 +33,7 @@ def test_two_file_drops_equal_one_and_rerun_adds_nothing(spark, tmp_dir):
     st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt))
     assert spark.read.parquet(p.silver).count() == want.count()
     # quality counters of the second run cover the second drop only
-    counts = {n: (ps, fl) for n, _, ps, fl in st.stream_dq_metrics(sq)}
+    counts = {n: (ps, fl) for n, _, ps, fl in st.stream_dq_metrics(sq, counters=counters)}
     batch2 = {r.expectation: (r.passed, r.failed) for r in dq_metrics(second, SILVER_EXPECTATIONS).collect()}
     assert counts == batch2
 
@@ -172,9 +173,10 @@ def test_quality_counters_sum_over_many_micro_batches(spark, tmp_dir):
     p = TablePaths(tmp_dir)
     write_bronze_csv(rows, p.source, files=5)
     st.wait(st.start_bronze(spark, p.source, p.bronze, p.bronze_ckpt))
+    counters = st.quality_counters(spark)
     sq = st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt, max_files_per_trigger=1))
-    assert len([x for x in sq.recentProgress if x.numInputRows]) >= 2
-    counts = {n: (ps, fl) for n, _, ps, fl in st.stream_dq_metrics(sq)}
+    assert len(counters.batches(sq)) >= 2
+    counts = {n: (ps, fl) for n, _, ps, fl in st.stream_dq_metrics(sq, counters=counters)}
     batch = {r.expectation: (r.passed, r.failed) for r in dq_metrics(rows, SILVER_EXPECTATIONS).collect()}
     assert counts == batch
 
@@ -191,3 +193,25 @@ def test_batch_silver_equals_stream_silver(spark, tmp_dir):
     batch = silver(read_bronze_batch(spark, p.source), processed_at=False)
     assert batch.columns == streamed.columns
     assert batch.exceptAll(streamed).count() == 0 and streamed.exceptAll(batch).count() == 0
+
+
+def test_listener_counts_batches_beyond_retained_progress(spark, tmp_dir):
+    import pytest
+
+    rows = sr(spark, SF_SMALL).drop("event_id")
+    p = TablePaths(tmp_dir)
+    write_bronze_csv(rows, p.source, files=6)
+    st.wait(st.start_bronze(spark, p.source, p.bronze, p.bronze_ckpt))
+    counters = st.quality_counters(spark)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        sq = st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt, max_files_per_trigger=1))
+        assert len(counters.batches(sq)) >= 3 > len(sq.recentProgress)   # more batches than progress retained
+        got = {n: (ps, fl) for n, _, ps, fl in st.stream_dq_metrics(sq, counters=counters)}
+        late = st.QualityCounters()                                # not registered when the query started
+        with pytest.raises(RuntimeError):
+            st.stream_dq_metrics(sq, counters=late)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    batch = {r.expectation: (r.passed, r.failed) for r in dq_metrics(rows, SILVER_EXPECTATIONS).collect()}
+    assert got == batch

@@ -373,8 +373,9 @@ def silver_stream_q(spark, sf_dir):
 def dq_metrics_stream(spark, sf_dir):
     """Quality counters observed on the silver stream's micro-batches (summed), as a table."""
     base = _bronze_run(spark, sf_dir)
+    counters = st.quality_counters(spark)
     sq = st.wait(st.start_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver_ckpt"))
-    return spark.createDataFrame(st.stream_dq_metrics(sq),
+    return spark.createDataFrame(st.stream_dq_metrics(sq, counters=counters),
                                  "expectation string, action string, passed bigint, failed bigint")
 
 

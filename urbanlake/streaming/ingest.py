@@ -15,9 +15,12 @@ resumes from the last committed micro-batch.
 
 from __future__ import annotations
 
+import threading
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from urbanlake.operators.expectations import (
     SILVER_EXPECTATIONS,
@@ -96,21 +99,106 @@ def wait(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:
     return query
 
 
-def stream_dq_metrics(query: StreamingQuery, rules: list[Expectation] | None = None) -> list[tuple[str, str, int, int]]:
-    """(expectation, action, passed, failed) summed over the query's recent micro-batches."""
-    rules = SILVER_EXPECTATIONS if rules is None else rules
-    recent = query.recentProgress
-    active = SparkSession.getActiveSession()
-    kept = int(active.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")) if active else 100
-    if len(recent) >= kept:
-        # the oldest batches may have been dropped from the retained progress list
-        raise RuntimeError("too many micro-batches to sum from retained progress; "
-                           "raise spark.sql.streaming.numRecentProgressUpdates or use fewer triggers")
-    totals: dict[str, int] = {}
-    for progress in recent:
-        row = (progress.observedMetrics or {}).get(DQ_METRIC)
+def stream_dq_metrics(query: StreamingQuery, rules: list[Expectation] | None = None,
+                      counters: "QualityCounters | None" = None) -> list[tuple[str, str, int, int]]:
+    """(expectation, action, passed, failed) summed over every micro-batch of ``query``.
+
+    The counts come from a ``QualityCounters`` listener that was registered
+    before the query started (``quality_counters(spark)``); the progress a
+    query retains is bounded, so it cannot be the source.  A query the
+    listener did not see from its start raises instead of undercounting.
+    """
+    if counters is None:
+        counters = _COUNTERS.get(id(SparkSession.getActiveSession()))
+    if counters is None or not counters.saw_start(query):
+        raise RuntimeError("register quality_counters(spark) before starting the query to count its batches")
+    return counters.metrics(query, rules)
+
+
+class QualityCounters(StreamingQueryListener):
+    """Adds up the observed quality counters of every micro-batch of every query run it sees.
+
+    Progress retained on a query is bounded (``numRecentProgressUpdates``); a
+    listener sees each batch once, so counters stay complete for queries that
+    run for thousands of micro-batches.  Register once per session with
+    ``spark.streams.addListener``.  Callbacks arrive on a listener thread.
+    """
+
+    def __init__(self, metric_name: str = DQ_METRIC):
+        self.metric_name = metric_name
+        self._lock = threading.Lock()
+        self._totals: dict[str, dict[str, int]] = {}
+        self._batches: dict[str, set[int]] = {}
+        self._started: set[str] = set()
+
+    # Keyed by run id: the query id stays the same when a query restarts from its checkpoint.
+    def onQueryStarted(self, event):  # noqa: N802 - listener API
+        with self._lock:
+            self._started.add(str(event.runId))
+
+    def saw_start(self, query: StreamingQuery, timeout_s: float = 10.0) -> bool:
+        """True when the listener saw ``query`` start (events arrive asynchronously)."""
+        deadline = time.monotonic() + timeout_s
+        while True:
+            with self._lock:
+                if str(query.runId) in self._started:
+                    return True
+            if time.monotonic() > deadline:
+                return False
+            time.sleep(0.05)
+
+    def onQueryProgress(self, event):  # noqa: N802
+        progress = event.progress
+        row = (progress.observedMetrics or {}).get(self.metric_name)
         if row is None:
-            continue
-        for k, v in row.asDict().items():
-            totals[k] = totals.get(k, 0) + int(v or 0)
-    return metrics_from_observation(totals, rules)
+            return
+        qid = str(progress.runId)
+        with self._lock:
+            seen = self._batches.setdefault(qid, set())
+            if progress.batchId in seen:
+                return
+            seen.add(progress.batchId)
+            totals = self._totals.setdefault(qid, {})
+            for k, v in row.asDict().items():
+                totals[k] = totals.get(k, 0) + int(v or 0)
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        pass
+
+    def batches(self, query: StreamingQuery) -> set[int]:
+        with self._lock:
+            return set(self._batches.get(str(query.runId), set()))
+
+    def metrics(self, query: StreamingQuery, rules: list[Expectation] | None = None,
+                timeout_s: float = 30.0) -> list[tuple[str, str, int, int]]:
+        """(expectation, action, passed, failed) over all batches of ``query`` seen so far.
+
+        Waits (up to ``timeout_s``) until the listener has the query's last
+        reported batch, since listener events arrive asynchronously.
+        """
+        rules = SILVER_EXPECTATIONS if rules is None else rules
+        last = query.lastProgress
+        deadline = time.monotonic() + timeout_s
+        while last is not None and (last.observedMetrics or {}).get(self.metric_name) is not None:
+            if last.batchId in self.batches(query) or time.monotonic() > deadline:
+                break
+            time.sleep(0.05)
+        with self._lock:
+            totals = dict(self._totals.get(str(query.runId), {}))
+        return metrics_from_observation(totals, rules)
+
+
+_COUNTERS: dict[int, QualityCounters] = {}
+
+
+def quality_counters(spark: SparkSession) -> QualityCounters:
+    """The session's ``QualityCounters`` listener (registered on first use)."""
+    key = id(spark)
+    if key not in _COUNTERS:
+        counters = QualityCounters()
+        spark.streams.addListener(counters)
+        _COUNTERS[key] = counters
+    return _COUNTERS[key]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from urbanlake.operators.gold import gold_from_sensor_hours, gold_metrics, sensor_hours, write_clustered
 from urbanlake.sources.tables import TABLES, with_comment
-from urbanlake.streaming.ingest import start_bronze, start_silver, stream_dq_metrics, wait
+from urbanlake.streaming.ingest import quality_counters, start_bronze, start_silver, stream_dq_metrics, wait
 
 
 @dataclass(frozen=True)
@@ -50,11 +50,12 @@ def refresh(spark: SparkSession, source_dir: str, base: str, scale: int | None =
     ``shared_pass`` builds both views from one scan of silver.
     """
     p = TablePaths(base)
+    counters = quality_counters(spark)          # sees every micro-batch, however many there are
     wait(start_bronze(spark, source_dir, p.bronze, p.bronze_ckpt, max_files_per_trigger=max_files_per_trigger),
          timeout_s)
     sq = wait(start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True,
                            max_files_per_trigger=max_files_per_trigger), timeout_s)
-    dq = stream_dq_metrics(sq)
+    dq = stream_dq_metrics(sq, counters=counters)
     if shared_pass:
         refresh_views_shared(spark, p.silver, base, scale)
     else:
