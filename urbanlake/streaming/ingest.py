@@ -130,6 +130,7 @@ class QualityCounters(StreamingQueryListener):
         self._totals: dict[str, dict[str, int]] = {}
         self._batches: dict[str, set[int]] = {}
         self._started: set[str] = set()
+        self._terminated: set[str] = set()
 
     # Keyed by run id: the query id stays the same when a query restarts from its checkpoint.
     def onQueryStarted(self, event):  # noqa: N802 - listener API
@@ -166,7 +167,8 @@ class QualityCounters(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):  # noqa: N802
-        pass
+        with self._lock:
+            self._terminated.add(str(event.runId))
 
     def batches(self, query: StreamingQuery) -> set[int]:
         with self._lock:
@@ -176,18 +178,26 @@ class QualityCounters(StreamingQueryListener):
                 timeout_s: float = 30.0) -> list[tuple[str, str, int, int]]:
         """(expectation, action, passed, failed) over all batches of ``query`` seen so far.
 
-        Waits (up to ``timeout_s``) until the listener has the query's last
-        reported batch, since listener events arrive asynchronously.
+        Listener events arrive asynchronously and in order: for a finished run
+        this waits (up to ``timeout_s``) for the run's termination event, which
+        follows all of its progress events; for a running query it waits for
+        the latest reported batch that carried counters.
         """
         rules = SILVER_EXPECTATIONS if rules is None else rules
-        last = query.lastProgress
+        run = str(query.runId)
         deadline = time.monotonic() + timeout_s
-        while last is not None and (last.observedMetrics or {}).get(self.metric_name) is not None:
-            if last.batchId in self.batches(query) or time.monotonic() > deadline:
-                break
-            time.sleep(0.05)
+        if not query.isActive:
+            while time.monotonic() < deadline:
+                with self._lock:
+                    if run in self._terminated:
+                        break
+                time.sleep(0.05)
+        else:
+            reported = [x.batchId for x in query.recentProgress if (x.observedMetrics or {}).get(self.metric_name)]
+            while reported and max(reported) not in self.batches(query) and time.monotonic() < deadline:
+                time.sleep(0.05)
         with self._lock:
-            totals = dict(self._totals.get(str(query.runId), {}))
+            totals = dict(self._totals.get(run, {}))
         return metrics_from_observation(totals, rules)
 
 
