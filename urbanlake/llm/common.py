@@ -36,11 +36,14 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def bucket_blocks(members: DataFrame, keys: list[str], identity: str, block: int = BLOCK) -> DataFrame:
+def bucket_blocks(members: DataFrame, keys: list[str], identity: str, payload: DataFrame | None = None,
+                  block: int = BLOCK) -> DataFrame:
     """Candidate buckets cut into pairs of blocks, one row each.
 
-    ``members`` has the bucket's ``keys``, an ``identity`` column and a struct
-    ``m``.  A bucket of n members is dealt into ceil(n / block) blocks by the
+    ``members`` has the bucket's ``keys`` and an ``identity`` column; ``payload``
+    (identity and struct ``m``) is joined to those that share a bucket, so that
+    what shares none is never carried along; without it ``m`` is the identity.
+    A bucket of n members is dealt into ceil(n / block) blocks by the
     identity's hash; each pair of blocks becomes one row with the array
     ``members`` of structs ``(side, m)``, so that no row holds more than about
     two blocks however large the bucket is.  Each pair of members meets in
@@ -52,6 +55,7 @@ def bucket_blocks(members: DataFrame, keys: list[str], identity: str, block: int
              .withColumn("_blocks", blocks)
              .withColumn("_own", F.pmod(F.xxhash64(identity), F.col("_blocks")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))))
+    dealt = dealt.withColumn("m", F.struct(identity)) if payload is None else dealt.join(payload, identity)
     return (dealt.groupBy(*keys, F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"))
             .agg(F.collect_list(F.struct((F.col("_own") < F.col("_other")).cast("int").alias("first"),
                                          (F.col("_own") > F.col("_other")).cast("int").alias("second"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from urbanlake.llm import simhash
+from urbanlake.llm import pstable, quality, simhash
 from urbanlake.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,7 +18,41 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine 0.98 or more among all vectors of one label."""
+    return pstable.near_duplicates(read_table(spark, sf_dir, "embeddings"), min_cosine=0.98)
+
+
+#: Brute force: every pair of one label, then everything that links reach.
+ORACLE["op1_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+reach(x, y) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.c AS component_id, e.vec_id = c.c AS kept
+FROM embeddings e
+LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY x) n ON n.x = e.vec_id
+LEFT JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) c ON c.x = e.vec_id
+"""
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, links at 3 or fewer differing bits."""
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the log-likelihood ratio's verdict on every document."""
+    return quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

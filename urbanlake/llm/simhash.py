@@ -79,7 +79,7 @@ def close_links(fps: DataFrame, max_bits: int = 3, blocks: int = 5) -> DataFrame
     """
     masks = F.array(*[F.lit(_signed(m)) for m in block_masks(max_bits, blocks)])
     members = (fps.select("fp", F.posexplode(masks).alias("t", "mask"))
-               .select("t", F.col("fp").bitwiseAND(F.col("mask")).alias("block"), "fp", F.struct("fp").alias("m")))
+               .select("t", F.col("fp").bitwiseAND(F.col("mask")).alias("block"), "fp"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
