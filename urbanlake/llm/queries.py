@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.llm import mixing, pstable, quality, simhash
+from urbanlake.llm import licenses, mixing, pstable, quality, simhash, warc
 from urbanlake.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,17 @@ SELECT doc_id, size, source_size, target,
        (size * (whole + CASE WHEN rest > 0 AND (block_end <= rest OR upto - size / 2.0 <= rest) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM o
 """
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and fuzzy notices in every document."""
+    found = licenses.license_scan(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+                        F.size("spans").cast("long").alias("n_notices"))
+
+
+@query
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC files and read back through the merged index."""
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).drop("urlkey", "captured")
