@@ -111,3 +111,57 @@ def batches(rows: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[pa.Reco
     for b in rows:
         for at in range(0, b.num_rows, size):
             yield b.slice(at, size)
+
+
+class RaggedCache:
+    """Integer sequences by string, filled by ``encode(list of strings) -> list of sequences``.
+
+    Looks a batch's strings up at once and gathers their sequences without a
+    Python step for each integer.  When it holds more than ``most`` strings it
+    starts anew, so its memory stays bounded.
+    """
+
+    def __init__(self, encode, most: int = 300_000) -> None:
+        self.encode, self.most = encode, most
+        self._clear()
+
+    def _clear(self) -> None:
+        self.code: dict[str, int] = {}
+        self.flat = np.empty(1 << 16, dtype=np.int32)
+        self.start = np.empty(1 << 14, dtype=np.int64)
+        self.length = np.empty(1 << 14, dtype=np.int64)
+        self.used = 0
+
+    def _room(self, name: str, need: int) -> np.ndarray:
+        a = getattr(self, name)
+        if need > len(a):
+            a = np.concatenate([a, np.empty(max(need, 2 * len(a)) - len(a), dtype=a.dtype)])
+            setattr(self, name, a)
+        return a
+
+    def _add(self, strings: list[str]) -> None:
+        sequences = self.encode(strings)
+        sizes = np.array([len(s) for s in sequences], dtype=np.int64)
+        n, total = len(self.code), int(sizes.sum())
+        self._room("flat", self.used + total)[self.used:self.used + total] = np.concatenate(
+            [np.asarray(s, dtype=np.int32) for s in sequences]) if total else 0
+        self._room("start", n + len(strings))[n:n + len(strings)] = self.used + np.cumsum(sizes) - sizes
+        self._room("length", n + len(strings))[n:n + len(strings)] = sizes
+        self.used += total
+        self.code.update(zip(strings, range(n, n + len(strings)), strict=True))
+
+    def gather(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """All sequences one after the other, and how many integers each document has."""
+        if len(self.code) > self.most:
+            self._clear()
+        fresh = list(dict.fromkeys(s for d in documents for s in d if s not in self.code))
+        if fresh:
+            self._add(fresh)
+        counts = np.array([len(d) for d in documents], dtype=np.int64)
+        codes = np.fromiter((self.code[s] for d in documents for s in d), dtype=np.int64, count=int(counts.sum()))
+        sizes = self.length[codes]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(self.start[codes] - (ends - sizes), sizes) + np.arange(total)
+        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return self.flat[at], np.diff(upto)

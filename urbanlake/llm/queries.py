@@ -7,9 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.llm import licenses, mixing, pstable, quality, simhash, warc
+from urbanlake.llm import licenses, mixing, pieces, pstable, quality, simhash, tokenfile, warc
 from urbanlake.session import read_table
 
+
+def vocabulary(name: str) -> str:
+    """Path of one of the public tokenizers' files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -109,3 +117,15 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC files and read back through the merged index."""
     return warc.archive_round_trip(read_table(spark, sf_dir, "pages")).drop("urlkey", "captured")
+
+
+@query
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to packed files and read back."""
+    return tokenfile.token_files(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece ids as count and checksum, and whether they decode to the text."""
+    return pieces.digests(pieces.encode_documents(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")))
