@@ -81,6 +81,13 @@ class Pieces:
                    {i for i in every if sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)},
                    proto.trainer_spec.model_type == sentencepiece_model_pb2.TrainerSpec.BPE)
 
+    @classmethod
+    def restore(cls, state: dict) -> Pieces:
+        """From ``vars()`` of another one: plain values travel to tasks without this class."""
+        model = cls.__new__(cls)
+        model.__dict__.update(state)
+        return model
+
     @staticmethod
     def _key(piece: str) -> int:
         h = 0
@@ -220,10 +227,10 @@ def words_of(text: str) -> list[str]:
 
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """``doc_id, ids array<int>, round_trip``: piece ids and whether they decode to the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(Pieces.load(model_path))      # a vocabulary, of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(vars(Pieces.load(model_path)))      # a vocabulary, of fixed size
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Pieces.restore(shared.value)
         cache = RaggedCache(model.segment)
         for b in batches(rows):
             texts = [t.decode("utf-8", "replace") for t in b.column("utf8").to_pylist()]
@@ -240,11 +247,12 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
 
 def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
     """``doc_id, text`` from ``doc_id, ids``; null ids decode to an empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(Pieces.load(model_path))
+    shared = encoded.sparkSession.sparkContext.broadcast(vars(Pieces.load(model_path)))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Pieces.restore(shared.value)
         for b in batches(rows):
-            texts = [shared.value.decode(x or []) for x in b.column("ids").to_pylist()]
+            texts = [model.decode(x or []) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
