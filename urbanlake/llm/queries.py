@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.llm import licenses, mixing, pieces, pstable, quality, simhash, tokenfile, warc
+from urbanlake.llm import licenses, mixing, pieces, pstable, quality, simhash, tokenfile, toxicity, warc
 from urbanlake.session import read_table
 
 
@@ -129,3 +129,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's piece ids as count and checksum, and whether they decode to the text."""
     return pieces.digests(pieces.encode_documents(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score by the field learnt on the training fold."""
+    scored = toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"))
