@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.llm import licenses, mixing, pieces, pstable, quality, simhash, tokenfile, toxicity, warc
+from urbanlake.llm import licenses, lmscore, mixing, pieces, pstable, quality, simhash, tokenfile, toxicity, warc
 from urbanlake.session import read_table
 
 
@@ -137,3 +137,38 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"))
+
+
+@query
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's trigram backoff score by all other documents; rounded, as sums depend on their order."""
+    scored = lmscore.backoff_scores(read_table(spark, sf_dir, "documents"))
+    mean = F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).otherwise(F.lit(0.0))
+    return scored.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round(mean, 4).alias("mean_log_score"))
+
+
+ORACLE["op2_lm_scores"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS ws
+  FROM documents),
+t AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+g AS (SELECT doc_id, n, i, w AS g1,
+        lag(w) OVER o || ' ' || w AS g2, lag(w, 2) OVER o || ' ' || lag(w) OVER o || ' ' || w AS g3
+      FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+c1 AS (SELECT *, count(*) OVER (PARTITION BY g1) - count(*) OVER (PARTITION BY doc_id, g1) AS n1,
+              count(*) OVER () - n AS others FROM g),
+c2 AS (SELECT *, CASE WHEN g2 IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY g2) - count(*) OVER (PARTITION BY doc_id, g2) END AS n2 FROM c1),
+c3 AS (SELECT *, CASE WHEN g3 IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY g3) - count(*) OVER (PARTITION BY doc_id, g3) END AS n3 FROM c2),
+b AS (SELECT *, lag(n1) OVER o AS b1, lag(n2) OVER o AS b2, least(i, 3) AS m
+      FROM c3 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT doc_id, sum(CASE
+        WHEN n3 > 0 THEN ln(n3 / b2)
+        WHEN n2 > 0 THEN ln(n2 / b1) + (m - 2) * ln(0.4)
+        WHEN n1 > 0 THEN ln(n1 / others) + (m - 1) * ln(0.4)
+        ELSE ln(1.0 / (others + 1.0)) + m * ln(0.4) END) AS x
+      FROM b GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, round(coalesce(x, 0), 4) AS log_score,
+       round(CASE WHEN len(ws) > 0 THEN x / len(ws) ELSE 0 END, 4) AS mean_log_score
+FROM d LEFT JOIN s USING (doc_id)
+"""
