@@ -114,14 +114,14 @@ def batches(rows: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[pa.Reco
 
 
 class RaggedCache:
-    """Integer sequences by string, filled by ``encode(list of strings) -> list of sequences``.
+    """Integer sequences by string, filled by ``encode(strings) -> (integers one after the other, how many each)``.
 
     Looks a batch's strings up at once and gathers their sequences without a
     Python step for each integer.  When it holds more than ``most`` strings it
     starts anew, so its memory stays bounded.
     """
 
-    def __init__(self, encode, most: int = 300_000) -> None:
+    def __init__(self, encode, most: int = 500_000) -> None:
         self.encode, self.most = encode, most
         self._clear()
 
@@ -140,11 +140,9 @@ class RaggedCache:
         return a
 
     def _add(self, strings: list[str]) -> None:
-        sequences = self.encode(strings)
-        sizes = np.array([len(s) for s in sequences], dtype=np.int64)
-        n, total = len(self.code), int(sizes.sum())
-        self._room("flat", self.used + total)[self.used:self.used + total] = np.concatenate(
-            [np.asarray(s, dtype=np.int32) for s in sequences]) if total else 0
+        flat, sizes = self.encode(strings)
+        n, total = len(self.code), len(flat)
+        self._room("flat", self.used + total)[self.used:self.used + total] = flat
         self._room("start", n + len(strings))[n:n + len(strings)] = self.used + np.cumsum(sizes) - sizes
         self._room("length", n + len(strings))[n:n + len(strings)] = sizes
         self.used += total

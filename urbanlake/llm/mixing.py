@@ -215,9 +215,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget:
     """The rows of ``docs``, as often as the mix takes them, in their shards' partitions and order."""
     sized = saved(with_blocks(docs.select("doc_id", "source", "text"), blocks, seed).drop("text"), "mix-sizes")
     records = saved(source_records(sized, weights, budget, most, blocks, shards, seed), "mix-sources")
-    drawn = (with_blocks(docs, blocks, seed).join(records, "_key")
-             .select(*docs.columns, F.posexplode(_draws(blocks, most)).alias("_time", "_shard"),
-                     ))
-    order = F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0)), F.col("_time"), F.lit(seed))
-    return (drawn.withColumn("_order", order).repartition(shards, "_shard")
-            .sortWithinPartitions("_shard", "_order").select(*docs.columns))
+    rows = with_blocks(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), blocks, seed)
+    drawn = rows.join(records, "_key").select("row", F.posexplode(_draws(blocks, most)).alias("time", "shard"))
+    order = F.xxhash64(F.coalesce(F.col("row.doc_id"), F.lit(0)), F.col("time"), F.lit(seed))
+    return (drawn.withColumn("order", order).repartition(shards, "shard")
+            .sortWithinPartitions("shard", "order").select("row.*"))

@@ -52,6 +52,8 @@ class Pieces:
         keys = np.array([self._key(strings[i]) for i in usable], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys = keys[order]                                  # everything below is in this order
+        self.maybe = np.zeros(1 << 20, dtype=bool)               # by a hash's first 20 bits: whether a piece has them
+        self.maybe[self.keys >> np.uint64(44)] = True
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces share a hash")
         self.ids = np.array(usable, dtype=np.int32)[order]
@@ -97,8 +99,12 @@ class Pieces:
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         """Places of hashes among the pieces, -1 for others."""
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.where(self.keys[at] == h, at, -1)
+        out = np.full(h.shape, -1, dtype=np.int64)
+        hit = self.maybe[h >> np.uint64(44)]
+        some = h[hit]
+        at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        out[hit] = np.where(self.keys[at] == some, at, -1)
+        return out
 
     def _undo_merges(self, strings: list[str]) -> None:
         """Ranks of the pieces in merge order and, for each, the two pieces of its last merge.
@@ -152,17 +158,32 @@ class Pieces:
         return good
 
     def _steps(self, last: np.ndarray, found: np.ndarray) -> np.ndarray:
-        """0 where a found piece may follow the last one, else minus infinity."""
-        fine = (found >= 0) & (last != -2)
-        fine[fine] = self.made[found[fine]]
-        r, c = np.nonzero(fine & (last >= 0))
-        pairs, where = np.unique(last[r, c] * len(self.keys) + found[r, c], return_inverse=True)
+        """0 where a found piece may follow the last one, else minus infinity.
+
+        Only one piece can end at a place, so where the longest one found may
+        follow, the shorter ones are not looked at.
+        """
+        rows, out = np.arange(len(found)), np.full(found.shape, -np.inf)
+        longest = (found >= 0).argmax(axis=1)
+        sure = (found[rows, longest] >= 0) & self._follow(last[rows, longest], found[rows, longest])
+        out[rows[sure], longest[sure]] = 0.0
+        open_ = (found >= 0) & ~sure[:, None]
+        open_[rows, longest] = False
+        r, c = np.nonzero(open_)
+        out[r, c] = np.where(self._follow(last[r, c], found[r, c]), 0.0, -np.inf)
+        return out
+
+    def _follow(self, last: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """Whether each found piece can be made and stays the neighbour of the last one."""
+        fine = (found >= 0) & self.made[found]
+        pair = np.flatnonzero(fine & (last >= 0))
+        pairs, where = np.unique(last[pair] * len(self.keys) + found[pair], return_inverse=True)
         a, b = np.divmod(pairs, len(self.keys))
-        fine[r, c] = self._neighbours(a, b, np.full(len(a), np.iinfo(np.int64).max))[where]
-        return np.where(fine, 0.0, -np.inf)
+        fine[pair] = self._neighbours(a, b, np.full(len(a), np.iinfo(np.int64).max))[where]
+        return fine
 
-    def best(self, words: list[str]) -> list[np.ndarray]:
-        """The best segmentation of each word; all words have the same length."""
+    def best(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The best segmentations, one after the other, and their sizes; all words have the same length."""
         n, size = len(words), len(words[0])
         chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").reshape(n, size).astype(np.uint64)
         prefix = np.zeros((n, size + 1), dtype=np.uint64)
@@ -189,31 +210,41 @@ class Pieces:
             score[:, j] = total[rows, choice]
             taken[:, j] = lengths[choice]
             last[:, j] = found[rows, choice]
-        out = []
-        for r in range(n):
-            ids, j = [], size
-            while j > 0:
-                if last[r, j] >= 0:
-                    ids.append(int(self.ids[last[r, j]]))
-                else:
-                    ids.extend(self.byte_ids[b] for b in reversed(words[r][j - 1].encode()))
-                j -= int(taken[r, j])
-            out.append(np.array(ids[::-1], dtype=np.int32))
-        return out
-
-    def segment(self, words: list[str], cells: int = 1 << 18) -> list[np.ndarray]:
-        """Best segmentations of words of any lengths; ``cells`` bounds a group's characters."""
-        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(words)
-        by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(i)
-        for size, members in by_length.items():
-            step = max(1, cells // size)
-            for at in range(0, len(members), step):
-                part = members[at:at + step]
-                for i, ids in zip(part, self.best([words[i] for i in part]), strict=True):
-                    out[i] = ids
-        return out
+        back = np.zeros((n, size), dtype=np.int64)             # pieces from the word's end; unknown: minus their place
+        count, at, live, step = np.zeros(n, dtype=np.int64), np.full(n, size), rows, 0
+        while len(live):
+            here = at[live]
+            place = last[live, here]
+            back[live, size - 1 - step] = np.where(place >= 0, self.ids[place], -here)
+            count[live] += 1
+            at[live] = here - taken[live, here]
+            live, step = live[at[live] > 0], step + 1
+        flat = back[np.arange(size)[None, :] >= (size - count)[:, None]]
+        if (flat >= 0).all():
+            return flat.astype(np.int32), count
+        owner = np.repeat(rows, count)
+        each = [[int(x)] if x >= 0 else [self.byte_ids[b] for b in words[r][-int(x) - 1].encode()]
+                for x, r in zip(flat, owner, strict=True)]
+        sizes = np.bincount(owner, [len(x) for x in each], n).astype(np.int64)
+        return np.array([i for x in each for i in x], dtype=np.int32), sizes
+
+    def segment(self, words: list[str], cells: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+        """Best segmentations of words of any lengths, in order; ``cells`` bounds a group's characters."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        order = np.argsort(lengths, kind="stable")
+        flats, sizes, start = [], np.empty(len(words), dtype=np.int64), 0
+        while start < len(order):
+            size = int(lengths[order[start]])
+            end = int(np.searchsorted(lengths[order], size, side="right"))
+            end = min(end, start + max(1, cells // size))
+            flat, sizes[start:end] = self.best([words[i] for i in order[start:end].tolist()])
+            flats.append(flat)
+            start = end
+        flat = np.concatenate(flats) if flats else np.empty(0, np.int32)
+        starts, back = np.cumsum(sizes) - sizes, np.argsort(order, kind="stable")
+        ends = np.cumsum(sizes[back])
+        total = int(ends[-1]) if len(ends) else 0
+        return flat[np.repeat(starts[back] - (ends - sizes[back]), sizes[back]) + np.arange(total)], sizes[back]
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.utf8.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")

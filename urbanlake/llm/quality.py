@@ -99,9 +99,9 @@ def gram_weights(docs: DataFrame, labels: DataFrame, buckets: int, prior: float)
                                      / (all_target + F.lit(float(prior)))).alias("weight"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 16, prior: float = 1e6,
-                  threshold: float = -0.05) -> DataFrame:
-    """``doc_id``, the base counts, ``base_failed, score, kept``; one row per row of ``docs``."""
+def judged(docs: DataFrame, labels: DataFrame, carried: Column, buckets: int = 1 << 16, prior: float = 1e6,
+           threshold: float = -0.05) -> DataFrame:
+    """``row`` (the carried struct), the base counts, ``score, number, base_failed, kept``; one row per row of ``docs``."""
     spark = docs.sparkSession
     bins = spark.range(buckets).select(F.col("id").cast("int").alias("bin"))
     row = (bins.join(gram_weights(docs, labels, buckets, prior), "bin", "left")
@@ -112,15 +112,29 @@ def quality_rules(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 16, pr
     text = F.coalesce(F.col("text"), F.lit(""))
     without = lambda chars: F.length(F.translate(text, chars, ""))
     base = docs.select(
-        "doc_id", without(WHITE).cast("long").alias("word_chars"),
+        carried.alias("row"), without(WHITE).cast("long").alias("word_chars"),
         (F.length(text) - without(SYMBOLS)).cast("long").alias("n_symbols"),
         n_dup_lines(F.col("text")).alias("n_dup_lines"), words_of(F.col("text")).alias("words"))
-    counted = base.select("doc_id", "word_chars", "n_symbols", "n_dup_lines", F.size("words").cast("long").alias("n_words"),
+    counted = base.select("row", "word_chars", "n_symbols", "n_dup_lines", F.size("words").cast("long").alias("n_words"),
                           F.transform("words", lambda x: F.xxhash64(x)).alias("h"))
     hashed = counted.select("*", _chain_hash(F.col("h"), WINDOW).alias("windows"), weights.alias("weights"))
     scored = hashed.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", n_repeat_words(F.col("windows")).alias("n_repeat_words"),
+        "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", n_repeat_words(F.col("windows")).alias("n_repeat_words"),
         (F.aggregate(gram_bins(F.col("h"), buckets), F.lit(0.0), lambda a, x: a + F.get(F.col("weights"), x))
-         / F.greatest(2 * F.col("n_words") - 1, F.lit(1))).alias("score"))
+         / F.greatest(2 * F.col("n_words") - 1, F.lit(1))).alias("score"),
+        F.monotonically_increasing_id().alias("number"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= threshold))
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """``doc_id``, the base counts, ``base_failed, score, kept``; one row per row of ``docs``."""
+    found = judged(docs, labels, F.struct("doc_id"), **options)
+    return found.select("row.doc_id", *[c for c in found.columns if c not in ("row", "number")])
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The kept rows of ``docs``, as they are."""
+    # The row number keeps the filter above the arrays: pushed below, it would compute them anew for each element.
+    found = judged(docs, labels, F.struct("*"), **options)
+    return found.filter(F.col("kept") & (F.col("number") >= 0)).select("row.*")

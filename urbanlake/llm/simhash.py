@@ -50,14 +50,16 @@ def fingerprint(utf8: bytes, shingle: int, seed: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id, fp``: the fingerprint's 64 bits as a signed long."""
+    """``doc_id, text_hash, fp``: the fingerprint's 64 bits as a signed long; the hash tells rows of one id apart."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(rows):
             fps = [fingerprint(t, shingle, seed) for t in b.column("utf8").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(fps, pa.int64())],
+                                             ["doc_id", "text_hash", "fp"])
 
-    return text_bytes(docs).mapInArrow(run, "doc_id long, fp long")
+    return (text_bytes(docs).withColumn("text_hash", F.xxhash64("utf8"))
+            .mapInArrow(run, "doc_id long, text_hash long, fp long"))
 
 
 def block_masks(max_bits: int, blocks: int) -> list[int]:
@@ -103,19 +105,38 @@ def close_links(fps: DataFrame, max_bits: int = 3, blocks: int = 5) -> DataFrame
     return bucket_blocks(members, ["t", "block"], "fp").select("members").mapInArrow(run, "a long, b long")
 
 
+def fingerprint_components(docs: DataFrame, shingle: int, max_bits: int, seed: int, blocks: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and ``fp, first_doc, root`` with the smallest fingerprint that each reaches."""
+    fps = saved(fingerprints(docs, shingle, seed), "simhash-fps")
+    distinct = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "simhash-distinct")
+    comp = connected_components(close_links(distinct.select("fp"), max_bits, blocks), "simhash")
+    rooted = (distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
+              .select("fp", "first_doc", F.coalesce("component", "fp").alias("root")))
+    return fps, rooted
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42, blocks: int = 5) -> DataFrame:
     """``doc_id, fingerprint, component_id, kept`` for every row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` reachable, ``kept`` whether the
     row's own id is that one.
     """
-    fps = saved(fingerprints(docs, shingle, seed), "simhash-fps")
-    distinct = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "simhash-distinct")
-    comp = connected_components(close_links(distinct.select("fp"), max_bits, blocks), "simhash")
-    rooted = (distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "first_doc", F.coalesce("component", "fp").alias("root")))
+    fps, rooted = fingerprint_components(docs, shingle, max_bits, seed, blocks)
     ids = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     of_fp = rooted.join(ids, "root").select("fp", "component_id")
     return fps.join(of_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42, blocks: int = 5) -> DataFrame:
+    """One row of ``docs`` for each component, as it is: the smallest id's, and of several with that id the smallest text hash's."""
+    fps, rooted = fingerprint_components(docs, shingle, max_bits, seed, blocks)
+    best = (fps.join(rooted.select("fp", "root"), "fp").groupBy("root")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("b"))
+            .select(F.col("b.doc_id").alias("best_id"), F.col("b.text_hash").alias("best_hash")))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"),
+                       F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("own_hash"))
+    kept = rows.join(saved(best, "simhash-best"), F.col("own_id").eqNullSafe(F.col("best_id")) & (F.col("own_hash") == F.col("best_hash")),
+                     "left_semi")
+    return kept.dropDuplicates(["own_id", "own_hash"]).select("row.*")

@@ -30,6 +30,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -130,7 +131,13 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.cache = RaggedCache(lambda runs: [e.ids for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)])
+
+        def encode(runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids = [e.ids for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            return np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum())), sizes
+
+        self.cache = RaggedCache(encode)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         runs = [[r for r in t.decode("utf-8", "replace").replace("\n", " ").split(" ") if r] for t in texts]

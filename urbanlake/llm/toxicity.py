@@ -178,6 +178,12 @@ class Field:
             out[a:z] = Chains(part).marginals(e[a:z], self.move)[0]
         return out
 
+    def by_document(self, texts: list[str]) -> list[np.ndarray]:
+        """The marginals of each text's tokens; all texts' chains advance together."""
+        chains = [chains_of(t) for t in texts]
+        p = self.token_marginals([c for doc in chains for c in doc])
+        return np.split(p, np.cumsum([sum(map(len, doc)) for doc in chains])[:-1]) if texts else []
+
     @staticmethod
     def summary(p: np.ndarray) -> list[float]:
         """What a document's curve sees of its marginals."""
@@ -281,20 +287,33 @@ def score_documents(docs: DataFrame, field: Field | None) -> DataFrame:
         model = Field(*shared.value)
         for b in batches(rows):
             texts = [t.decode("utf-8", "replace") for t in b.column("utf8").to_pylist()]
-            chains = [chains_of(t) for t in texts]
-            p = model.token_marginals([c for doc in chains for c in doc])
-            ends = np.cumsum([sum(map(len, doc)) for doc in chains])
-            scores, spans = [], []
-            for t, doc, z in zip(texts, chains, ends, strict=True):
-                own = p[z - sum(map(len, doc)):z]
-                scores.append(model.document_score(own))
-                spans.append(find_spans(t, own))
+            each = model.by_document(texts)
+            scores = [model.document_score(p) for p in each]
+            spans = [find_spans(t, p) for t, p in zip(texts, each, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores, pa.float64()), pa.array(spans, SPANS)],
                                              ["doc_id", "score", "spans"])
 
     return text_bytes(docs).mapInArrow(run, "doc_id long, score double, spans array<struct<start:int,end:int,score:double>>")
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, toxic_sample: int = TOXIC_SAMPLE,
+                  clean_sample: int = CLEAN_SAMPLE) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, as they are."""
+    sample = training_sample(docs, labels, toxic_sample, clean_sample)
+    field = train([r["text"] for r in sample], [r["toxic"] for r in sample])
+    if field is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast((field.weights, field.move, field.curve))
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Field(*shared.value)
+        for b in batches(rows):
+            each = model.by_document([t or "" for t in b.column("text").to_pylist()])
+            yield b.filter(pa.array([model.document_score(p) < threshold for p in each], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
 
