@@ -12,9 +12,9 @@ The relations are kept in columns instead of one row for each n-gram:
 1. ``token_blocks``: the documents of a partition, in blocks of about
    ``BLOCK_TOKENS`` words, as places in the block's vocabulary of word hashes.
    Written once, so that the later steps see the same blocks.
-2. ``block_grams``: a block's distinct n-grams of all orders as sorted 64-bit
-   hashes with their counts, combined before the shuffle, and cut into ranges
-   of the hash: the exploded n-grams, partitioned by hash.
+2. ``block_grams``: a block's distinct n-grams of each order as sorted hashes
+   with their counts, combined before the shuffle, and cut into ranges of the
+   hash: the exploded n-grams, partitioned by hash.
 3. ``range_counts``: within a range of the hash, the count table of all blocks,
    joined back to each block's n-grams.  A frequent n-gram is one entry for
    each block, and a range holds about ``RANGE_GRAMS`` entries whatever the
@@ -22,8 +22,10 @@ The relations are kept in columns instead of one row for each n-gram:
 4. ``block_scores``: the counts of a block's ranges, in order, stand beside its
    sorted n-grams again; the words' scores are summed for each document.
 
-Numbers travel as byte planes (all first bytes, all second bytes, ...) of
-sorted hashes' differences, so their leading zeros cost nothing.
+Hashes have 26 bits more than the number of n-grams needs (60 at most), so two
+n-grams are taken for one about once in 2^26.  Numbers travel as byte planes
+(all first bytes, all second bytes, ...) of sorted hashes' differences, whose
+leading zeros cost nothing.
 
 Defined cases: words are what ASCII white space separates, A-Z lower-cased; a
 null or empty text has no word and score 0; a word that no other document holds
@@ -35,12 +37,12 @@ know each other; a null ``doc_id`` is scored.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +51,9 @@ from urbanlake.llm.common import batches, saved, text_bytes
 
 ORDER = 3
 ALPHA = 0.4
-BLOCK_TOKENS = 1_500_000
-RANGE_GRAMS = 3_000_000
+BLOCK_TOKENS = 1_000_000
+RANGE_GRAMS = 2_000_000
+SPARE_BITS, MOST_BITS = 26, 60
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -62,6 +65,15 @@ def numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    """Byte planes of numbers that are mostly small."""
+    return zstandard.compress(planes(x), 1)
+
+
+def loosened(data: bytes) -> np.ndarray:
+    return numbers(zstandard.decompress(data))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads every bit over the whole number."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -69,15 +81,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def gram_hashes(words: np.ndarray, lengths: np.ndarray, order: int) -> list[np.ndarray]:
-    """For each order, the hash of the n-gram that ends at each word, 0 where the document has too few before."""
-    within = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+def gram_hashes(words: np.ndarray, lengths: np.ndarray, order: int, bits: int = 64) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each order, the hash of the n-gram that ends at each word; and how many words of its document each word ends.
+
+    An order counts for a word only if its document has that many up to it.
+    """
+    within = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1
     out = [mix(words + np.uint64(1))]
     for n in range(2, order + 1):
         before = np.concatenate([[np.uint64(0)], out[-1][:-1]]) if len(words) else out[-1]
-        h = mix(before * np.uint64(0x9E3779B97F4A7C15) + out[0] + np.uint64(n))
-        out.append(np.where(within >= n - 1, h, np.uint64(0)))
-    return out
+        out.append(mix(before * np.uint64(0x9E3779B97F4A7C15) + out[0] + np.uint64(n)))
+    return [h >> np.uint64(64 - bits) for h in out], within
 
 
 BLOCK_SCHEMA = "block long, doc_ids array<long>, lengths array<int>, vocabulary binary, tokens binary"
@@ -96,7 +110,7 @@ def token_blocks(docs: DataFrame) -> DataFrame:
             hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in known), dtype=np.uint64, count=len(known))
             return pa.RecordBatch.from_pylist([{
                 "block": (part << 32) + seq, "doc_ids": doc_ids, "lengths": lengths, "vocabulary": hashes.tobytes(),
-                "tokens": zlib.compress(np.concatenate(tokens).astype("<i4").tobytes(), 1)}], schema=schema)
+                "tokens": squeezed(np.concatenate(tokens))}], schema=schema)
 
         for b in batches(rows):
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("utf8").to_pylist(), strict=True):
@@ -115,97 +129,113 @@ def token_blocks(docs: DataFrame) -> DataFrame:
     return saved(text_bytes(docs).mapInArrow(run, BLOCK_SCHEMA), "lm-blocks")
 
 
-def _block_grams(vocabulary: bytes, tokens: bytes, lengths: np.ndarray, order: int) -> list[np.ndarray]:
-    at = np.frombuffer(zlib.decompress(tokens), "<i4")
-    return gram_hashes(np.frombuffer(vocabulary, np.uint64)[at], lengths, order)
-
-
-def _range_bounds(ranges: int) -> np.ndarray:
-    """The first hash of each range but the first."""
-    return np.array([(i << 64) // ranges for i in range(1, ranges)], dtype=np.uint64)
+def _block_grams(block: dict, order: int, bits: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The hashes of each order, the words up to each one in its document, and the documents' lengths."""
+    lengths = np.array(block["lengths"], dtype=np.int64)
+    at = loosened(block["tokens"]).astype(np.int64)
+    return (*gram_hashes(np.frombuffer(block["vocabulary"], np.uint64)[at], lengths, order, bits), lengths)
 
 
-def block_grams(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
-    """``range, block, grams, counts``: a block's distinct n-grams in one range of the hash."""
+def block_grams(blocks: DataFrame, order: int, bits: int, ranges: int) -> DataFrame:
+    """``range, block, n, grams, counts``: a block's distinct n-grams of one order in one range of the hash."""
+    names = ["range", "block", "n", "grams", "counts"]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bounds = _range_bounds(ranges)
-        for b in rows:
-            for r in range(b.num_rows):
-                lengths = b.column("lengths")[r].values.to_numpy().astype(np.int64)
-                orders = _block_grams(b.column("vocabulary")[r].as_py(), b.column("tokens")[r].as_py(), lengths, order)
-                grams, counts = np.unique(np.concatenate([h[h != 0] for h in orders]), return_counts=True)
-                del orders
+        bounds = np.array([(i << bits) // ranges for i in range(1, ranges)], dtype=np.uint64)
+        for b in batches(rows, 1):
+            block = b.to_pylist()[0]
+            orders, within, _ = _block_grams(block, order, bits)
+            for n, h in enumerate(orders, 1):
+                grams, counts = np.unique(h[within >= n], return_counts=True)
                 cuts = [0, *np.searchsorted(grams, bounds).tolist(), len(grams)]
-                for k, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    if a < z:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([k], pa.int32()), b.column("block").slice(r, 1),
-                             pa.array([planes(np.diff(grams[a:z], prepend=np.uint64(0)))], pa.binary()),
-                             pa.array([planes(counts[a:z])], pa.binary())], ["range", "block", "grams", "counts"])
+                spans = [(k, a, z) for k, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < z]
+                for at in range(0, len(spans), 64):
+                    part = spans[at:at + 64]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k for k, _, _ in part], pa.int32()), pa.array([block["block"]] * len(part), pa.int64()),
+                         pa.array([n] * len(part), pa.int32()),
+                         pa.array([planes(np.diff(grams[a:z], prepend=np.uint64(0))) for _, a, z in part], pa.binary()),
+                         pa.array([squeezed(counts[a:z]) for _, a, z in part], pa.binary())], names)
 
-    return blocks.mapInArrow(run, "range int, block long, grams binary, counts binary")
+    return blocks.mapInArrow(run, "range int, block long, n int, grams binary, counts binary")
 
 
 def range_counts(grams: DataFrame) -> DataFrame:
-    """``block, range, totals``: for each block's n-grams of a range, in order, their counts over all blocks."""
+    """``block, range, n, totals``: for each block's n-grams of a range, in order, their counts over all blocks."""
 
     def run(table: pa.Table) -> pa.Table:
-        sizes, keys, counts = [], [], []
-        for g, c in zip(table.column("grams").to_pylist(), table.column("counts").to_pylist(), strict=True):
-            keys.append(np.cumsum(numbers(g), dtype=np.uint64))
-            counts.append(numbers(c).astype(np.int64))
-            sizes.append(len(keys[-1]))
-        distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.uint64)[place]
-        ends = np.cumsum(sizes)
-        return pa.table({"block": table.column("block"), "range": table.column("range"),
-                         "totals": pa.array([planes(total[z - n:z]) for n, z in zip(sizes, ends, strict=True)], pa.binary())})
-
-    return grams.groupBy("range").applyInArrow(run, "block long, range int, totals binary")
+        totals = [b""] * table.num_rows
+        order = table.column("n").to_numpy()
+        for n in np.unique(order):
+            at = np.flatnonzero(order == n)
+            part = table.take(pa.array(at))
+            keys = [np.cumsum(numbers(g), dtype=np.uint64) for g in part.column("grams").to_pylist()]
+            counts = np.concatenate([loosened(c) for c in part.column("counts").to_pylist()])
+            distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.bincount(place, counts, len(distinct)).astype(np.uint64)[place]
+            ends = np.cumsum([len(k) for k in keys])
+            for row, k, z in zip(at, keys, ends, strict=True):
+                totals[row] = squeezed(total[z - len(k):z])
+        return pa.table({"block": table.column("block"), "range": table.column("range"), "n": table.column("n"),
+                         "totals": pa.array(totals, pa.binary())})
+
+    return grams.groupBy("range").applyInArrow(run, "block long, range int, n int, totals binary")
+
+
+def seen_elsewhere(h: np.ndarray, doc: np.ndarray, totals: np.ndarray, leave_one_out: bool) -> np.ndarray:
+    """How often each position's n-gram is counted; ``totals`` has the distinct ones' counts in order of their hash.
+
+    A stable sort leaves the positions of equal n-grams in document order, so a
+    document's own are neighbours.
+    """
+    order = np.argsort(h, kind="stable")
+    s, d = h[order], doc[order]
+    new = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.empty(0, bool)
+    place = np.cumsum(new) - 1
+    if (place[-1] + 1 if len(s) else 0) != len(totals):
+        raise ValueError("the counts don't belong to this block")
+    count = totals[place]
+    if leave_one_out and len(s):
+        run = np.cumsum(new | np.concatenate([[True], d[1:] != d[:-1]])) - 1
+        count = count - np.bincount(run)[run]
+    out = np.empty(len(h), dtype=np.int64)
+    out[order] = count
+    return out
 
 
-def word_scores(orders: list[np.ndarray], lengths: np.ndarray, grams: np.ndarray, totals: np.ndarray, words: int,
+def word_scores(orders: list[np.ndarray], within: np.ndarray, lengths: np.ndarray, totals: list[np.ndarray], words: int,
                 alpha: float, leave_one_out: bool) -> np.ndarray:
     """The logarithm of each word's score."""
-    n = len(orders[0])
     doc = np.repeat(np.arange(len(lengths)), lengths)
-    others = words - (lengths[doc] if leave_one_out else np.zeros(n, np.int64))
-    available = np.minimum(np.arange(n) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1, len(orders))
-    seen = []
-    for h in orders:
-        real = h != 0
-        count = np.zeros(n, dtype=np.int64)
-        place = np.searchsorted(grams, h[real])
-        count[real] = totals[place]
-        if leave_one_out:
-            _, inverse, own = np.unique(place * len(lengths) + doc[real], return_inverse=True, return_counts=True)
-            count[real] -= own[inverse]
-        seen.append(count)
+    others = words - (lengths[doc] if leave_one_out else np.zeros(len(doc), np.int64))
+    available = np.minimum(within, len(orders))
     score = np.log(1.0 / (others + 1.0)) + available * math.log(alpha)
-    for k, count in enumerate(seen):                      # a longer context overrules a shorter one
+    shorter = others
+    for n, h in enumerate(orders, 1):                     # a longer context overrules a shorter one
+        real = within >= n
+        count = np.zeros(len(doc), dtype=np.int64)
+        count[real] = seen_elsewhere(h[real], doc[real], totals[n - 1], leave_one_out)
         hit = count > 0
-        below = others if k == 0 else np.concatenate([[0], seen[k - 1][:-1]])
-        score[hit] = np.log(count[hit] / below[hit]) + (available[hit] - (k + 1)) * math.log(alpha)
+        below = others if n == 1 else np.concatenate([[0], shorter[:-1]])
+        score[hit] = np.log(count[hit] / below[hit]) + (available[hit] - n) * math.log(alpha)
+        shorter = count
     return score
 
 
-def block_scores(blocks: DataFrame, totals: DataFrame, words: int, order: int, alpha: float, leave_one_out: bool) -> DataFrame:
+def block_scores(blocks: DataFrame, totals: DataFrame, words: int, order: int, bits: int, alpha: float,
+                 leave_one_out: bool) -> DataFrame:
     def run(block: pa.Table, ranges: pa.Table) -> pa.Table:
-        doc_ids, lengths, scores = [], [], []
-        for r in range(block.num_rows):                    # one
-            size = block.column("lengths")[r].values.to_numpy().astype(np.int64)
-            orders = _block_grams(block.column("vocabulary")[r].as_py(), block.column("tokens")[r].as_py(), size, order)
-            grams = np.unique(np.concatenate([h[h != 0] for h in orders]))
-            parts = ranges.sort_by("range").column("totals").to_pylist()
-            total = np.concatenate([numbers(x) for x in parts]).astype(np.int64) if parts else np.empty(0, np.int64)
-            each = word_scores(orders, size, grams, total, words, alpha, leave_one_out)
-            doc = np.repeat(np.arange(len(size)), size)
-            doc_ids.append(block.column("doc_ids")[r].values)
-            lengths.append(size)
-            scores.append(np.bincount(doc, each, len(size)) if len(size) else np.empty(0))
-        return pa.table({"doc_id": pa.concat_arrays(doc_ids), "n_words": pa.array(np.concatenate(lengths)),
-                         "log_score": pa.array(np.concatenate(scores))})
+        block = block.to_pylist()[0]
+        orders, within, lengths = _block_grams(block, order, bits)
+        ranges = ranges.sort_by([("n", "ascending"), ("range", "ascending")])
+        of, data = ranges.column("n").to_pylist(), ranges.column("totals").to_pylist()
+        total = []
+        for n in range(1, order + 1):
+            parts = [loosened(x).astype(np.int64) for k, x in zip(of, data, strict=True) if k == n]
+            total.append(np.concatenate(parts) if parts else np.empty(0, np.int64))
+        each = word_scores(orders, within, lengths, total, words, alpha, leave_one_out)
+        return pa.table({"doc_id": pa.array(block["doc_ids"], pa.int64()), "n_words": pa.array(lengths),
+                         "log_score": pa.array(np.bincount(np.repeat(np.arange(len(lengths)), lengths), each, len(lengths)))})
 
     return (blocks.groupBy("block").cogroup(totals.groupBy("block"))
             .applyInArrow(run, "doc_id long, n_words long, log_score double"))
@@ -215,6 +245,7 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, le
     """``doc_id, n_words, log_score``: a row for each row of ``docs (doc_id, text)``."""
     blocks = token_blocks(docs)
     words = blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    bits = min(MOST_BITS, (words * order).bit_length() + SPARE_BITS)
     ranges = max(1, -(-words * order // RANGE_GRAMS))
-    totals = range_counts(block_grams(blocks, order, ranges))
-    return block_scores(blocks, totals, words, order, alpha, leave_one_out)
+    totals = range_counts(block_grams(blocks, order, bits, ranges))
+    return block_scores(blocks, totals, words, order, bits, alpha, leave_one_out)
