@@ -1,0 +1,117 @@
+"""Embedding and SimHash near-duplicates against brute force."""
+
+import numpy as np
+import pytest
+from brute import ODD, components, simhash
+from pyspark.sql import functions as F
+
+from urbanlake.llm import common, pstable, simhash as sh
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def brute_vectors(rows, least=0.98):
+    def good(r):
+        return (r[2] is not None and r[1] is not None and len(r[1]) > 0
+                and all(x is not None and np.isfinite(x) for x in r[1]) and any(r[1]))
+
+    def linked(i, j):
+        a, b = rows[i], rows[j]
+        if not (good(a) and good(b) and a[2] == b[2] and len(a[1]) == len(b[1])):
+            return False
+        x, y = np.array(a[1], dtype=np.float32).astype(float), np.array(b[1], dtype=np.float32).astype(float)
+        return x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= least
+
+    n = len(rows)
+    links = [sum(linked(i, j) for j in range(n) if j != i) for i in range(n)]
+    root = components(n, linked)
+    ids = [min((rows[k][0] for k in range(n) if root[k] == root[i] and rows[k][0] is not None), default=None) for i in range(n)]
+    return sorted(((r[0], k, c, r[0] is not None and r[0] == c) for r, k, c in zip(rows, links, ids, strict=True)), key=str)
+
+
+def near(rng, base, angle):
+    """A vector at about cosine 1 - angle to the base."""
+    noise = rng.standard_normal(len(base))
+    return (base + np.linalg.norm(base) * np.sqrt(2 * angle) * noise / np.linalg.norm(noise)).tolist()
+
+
+@pytest.mark.parametrize("block", [1000, 7])
+def test_links_and_components_match_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(common, "BLOCK", block)
+    monkeypatch.setattr(common.bucket_blocks, "__defaults__", (None, block))
+    rng = np.random.default_rng(5)
+    rows = []
+    for label in (1, 2, None):
+        for _ in range(4):
+            base = rng.standard_normal(16)
+            for k in range(12):
+                rows.append((len(rows), near(rng, base, 0.004 * k), label))
+    rows += [(len(rows) + i, rows[3][1], 1) for i in range(9)]                   # copies
+    rows += [(900, None, 1), (901, [], 1), (902, [0.0] * 16, 1), (903, [float("nan")] * 16, 1),
+             (904, [float("inf")] + [1.0] * 15, 1), (905, [None] + [1.0] * 15, 1), (906, [1.0, 2.0], 1), (907, [2.0, 4.0], 1),
+             (907, [2.0, 4.0], 1), (None, [2.0, 4.0], 1), (908, [1e30] * 16, 2), (909, [1e-30] * 16, 2)]
+    df = spark.createDataFrame(rows, VECTORS).withColumn("cid", F.lit(1)).withColumn("n", F.lit(2))
+    got = sorted((tuple(r) for r in pstable.near_duplicates(df).collect()), key=str)
+    assert got == brute_vectors(rows)
+    assert sum(k for _, k, _, _ in got) > 250
+
+
+def test_no_vectors(spark):
+    assert pstable.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
+
+
+def test_simhash_matches_brute_force(make):
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(400)]
+    rows = list(ODD)
+    for _ in range(6):
+        base = rng.choice(words, 300).tolist()
+        for _ in range(8):
+            text = base.copy()
+            for at in rng.integers(0, 300, rng.integers(0, 4)):
+                text[at] = rng.choice(words)
+            rows.append((len(rows) + 100, " ".join(text), "a"))
+    fps = [simhash(t) for _, t, _ in rows]
+    root = components(len(rows), lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 3)
+    ids = [min((rows[k][0] for k in range(len(rows)) if root[k] == root[i] and rows[k][0] is not None), default=None)
+           for i in range(len(rows))]
+    want = sorted(((r[0], f"{f:016x}", c, r[0] is not None and r[0] == c) for r, f, c in zip(rows, fps, ids, strict=True)), key=str)
+    docs = make(rows)
+    assert sorted((tuple(r) for r in sh.near_duplicates(docs).collect()), key=str) == want
+    kept = sh.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for c in ids if c is not None})
+
+
+def test_close_fingerprints_always_share_a_choice_of_blocks():
+    rng = np.random.default_rng(1)
+    for blocks in (4, 5, 6):
+        masks = sh.block_masks(3, blocks)
+        for _ in range(200):
+            flips = sum(1 << int(b) for b in rng.choice(64, 3, replace=False))
+            assert any(flips & m == 0 for m in masks)
+
+
+def test_links_inside_a_large_bucket(spark):
+    """A bucket of many close fingerprints, cut into pairs of small blocks."""
+    fps = [1 << 63 | k for k in range(64)]
+    df = spark.createDataFrame([(f - (1 << 64),) for f in fps], "fp long")
+    members = df.select(F.lit(0).alias("t"), F.lit(0).alias("block"), "fp")
+    rows = common.bucket_blocks(members, ["t", "block"], "fp", block=5).collect()
+    met = [(a.m.fp, b.m.fp) for r in rows for i, a in enumerate(r.members) for b in r.members[:i]
+           if (a.first, a.second) != (b.first, b.second) or not (a.first or a.second)]
+    assert len({frozenset(p) for p in met}) == len(met) == 64 * 63 // 2
+    edges = sh.close_links(df)
+    comp = {r.node: r.component for r in common.connected_components(edges, "test").collect()}
+    assert set(comp.values()) == {min(f - (1 << 64) for f in fps)} and len(comp) == 64
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(200, 100), (7, 7)], "a long, b long")
+    got = {r.node: r.component for r in common.connected_components(edges, "chain").collect()}
+    assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100}
+
+
+def test_no_documents(make):
+    none = make([(1, "x", "a")]).limit(0)
+    assert sh.near_duplicates(none).count() == 0 and sh.one_of_each(none).count() == 0

@@ -49,6 +49,7 @@ CLEAN_CHAINS = 3
 LIFT = 10.0
 DOUBT = 0.05
 PENALTY = 0.5
+FAINT = 0.1
 DIMENSIONS = 1 << 18
 CHAIN = 64
 STEPS = 60
@@ -186,9 +187,10 @@ class Field:
 
     @staticmethod
     def summary(p: np.ndarray) -> list[float]:
-        """What a document's curve sees of its marginals."""
+        """What a document's curve sees of its marginals: those below FAINT add nothing, however many there are."""
         if not len(p):
             return [1.0, 0.0, 0.0, 0.0]
+        p = np.where(p >= FAINT, p, 0.0)
         return [1.0, float(p.max()), float(np.log1p(p.sum())), float(np.log1p(1e4 * p.mean()))]
 
     def document_score(self, p: np.ndarray) -> float:
