@@ -11,7 +11,8 @@ The relations are kept in columns instead of one row for each n-gram:
 
 1. ``token_blocks``: the documents of a partition, in blocks of about
    ``BLOCK_TOKENS`` words, as places in the block's vocabulary of word hashes.
-   Written once, so that the later steps see the same blocks.
+   Written once as a table bucketed by block, so that the later steps see the
+   same blocks and step 4 doesn't shuffle them.
 2. ``block_grams``: a block's distinct n-grams of each order as sorted hashes
    with their counts, combined before the shuffle, and cut into ranges of the
    hash: the exploded n-grams, partitioned by hash.
@@ -24,8 +25,8 @@ The relations are kept in columns instead of one row for each n-gram:
 
 Hashes have 26 bits more than the number of n-grams needs (60 at most), so two
 n-grams are taken for one about once in 2^26.  Numbers travel as byte planes
-(all first bytes, all second bytes, ...) of sorted hashes' differences, whose
-leading zeros cost nothing.
+(all first bytes, all second bytes, ...) of sorted hashes' differences, each
+compressed by itself, so their leading zeros cost nothing.
 
 Defined cases: words are what ASCII white space separates, A-Z lower-cased; a
 null or empty text has no word and score 0; a word that no other document holds
@@ -37,6 +38,8 @@ know each other; a null ``doc_id`` is scored.
 from __future__ import annotations
 
 import math
+import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +50,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlake.llm.common import batches, saved, text_bytes
+from urbanlake.llm.common import batches, text_bytes
+from urbanlake.session import work_path
 
 ORDER = 3
 ALPHA = 0.4
@@ -57,21 +61,18 @@ SPARE_BITS, MOST_BITS = 26, 60
 
 
 def planes(x: np.ndarray) -> bytes:
-    """64-bit numbers as eight planes of bytes, the lowest first."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit numbers as eight planes of bytes, the lowest first, each compressed by itself; before them their sizes."""
+    each = [zstandard.compress(p.tobytes(), 1) for p in x.astype("<u8").view(np.uint8).reshape(-1, 8).T]
+    return struct.pack("<8I", *map(len, each)) + b"".join(each)
 
 
 def numbers(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
-
-
-def squeezed(x: np.ndarray) -> bytes:
-    """Byte planes of numbers that are mostly small."""
-    return zstandard.compress(planes(x), 1)
-
-
-def loosened(data: bytes) -> np.ndarray:
-    return numbers(zstandard.decompress(data))
+    sizes, at = struct.unpack_from("<8I", data), 32
+    each = []
+    for size in sizes:
+        each.append(np.frombuffer(zstandard.decompress(data[at:at + size]), np.uint8))
+        at += size
+    return np.stack(each, axis=1).view("<u8").ravel()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -110,7 +111,7 @@ def token_blocks(docs: DataFrame) -> DataFrame:
             hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in known), dtype=np.uint64, count=len(known))
             return pa.RecordBatch.from_pylist([{
                 "block": (part << 32) + seq, "doc_ids": doc_ids, "lengths": lengths, "vocabulary": hashes.tobytes(),
-                "tokens": squeezed(np.concatenate(tokens))}], schema=schema)
+                "tokens": planes(np.concatenate(tokens))}], schema=schema)
 
         for b in batches(rows):
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("utf8").to_pylist(), strict=True):
@@ -126,13 +127,16 @@ def token_blocks(docs: DataFrame) -> DataFrame:
         if doc_ids:
             yield block()
 
-    return saved(text_bytes(docs).mapInArrow(run, BLOCK_SCHEMA), "lm-blocks")
+    spark, table = docs.sparkSession, f"urbanlake_lm_blocks_{uuid.uuid4().hex}"
+    (text_bytes(docs).mapInArrow(run, BLOCK_SCHEMA).write.format("parquet").option("path", work_path(spark, "llm-lm-blocks"))
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(table))
+    return spark.table(table)
 
 
 def _block_grams(block: dict, order: int, bits: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """The hashes of each order, the words up to each one in its document, and the documents' lengths."""
     lengths = np.array(block["lengths"], dtype=np.int64)
-    at = loosened(block["tokens"]).astype(np.int64)
+    at = numbers(block["tokens"]).astype(np.int64)
     return (*gram_hashes(np.frombuffer(block["vocabulary"], np.uint64)[at], lengths, order, bits), lengths)
 
 
@@ -155,7 +159,7 @@ def block_grams(blocks: DataFrame, order: int, bits: int, ranges: int) -> DataFr
                         [pa.array([k for k, _, _ in part], pa.int32()), pa.array([block["block"]] * len(part), pa.int64()),
                          pa.array([n] * len(part), pa.int32()),
                          pa.array([planes(np.diff(grams[a:z], prepend=np.uint64(0))) for _, a, z in part], pa.binary()),
-                         pa.array([squeezed(counts[a:z]) for _, a, z in part], pa.binary())], names)
+                         pa.array([planes(counts[a:z]) for _, a, z in part], pa.binary())], names)
 
     return blocks.mapInArrow(run, "range int, block long, n int, grams binary, counts binary")
 
@@ -170,12 +174,12 @@ def range_counts(grams: DataFrame) -> DataFrame:
             at = np.flatnonzero(order == n)
             part = table.take(pa.array(at))
             keys = [np.cumsum(numbers(g), dtype=np.uint64) for g in part.column("grams").to_pylist()]
-            counts = np.concatenate([loosened(c) for c in part.column("counts").to_pylist()])
+            counts = np.concatenate([numbers(c) for c in part.column("counts").to_pylist()])
             distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
             total = np.bincount(place, counts, len(distinct)).astype(np.uint64)[place]
             ends = np.cumsum([len(k) for k in keys])
             for row, k, z in zip(at, keys, ends, strict=True):
-                totals[row] = squeezed(total[z - len(k):z])
+                totals[row] = planes(total[z - len(k):z])
         return pa.table({"block": table.column("block"), "range": table.column("range"), "n": table.column("n"),
                          "totals": pa.array(totals, pa.binary())})
 
@@ -231,7 +235,7 @@ def block_scores(blocks: DataFrame, totals: DataFrame, words: int, order: int, b
         of, data = ranges.column("n").to_pylist(), ranges.column("totals").to_pylist()
         total = []
         for n in range(1, order + 1):
-            parts = [loosened(x).astype(np.int64) for k, x in zip(of, data, strict=True) if k == n]
+            parts = [numbers(x).astype(np.int64) for k, x in zip(of, data, strict=True) if k == n]
             total.append(np.concatenate(parts) if parts else np.empty(0, np.int64))
         each = word_scores(orders, within, lengths, total, words, alpha, leave_one_out)
         return pa.table({"doc_id": pa.array(block["doc_ids"], pa.int64()), "n_words": pa.array(lengths),
