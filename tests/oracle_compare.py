@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
+import decimal
+from collections import Counter
 
 import duckdb
-import pandas as pd
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -20,55 +20,37 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _canon(v):
-    if v is None or v is pd.NA or v is pd.NaT:
+    """One spelling for each value: numbers as numbers, NaN apart from NULL."""
+    if v is None:
         return "NULL"
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "NULL"
-        return repr(float(v))
-    if isinstance(v, (pd.Timestamp, dt.datetime)):
-        if pd.isna(v):
-            return "NULL"
-        return pd.Timestamp(v).isoformat()
-    if isinstance(v, dt.date):
-        return pd.Timestamp(v).isoformat()
-    if hasattr(v, "item"):
-        return _canon(v.item())
     if isinstance(v, bool):
         return str(int(v))
-    if isinstance(v, int):
-        # pandas turns a nullable bigint from Spark into float64: compare numbers as numbers
+    if isinstance(v, (int, float, decimal.Decimal)):
         return repr(float(v))
+    if isinstance(v, dt.datetime):
+        return v.isoformat()
+    if isinstance(v, dt.date):
+        return dt.datetime(v.year, v.month, v.day).isoformat()
     return str(v)
 
 
-def canon_rows(df: pd.DataFrame) -> list[tuple]:
-    cols = sorted(df.columns)
-    rows = []
-    for rec in df[cols].itertuples(index=False, name=None):
-        rows.append(tuple(_canon(x) for x in rec))
-    return sorted(rows)
-
-
-def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> dict:
-    out = {"spark_rows": len(spark_pdf), "oracle_rows": len(duck_pdf),
-           "spark_cols": sorted(spark_pdf.columns), "oracle_cols": sorted(duck_pdf.columns)}
-    out["cols_match"] = out["spark_cols"] == out["oracle_cols"]
-    out["rows_match"] = len(spark_pdf) == len(duck_pdf)
-    if out["cols_match"]:
-        a, b = canon_rows(spark_pdf), canon_rows(duck_pdf)
-        from collections import Counter
-        ca, cb = Counter(a), Counter(b)
-        diff_a = list((ca - cb).elements())
-        diff_b = list((cb - ca).elements())
-        out["values_match"] = a == b
-        out["examples"] = {"spark_only": diff_a[:3], "oracle_only": diff_b[:3], "cols": sorted(spark_pdf.columns)}
-    else:
-        out["values_match"] = False
-    return out
+def canon_rows(columns: list[str], rows) -> list[tuple]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(_canon(r[i]) for i in order) for r in rows)
 
 
 def run(spark, name: str, sf_dir: str, queries, oracle) -> dict:
-    sp = queries[name](spark, sf_dir).toPandas()
-    od = duck(sf_dir).execute(oracle[name]).df()
-    return compare(sp, od)
+    df = queries[name](spark, sf_dir)
+    ours = df.collect()
+    con = duck(sf_dir)
+    cursor = con.execute(oracle[name])
+    columns = [c[0] for c in cursor.description]
+    theirs = cursor.fetchall()
+    out = {"spark_rows": len(ours), "oracle_rows": len(theirs), "spark_cols": sorted(df.columns), "oracle_cols": sorted(columns)}
+    out["cols_match"], out["rows_match"] = out["spark_cols"] == out["oracle_cols"], len(ours) == len(theirs)
+    a, b = canon_rows(df.columns, ours), canon_rows(columns, theirs)
+    out["values_match"] = out["cols_match"] and a == b
+    ca, cb = Counter(a), Counter(b)
+    out["examples"] = {"spark_only": list((ca - cb).elements())[:3], "oracle_only": list((cb - ca).elements())[:3],
+                       "cols": sorted(df.columns)}
+    return out

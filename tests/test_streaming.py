@@ -7,7 +7,7 @@ from urbanlake.operators.expectations import SILVER_EXPECTATIONS, apply_expectat
 from urbanlake.operators.gold import gold_day
 from urbanlake.operators.silver import project_bronze
 from urbanlake.plans.catalog import sr
-from urbanlake.sources.csv import infer_bronze_schema, read_bronze_batch, write_bronze_csv
+from urbanlake.sources.csv import CSV_OPTIONS, infer_bronze_schema, read_bronze_batch, read_schema, write_bronze_csv
 from urbanlake.streaming import ingest as st
 from urbanlake.streaming.refresh import TablePaths, refresh, refresh_gold_incremental
 
@@ -45,14 +45,14 @@ def test_bad_text_becomes_null(spark, tmp_dir):
     lines = [header, 'C1,S1,abc,10,not a date,Trafik Sayacı,Cadde,"Okul, Park",12.5,,,']
     spark.sparkContext.parallelize(["\n".join(lines)], 1).saveAsTextFile(path)
     r = project_bronze(read_bronze_batch(spark, path), processed_at=False).first()
-    assert r.latitude is None and r.event_timestamp is None and r.vehicle_count is None
+    assert r.latitude is None and r.event_timestamp is None and r.vehicle_count == 12
     assert r.longitude == 10.0 and r.nearby_services == "Okul, Park"
     from urbanlake.operators.silver import castable_expectations
 
     m = {x.expectation: (x.passed, x.failed) for x in dq_metrics(read_bronze_batch(spark, path),
                                                                 castable_expectations()).collect()}
     assert m["castable_latitude"] == (0, 1) and m["castable_event_timestamp"] == (0, 1)
-    assert m["castable_vehicle_count"] == (0, 1) and m["castable_longitude"] == (1, 0)
+    assert m["castable_vehicle_count"] == (1, 0) and m["castable_longitude"] == (1, 0)
     assert m["castable_energy_kwh"] == (1, 0)          # empty field: missing, not malformed
 
 
@@ -116,21 +116,30 @@ def test_continuous_query_picks_up_new_files(spark, tmp_dir):
         q.stop()
 
 
-def test_header_drift_fails_loudly_and_header_only_file_is_empty(spark, tmp_dir):
+def test_columns_by_name_and_malformed_rows(spark, tmp_dir):
     import pytest
 
     from urbanlake.schemas import BRONZE_HEADERS
 
     row = ["C1", "S1", "10", "10", "2024-01-01 00:00:00", "Trafik Sayacı", "Cadde", "Park", "1", "", "", ""]
     cases = {"missing": (BRONZE_HEADERS[:-1], [row[:-1]]), "extra": (BRONZE_HEADERS + ["Extra"], [row + ["x"]]),
-             "empty": (BRONZE_HEADERS, [])}
+             "reordered": (BRONZE_HEADERS[::-1], [row[::-1]]), "empty": (BRONZE_HEADERS, []),
+             "mixed": (BRONZE_HEADERS, [row]), "short": (BRONZE_HEADERS, [row, row[:5], row + ["x"]])}
     for name, (header, rows) in cases.items():
         text = "\n".join([",".join(header)] + [",".join(r) for r in rows])
         spark.sparkContext.parallelize([text], 1).saveAsTextFile(f"{tmp_dir}/{name}")
     assert read_bronze_batch(spark, f"{tmp_dir}/empty").count() == 0
-    for name in ("missing", "extra"):
-        with pytest.raises(Exception):
-            read_bronze_batch(spark, f"{tmp_dir}/{name}").collect()
+    want = [x or None for x in row]
+    for name in ("missing", "extra", "reordered"):
+        r = read_bronze_batch(spark, f"{tmp_dir}/{name}").first()
+        assert [r[h] for h in BRONZE_HEADERS] == want
+        assert r["_extra"] == ('{"Extra":"x"}' if name == "extra" else None) and r["_corrupt_record"] is None
+    bad = [r["_corrupt_record"] for r in read_bronze_batch(spark, f"{tmp_dir}/short").collect()]
+    assert [b is not None for b in bad] == [False, True, True]
+    # files of one folder that don't agree on their header fail
+    spark.sparkContext.parallelize(["\n".join([",".join(BRONZE_HEADERS[::-1]), ",".join(row)])], 1).saveAsTextFile(f"{tmp_dir}/mixed/b")
+    with pytest.raises(Exception):
+        spark.read.schema(read_schema(BRONZE_HEADERS)).options(**CSV_OPTIONS).csv([f"{tmp_dir}/mixed", f"{tmp_dir}/mixed/b"]).collect()
 
 
 def test_restart_after_stop_resumes_without_duplicates(spark, tmp_dir):
@@ -151,21 +160,72 @@ def test_restart_after_stop_resumes_without_duplicates(spark, tmp_dir):
     assert out.distinct().count() == rows.select([F.col(c).cast("string") for c in rows.columns]).distinct().count()
 
 
-def test_incremental_semi_join_fallback_matches_pruned_path(spark, tmp_dir, monkeypatch):
-    import urbanlake.streaming.refresh as rf
+def test_touched_days_apart_and_without_a_day(spark, tmp_dir):
+    """Days between the first and the last one that no new row touches stay out; rows without a time are a day of their own."""
+    from urbanlake.streaming.refresh import touched_silver
+
+    rows = sr(spark, SF_SMALL).drop("event_id").withColumn(
+        "event_timestamp", F.when(F.col("sensor_id") != "S1", F.col("event_timestamp")))
+    path = f"{tmp_dir}/silver"
+    rows.withColumn("event_date", F.to_date("event_timestamp")).write.partitionBy("event_date").parquet(path)
+    for days, without in (([3, 7], False), ([5], True), ([], True)):
+        new = rows.filter(F.dayofmonth("event_timestamp").isin(days) | (F.col("event_timestamp").isNull() & F.lit(without)))
+        got = touched_silver(spark, path, new)
+        assert got.count() == new.count() and got.exceptAll(new.select(got.columns)).count() == 0
+        assert "MAX_PRUNED" not in got._jdf.queryExecution().toString()
+
+
+def test_lost_counters_raise(spark, tmp_dir):
+    import pytest
 
-    rows = sr(spark, SF_SMALL).drop("event_id")
     p = TablePaths(tmp_dir)
-    write_bronze_csv(rows, p.source)
+    write_bronze_csv(sr(spark, SF_SMALL).drop("event_id"), p.source)
     st.wait(st.start_bronze(spark, p.source, p.bronze, p.bronze_ckpt))
-    st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True))
-    new = rows.filter(F.dayofmonth("event_timestamp").isin(3, 7))
-    pruned = rf.touched_silver(spark, p.silver, new)
-    monkeypatch.setattr(rf, "MAX_PRUNED_DAYS", 0)
-    joined = rf.touched_silver(spark, p.silver, new)
-    assert "BroadcastHashJoin" in joined._jdf.queryExecution().toString()
-    assert joined.count() == pruned.count() > 0
-    assert joined.exceptAll(pruned).count() == 0
+    counters = st.quality_counters(spark)
+    sq = st.wait(st.start_silver(spark, p.bronze, p.silver, p.silver_ckpt))
+    assert sum(ps for _, _, ps, _ in counters.metrics(sq)) > 0
+    run = str(sq.runId)
+    with counters._lock:
+        counters._terminated.discard(run)
+    with pytest.raises(TimeoutError):
+        counters.metrics(sq, timeout_s=0.3)
+    with counters._lock:
+        counters._terminated.add(run)
+        del counters._totals[run]["valid_latitude__passed"]
+    with pytest.raises(RuntimeError, match="valid_latitude"):
+        counters.metrics(sq)
+
+
+def test_silver_files_of_a_day_are_few_and_tables_carry_comments(spark, tmp_dir):
+    from urbanlake.sources.tables import TABLES, table_comment
+
+    p = TablePaths(tmp_dir)
+    write_bronze_csv(sr(spark, SF_SMALL).drop("event_id"), p.source, files=6)
+    out = refresh(spark, p.source, tmp_dir, scale=2, incremental=True)
+    silver = spark.read.parquet(p.silver)
+    files = silver.select("event_date", F.input_file_name().alias("f")).distinct().groupBy("event_date").count()
+    assert files.agg(F.max("count")).first()[0] <= st.FILES_PER_DAY
+    assert table_comment(silver) == TABLES["silver"].comment
+    assert table_comment(spark.read.parquet(p.bronze)) == TABLES["bronze"].comment
+    assert dict((n, f) for n, _, _, f in out["castable_metrics"])["well_formed"] == 0
+    full = gold_day(silver, scale=2)
+    got = spark.read.parquet(f"{tmp_dir}/gold_day_by_day").select(*full.columns)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+
+
+def test_a_failed_view_leaves_the_old_one(spark, tmp_dir):
+    import pytest
+
+    from urbanlake.operators.gold import write_clustered
+
+    path = f"{tmp_dir}/view"
+    write_clustered(spark.range(10).withColumn("k", F.col("id") % 3), path, ["k"])
+    bad = spark.range(10).withColumn("k", F.when(F.col("id") == 7, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("bigint"))
+    with pytest.raises(Exception):
+        write_clustered(bad, path, ["k"])
+    assert spark.read.parquet(path).count() == 10
+    write_clustered(spark.range(4).withColumn("k", F.col("id")), path, ["k"])
+    assert spark.read.parquet(path).count() == 4
 
 
 def test_quality_counters_sum_over_many_micro_batches(spark, tmp_dir):

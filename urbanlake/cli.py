@@ -1,7 +1,8 @@
 """Command line for cluster jobs (run with ``spark-submit -m``-style launchers or ``python -m urbanlake``).
 
     python -m urbanlake refresh --source <csv dir> --base <table folder> [--scale 2] [--max-files-per-trigger N]
-    python -m urbanlake train   --features <parquet> --model <folder> [--trees 100] [--depth 10]
+                                [--zone UTC] [--incremental]
+    python -m urbanlake train   --features <parquet> --model <folder> [--trees 100] [--depth 10] [--bins 32]
     python -m urbanlake score   --policies <parquet> --out <folder> [--model <folder>]
 
 The session is the one the launcher provides (``getOrCreate``); no master or
@@ -29,28 +30,26 @@ def _session() -> SparkSession:
 def cmd_refresh(args) -> dict:
     from urbanlake.streaming.refresh import refresh
 
-    out = refresh(_session(), args.source, args.base, scale=args.scale,
-                  max_files_per_trigger=args.max_files_per_trigger)
-    return {"base": args.base, "dq_metrics": out["dq_metrics"]}
+    out = refresh(_session(), args.source, args.base, scale=args.scale, max_files_per_trigger=args.max_files_per_trigger,
+                  zone=args.zone, incremental=args.incremental)
+    return {"base": args.base, "dq_metrics": out["dq_metrics"], "castable_metrics": out["castable_metrics"]}
 
 
 def cmd_train(args) -> dict:
-    from urbanlake.operators.ml import fit_demand_model
+    from urbanlake.operators.ml import fit_demand_model, save_model
 
     spark = _session()
-    model = fit_demand_model(spark.read.parquet(args.features), {"numTrees": args.trees, "maxDepth": args.depth})
-    model.write().overwrite().save(args.model)
+    model = fit_demand_model(spark.read.parquet(args.features), {"numTrees": args.trees, "maxDepth": args.depth, "maxBins": args.bins})
+    save_model(model, args.model)
     return {"model": args.model}
 
 
 def cmd_score(args) -> dict:
-    from pyspark.ml import PipelineModel
-
     from urbanlake.operators import ml, policy
 
     spark = _session()
     feats = policy.policy_features(policy.validate_policies(spark.read.parquet(args.policies)))
-    scored = ml.score_policies(PipelineModel.load(args.model), feats) if args.model else policy.score_elastic(feats)
+    scored = ml.score_policies(ml.load_model(spark, args.model), feats) if args.model else policy.score_elastic(feats)
     scored.write.mode("overwrite").parquet(args.out)
     return {"out": args.out}
 
@@ -62,13 +61,16 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--source", required=True)
     r.add_argument("--base", required=True)
     r.add_argument("--scale", type=int, default=None)
-    r.add_argument("--max-files-per-trigger", type=int, default=None)
+    r.add_argument("--max-files-per-trigger", type=int, default=1000)
+    r.add_argument("--zone", default="UTC", help="zone of the wall-clock times that offsets are put in")
+    r.add_argument("--incremental", action="store_true", help="recompute only the days that new rows touch")
     r.set_defaults(fn=cmd_refresh)
     t = sub.add_parser("train", help="fit the demand model on a feature table")
     t.add_argument("--features", required=True)
     t.add_argument("--model", required=True)
     t.add_argument("--trees", type=int, default=100)
     t.add_argument("--depth", type=int, default=10)
+    t.add_argument("--bins", type=int, default=32)
     t.set_defaults(fn=cmd_train)
     s = sub.add_parser("score", help="demand and revenue of every policy and service")
     s.add_argument("--policies", required=True)

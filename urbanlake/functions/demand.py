@@ -13,8 +13,6 @@ JVM per expression) and returned as Columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from urbanlake.schemas import (
     FESTIVAL_DEMAND,
@@ -35,7 +33,7 @@ def clamp01_sql(x: str) -> str:
 def elastic_demand_sql(service: str, price: str, base_price: str, base_demand: str, elasticity: str,
                        congestion: str, festival: str, holiday: str, season: str | None = None,
                        noise: str | None = None) -> str:
-    """The curve as a product of factors, applied left to right.
+    """The curve as a product of factors, applied left to right, at least 1; NULL without a positive price or another input.
 
     Factors that do not apply are exactly 1.0, so the result equals applying
     only the matching steps one after another.
@@ -51,11 +49,6 @@ def elastic_demand_sql(service: str, price: str, base_price: str, base_demand: s
     holiday_factor = (f"CASE WHEN {holiday} = 1 AND {service} IN ('metro', 'bus') THEN {d(HOLIDAY_TRANSIT_DEMAND)} "
                       f"WHEN {holiday} = 1 AND {service} = 'private_transport' THEN {d(HOLIDAY_PRIVATE_DEMAND)} "
                       f"ELSE {d(1)} END")
-    return f"greatest({d(1)}, {base} * ({congestion_factor}) * ({festival_factor}) * ({holiday_factor}))"
-
-
-def elastic_demand(service: str, price: str, base_price: str, base_demand: str, elasticity: str, congestion: str,
-                   festival: str, holiday: str, season: str | None = None, noise: str | None = None) -> Column:
-    """Demand of each row (column names in, SQL text ``season``/``noise`` factors optional)."""
-    return F.expr(elastic_demand_sql(service, price, base_price, base_demand, elasticity, congestion, festival,
-                                     holiday, season, noise))
+    inputs = [f"{price} > 0", *(f"({x}) IS NOT NULL" for x in (congestion, season, noise) if x is not None)]
+    return (f"CASE WHEN {' AND '.join(inputs)} THEN "
+            f"greatest({d(1)}, {base} * ({congestion_factor}) * ({festival_factor}) * ({holiday_factor})) END")

@@ -13,6 +13,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: From this many decimals on, units are added in DECIMAL(38,0).
+WIDE_SCALE = 6
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -27,44 +31,32 @@ def scaled(c, scale: int) -> Column:
     return (F.signum(x) * F.floor(F.abs(x) + F.lit(0.5))).cast("bigint")
 
 
-def fixed_sum(c, scale: int | None = None, wide: bool = False) -> Column:
+def fixed_sum(c: str, scale: int | None = None, wide: bool | None = None) -> Column:
     """sum(c); exact at ``scale`` decimals when a scale is given.
 
-    ``wide`` sums in DECIMAL(38,0) for global totals over very many rows
-    (a bigint sum of scaled values could overflow).  For a column name the
+    ``wide`` sums in DECIMAL(38,0), where a bigint sum of scaled values could
+    overflow; by default from ``WIDE_SCALE`` decimals on.  For a column name the
     measure is built from its SQL text (one call into the JVM instead of one
     per expression node).
     """
-    if isinstance(c, str):
-        return F.expr(sql_fixed_sum(f"`{c}`", scale, wide))
-    if scale is None:
-        return F.sum(_col(c))
-    units = scaled(c, scale)
-    if wide:
-        units = units.cast("decimal(38,0)")
-    return F.sum(units).cast("double") / F.lit(float(10 ** scale))
+    return F.expr(sql_fixed_sum(f"`{c}`", scale, wide))
 
 
-def fixed_avg(c, scale: int | None = None, wide: bool = False) -> Column:
+def fixed_avg(c: str, scale: int | None = None, wide: bool | None = None) -> Column:
     """avg(c) (NULLs skipped, NULL when no value); exact sum at ``scale`` decimals."""
-    if isinstance(c, str):
-        return F.expr(sql_fixed_avg(f"`{c}`", scale, wide))
-    if scale is None:
-        return F.avg(_col(c))
-    units = scaled(c, scale)
-    if wide:
-        units = units.cast("decimal(38,0)")
-    n = F.count(_col(c)) * F.lit(10 ** scale)
-    return F.sum(units).cast("double") / F.nullif(n, F.lit(0)).cast("double")
+    return F.expr(sql_fixed_avg(f"`{c}`", scale, wide))
 
 
-def _sql_units(expr: str, scale: int, wide: bool) -> str:
+def _sql_units(expr: str, scale: int, wide: bool | None) -> str:
     x = f"(({expr}) * CAST({10 ** scale} AS DOUBLE))"
-    units = f"CAST(sign({x}) * floor(abs({x}) + CAST(0.5 AS DOUBLE)) AS BIGINT)"
-    return f"CAST({units} AS DECIMAL(38,0))" if wide else units
+    if wide is None:
+        wide = scale >= WIDE_SCALE
+    if wide:                                    # floor() gives a bigint, which a wide value may pass
+        return f"CAST({x} AS DECIMAL(38,0))"
+    return f"CAST(sign({x}) * floor(abs({x}) + CAST(0.5 AS DOUBLE)) AS BIGINT)"
 
 
-def sql_fixed_sum(expr: str, scale: int | None, wide: bool = False) -> str:
+def sql_fixed_sum(expr: str, scale: int | None, wide: bool | None = None) -> str:
     """The same measure as SQL text (runs unchanged in Spark SQL and DuckDB)."""
     if scale is None:
         return f"sum({expr})"
@@ -72,7 +64,7 @@ def sql_fixed_sum(expr: str, scale: int | None, wide: bool = False) -> str:
     return f"(CAST(sum({units}) AS DOUBLE) / CAST({10 ** scale} AS DOUBLE))"
 
 
-def sql_fixed_avg(expr: str, scale: int | None, wide: bool = False) -> str:
+def sql_fixed_avg(expr: str, scale: int | None, wide: bool | None = None) -> str:
     if scale is None:
         return f"avg({expr})"
     units = _sql_units(expr, scale, wide)
@@ -80,11 +72,6 @@ def sql_fixed_avg(expr: str, scale: int | None, wide: bool = False) -> str:
             f"CAST(NULLIF(count({expr}) * {10 ** scale}, 0) AS DOUBLE))")
 
 
-def sql_round_half_away(expr: str, decimals: int) -> str:
-    k = f"CAST({10 ** decimals} AS DOUBLE)"
-    return f"(sign({expr}) * CAST(floor(abs({expr}) * {k} + CAST(0.5 AS DOUBLE)) AS DOUBLE) / {k})"
-
-
 def rounded_sql(expr: str, decimals: int | None) -> str:
     """Round to ``decimals`` places, half away from zero on the scaled double, as Spark SQL text.
 

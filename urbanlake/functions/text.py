@@ -1,169 +1,18 @@
-"""Number formatting for text blocks built in Spark (no driver-side formatting)."""
+"""Numbers as text, with a fixed number of decimals."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT_LIMIT = 2.0 ** 52      # below this magnitude ``fixed`` reproduces the exact-binary rounding
+MISSING = "n/a"
 
 
-def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def fixed_sql(x: str, decimals: int) -> str:
+    """``x`` with ``decimals`` places; NULL, NaN and infinities read ``n/a`` (Spark SQL text)."""
+    return (f"coalesce(CAST(try_cast(CASE WHEN isnan(CAST({x} AS DOUBLE)) THEN NULL ELSE {x} END "
+            f"AS DECIMAL(38,{decimals})) AS STRING), '{MISSING}')")
 
 
-def _shift_parts(c: Column, scale: int) -> tuple[Column, Column]:
-    """k and t = (|c| * 2^k) * scale + 2^(k-1) for the exact rounding below."""
-    a = F.abs(c)
-    # k = 53 - floor(log2 a) makes |c| * 2^k an integer below 2^55 even if log2 is off by one
-    k = (F.lit(53) - F.floor(F.log2(a))).cast("int")
-    return k, a
-
-
-def _rounded(a: Column, k: Column, t: Column) -> Column:
-    """round-half-even(|c| * scale) from t = |c|*2^k*scale + 2^(k-1): shift, and on an exact tie clear bit 0."""
-    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), k) - F.lit(1)
-    q = F.call_function("shiftright", t, k)          # round-half-up of the exact value
-    tie = t.bitwiseAND(mask) == 0
-    return (F.when(a < F.lit(2.0 ** -9), F.lit(0).cast("bigint"))
-            .when(tie, q.bitwiseAND(F.lit(-2).cast("bigint"))).otherwise(q))
-
-
-def _digits(c: Column, rounded: Column, decimals: int, missing: str) -> Column:
-    scale = 10 ** decimals
-    frac = rounded % F.lit(scale)
-    whole = ((rounded - frac).cast("decimal(20,0)") / F.lit(scale)).cast("bigint")   # exact integer division
-    digits = whole.cast("string") if decimals == 0 else \
-        F.concat(whole.cast("string"), F.lit("."), F.lpad(frac.cast("string"), decimals, "0"))
-    text = F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), digits)
-    # beyond 2^52 every double is an integer: plain formatting is exact there
-    text = F.when(F.abs(c) >= F.lit(EXACT_LIMIT), F.format_string(f"%.{decimals}f", c)).otherwise(text)
-    return F.when(c.isNull(), F.lit(missing)).otherwise(text)
-
-
-def _check(decimals: int) -> int:
-    if not 0 <= decimals <= 2:
-        raise ValueError("decimals must be 0, 1 or 2")
-    return 10 ** decimals
-
-
-def fixed(x, decimals: int, missing: str = "N/A") -> Column:
-    """Text of ``x`` with ``decimals`` (0-2) places, rounded like C printf / Python ``f"{x:.Nf}"``.
-
-    Java's formatter rounds half-up on the shortest decimal form (2.675 ->
-    "2.68"); C and Python round the exact binary value half-to-even (2.675 is
-    2.67499999... -> "2.67", 0.125 -> "0.12").  This takes the exact value
-    apart as N / 2^k (scaling by a power of two is exact), multiplies by
-    10^decimals in integers and rounds with bit shifts.  NULL becomes
-    ``missing``.  For many numbers in one projection prefer
-    ``with_fixed_text``, which computes each intermediate once.
-    """
-    scale = _check(decimals)
-    c = _c(x).cast("double")
-    k, a = _shift_parts(c, scale)
-    t = (a * F.pow(F.lit(2.0), k)).cast("bigint") * F.lit(scale) + \
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), k - 1)
-    return _digits(c, _rounded(a, k, t), decimals, missing)
-
-
-def with_fixed_text(df: DataFrame, specs: list[tuple[str, str, int]], missing: str = "N/A") -> DataFrame:
-    """Add text columns ``(out, source, decimals)`` formatted like ``fixed``, in staged projections.
-
-    Each stage's values are referenced several times by the next one, so
-    Catalyst keeps the stages apart and every intermediate is computed once
-    per row (one small codegen method instead of a duplicated expression
-    tree).  The stages are SQL text: one call into the JVM per stage.
-    """
-    tmp = [(f"__fx{i}", out, f"`{src}`", _check(d), d) for i, (out, src, d) in enumerate(specs)]
-    tiny, big = repr(2.0 ** -9) + "D", repr(EXACT_LIMIT) + "D"
-    quoted_missing = missing.replace("'", "\\'")
-
-    def digits(t, sc, d):
-        if d == 0:
-            return f"CAST({t}_r AS STRING)"
-        return (f"concat(CAST(CAST(CAST({t}_r - {t}_r % {sc} AS DECIMAL(20,0)) / {sc} AS BIGINT) AS STRING), '.', "
-                f"lpad(CAST({t}_r % {sc} AS STRING), {d}, '0'))")
-
-    df = df.selectExpr("*", *[f"CAST({src} AS DOUBLE) AS {t}_c" for t, _, src, _, _ in tmp])
-    df = df.selectExpr("*", *[f"CAST(53 - floor(log2(abs({t}_c))) AS INT) AS {t}_k" for t, *_ in tmp])
-    df = df.selectExpr("*", *[f"CAST(abs({t}_c) * pow(2.0D, {t}_k) AS BIGINT) * {sc} + shiftleft(1L, {t}_k - 1) "
-                              f"AS {t}_t" for t, _, _, sc, _ in tmp])
-    df = df.selectExpr("*", *[f"CASE WHEN abs({t}_c) < {tiny} THEN 0L "
-                              f"WHEN ({t}_t & (shiftleft(1L, {t}_k) - 1L)) = 0 THEN shiftright({t}_t, {t}_k) & -2L "
-                              f"ELSE shiftright({t}_t, {t}_k) END AS {t}_r" for t, *_ in tmp])
-    df = df.selectExpr("*", *[f"CASE WHEN {t}_c IS NULL THEN '{quoted_missing}' "
-                              f"WHEN abs({t}_c) >= {big} THEN format_string('%.{d}f', {t}_c) "
-                              f"ELSE concat(CASE WHEN {t}_c < 0 THEN '-' ELSE '' END, {digits(t, sc, d)}) END AS `{out}`"
-                              for t, out, _, sc, d in tmp])
-    return df.drop(*[f"{t}_{s}" for t, *_ in tmp for s in ("c", "k", "t", "r")])
-
-
-def py_repr_sql(x: str) -> str:
-    """SQL text of a double written like Python's ``repr`` (shortest digits; NULL and NaN -> 'nan').
-
-    Java switches to exponent notation at 1e7 and 1e-3, Python at 1e16 and
-    1e-4: inside Python's plain range the digits come from a DECIMAL cast of
-    the shortest decimal text with trailing zeros removed; outside it the
-    exponent form is rewritten as Python's ('1.0E-5' -> '1e-05').  Java 17
-    sometimes prints one digit more than needed; then the 16- or 17-digit
-    rounding is used when it reads back as the same double (subnormal
-    numbers may still show an extra digit).
-    """
-    x = f"CAST({x} AS DOUBLE)"
-    j = f"CAST({x} AS STRING)"
-    c16, c17 = f"format_string('%.15e', {x})", f"format_string('%.16e', {x})"
-    sig = f"length(regexp_replace(regexp_replace(regexp_extract({j}, '^-?([0-9.]+)', 1), '[.]', ''), '^0+', ''))"
-    best = (f"(CASE WHEN {sig} >= 17 AND CAST({c16} AS DOUBLE) = {x} THEN {c16} "
-            f"WHEN {sig} >= 18 AND CAST({c17} AS DOUBLE) = {x} THEN {c17} ELSE {j} END)")
-    dec = (f"CASE WHEN abs({x}) < 1.0E14D THEN CAST(CAST({best} AS DECIMAL(38,24)) AS STRING) "
-           f"ELSE CAST(CAST({best} AS DECIMAL(38,18)) AS STRING) END")
-    plain = f"regexp_replace(regexp_replace({dec}, '0+$', ''), '[.]$', '.0')"
-    mant = f"regexp_replace(regexp_replace(regexp_extract({best}, '^(-?[0-9.]+)[eE]', 1), '0+$', ''), '[.]$', '')"
-    expo = f"CAST(regexp_extract({best}, '[eE]([+-]?[0-9]+)$', 1) AS INT)"
-    sci = (f"concat({mant}, 'e', CASE WHEN {expo} < 0 THEN '-' ELSE '+' END, "
-           f"CASE WHEN abs({expo}) < 10 THEN '0' ELSE '' END, CAST(abs({expo}) AS STRING))")
-    return (f"CASE WHEN {x} IS NULL OR isnan({x}) THEN 'nan' "
-            f"WHEN {x} = double('inf') THEN 'inf' WHEN {x} = double('-inf') THEN '-inf' "
-            f"WHEN {x} = 0 THEN '0.0' "
-            f"WHEN abs({x}) >= 0.0001D AND abs({x}) < 1.0E16D THEN {plain} ELSE {sci} END")
-
-
-def py_repr_number(x) -> Column:
-    """Number as text like a Python dict repr would show it (NULL -> nan)."""
-    return F.expr(py_repr_sql(f"`{x}`" if isinstance(x, str) else x))
-
-
-def with_py_repr(df: DataFrame, specs: list[tuple[str, str]]) -> DataFrame:
-    """Add text columns ``(out, source)`` written like ``py_repr_sql``, in staged projections.
-
-    Each intermediate (Java text, 16/17-digit candidates, chosen digits,
-    exponent) is its own projection, so it is computed once per row and the
-    generated code stays small.
-    """
-    tmp = [(f"__pr{i}", out, f"`{src}`") for i, (out, src) in enumerate(specs)]
-    df = df.selectExpr("*", *[f"CAST({src} AS DOUBLE) AS {t}_x" for t, _, src in tmp])
-    df = df.selectExpr("*", *[e for t, *_ in tmp for e in (
-        f"CAST({t}_x AS STRING) AS {t}_j", f"format_string('%.15e', {t}_x) AS {t}_c16",
-        f"format_string('%.16e', {t}_x) AS {t}_c17")])
-    df = df.selectExpr("*", *[
-        f"length(regexp_replace(regexp_replace(regexp_extract({t}_j, '^-?([0-9.]+)', 1), '[.]', ''), '^0+', '')) "
-        f"AS {t}_sig" for t, *_ in tmp])
-    df = df.selectExpr("*", *[
-        f"CASE WHEN {t}_sig >= 17 AND try_cast({t}_c16 AS DOUBLE) = {t}_x THEN {t}_c16 "
-        f"WHEN {t}_sig >= 18 AND try_cast({t}_c17 AS DOUBLE) = {t}_x THEN {t}_c17 ELSE {t}_j END AS {t}_b"
-        for t, *_ in tmp])
-    df = df.selectExpr("*", *[e for t, *_ in tmp for e in (
-        f"try_cast(regexp_extract({t}_b, '[eE]([+-]?[0-9]+)$', 1) AS INT) AS {t}_e",
-        f"regexp_replace(regexp_replace(regexp_extract({t}_b, '^(-?[0-9.]+)[eE]', 1), '0+$', ''), '[.]$', '') "
-        f"AS {t}_m",
-        f"CASE WHEN abs({t}_x) < 1.0E14D THEN CAST(try_cast({t}_b AS DECIMAL(38,24)) AS STRING) "
-        f"ELSE CAST(try_cast({t}_b AS DECIMAL(38,18)) AS STRING) END AS {t}_d")])
-    df = df.selectExpr("*", *[
-        f"CASE WHEN {t}_x IS NULL OR isnan({t}_x) THEN 'nan' "
-        f"WHEN {t}_x = double('inf') THEN 'inf' WHEN {t}_x = double('-inf') THEN '-inf' WHEN {t}_x = 0 THEN '0.0' "
-        f"WHEN abs({t}_x) >= 0.0001D AND abs({t}_x) < 1.0E16D "
-        f"THEN regexp_replace(regexp_replace({t}_d, '0+$', ''), '[.]$', '.0') "
-        f"ELSE concat({t}_m, 'e', CASE WHEN {t}_e < 0 THEN '-' ELSE '+' END, "
-        f"CASE WHEN abs({t}_e) < 10 THEN '0' ELSE '' END, CAST(abs({t}_e) AS STRING)) END AS `{out}`"
-        for t, out, _ in tmp])
-    return df.drop(*[f"{t}_{s}" for t, *_ in tmp for s in ("x", "j", "c16", "c17", "sig", "b", "e", "m", "d")])
+def fixed(x: str, decimals: int) -> Column:
+    return F.expr(fixed_sql(f"`{x}`", decimals))

@@ -10,81 +10,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanlake.functions.text import with_fixed_text, with_py_repr
+from urbanlake.functions.text import fixed, fixed_sql
 from urbanlake.operators.serving import KPI_VALUES, PROFILE_JSON_KEYS
 
-QUOTE = "''''"    # a single quote character as a Spark SQL string literal
+#: Heading, column and decimals of each line of a block.
+SELECTION_LINES = [("vehicles per day", "avg_vehicles", 2), ("energy per day (kWh)", "total_energy_kwh", 2),
+                   ("bin fill (%)", "avg_occupancy_rate", 2), ("noise (dB)", "avg_noise_level", 2)]
 
 
 def proposal_context_text(profile: DataFrame) -> DataFrame:
-    """text: the metric block of a city selection, each metric as a dict of city -> mean (one row).
+    """text: the means of a city selection, one line for each metric (one row).
 
-    Values are written like Python floats inside a dict (``{'C0': 12.5}``,
-    ``nan`` for a missing mean), cities in sorted order.  The block has one
-    entry per selected city, so build it for a bounded selection.
+    Cities stand in sorted order.  The block has one entry per selected city,
+    so build it for a bounded selection.
     """
-    fields = [("avg_vehicles", "avg_vehicles"), ("energy", "total_energy_kwh"),
-              ("occupancy", "avg_occupancy_rate"), ("noise", "avg_noise_level")]
-    texts = with_py_repr(profile.filter("city_id IS NOT NULL"), [(f"_r_{key}", src) for key, src in fields])
-    entries = texts.selectExpr(
-        "city_id", *[f"concat({QUOTE}, city_id, {QUOTE}, ': ', _r_{key}) AS {key}" for key, _ in fields])
-    collected = entries.agg(F.expr("array_sort(collect_list(struct(city_id, "
-                                   + ", ".join(k for k, _ in fields) + "))) AS e"))
-
-    def as_dict(key):
-        return f"concat('{{', array_join(transform(e, x -> x.{key}), ', '), '}}')"
-
-    lines = ["'Current Smart City Infrastructure Status:'", "''",
-             "concat('Available Cities: ', array_join(transform(e, x -> x.city_id), ', '))", "''",
-             "'Current Infrastructure Metrics (Recent Averages):'", "'Traffic:'",
-             f"concat('- Daily average vehicles: ', {as_dict('avg_vehicles')})",
-             "'- Peak traffic hours: Varies by city'", "''", "'Energy Consumption:'",
-             f"concat('- Daily average: ', {as_dict('energy')}, ' kWh')", "''", "'Waste Management:'",
-             f"concat('- Average bin occupancy: ', {as_dict('occupancy')}, '%')", "''", "'Environmental:'",
-             f"concat('- Noise levels: ', {as_dict('noise')}, ' dB')"]
-    return collected.selectExpr(f"concat_ws(char(10), {', '.join(lines)}) AS text")
+    entries = profile.filter("city_id IS NOT NULL").selectExpr(
+        "city_id", *[f"concat(city_id, ' ', {fixed_sql(c, n)}) AS {c}" for _, c, n in SELECTION_LINES])
+    columns = ", ".join(["city_id", *(c for _, c, _ in SELECTION_LINES)])
+    lines = ["concat('cities: ', array_join(transform(e, x -> x.city_id), ', '))"]
+    lines += [f"concat('{head}: ', array_join(transform(e, x -> x.{c}), ', '))" for head, c, _ in SELECTION_LINES]
+    return (entries.agg(F.expr(f"array_sort(collect_list(struct({columns}))) AS e"))
+            .selectExpr(f"concat_ws(char(10), {', '.join(lines)}) AS text"))
 
 
 def recent_summary_text(summary: DataFrame, time_period: str = "hourly", n: int = 24) -> DataFrame:
-    """city_id, text: the data summary block of a city's latest ``n`` rows."""
-    hourly = "peak_vehicles" in summary.columns
-    specs = [("_t_avg_vehicles", "avg_vehicles", 0)]
-    if hourly:
-        specs.append(("_t_peak", "peak_vehicles", 0))
-    specs += [("_t_energy_total", "total_energy_kwh", 2), ("_t_energy_avg", "avg_energy_kwh", 2),
-              ("_t_occupancy", "avg_occupancy_rate", 1), ("_t_noise", "avg_noise_level", 1)]
-    t = with_fixed_text(summary, specs)
+    """city_id, text: the summary of a city's latest ``n`` rows (a peak only where the table has one)."""
+    vehicles = [F.lit("vehicles: mean "), fixed("avg_vehicles", 0)]
+    if "peak_vehicles" in summary.columns:
+        vehicles += [F.lit(", peak "), fixed("peak_vehicles", 0)]
     lines = [
-        F.lit(f"Smart City Infrastructure Data Summary ({time_period}):"),
-        F.lit(""),
-        F.concat(F.lit("Cities: "), F.col("city_id")),
-        F.lit(f"Time period: Last {n} {time_period} records"),
-        F.lit(""),
-        F.lit("Traffic Metrics:"),
-        F.concat(F.lit("- Average vehicles: "), F.col("_t_avg_vehicles")),
+        F.concat(F.col("city_id"), F.lit(f", latest {n} {time_period} rows")),
+        F.concat(*vehicles),
+        F.concat(F.lit("energy (kWh): total "), fixed("total_energy_kwh", 2), F.lit(", mean "), fixed("avg_energy_kwh", 2)),
+        F.concat(F.lit("bin fill (%): mean "), fixed("avg_occupancy_rate", 1)),
+        F.concat(F.lit("noise (dB): mean "), fixed("avg_noise_level", 1)),
     ]
-    if hourly:
-        lines.append(F.concat(F.lit("- Peak vehicle count: "), F.col("_t_peak")))
-    lines += [
-        F.lit(""),
-        F.lit("Energy Metrics:"),
-        F.concat(F.lit("- Total energy consumption: "), F.col("_t_energy_total"), F.lit(" kWh")),
-        F.concat(F.lit("- Average energy per reading: "), F.col("_t_energy_avg"), F.lit(" kWh")),
-        F.lit(""),
-        F.lit("Waste Management:"),
-        F.concat(F.lit("- Average occupancy rate: "), F.col("_t_occupancy"), F.lit("%")),
-        F.lit(""),
-        F.lit("Environmental:"),
-        F.concat(F.lit("- Average noise level: "), F.col("_t_noise"), F.lit(" dB")),
-    ]
-    return t.select("city_id", F.concat_ws("\n", *lines).alias("text"))
+    return summary.select("city_id", F.concat_ws("\n", *lines).alias("text"))
 
 
 def city_context_text(profile: DataFrame) -> DataFrame:
     """city_id, text: one line per city with its four mean metrics."""
-    texts = with_py_repr(profile, [(f"_r_{c}", c) for c in KPI_VALUES])
-    parts = ", ".join(f"concat('{c}=', _r_{c})" for c in KPI_VALUES)
-    return texts.selectExpr("city_id", f"concat(city_id, ': ', concat_ws(', ', {parts})) AS text")
+    parts = ", ".join(f"concat('{c}=', {fixed_sql(c, 4)})" for c in KPI_VALUES)
+    return profile.selectExpr("city_id", f"concat(city_id, ': ', concat_ws(', ', {parts})) AS text")
 
 
 def metrics_document(profile: DataFrame) -> DataFrame:

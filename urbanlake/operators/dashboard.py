@@ -22,7 +22,7 @@ SUMMARY_ROWS = 24
 
 
 class CityDashboard:
-    def __init__(self, spark: SparkSession, hourly_path: str, daily_path: str, ttl_s: float | None = 300.0):
+    def __init__(self, spark: SparkSession, hourly_path: str, daily_path: str, ttl_s: float | None = None):
         self.spark = spark
         self.cache = TableCache(spark, ttl_s) if ttl_s else None
         self.paths = {"hourly": hourly_path, "daily": daily_path}

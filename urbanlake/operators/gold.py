@@ -9,12 +9,15 @@ any shuffle, so no task ever holds a group's raw rows.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanlake.functions.measures import sql_fixed_avg, sql_fixed_sum
 from urbanlake.functions.periods import GRAINS
+from urbanlake.sources.tables import replace_table
 
 GOLD_KEYS = ["city_id", "sensor_type"]
 
@@ -87,7 +90,7 @@ def gold_day(silver: DataFrame, scale: int | None = None) -> DataFrame:
 
 def write_clustered(df: DataFrame, path: str, cluster_by: list[str], files: int | None = None,
                     max_records_per_file: int = 5_000_000, split_hot_keys: bool = True) -> None:
-    """Overwrite a table laid out by its clustering keys.
+    """Replace a table, once completely written, by one laid out by its clustering keys.
 
     Range partitioning on the keys + sort within files gives each file a
     narrow min/max on the keys, so parquet row-group statistics skip files
@@ -103,8 +106,9 @@ def write_clustered(df: DataFrame, path: str, cluster_by: list[str], files: int
     if split_hot_keys and hashable:
         keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
     ranged = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
-    (ranged.sortWithinPartitions(*cluster_by)
-     .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path))
+    written = f"{path.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+    ranged.sortWithinPartitions(*cluster_by).write.option("maxRecordsPerFile", max_records_per_file).parquet(written)
+    replace_table(df.sparkSession, written, path)
 
 
 # ------------------------------------------------- shared pass for both views

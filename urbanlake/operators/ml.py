@@ -13,17 +13,19 @@ from __future__ import annotations
 import hashlib
 import json
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanlake.functions.measures import fixed_sum
 from urbanlake.schemas import DEMAND_FEATURES
 from urbanlake.session import ensure_checkpoint_dir
 
 DEFAULT_PARAMS = {"numTrees": 100, "maxDepth": 10, "maxBins": 32, "featureSubsetStrategy": "all",
-                  "subsamplingRate": 1.0, "seed": 42}
+                  "subsamplingRate": 1.0, "maxMemoryInMB": 1024, "seed": 42}
 
 
 def demand_pipeline(params: dict | None = None, label: str = "demand") -> Pipeline:
@@ -34,40 +36,81 @@ def demand_pipeline(params: dict | None = None, label: str = "demand") -> Pipeli
     return Pipeline(stages=[assembler, rf])
 
 
-def holdout_flag(keys: list[str], buckets: int = 5) -> F.Column:
-    """Deterministic 1-in-``buckets`` test flag from a hash of the keys (independent of partitioning)."""
-    return (F.pmod(F.xxhash64(*keys), F.lit(buckets)) == 0)
+def holdout_flag(keys: list[str], buckets: int = 5) -> Column:
+    """Deterministic 1-in-``buckets`` test flag from the keys' checksum (independent of partitioning and engine)."""
+    text = F.concat_ws("-", *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets == 0
+
+
+def split_metrics(features: DataFrame, keys: list[str], label: str = "demand") -> DataFrame:
+    """part, n_rows, sum_label: the two parts that a model is fitted and judged on."""
+    part = F.when(holdout_flag(keys), "test").otherwise("train")
+    return (features.groupBy(part.alias("part"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), fixed_sum(label, 4, wide=True).alias("sum_label")))
 
 
 def fit_demand_model(train: DataFrame, params: dict | None = None) -> PipelineModel:
+    """Fits over as many partitions as the cluster has cores, however few splits the input has."""
     ensure_checkpoint_dir(train.sparkSession)   # node-id checkpoints of tree training
-    return demand_pipeline(params).fit(train)
+    spread = train.repartition(train.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return demand_pipeline(params).fit(spread)
+    finally:
+        spread.unpersist()
+
+
+def signature(features: DataFrame) -> dict[str, str]:
+    """Type of each model feature in a table."""
+    types = dict(features.dtypes)
+    return {f: types.get(f, "missing") for f in DEMAND_FEATURES}
+
+
+def save_model(model: PipelineModel, path: str, types: dict[str, str] | None = None) -> None:
+    """Save a model with the types of its features beside it."""
+    spark = SparkSession.getActiveSession()
+    model.write().overwrite().save(path)
+    rows = list((types or {f: "double" for f in DEMAND_FEATURES}).items())
+    spark.createDataFrame(rows, "feature string, type string").coalesce(1).write.mode("overwrite").parquet(f"{path}-signature")
 
 
-_MODEL_PATHS: dict[str, str] = {}
+def load_model(spark: SparkSession, path: str) -> PipelineModel:
+    """A saved model; a folder without one, or without its signature, raises."""
+    listed = [r.feature for r in spark.read.parquet(f"{path}-signature").collect()]
+    if sorted(listed) != sorted(DEMAND_FEATURES):
+        raise ValueError(f"the model at {path} takes {listed}, not {DEMAND_FEATURES}")
+    return PipelineModel.load(path)
 
 
-def model_key(sf_dir: str, params: dict | None, app_id: str) -> str:
-    blob = json.dumps({"sf": sf_dir, "params": {**DEFAULT_PARAMS, **(params or {})}, "app": app_id}, sort_keys=True)
+def check_signature(features: DataFrame) -> None:
+    """Every model feature must be there as a number."""
+    bad = {f: t for f, t in signature(features).items() if t not in ("double", "float", "int", "bigint", "smallint", "tinyint")}
+    if bad:
+        raise ValueError(f"not the model's features: {bad}")
+
+
+def data_version(features: DataFrame, params: dict | None = None) -> str:
+    """Key of a table's rows (their number and the sum of their hashes) and the parameters."""
+    seen = features.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*features.columns).cast("decimal(38,0)"))).first()
+    blob = json.dumps([seen[0], str(seen[1]), {**DEFAULT_PARAMS, **(params or {})}], sort_keys=True)
     return hashlib.sha1(blob.encode()).hexdigest()[:16]
 
 
-def fit_or_load(spark: SparkSession, features: DataFrame, keys: list[str], sf_dir: str,
-                params: dict | None = None) -> PipelineModel:
-    """Train on the non-holdout rows once per application and input; later calls load the saved model."""
-    key = model_key(sf_dir, params, spark.sparkContext.applicationId)
-    path = _MODEL_PATHS.get(key)
-    if path:
-        try:
-            return PipelineModel.load(path)
-        except Exception:  # noqa: BLE001 - folder gone: train again
-            _MODEL_PATHS.pop(key, None)
-    train = features.filter(~holdout_flag(keys))
-    model = fit_demand_model(train, params)
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/urbanlake/models/demand-{key}"
-    model.write().overwrite().save(path)
-    _MODEL_PATHS[key] = path
-    return model
+def _there(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def fit_or_load(spark: SparkSession, features: DataFrame, params: dict | None = None) -> PipelineModel:
+    """The model of exactly these rows and parameters: loaded when one is saved, else fitted on all rows and saved.
+
+    The folder is named after the data, so changed rows get a model of their
+    own, and another process finds this one.
+    """
+    check_signature(features)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/urbanlake/models/demand-{data_version(features, params)}"
+    if not _there(spark, f"{path}-signature/_SUCCESS"):
+        save_model(fit_demand_model(features, params), path, signature(features))
+    return load_model(spark, path)
 
 
 def evaluation(model: PipelineModel, features: DataFrame, keys: list[str], label: str = "demand") -> DataFrame:
@@ -115,6 +158,7 @@ def model_card(spark: SparkSession, model: PipelineModel, label: str = "demand")
 
 def score_policies(model: PipelineModel, features: DataFrame) -> DataFrame:
     """policy_id, service, demand, revenue predicted by the model for every (policy, service) row."""
+    check_signature(features)
     return (model.transform(features)
             .select("policy_id", "service", F.col("prediction").alias("demand"),
                     (F.col("prediction") * F.col("price")).alias("revenue")))

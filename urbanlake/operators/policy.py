@@ -38,11 +38,12 @@ DEFAULT_SWEEPS: list[tuple[str, list]] = [
 
 
 def validate_policies(policies: DataFrame) -> DataFrame:
-    """Fail the job on a policy outside the slider ranges (checked inside the plan)."""
-    bad = reduce(lambda a, b: a | b,
-                 [(F.col(c) < lo) | (F.col(c) > hi) for c, lo, hi in POLICY_RANGES]
-                 + [~F.col("festival").isin(0, 1), ~F.col("holiday").isin(0, 1)])
-    return policies.filter(F.when(bad, F.raise_error(F.lit("policy outside the allowed ranges"))).otherwise(True))
+    """Fail the job on a policy outside the slider ranges or with a missing input (checked inside the plan)."""
+    good = reduce(lambda a, b: a & b,
+                  [F.col(c).between(lo, hi) for c, lo, hi in POLICY_RANGES]
+                  + [F.col("festival").isin(0, 1), F.col("holiday").isin(0, 1)])
+    return policies.filter(F.when(F.coalesce(good, F.lit(False)), True)
+                           .otherwise(F.raise_error(F.lit("policy outside the allowed ranges"))))
 
 
 def policy_grid(spark: SparkSession, sweeps: list[tuple[str, list]] | None = None) -> DataFrame:
@@ -98,34 +99,27 @@ def score_elastic(features: DataFrame, demand_decimals: int | None = 4, revenue_
                           f"{rounded_sql('demand * price', revenue_decimals)} AS revenue")
 
 
+#: Bits of the low part of a sum's units.
+LOW_BITS = 24
+
+
 def policy_totals(scored: DataFrame, demand_scale: int | None = None, revenue_scale: int | None = None) -> DataFrame:
     """Per service: number of policies, mean/min/max demand and revenue.
 
-    Two levels: each input partition first reduces its own rows per service
-    with bigint sums (one split holds a few million rows, far from overflow),
-    then the per-partition rows -- four per task -- are added per service in
-    DECIMAL(38,0), so totals over any number of rows cannot overflow while the
-    per-row work stays on 64-bit integers.  Each service holds a quarter of
-    all rows; the first level never moves them.  With scales the means are
-    exact.
+    With scales the means are exact: a value's units are added as a high and a
+    low part in 64-bit integers, which over 2^39 rows cannot overflow, and put
+    together in DECIMAL(38,0) at the end.  One exchange of a row for each
+    service and task.
     """
-    unit = {"demand": demand_scale, "revenue": revenue_scale}
-    first = []
-    for m in ("demand", "revenue"):
-        value = scaled(m, unit[m]) if unit[m] is not None else F.col(m)
-        first += [F.sum(value).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n"),
-                  F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max")]
-    per_bucket = (scored.withColumn("_bucket", F.spark_partition_id())
-                  .groupBy("service", "_bucket").agg(F.count(F.lit(1)).alias("_rows"), *first))
-
-    def mean(m):
-        total = F.sum(F.col(f"{m}_sum").cast("decimal(38,0)") if unit[m] is not None else F.col(f"{m}_sum"))
-        k = float(10 ** unit[m]) if unit[m] is not None else 1.0
-        return total.cast("double") / (F.nullif(F.sum(f"{m}_n"), F.lit(0)).cast("double") * F.lit(k))
-
-    return per_bucket.groupBy("service").agg(
-        F.sum("_rows").alias("policies"),
-        mean("demand").alias("avg_demand"), F.min("demand_min").alias("min_demand"),
-        F.max("demand_max").alias("max_demand"),
-        mean("revenue").alias("avg_revenue"), F.min("revenue_min").alias("min_revenue"),
-        F.max("revenue_max").alias("max_revenue"))
+    aggs, scales = [F.count(F.lit(1)).alias("policies")], {"demand": demand_scale, "revenue": revenue_scale}
+    for m, scale in scales.items():
+        if scale is None:
+            mean = F.avg(m)
+        else:
+            units = scaled(m, scale)
+            high, low = F.shiftright(units, LOW_BITS), units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+            total = (F.sum(high).cast("decimal(38,0)") * F.lit(1 << LOW_BITS).cast("decimal(9,0)")
+                     + F.sum(low).cast("decimal(38,0)"))
+            mean = total.cast("double") / (F.nullif(F.count(m), F.lit(0)).cast("double") * F.lit(float(10 ** scale)))
+        aggs += [mean.alias(f"avg_{m}"), F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}")]
+    return scored.groupBy("service").agg(*aggs)

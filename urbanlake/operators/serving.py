@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlake.functions.measures import fixed_avg, fixed_sum
+from urbanlake.functions.periods import GRAINS
 
 KPI_VALUES = ["avg_vehicles", "total_energy_kwh", "avg_occupancy_rate", "avg_noise_level"]
 KPI_DELTAS = [("vehicles_pct", "avg_vehicles", "pct"), ("energy_pct", "total_energy_kwh", "pct"),
@@ -177,6 +178,18 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def sensor_table_counts(silver: DataFrame) -> DataFrame:
+    """table_name, row_count of silver and both gold views, from one scan of silver."""
+    keys = ["city_id", "sensor_type"]
+    hours = silver.groupBy(*keys, GRAINS["hour"][1]("event_timestamp").alias("event_hour")).agg(F.count(F.lit(1)).alias("n"))
+    days = (hours.groupBy(*keys, F.to_date("event_hour").alias("event_date"))
+            .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hours")))
+    total = days.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("hours"), F.lit(0)).alias("hours"),
+                     F.count(F.lit(1)).alias("days"))
+    return total.selectExpr("stack(3, 'silver_sensor_data', n, 'gold_sensor_metrics_by_city_hour', hours, "
+                            "'gold_sensor_metrics_by_city_day', days) AS (table_name, row_count)")
+
+
 def date_range(gold_day: DataFrame) -> DataFrame:
     return gold_day.agg(F.min("event_date").alias("start_date"), F.max("event_date").alias("end_date"))
 

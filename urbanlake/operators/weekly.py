@@ -3,8 +3,8 @@
 Observations (one row per week draw and service) carry the uniform draws as
 columns; everything else is column arithmetic.  The four-row service
 dimension is compiled into CASE lookups (no join); a user-supplied dimension
-table is joined, broadcast behind a row-count check.  No shuffle at all
-except where a query asks for distinct rows.
+table is joined.  No shuffle otherwise except where a query asks for distinct
+rows.
 """
 
 from __future__ import annotations
@@ -47,20 +47,21 @@ def service_lookup_sql(field: str, key: str = "service") -> str:
     return f"CASE {key} {branches} ELSE raise_error(concat('unknown service: ', coalesce({key}, 'NULL'))) END"
 
 
-def with_service_attributes(df: DataFrame, services: DataFrame | None = None,
-                            max_broadcast_rows: int = 100_000) -> DataFrame:
+def with_service_attributes(df: DataFrame, services: DataFrame | None = None) -> DataFrame:
     """Add base_price, base_demand and elasticity of each row's service.
 
     The built-in four-row dimension is compiled into CASE expressions: no join
-    and no hashing per row.  A user-supplied dimension table is joined, and
-    broadcast only after a bounded count shows it has at most
-    ``max_broadcast_rows`` rows; a larger one takes a regular shuffle join.
+    and no hashing per row.  A user-supplied dimension table is joined plainly
+    (the engine picks the strategy); a service that it lacks, or lists more
+    than once, stops the job instead of losing or multiplying rows.
     """
     if services is None:
         return df.selectExpr("*", *[f"{service_lookup_sql(f)} AS {f}" for f in SERVICE_FIELDS])
-    small = services.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    dim = services.select("service", *SERVICE_FIELDS)
-    return df.join(F.broadcast(dim) if small else dim, "service")
+    dim = services.groupBy("service").agg(F.count(F.lit(1)).alias("_listed"), *[F.first(f).alias(f) for f in SERVICE_FIELDS])
+    fits = F.expr("CASE WHEN _listed = 1 THEN true "
+                  "WHEN _listed > 1 THEN raise_error(concat('service listed twice: ', service)) "
+                  "ELSE raise_error(concat('unknown service: ', coalesce(service, 'NULL'))) END")
+    return df.join(dim, "service", "left").filter(fits).select(*df.columns, *SERVICE_FIELDS)
 
 
 def with_services(df: DataFrame) -> DataFrame:

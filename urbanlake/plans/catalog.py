@@ -27,7 +27,7 @@ from urbanlake.operators.gold import (
     sensor_hours,
     write_clustered,
 )
-from urbanlake.operators.silver import project_bronze
+from urbanlake.operators.silver import castable_expectations, project_bronze
 from urbanlake.schemas import BRONZE_COLUMNS
 from urbanlake.session import read_table, work_path
 from urbanlake.sources.csv import to_bronze_text, write_bronze_csv
@@ -110,6 +110,14 @@ def gold_hour_q(spark, sf_dir):
     return gh(spark, sf_dir)
 
 
+@query()
+def gold_hour_plain(spark, sf_dir):
+    """Hourly gold with plain sums and means, the default of a refresh; rounded, as sums depend on their order."""
+    gold = gold_hour(sil(spark, sf_dir))
+    rounded = ("avg_vehicles", "total_energy_kwh", "avg_energy_kwh", "avg_occupancy_rate", "avg_noise_level")
+    return gold.select(*[F.round(c, 6).alias(c) if c in rounded else F.col(c) for c in gold.columns])
+
+
 @query("gold_day")
 def gold_day_q(spark, sf_dir):
     return gd(spark, sf_dir)
@@ -117,10 +125,7 @@ def gold_day_q(spark, sf_dir):
 
 @query()
 def table_counts(spark, sf_dir):
-    s = sil(spark, sf_dir)
-    return sv.table_counts({"silver_sensor_data": s,
-                            "gold_sensor_metrics_by_city_hour": gold_hour(s, scale=M2),
-                            "gold_sensor_metrics_by_city_day": gold_day(s, scale=M2)})
+    return sv.sensor_table_counts(sil(spark, sf_dir))
 
 
 @query()
@@ -306,7 +311,7 @@ def policy_features_q(spark, sf_dir):
 
 
 def scored_elastic(spark, sf_dir):
-    return pol.score_elastic(pol.policy_features(policies(spark, sf_dir)))
+    return pol.score_elastic(pol.policy_features(pol.validate_policies(policies(spark, sf_dir))))
 
 
 @query()
@@ -322,26 +327,47 @@ def policy_totals_q(spark, sf_dir):
 # ------------------------------------------------------------- demand model
 
 def demand_model(spark, sf_dir):
-    feats = demand_features_q(spark, sf_dir)
-    return ml.fit_or_load(spark, feats, WO_KEYS, sf_dir), feats
+    """The model that scores: fitted on all rows."""
+    return ml.fit_or_load(spark, demand_features_q(spark, sf_dir))
+
+
+@query()
+def demand_split_metrics(spark, sf_dir):
+    return ml.split_metrics(demand_features_q(spark, sf_dir), WO_KEYS)
 
 
 @query()
 def demand_model_metrics(spark, sf_dir):
-    model, feats = demand_model(spark, sf_dir)
-    return ml.evaluation(model, feats, WO_KEYS)
+    """A model fitted on the training part, judged on the other."""
+    feats = demand_features_q(spark, sf_dir)
+    return ml.evaluation(ml.fit_or_load(spark, feats.filter(~ml.holdout_flag(WO_KEYS))), feats, WO_KEYS)
 
 
 @query("model_card")
 def model_card_q(spark, sf_dir):
-    model, _ = demand_model(spark, sf_dir)
-    return ml.model_card(spark, model)
+    return ml.model_card(spark, demand_model(spark, sf_dir))
 
 
 @query()
 def policy_score_rf(spark, sf_dir):
-    model, _ = demand_model(spark, sf_dir)
-    return ml.score_policies(model, pol.policy_features(policies(spark, sf_dir)))
+    feats = pol.policy_features(pol.validate_policies(policies(spark, sf_dir)))
+    return ml.score_policies(demand_model(spark, sf_dir), feats)
+
+
+@query()
+def policy_score_rf_summary(spark, sf_dir):
+    """Per service: scored policies, and how many break what every prediction keeps to.
+
+    A forest's prediction lies within the labels it was fitted on, and the
+    revenue is the demand times the price.
+    """
+    feats = pol.policy_features(pol.validate_policies(policies(spark, sf_dir)))
+    labels = demand_features_q(spark, sf_dir).agg(F.min("demand").alias("low"), F.max("demand").alias("high")).first()
+    scored = demand_model(spark, sf_dir).transform(feats).withColumn("revenue", F.col("prediction") * F.col("price"))
+    outside = ~F.col("prediction").between(labels.low * (1 - 1e-9), labels.high * (1 + 1e-9))
+    uneven = F.abs(F.col("revenue") - F.col("prediction") * F.col("price")) > 1e-6 * F.col("revenue")
+    return scored.groupBy("service").agg(F.count(F.lit(1)).alias("policies"), F.count_if(outside).alias("outside"),
+                                         F.count_if(uneven).alias("uneven"))
 
 
 # ------------------------------------------------ streaming and table layout
@@ -362,6 +388,56 @@ def bronze_stream_ingest(spark, sf_dir):
     return bronze.select(*[F.col(f"`{h}`").alias(n) for h, n, _ in BRONZE_COLUMNS])
 
 
+RAW_TEXT_HEADER = ["extra", *[h for h, _, _ in reversed(BRONZE_COLUMNS)]]
+
+
+def _raw_text_run(spark, sf_dir):
+    """Sensor rows as a careless exporter writes them, ingested by the bronze stream.
+
+    Columns stand in another order behind one more; counts read ``12.0`` or
+    ``12.5``, times carry an offset, numbers are NaN or junk, and some rows have
+    a field too few or too many.
+    """
+    base = work_path(spark, "raw-text")
+    kind = F.col("event_id") % 7
+    count = (F.when(kind == 1, F.concat(F.col("vehicle_count").cast("string"), F.lit(".0")))
+             .when(kind == 2, F.concat(F.col("vehicle_count").cast("string"), F.lit(".5")))
+             .when(kind == 3, F.lit("many")).otherwise(F.col("vehicle_count").cast("string")))
+    time = F.when(kind == 4, F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss'+03:00'")).otherwise(
+        F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss"))
+    text = {"vehicle_count": count, "event_timestamp": time,
+            "energy_kwh": F.when(kind == 5, F.lit("NaN")).otherwise(F.col("energy_kwh").cast("string"))}
+    fields = [F.col("event_id").cast("string"), *[text.get(n, F.col(n).cast("string")) for _, n, _ in reversed(BRONZE_COLUMNS)]]
+    row = F.array(*[F.coalesce(F.concat(F.lit('"'), x, F.lit('"')), F.lit("")) for x in fields])
+    row = F.when(F.col("event_id") % 11 == 3, F.slice(row, 1, len(fields) - 2)).when(
+        F.col("event_id") % 11 == 5, F.array_append(row, F.lit("surplus"))).otherwise(row)
+    line = F.concat_ws(",", row)
+    (sr(spark, sf_dir).select(line.alias(",".join(RAW_TEXT_HEADER)))
+     .write.option("header", "true").option("quote", "").option("sep", "\u0001").csv(f"{base}/source"))
+    st.wait(st.start_bronze(spark, f"{base}/source", f"{base}/bronze", f"{base}/bronze_ckpt"))
+    return base
+
+
+@query()
+def silver_raw_text(spark, sf_dir):
+    """Careless text typed like well-written one; malformed rows keep what stands in their place."""
+    bronze = spark.read.parquet(f"{_raw_text_run(spark, sf_dir)}/bronze")
+    rows = bronze.withColumn("event_id", F.get_json_object("_extra", "$.extra").cast("bigint"))
+    typed = project_bronze(rows.withColumn("malformed", F.col("_corrupt_record").isNotNull()), processed_at=False,
+                           keep=["event_id", "malformed"])
+    return typed.select("event_id", "malformed", "vehicle_count", "event_timestamp", "energy_kwh", "noise_level", "sensor_type")
+
+
+@query()
+def castable_metrics(spark, sf_dir):
+    """What the silver stream counts as present but not readable, over the same text."""
+    base = _raw_text_run(spark, sf_dir)
+    counters = st.quality_counters(spark)
+    sq = st.wait(st.start_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/silver_ckpt"))
+    return spark.createDataFrame(st.stream_dq_metrics(sq, castable_expectations(), counters),
+                                 "expectation string, action string, passed bigint, failed bigint")
+
+
 @query("silver_stream")
 def silver_stream_q(spark, sf_dir):
     base = _bronze_run(spark, sf_dir)

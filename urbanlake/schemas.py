@@ -26,14 +26,8 @@ BRONZE_COLUMNS: list[tuple[str, str, str]] = [
     ("Gürültü Seviyesi", "noise_level", "double"),
 ]
 
-# Accepted sensor types and the metric column each one fills.
+# Accepted sensor types.
 SENSOR_TYPES: list[str] = ["Trafik Sayacı", "Enerji Metre", "Atık Sensörü", "Çevre Sensörü"]
-SENSOR_METRIC: dict[str, str] = {
-    "Trafik Sayacı": "vehicle_count",
-    "Enerji Metre": "energy_kwh",
-    "Atık Sensörü": "occupancy_rate",
-    "Çevre Sensörü": "noise_level",
-}
 
 # City services: (service, base price, base weekly demand, price elasticity).
 SERVICES: list[tuple[str, float, float, float]] = [
@@ -80,7 +74,11 @@ SILVER_NAMES: list[str] = [n for _, n, _ in BRONZE_COLUMNS]
 
 # Raw files are read as text; silver does the typing (try_cast), so a bad
 # field becomes NULL instead of failing the stream.
-BRONZE_SCHEMA = T.StructType([T.StructField(h, T.StringType(), True) for h in BRONZE_HEADERS])
+#: The whole line of a row whose number of fields is not the header's, and a file's further columns as JSON.
+CORRUPT, EXTRA = "_corrupt_record", "_extra"
+BRONZE_SCHEMA = T.StructType([T.StructField(h, T.StringType(), True) for h in BRONZE_HEADERS]
+                             + [T.StructField(CORRUPT, T.StringType(), True),
+                                T.StructField(EXTRA, T.StringType(), True)])
 
 _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(),
           "timestamp_ntz": T.TimestampNTZType()}
@@ -90,13 +88,6 @@ SILVER_SCHEMA = T.StructType(
     + [T.StructField("processed_at", T.TimestampType(), True)]
 )
 
-SERVICE_SCHEMA = T.StructType([
-    T.StructField("service", T.StringType(), False),
-    T.StructField("base_price", T.DoubleType(), False),
-    T.StructField("base_demand", T.DoubleType(), False),
-    T.StructField("elasticity", T.DoubleType(), False),
-])
-
 POLICY_SCHEMA = T.StructType(
     [T.StructField("policy_id", T.LongType(), False)]
     + [T.StructField(c, T.DoubleType(), False) for c, _, _ in POLICY_RANGES]

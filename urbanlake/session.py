@@ -44,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not base:
         base = sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="urbanlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not sc.getCheckpointDir():

@@ -35,6 +35,25 @@ def table_comment(df: DataFrame) -> str | None:
     return df.schema[df.columns[0]].metadata.get("table_comment")
 
 
+def replace_table(spark: SparkSession, written: str, path: str) -> None:
+    """Put a completely written folder in the place of ``path``.
+
+    Until then readers see the old table, and a failed job leaves it as it
+    was.  The old folder is moved aside first and deleted last.
+    """
+    jvm = spark.sparkContext._jvm
+    new, place = jvm.org.apache.hadoop.fs.Path(written), jvm.org.apache.hadoop.fs.Path(path)
+    old = jvm.org.apache.hadoop.fs.Path(f"{written}-replaced")
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = store.exists(place)
+    if had and not store.rename(place, old):
+        raise OSError(f"can't move {path} aside")
+    if not store.rename(new, place):
+        raise OSError(f"can't put {written} in the place of {path}")
+    if had:
+        store.delete(old, True)
+
+
 class TableCache:
     """Reuse loaded tables across dashboard queries for ``ttl_s`` seconds.
 

@@ -29,11 +29,15 @@ from urbanlake.operators.expectations import (
     metrics_from_observation,
     observe_expectations,
 )
-from urbanlake.operators.silver import project_bronze
+from urbanlake.operators.silver import castable_expectations, project_bronze
 from urbanlake.schemas import BRONZE_SCHEMA
-from urbanlake.sources.csv import read_bronze_stream
+from urbanlake.sources.csv import FILES_PER_BATCH, read_bronze_stream
+from urbanlake.sources.tables import TABLES, with_comment
 
 DQ_METRIC = "silver_dq"
+CAST_METRIC = "silver_castable"
+#: Files that a micro-batch writes for one event date, each with a share of the (sensor type, city) keys.
+FILES_PER_DAY = 4
 
 
 def _start(df: DataFrame, sink: str, checkpoint: str, available_now: bool, processing_time: str | None,
@@ -52,48 +56,51 @@ def _start(df: DataFrame, sink: str, checkpoint: str, available_now: bool, proce
 
 def start_bronze(spark: SparkSession, source_dir: str, bronze_dir: str, checkpoint: str,
                  available_now: bool = True, processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int = FILES_PER_BATCH) -> StreamingQuery:
     """Raw CSV files -> bronze parquet (all text columns, file headers kept)."""
-    stream = read_bronze_stream(spark, source_dir, max_files_per_trigger)
+    stream = with_comment(read_bronze_stream(spark, source_dir, max_files_per_trigger), TABLES["bronze"].comment)
     return _start(stream, bronze_dir, checkpoint, available_now, processing_time, None)
 
 
 def silver_stream_frame(spark: SparkSession, bronze_dir: str, rules: list[Expectation] | None = None,
                         processed_at: bool = True, partition_by_date: bool = False,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
+                        max_files_per_trigger: int = FILES_PER_BATCH, zone: str = "UTC",
+                        files_per_day: int = FILES_PER_DAY) -> DataFrame:
     rules = SILVER_EXPECTATIONS if rules is None else rules
-    reader = spark.readStream.schema(BRONZE_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    bronze = reader.parquet(bronze_dir)
-    typed = observe_expectations(project_bronze(bronze, processed_at), rules, DQ_METRIC)
-    kept = apply_expectations(typed, rules)
-    return kept.withColumn("event_date", F.to_date("event_timestamp")) if partition_by_date else kept
+    bronze = (spark.readStream.schema(BRONZE_SCHEMA).option("maxFilesPerTrigger", str(max_files_per_trigger))
+              .parquet(bronze_dir))
+    counted = observe_expectations(bronze, castable_expectations(zone), CAST_METRIC)
+    typed = observe_expectations(project_bronze(counted, processed_at, zone=zone), rules, DQ_METRIC)
+    kept = with_comment(apply_expectations(typed, rules), TABLES["silver"].comment)
+    if not partition_by_date:
+        return kept
+    # rows of a day meet in a few tasks by their clustering keys, so a batch writes few files for each day
+    keys = F.pmod(F.xxhash64(*TABLES["silver"].cluster_by), F.lit(files_per_day))
+    return kept.withColumn("event_date", F.to_date("event_timestamp")).repartition("event_date", keys)
 
 
 def start_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoint: str,
                  rules: list[Expectation] | None = None, processed_at: bool = True,
                  available_now: bool = True, processing_time: str | None = None,
-                 partition_by_date: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 partition_by_date: bool = False, max_files_per_trigger: int = FILES_PER_BATCH,
+                 zone: str = "UTC") -> StreamingQuery:
     """Bronze parquet stream -> typed, quality-filtered silver parquet.
 
     ``partition_by_date`` writes one folder per event date, so consumers that
     need a few days (incremental gold) prune the rest at planning time.
     ``max_files_per_trigger`` bounds each micro-batch (a large backfill runs
-    as many bounded batches, each committed on its own).
+    as many bounded batches, each committed on its own).  ``zone`` is the zone
+    of the wall-clock times that offsets are put in.
     """
     return _start(silver_stream_frame(spark, bronze_dir, rules, processed_at, partition_by_date,
-                                      max_files_per_trigger), silver_dir,
+                                      max_files_per_trigger, zone), silver_dir,
                   checkpoint, available_now, processing_time, None,
                   ["event_date"] if partition_by_date else None)
 
 
-def wait(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:
-    """Wait for an availableNow query to finish; stop it and raise if it does not."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError(f"streaming query {query.id} did not finish in {timeout_s}s")
+def wait(query: StreamingQuery) -> StreamingQuery:
+    """Wait for an availableNow query to finish, however long its backlog takes."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query
@@ -124,8 +131,8 @@ class QualityCounters(StreamingQueryListener):
     ``spark.streams.addListener``.  Callbacks arrive on a listener thread.
     """
 
-    def __init__(self, metric_name: str = DQ_METRIC):
-        self.metric_name = metric_name
+    def __init__(self, metric_names: tuple[str, ...] = (DQ_METRIC, CAST_METRIC)):
+        self.metric_names = metric_names
         self._lock = threading.Lock()
         self._totals: dict[str, dict[str, int]] = {}
         self._batches: dict[str, set[int]] = {}
@@ -150,8 +157,9 @@ class QualityCounters(StreamingQueryListener):
 
     def onQueryProgress(self, event):  # noqa: N802
         progress = event.progress
-        row = (progress.observedMetrics or {}).get(self.metric_name)
-        if row is None:
+        observed = progress.observedMetrics or {}
+        rows = [observed[name] for name in self.metric_names if name in observed]
+        if not rows:
             return
         qid = str(progress.runId)
         with self._lock:
@@ -160,8 +168,9 @@ class QualityCounters(StreamingQueryListener):
                 return
             seen.add(progress.batchId)
             totals = self._totals.setdefault(qid, {})
-            for k, v in row.asDict().items():
-                totals[k] = totals.get(k, 0) + int(v or 0)
+            for row in rows:
+                for k, v in row.asDict().items():
+                    totals[k] = totals.get(k, 0) + int(v or 0)
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
@@ -181,23 +190,31 @@ class QualityCounters(StreamingQueryListener):
         Listener events arrive asynchronously and in order: for a finished run
         this waits (up to ``timeout_s``) for the run's termination event, which
         follows all of its progress events; for a running query it waits for
-        the latest reported batch that carried counters.
+        the latest reported batch that carried counters.  When they do not
+        arrive in time, or lack a rule's counters, it raises: an incomplete
+        count is no count.
         """
         rules = SILVER_EXPECTATIONS if rules is None else rules
         run = str(query.runId)
         deadline = time.monotonic() + timeout_s
-        if not query.isActive:
-            while time.monotonic() < deadline:
-                with self._lock:
-                    if run in self._terminated:
-                        break
-                time.sleep(0.05)
-        else:
-            reported = [x.batchId for x in query.recentProgress if (x.observedMetrics or {}).get(self.metric_name)]
-            while reported and max(reported) not in self.batches(query) and time.monotonic() < deadline:
-                time.sleep(0.05)
+        reported = [x.batchId for x in query.recentProgress
+                    if any(name in (x.observedMetrics or {}) for name in self.metric_names)]
+
+        def complete() -> bool:
+            with self._lock:
+                ended = run in self._terminated
+            return (query.isActive or ended) and set(reported) <= self.batches(query)
+
+        while not complete():
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"the counters of streaming query {query.id} did not arrive in {timeout_s} s")
+            time.sleep(0.05)
         with self._lock:
             totals = dict(self._totals.get(run, {}))
+        if totals:
+            missing = [r.name for r in rules if f"{r.name}__passed" not in totals]
+            if missing:
+                raise RuntimeError(f"not counted by the query: {', '.join(missing)}")
         return metrics_from_observation(totals, rules)
 
 

@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanlake.operators.gold import gold_from_sensor_hours, gold_metrics, sensor_hours, write_clustered
+from urbanlake.functions.periods import day_of
+from urbanlake.operators.silver import castable_expectations
+from urbanlake.sources.csv import FILES_PER_BATCH
 from urbanlake.sources.tables import TABLES, with_comment
 from urbanlake.streaming.ingest import quality_counters, start_bronze, start_silver, stream_dq_metrics, wait
 
@@ -43,25 +46,32 @@ def refresh_view(spark: SparkSession, silver_path: str, out_path: str, grain: st
 
 
 def refresh(spark: SparkSession, source_dir: str, base: str, scale: int | None = None,
-            timeout_s: float = 1800.0, max_files_per_trigger: int | None = None, shared_pass: bool = True) -> dict:
-    """Run bronze and silver to completion (new files only), then rebuild both gold views.
-
-    ``max_files_per_trigger`` splits a large backlog into bounded micro-batches;
-    ``shared_pass`` builds both views from one scan of silver.
+            max_files_per_trigger: int = FILES_PER_BATCH, shared_pass: bool = True, zone: str = "UTC",
+            incremental: bool = False) -> dict:
+    """Run bronze and silver to completion (new files only), then bring both gold views up to date.
+
+    ``max_files_per_trigger`` bounds the micro-batches that a backlog is worked
+    off in; ``shared_pass`` builds both views from one scan of silver;
+    ``incremental`` recomputes only the days that new rows touch.  Returns the
+    counts of the quality rules and of what did not parse.
     """
     p = TablePaths(base)
     counters = quality_counters(spark)          # sees every micro-batch, however many there are
-    wait(start_bronze(spark, source_dir, p.bronze, p.bronze_ckpt, max_files_per_trigger=max_files_per_trigger),
-         timeout_s)
+    wait(start_bronze(spark, source_dir, p.bronze, p.bronze_ckpt, max_files_per_trigger=max_files_per_trigger))
     sq = wait(start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True,
-                           max_files_per_trigger=max_files_per_trigger), timeout_s)
+                           max_files_per_trigger=max_files_per_trigger, zone=zone))
     dq = stream_dq_metrics(sq, counters=counters)
-    if shared_pass:
+    castable = stream_dq_metrics(sq, castable_expectations(zone), counters)
+    if incremental:
+        for grain, name in (("hour", "gold_hour"), ("day", "gold_day")):
+            wait(start_incremental_gold(spark, p.silver, getattr(p, f"{name}_by_day"), getattr(p, f"{name}_ckpt"), grain, scale,
+                                        max_files_per_trigger=max_files_per_trigger))
+    elif shared_pass:
         refresh_views_shared(spark, p.silver, base, scale)
     else:
         refresh_view(spark, p.silver, p.gold_hour, "hour", scale)
         refresh_view(spark, p.silver, p.gold_day, "day", scale)
-    return {"paths": p, "dq_metrics": dq}
+    return {"paths": p, "dq_metrics": dq, "castable_metrics": castable}
 
 
 def refresh_views_shared(spark: SparkSession, silver_path: str, base: str, scale: int | None = None) -> None:
@@ -84,19 +94,12 @@ def refresh_views_shared(spark: SparkSession, silver_path: str, base: str, scale
         write_clustered(gold, getattr(p, name), list(info.cluster_by))
 
 
-MAX_PRUNED_DAYS = 1000
-
-
 def refresh_gold_incremental(spark: SparkSession, silver_path: str, new_rows: DataFrame, out_path: str,
                              grain: str = "day", scale: int | None = None) -> None:
     """Recompute only the days that ``new_rows`` touch and overwrite just those partitions.
 
     Distinct counts and averages do not merge by addition, so whole touched
-    days are recomputed from silver.  The touched days (at most
-    ``MAX_PRUNED_DAYS`` of them are fetched; a micro-batch spans few days)
-    become a partition filter on a date-partitioned silver, so only those
-    folders are read; beyond that bound an exact semi join is used instead.
-    The gold folder is partitioned by ``event_date`` and written with dynamic
+    days are recomputed from silver (``touched_silver``).  The gold folder is partitioned by ``event_date`` and written with dynamic
     partition overwrite, so untouched days are never rewritten.
     """
     gold = gold_metrics(touched_silver(spark, silver_path, new_rows), grain, scale)
@@ -108,30 +111,27 @@ def refresh_gold_incremental(spark: SparkSession, silver_path: str, new_rows: Da
 
 
 def touched_silver(spark: SparkSession, silver_path: str, new_rows: DataFrame) -> DataFrame:
-    """All silver rows of the days that ``new_rows`` touch (pruned to those date folders)."""
-    from urbanlake.functions.periods import day_of
+    """All silver rows of the days that ``new_rows`` touch.
 
+    The first and last day touched (one row) become a partition filter on a
+    date-partitioned silver; an exact semi join keeps the days between them
+    that are touched, rows without a day included.
+    """
     touched = new_rows.select(day_of("event_timestamp").alias("touched_date")).distinct()
     silver = spark.read.parquet(silver_path)
     if "event_date" not in silver.columns:
         silver = silver.withColumn("event_date", day_of("event_timestamp"))
-    days = [r.touched_date for r in touched.limit(MAX_PRUNED_DAYS + 1).collect()]
-    if len(days) <= MAX_PRUNED_DAYS:
-        known = [d for d in days if d is not None]
-        cond = F.col("event_date").isin(known) if known else F.lit(False)
-        if len(known) < len(days):          # rows without a timestamp: refresh the NULL-period group too
-            cond = cond | F.col("event_date").isNull()
-        affected = silver.filter(cond)
-    else:
-        # at most one row per calendar day (a few thousand for years of data): broadcast it, so silver is
-        # never shuffled by day (a day holding a large share of the rows would make one hot task)
-        affected = silver.join(F.broadcast(touched), silver["event_date"].eqNullSafe(touched["touched_date"]),
-                               "left_semi")
-    return affected.drop("event_date")
+    span = touched.agg(F.min("touched_date").alias("low"), F.max("touched_date").alias("high"),
+                       F.bool_or(F.col("touched_date").isNull()).alias("without")).first()
+    day = F.col("event_date")
+    between = day.between(F.lit(span.low), F.lit(span.high)) if span.low is not None else F.lit(False)
+    near = silver.filter(between | day.isNull() if span.without else between)
+    return near.join(touched, near["event_date"].eqNullSafe(touched["touched_date"]), "left_semi").drop("event_date")
 
 
 def start_incremental_gold(spark: SparkSession, silver_path: str, out_path: str, checkpoint: str,
-                           grain: str = "day", scale: int | None = None, available_now: bool = True):
+                           grain: str = "day", scale: int | None = None, available_now: bool = True,
+                           max_files_per_trigger: int = FILES_PER_BATCH):
     """Keep a gold view current from the silver stream, one micro-batch at a time.
 
     Each batch recomputes its touched periods from silver, so replaying a
@@ -141,7 +141,8 @@ def start_incremental_gold(spark: SparkSession, silver_path: str, out_path: str,
         refresh_gold_incremental(spark, silver_path, batch, out_path, grain, scale)
 
     # the silver sink's own schema (includes its partition column when date-partitioned)
-    stream = spark.readStream.schema(spark.read.parquet(silver_path).schema).parquet(silver_path)
+    stream = (spark.readStream.schema(spark.read.parquet(silver_path).schema)
+              .option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(silver_path))
     w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
