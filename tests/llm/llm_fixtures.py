@@ -1,4 +1,4 @@
-"""Fixtures of the training-data operators' tests."""
+"""Fixtures of the training-data operators' tests; test modules import them by name."""
 
 import pytest
 from pyspark.sql import functions as F

@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from brute import ODD
+from llm_fixtures import make  # noqa: F401
 from pyspark.sql import functions as F
 
 from urbanlake.llm import pieces, tokenfile, warc

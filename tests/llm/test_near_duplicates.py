@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from brute import ODD, components, simhash
+from llm_fixtures import make  # noqa: F401
 from pyspark.sql import functions as F
 
 from urbanlake.llm import common, pstable, simhash as sh

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from brute import ODD, WORD, base_quality, targets
+from llm_fixtures import labelled, make  # noqa: F401
 from pyspark.sql import functions as F
 
 from urbanlake.llm import mixing, quality

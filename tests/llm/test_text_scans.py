@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 from brute import ODD, backoff, marginals, phrases
+from llm_fixtures import labelled, make  # noqa: F401
 from pyspark.sql import functions as F
 
 from urbanlake.llm import licenses, lmscore, toxicity
