@@ -118,9 +118,9 @@ def test_dashboard_panels(spark, tmp_dir):
         full = {r.city_id: r for r in sv.kpi_latest(spark.read.parquet(p.gold_hour)).collect()}
         assert latest[0] == full["C1"]
         assert dash.trend("C1", "daily").count() == 7
-        assert "Cities: C1" in dash.insights_text("C1").first().text
+        assert "C1, latest 24 hourly rows" in dash.insights_text("C1").first().text
         assert dash.breakdown("C2", "daily").count() == 4
-        assert "Available Cities: C0, C3" in dash.proposal_context(["C3", "C0"]).first().text
+        assert "cities: C0, C3" in dash.proposal_context(["C3", "C0"]).first().text
         assert dash.proposal_kpis(["C0"]).first().cities_analyzed == 1
         assert "InMemoryTableScan" in dash.city("C1")._jdf.queryExecution().toString()
     finally:

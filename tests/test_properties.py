@@ -178,18 +178,23 @@ policy = st.tuples(st.integers(1, 10**9), st.floats(10, 100), st.floats(5, 50),
 
 @SETTINGS
 @given(rows=st.lists(policy, min_size=1, max_size=20, unique_by=lambda r: r[0]))
-def test_policy_scoring_matches_python(spark, rows):
+def test_policy_scoring_in_logarithms(spark, rows):
+    """A price's share of the base acts with the elasticity, the flags and congestion as rates on top."""
     import math
 
-    from test_weekly_policy import reference_demand
     from urbanlake.operators import policy as pol
-    from urbanlake.schemas import POLICY_SCHEMA
+    from urbanlake.schemas import POLICY_SCHEMA, SERVICES
 
     df = spark.createDataFrame(rows, POLICY_SCHEMA)
     got = {(r.policy_id, r.service): r for r in pol.score_elastic(pol.policy_features(df), None, None).collect()}
     assert len(got) == 4 * len(rows)
-    for pid, metro, bus, car, water, tax, fest, hol in rows:
-        for service, price in [("metro", metro), ("bus", bus), ("private_transport", car), ("water", water)]:
-            want = reference_demand(service, price, 0.65 + 0.3 * tax, fest, hol)
+    on_holidays = {"metro": 0.9, "bus": 0.9, "private_transport": 1.1, "water": 1.0}
+    with_congestion = {"metro": 1, "private_transport": -1}
+    for pid, *prices, tax, fest, hol in rows:
+        for (service, base_price, base_demand, elasticity), price in zip(SERVICES, prices, strict=True):
+            log = math.log(base_demand) + elasticity * (math.log(price) - math.log(base_price))
+            log += math.log1p(with_congestion.get(service, 0) * (0.65 + 0.3 * tax))
+            log += fest * math.log(1.2) + hol * math.log(on_holidays[service])
             r = got[(pid, service)]
-            assert math.isclose(r.demand, want, rel_tol=1e-12) and math.isclose(r.revenue, want * price, rel_tol=1e-12)
+            assert math.isclose(r.demand, max(1.0, math.exp(log)), rel_tol=1e-9)
+            assert math.isclose(r.revenue, r.demand * price, rel_tol=1e-12)
