@@ -110,7 +110,7 @@ def test_dashboard_panels(spark, tmp_dir):
     write_bronze_csv(sr(spark, SF_SMALL).drop("event_id"), f"{tmp_dir}/src")
     out = refresh(spark, f"{tmp_dir}/src", f"{tmp_dir}/lake", scale=2)
     p = out["paths"]
-    dash = CityDashboard(spark, p.gold_hour, p.gold_day)
+    dash = CityDashboard(spark, p.gold_hour, p.gold_day, ttl_s=300.0)
     try:
         assert [r.city_id for r in dash.cities().collect()] == ["C0", "C1", "C2", "C3", "C4"]
         latest = dash.latest_metrics("C1").collect()
