@@ -57,25 +57,17 @@ def gold_measures(grain: str, scale: int | None = None) -> list[Column]:
     return [F.expr(m) for m in gold_measure_sql(grain, scale)]
 
 
-PERIOD_SQL = {
-    # start of the hour on wall-clock fields: stays TIMESTAMP_NTZ, independent of the session time zone
-    "hour": ("event_hour", "make_timestamp_ntz(year(event_timestamp), month(event_timestamp), "
-                           "day(event_timestamp), hour(event_timestamp), 0, 0)"),
-    "day": ("event_date", "to_date(event_timestamp)"),
-}
-
-
 def gold_metrics(silver: DataFrame, grain: str = "hour", scale: int | None = None) -> DataFrame:
     """Hourly (``grain='hour'``) or daily gold table from silver rows.
 
     NULL timestamps form their own NULL-period group; NULL sensor ids are
     counted in record_count but not in unique_sensors.
     """
-    if grain not in PERIOD_SQL:
+    if grain not in GRAINS:
         raise ValueError(f"unknown grain {grain!r}; expected 'hour' or 'day'")
-    period_name, period_sql = PERIOD_SQL[grain]
+    period_name, period = GRAINS[grain]
     # withColumn replaces an existing period column (a date-partitioned silver already has event_date)
-    return (silver.withColumn(period_name, F.expr(period_sql))
+    return (silver.withColumn(period_name, period("event_timestamp"))
             .groupBy(*GOLD_KEYS, period_name)
             .agg(*gold_measures(grain, scale)))
 
