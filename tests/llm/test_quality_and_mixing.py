@@ -77,7 +77,7 @@ def mixed_rows():
 
 def test_targets_and_taken_words(make):
     rows = mixed_rows()
-    plan = mixing.mixing_plan(make(rows)).collect()
+    plan = mixing.mixing_plan(make(rows), shards=8).collect()
     sizes = Counter()
     for _, t, s in rows:
         sizes[s] += len(WORD.findall(t or ""))
@@ -88,12 +88,13 @@ def test_targets_and_taken_words(make):
     taken, most = Counter(), Counter()
     for r in plan:
         n = len(r.shards)
-        assert n <= 2 and all(0 <= x < mixing.SHARDS for x in r.shards)
+        assert n <= 2 and all(0 <= x < 8 for x in r.shards)
         taken[r.source_size] += n * r["size"]
         most[r.source_size] = max(most[r.source_size], r["size"])
     for s in sizes:
         assert abs(taken[sizes[s]] - want[s]) <= most[sizes[s]], s
-    assert sorted(map(str, plan)) == sorted(map(str, mixing.mixing_plan(make(rows).repartition(5)).collect()))
+    assert {x for r in plan for x in r.shards} == set(range(8))
+    assert sorted(map(str, plan)) == sorted(map(str, mixing.mixing_plan(make(rows).repartition(5), shards=8).collect()))
 
 
 def test_mixed_documents_are_the_plan(make):
@@ -108,7 +109,7 @@ def test_mixed_documents_are_the_plan(make):
 
 def test_leaves_hold_the_exact_quotas(spark):
     quotas = spark.createDataFrame([(0, 700), (1, 0), (2, 123), (3, 1)], "rank int, quota long")
-    for shards in (1, 3, 8):
+    for shards in (1, 3, 8, 100):
         rows = mixing.shard_quotas(quotas, shards, 5).collect()
         total, of_shard = Counter(), Counter()
         for r in rows:

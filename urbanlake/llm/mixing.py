@@ -39,7 +39,6 @@ WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MOST = 2
 BLOCKS = 1024
-SHARDS = 8
 
 
 def _uniform(*parts: Column) -> Column:
@@ -157,7 +156,7 @@ def source_records(sized: DataFrame, weights: tuple[int, ...], budget: float, mo
 
     ``_key, source_size, target``; ``whole``: times that every block is taken;
     ``last``: the block in which the rest ends, with ``cut``: the last hash
-    taken in it; ``bounds``: where each shard's range of the source's blocks ends.
+    taken in it; ``shard_of``: the shard of each block drawn, in drawing order.
     """
     by_block = saved(sized.groupBy("_key", "source", "_block").agg(F.sum("_size").alias("words")), "mix-blocks")
     sizes = by_block.groupBy("_key", "source").agg(F.sum("words").alias("source_size"))
@@ -182,39 +181,43 @@ def source_records(sized: DataFrame, weights: tuple[int, ...], budget: float, mo
                .withColumn("quota", F.col("whole").cast("long") * blocks + F.col("last")
                            + F.when(F.col("cut") != "", 1).otherwise(0)))
     records = saved(records, "mix-records")
-    upto = Window.partitionBy("rank").orderBy("shard")
-    bounds = (shard_quotas(records.select("rank", "quota"), shards, seed)
-              .select("rank", "shard", F.sum("blocks").over(upto).alias("end"))
-              .groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("shard", "end"))).alias("b"))
-              .select("rank", F.transform("b", lambda x: x["end"]).alias("bounds")))
-    return records.join(bounds, "rank").select("_key", "source_size", "target", "whole", "last", "cut", "bounds")
+    shard_of = (shard_quotas(records.select("rank", "quota"), shards, seed)
+                .groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("shard", "blocks"))).alias("b"))
+                .select("rank", F.flatten(F.transform("b", lambda x: F.array_repeat(x["shard"], x["blocks"].cast("int")))).alias("shard_of")))
+    return records.join(shard_of, "rank").select("_key", "source_size", "target", "whole", "last", "cut", "shard_of")
 
 
 def _draws(blocks: int, most: int) -> Column:
     """The shard of every draw of a row: one for each whole time, one more when the rest covers it."""
-    def shard_of(number: Column) -> Column:
-        return F.size(F.filter(F.col("bounds"), lambda end: end <= number)).cast("int")
-
-    whole = [F.when(F.col("whole") > i, shard_of(F.lit(i * blocks).cast("long") + F.col("_block"))) for i in range(most)]
+    whole = [F.when(F.col("whole") > i, F.get("shard_of", i * blocks + F.col("_block"))) for i in range(most)]
     rest = F.when((F.col("_block") < F.col("last")) | ((F.col("_block") == F.col("last")) & (F.col("_hash") <= F.col("cut"))),
-                  shard_of(F.col("whole").cast("long") * blocks + F.col("_block")))
+                  F.get("shard_of", F.col("whole") * blocks + F.col("_block")))
     return F.array_compact(F.array(*whole, rest))
 
 
-def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST,
-                blocks: int = BLOCKS, shards: int = SHARDS, seed: int = 7) -> DataFrame:
-    """``doc_id, size, source_size, target, shards``: the shard of each time the document is taken."""
+def _records(docs: DataFrame, weights: tuple[int, ...], budget: float, most: int, blocks: int, shards: int | None,
+             seed: int) -> tuple[DataFrame, DataFrame, int]:
+    """The documents' sizes and blocks, the sources' records, and the number of shards."""
+    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sized = saved(with_blocks(docs.select("doc_id", "source", "text"), blocks, seed).drop("text"), "mix-sizes")
-    records = saved(source_records(sized, weights, budget, most, blocks, shards, seed), "mix-sources")
+    return sized, saved(source_records(sized, weights, budget, most, blocks, shards, seed), "mix-sources"), shards
+
+
+def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST,
+                blocks: int = BLOCKS, shards: int | None = None, seed: int = 7) -> DataFrame:
+    """``doc_id, size, source_size, target, shards``: the shard of each time the document is taken.
+
+    Without a number of shards there are as many as shuffle partitions.
+    """
+    sized, records, _ = _records(docs, weights, budget, most, blocks, shards, seed)
     return sized.join(records, "_key").select("doc_id", F.col("_size").alias("size"), "source_size", "target",
                                               _draws(blocks, most).alias("shards"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST,
-                    blocks: int = BLOCKS, shards: int = SHARDS, seed: int = 7) -> DataFrame:
+                    blocks: int = BLOCKS, shards: int | None = None, seed: int = 7) -> DataFrame:
     """The rows of ``docs``, as often as the mix takes them, in their shards' partitions and order."""
-    sized = saved(with_blocks(docs.select("doc_id", "source", "text"), blocks, seed).drop("text"), "mix-sizes")
-    records = saved(source_records(sized, weights, budget, most, blocks, shards, seed), "mix-sources")
+    _, records, shards = _records(docs, weights, budget, most, blocks, shards, seed)
     rows = with_blocks(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), blocks, seed)
     drawn = rows.join(records, "_key").select("row", F.posexplode(_draws(blocks, most)).alias("time", "shard"))
     order = F.xxhash64(F.coalesce(F.col("row.doc_id"), F.lit(0)), F.col("time"), F.lit(seed))
