@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -152,11 +153,12 @@ class RaggedCache:
         """All sequences one after the other, and how many integers each document has."""
         if len(self.code) > self.most:
             self._clear()
-        fresh = list(dict.fromkeys(s for d in documents for s in d if s not in self.code))
+        flat = list(chain.from_iterable(documents))
+        fresh = set(flat).difference(self.code)
         if fresh:
-            self._add(fresh)
-        counts = np.array([len(d) for d in documents], dtype=np.int64)
-        codes = np.fromiter((self.code[s] for d in documents for s in d), dtype=np.int64, count=int(counts.sum()))
+            self._add(list(fresh))
+        counts = np.fromiter(map(len, documents), dtype=np.int64, count=len(documents))
+        codes = np.fromiter(map(self.code.__getitem__, flat), dtype=np.int64, count=len(flat))
         sizes = self.length[codes]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0

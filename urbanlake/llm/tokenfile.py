@@ -14,8 +14,8 @@ any block to be unpacked alone.  Layout of a file, little-endian::
     places of exceptions as bytes, their values (less the minimum) as unsigned 32-bit
 
 White space never joins tokens and is dropped, so a text is cut at blanks and
-line ends and each distinct run between them is encoded once in a task; tests
-hold this against whole-text encoding.
+line ends and each distinct run between them is encoded once for a task's
+cache; tests hold this against whole-text encoding.
 
 The documents are range-partitioned by id, so a task writes the files of one
 range, ``file_ids`` ids or the document that passes them in each.  File names
@@ -27,10 +27,10 @@ their texts.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,7 @@ BLOCK_IDS = 128
 PERCENTILE = 90
 FILE_IDS = 4_000_000
 MAGIC = b"PFOR1\n"
+STOP = re.compile(rb"(?<=[a-z])[.,](?=[ \n])")
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -124,7 +125,12 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    """Batch encoder of whole texts through a cache of the runs between blanks."""
+    """Batch encoder of whole texts through a cache of the runs between blanks.
+
+    The tokenizer lower-cases and always parts letters from punctuation, so
+    A-Z are lowered first, which leaves texts with special tokens alone, and a
+    full stop or comma between a letter and a blank is a run of its own.
+    """
 
     def __init__(self, tokenizer_json: str) -> None:
         import os
@@ -132,16 +138,18 @@ class Encoder:
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_str(tokenizer_json)
 
-        def encode(runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            ids = [e.ids for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            return np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum())), sizes
+        def encode(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            words = [r.decode("utf-8", "replace") for r in runs]
+            e = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)     # each run by itself
+            return (np.array(e.ids, dtype=np.int32),
+                    np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(runs)).astype(np.int64))
 
         self.cache = RaggedCache(encode)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        runs = [[r for r in t.decode("utf-8", "replace").replace("\n", " ").split(" ") if r] for t in texts]
-        return self.cache.gather(runs)
+        """All ids one after the other, and how many each text has."""
+        lowered = [t if b"<|" in t else t.lower() for t in texts]
+        return self.cache.gather([STOP.sub(rb" \g<0>", t).replace(b"\n", b" ").split(b" ") for t in lowered])
 
 
 FILES = "part int, seq int, file string, docs long, ids long"
@@ -153,13 +161,14 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2
     """Writes the files; the committed list ``part, seq, file, docs, ids`` in global order of (part, seq)."""
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
-        tokenizer = spark.sparkContext.broadcast(f.read())      # a vocabulary file, of fixed size
+        # a vocabulary file, of fixed size; a worker keeps the value, and with it the encoder, from task to task
+        shared = spark.sparkContext.broadcast({"tokenizer": f.read()})
     rows = text_bytes(docs).withColumn("h", F.xxhash64("utf8"))
     ranged = (rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("doc_id"), F.col("h"))
               .sortWithinPartitions("doc_id", "h", "utf8").drop("h"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, encoder = TaskContext.get(), None
+        task, kept = TaskContext.get(), shared.value
         store, base = fs.FileSystem.from_uri(folder)
         ids, lengths, names, held, seq = [], [], [], 0, 0
 
@@ -175,8 +184,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2
             return out
 
         for b in batches(rows):
-            encoder = encoder or Encoder(tokenizer.value)
-            got, counts = encoder.encode(b.column("utf8").to_pylist())
+            if "encoder" not in kept:
+                kept["encoder"] = Encoder(kept["tokenizer"])
+            got, counts = kept["encoder"].encode(b.column("utf8").to_pylist())
             ids.append(np.insert(got, np.cumsum(counts), end_id).astype(np.uint32))
             lengths.append(counts + 1)
             names.extend(b.column("doc_id").to_pylist())
