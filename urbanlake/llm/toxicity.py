@@ -28,8 +28,8 @@ without labels of both kinds every score is 0.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ from urbanlake.llm.common import batches, text_bytes
 #: Bounds of the training sample: documents of each kind, and their largest size in characters.
 TOXIC_SAMPLE = 1500
 CLEAN_SAMPLE = 4500
-SAMPLE_CHARS = 1_000_000
+SAMPLE_CHARS = 100_000
 #: Clean chains for each chain with a marked token.
 CLEAN_CHAINS = 3
 LIFT = 10.0
@@ -80,30 +80,43 @@ def chains_of(text: str) -> list[list[str]]:
     return out
 
 
-def find_markers(words: list[set[str]], toxic: np.ndarray) -> set[str]:
-    """Words and starts of words whose documents are toxic beyond chance."""
-    seen, bad = Counter(), Counter()
-    for doc, y in zip(words, toxic, strict=True):
-        names = set(doc)
-        for w in doc:
-            names.update(starts_of(w))
-        seen.update(names)
-        if y:
-            bad.update(names)
-    share = toxic.mean()
-    names = list(bad)
-    n1 = np.array([bad[x] for x in names], dtype=np.float64)
-    n = np.array([seen[x] for x in names], dtype=np.float64)
-    p = n1 / n
-    with np.errstate(divide="ignore", invalid="ignore"):
-        kl = np.where(p < 1, p * np.log(p / share) + (1 - p) * np.log((1 - p) / (1 - share)), -np.log(share))
-    odds = (n1 / toxic.sum()) / np.maximum((n - n1) / (~toxic).sum(), 1e-12)
-    chosen = (p > share) & (n * kl >= np.log(len(seen) / DOUBT)) & (odds >= LIFT)
-    return {names[i] for i in np.flatnonzero(chosen)}
-
-
-def marked(word: str, markers: set[str]) -> bool:
-    return bool(word) and (word in markers or any(s in markers for s in starts_of(word)))
+class Sample:
+    """The training texts as word numbers: chains, documents, and the distinct words' marker features."""
+
+    def __init__(self, texts: list[str]) -> None:
+        number: dict[str, int] = {}
+        tokens, self.lengths = [], []
+        for t in texts:
+            chains = chains_of(t)
+            tokens.append(np.array([number.setdefault(w, len(number)) for c in chains for w in c], dtype=np.int32))
+            self.lengths.append(np.array([len(c) for c in chains], dtype=np.int64))
+        self.documents = tokens
+        self.words = list(number)
+        sizes = np.fromiter((1 + max(0, min(len(w), 7) - 2) if w else 0 for w in self.words), dtype=np.int64, count=len(number))
+        name = np.fromiter((xxhash.xxh64_intdigest(x) for w in self.words if w for x in (w, *starts_of(w))),
+                           dtype=np.uint64, count=int(sizes.sum()))
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        distinct, place = np.unique(name, return_inverse=True)
+        self.n_names, self.name = len(distinct), place.astype(np.int32)
+
+    def names_of(self, words: np.ndarray) -> np.ndarray:
+        sizes = self.first[words + 1] - self.first[words]
+        return self.name[np.repeat(self.first[words] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+
+    def marked_words(self, toxic: np.ndarray) -> np.ndarray:
+        """Whether each word, or a start of it, is a marker: its documents are toxic beyond chance."""
+        n, n1 = np.zeros(self.n_names), np.zeros(self.n_names)
+        for d, bad in zip(self.documents, toxic, strict=True):
+            held = np.unique(self.names_of(np.unique(d)))
+            n[held] += 1
+            n1[held] += bad
+        share, p = toxic.mean(), n1 / np.maximum(n, 1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            kl = (np.where(p > 0, p * np.log(p / share), 0) + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - share)), 0))
+            odds = (n1 / toxic.sum()) / np.maximum((n - n1) / (~toxic).sum(), 1e-12)
+        marker = (p > share) & (n * kl >= np.log(max(self.n_names, 1) / DOUBT)) & (odds >= LIFT)
+        hits = np.concatenate([[0], np.cumsum(marker[self.name])])
+        return hits[self.first[1:]] > hits[self.first[:-1]]
 
 
 class Chains:
@@ -161,21 +174,30 @@ class Field:
         known = self.known
         if len(known) > 500_000:
             known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = float(self.weights[features(w)].sum())
+        fresh = list(set(words).difference(known))
+        known.update(zip(fresh, self.potentials_of(fresh).tolist(), strict=True))
         return np.fromiter(map(known.__getitem__, words), dtype=np.float64, count=len(words))
 
+    def potentials_of(self, words: list[str], step: int = 50_000) -> np.ndarray:
+        """State 1's potential over state 0's for each word."""
+        out = np.empty(len(words))
+        for at in range(0, len(words), step):
+            each = [features(w) for w in words[at:at + step]]
+            sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
+            place = np.fromiter(chain.from_iterable(each), dtype=np.int64, count=int(sizes.sum()))
+            out[at:at + len(each)] = np.add.reduceat(self.weights[place], np.cumsum(sizes) - sizes)
+        return out
+
     def token_marginals(self, chains: list[list[str]]) -> np.ndarray:
-        flat = [w for c in chains for w in c]
-        if not flat:
-            return np.empty(0)
-        out = np.empty(len(flat))
-        lengths = np.array([len(c) for c in chains], dtype=np.int64)
-        e, ends = self.potentials(flat), np.cumsum(lengths)
-        for at in range(0, len(chains), 20_000):               # bounds the pass's arrays
+        lengths = np.fromiter(map(len, chains), dtype=np.int64, count=len(chains))
+        return self.marginals_of(self.potentials(list(chain.from_iterable(chains))), lengths)
+
+    def marginals_of(self, e: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Marginals of chains that lie one after the other."""
+        out, ends = np.empty(len(e)), np.cumsum(lengths)
+        for at in range(0, len(lengths), 20_000):              # bounds the pass's arrays
             part = lengths[at:at + 20_000]
-            a, z = int(ends[at] - lengths[at]), int(ends[min(at + 20_000, len(chains)) - 1])
+            a, z = int(ends[at] - lengths[at]), int(ends[min(at + 20_000, len(lengths)) - 1])
             out[a:z] = Chains(part).marginals(e[a:z], self.move)[0]
         return out
 
@@ -198,16 +220,16 @@ class Field:
         return 1.0 / (1.0 + np.exp(-z))
 
 
-def fit_field(chains: list[list[str]], labels: list[np.ndarray]) -> Field:
-    """Adagrad on the exact gradient: expected minus observed features and transitions."""
-    flat = [w for c in chains for w in c]
-    y = np.concatenate(labels).astype(np.float64)
-    lengths = np.array([len(c) for c in chains], dtype=np.int64)
+def fit_field(words: list[str], tokens: np.ndarray, y: np.ndarray, lengths: np.ndarray) -> Field:
+    """Adagrad on the exact gradient: expected minus observed features and transitions.
+
+    ``tokens`` are numbers of words, chain after chain; ``y`` their labels.
+    """
+    y = y.astype(np.float64)
     layout = Chains(lengths)
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-    types = np.fromiter((vocabulary[w] for w in flat), dtype=np.int64, count=len(flat))
-    per_type = [features(w) for w in vocabulary]
-    place = np.concatenate([np.array(f) for f in per_type])
+    used, types = np.unique(tokens, return_inverse=True)
+    per_type = [features(words[i]) for i in used.tolist()]
+    place = np.fromiter((x for f in per_type for x in f), dtype=np.int64)
     owner = np.repeat(np.arange(len(per_type)), [len(f) for f in per_type])
     seen = np.zeros((2, 2))
     inside = np.ones(len(y), dtype=bool)
@@ -241,22 +263,23 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def train(texts: list[str], toxic: list[int]) -> Field | None:
     """The field of a labelled sample; None unless it holds both kinds."""
-    y = np.array(toxic, dtype=bool)
-    if not y.any() or y.all():
+    bad = np.array(toxic, dtype=bool)
+    if not bad.any() or bad.all():
         return None
-    chains = [chains_of(t) for t in texts]
-    markers = find_markers([{w for c in doc for w in c if w} for doc in chains], y)
-    known = {w: marked(w, markers) for doc in chains for c in doc for w in c}
-    hot, cold = [], []
-    for doc, bad in zip(chains, y, strict=True):
-        for c in doc:
-            label = np.array([bad and known[w] for w in c])
-            (hot if label.any() else cold).append((c, label))
-    step = max(1, len(cold) // max(1, CLEAN_CHAINS * len(hot) + 1000))
-    used = hot + cold[::step]
-    field = fit_field([c for c, _ in used], [x for _, x in used])
-    x = np.array([field.summary(field.token_marginals(doc)) for doc in chains])
-    field.curve = fit_curve(x, y.astype(np.float64))
+    sample = Sample(texts)
+    marked = sample.marked_words(bad)
+    tokens, lengths = np.concatenate(sample.documents), np.concatenate(sample.lengths)
+    labels = marked[tokens] & np.repeat(bad, [len(d) for d in sample.documents])
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    hot = np.bincount(owner, labels, len(lengths)) > 0
+    cold = np.flatnonzero(~hot)
+    chosen = hot.copy()
+    chosen[cold[::max(1, len(cold) // max(1, CLEAN_CHAINS * int(hot.sum()) + 1000))]] = True
+    used = chosen[owner]
+    field = fit_field(sample.words, tokens[used], labels[used], lengths[chosen])
+    potential = field.potentials_of(sample.words)
+    x = np.array([field.summary(field.marginals_of(potential[d], n)) for d, n in zip(sample.documents, sample.lengths, strict=True)])
+    field.curve = fit_curve(x, bad.astype(np.float64))
     return field
 
 
@@ -265,8 +288,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> list:
-    """``text, toxic`` of at most so many documents of each kind, chosen by a hash of their ids."""
+def training_sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """``doc_id, text, toxic`` of at most so many documents of each kind, chosen by a hash of their ids."""
     told = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     order = F.xxhash64("doc_id")
@@ -274,7 +297,25 @@ def training_sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int)
               .unionAll(told.filter("toxic = 0").orderBy(order).limit(clean)))
     return (docs.filter(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
             .join(F.broadcast(chosen), "doc_id")                     # at most toxic + clean ids
-            .dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").orderBy("doc_id").collect())
+            .dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic"))
+
+
+def fit_on_sample(docs: DataFrame, labels: DataFrame, toxic_sample: int, clean_sample: int) -> Field | None:
+    """The field of the training sample, fitted in one task, which the sample's bounds keep small."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample = sorted(((r["doc_id"], r["text"], r["toxic"]) for b in rows for r in b.to_pylist()), key=lambda r: r[0])
+        field = train([r[1] for r in sample], [r[2] for r in sample])
+        parts = [] if field is None else [field.weights, field.move.ravel(), field.curve]
+        yield pa.RecordBatch.from_arrays([pa.array([x.astype("<f8").tobytes() for x in parts], pa.binary()),
+                                          pa.array(range(len(parts)), pa.int32())], ["part", "at"])
+
+    sample = training_sample(docs, labels, toxic_sample, clean_sample)
+    parts = sample.repartition(1).mapInArrow(run, "part binary, at int").collect()
+    if not parts:
+        return None
+    weights, move, curve = (np.frombuffer(r["part"], "<f8") for r in sorted(parts, key=lambda r: r["at"]))
+    return Field(weights, move.reshape(2, 2), curve)
 
 
 def score_documents(docs: DataFrame, field: Field | None) -> DataFrame:
@@ -301,8 +342,7 @@ def score_documents(docs: DataFrame, field: Field | None) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, toxic_sample: int = TOXIC_SAMPLE,
                   clean_sample: int = CLEAN_SAMPLE) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, as they are."""
-    sample = training_sample(docs, labels, toxic_sample, clean_sample)
-    field = train([r["text"] for r in sample], [r["toxic"] for r in sample])
+    field = fit_on_sample(docs, labels, toxic_sample, clean_sample)
     if field is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast((field.weights, field.move, field.curve))
@@ -339,6 +379,4 @@ def find_spans(text: str, p: np.ndarray) -> list[dict]:
 
 def toxicity(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE, clean_sample: int = CLEAN_SAMPLE) -> DataFrame:
     """Fits on the sample and scores every document: ``doc_id, score, spans``."""
-    rows = training_sample(docs, labels, toxic_sample, clean_sample)
-    field = train([r["text"] for r in rows], [r["toxic"] for r in rows])
-    return score_documents(docs, field)
+    return score_documents(docs, fit_on_sample(docs, labels, toxic_sample, clean_sample))
