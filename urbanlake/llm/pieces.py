@@ -258,11 +258,12 @@ def words_of(text: str) -> list[str]:
 
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     """``doc_id, ids array<int>, round_trip``: piece ids and whether they decode to the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(Pieces.load(model_path)))      # a vocabulary, of fixed size
+    # a vocabulary, of fixed size; a worker keeps the value, and with it the cache of words, from task to task
+    shared = docs.sparkSession.sparkContext.broadcast({"pieces": vars(Pieces.load(model_path))})
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Pieces.restore(shared.value)
-        cache = RaggedCache(model.segment)
+        model = Pieces.restore(shared.value["pieces"])
+        cache = shared.value.setdefault("cache", RaggedCache(model.segment))
         for b in batches(rows):
             texts = [t.decode("utf-8", "replace") for t in b.column("utf8").to_pylist()]
             ids, counts = cache.gather([words_of(t) for t in texts])
