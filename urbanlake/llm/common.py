@@ -7,7 +7,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbanlake.session import work_path
@@ -33,10 +33,6 @@ def text_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                        F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("utf8"))
 
 
-def empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def bucket_blocks(members: DataFrame, keys: list[str], identity: str, payload: DataFrame | None = None,
                   block: int = BLOCK) -> DataFrame:
     """Candidate buckets cut into pairs of blocks, one row each.
@@ -122,7 +118,7 @@ class RaggedCache:
     starts anew, so its memory stays bounded.
     """
 
-    def __init__(self, encode, most: int = 500_000) -> None:
+    def __init__(self, encode, most: int = 1_200_000) -> None:
         self.encode, self.most = encode, most
         self._clear()
 
