@@ -61,6 +61,41 @@ def test_kept_rows_come_back_as_they_are(make, labelled):
     assert sorted(map(tuple, back.collect()), key=str) == sorted((tuple(r) for r in docs.collect() if r.doc_id in kept), key=str)
 
 
+def prose(seed, n):
+    """Documents of one mix, every fifth bad and labelled so, every other good one labelled."""
+    rng = np.random.default_rng(seed)
+    good, bad = [f"w{k}" for k in range(300)], [f"junk{k}" for k in range(40)]
+    rows, told = [], []
+    for i in range(n):
+        words = rng.choice(good, 60).tolist()
+        if i % 5 == 0:
+            words[::2] = rng.choice(bad, 30).tolist()
+        rows.append((i, " ".join(words), "a"))
+        if i % 5 == 0 or i % 2 == 0:
+            told.append((i, int(i % 5 != 0), 0))
+    return rows, told
+
+
+@pytest.mark.parametrize("n", [100, 3000])
+def test_verdicts_do_not_switch_with_size(make, labelled, n):
+    """With the production values, bad documents go and good ones stay, labelled or not, in a small and a large mix."""
+    rows, told = prose(5, n)
+    got = quality.quality_rules(make(rows), labelled(told)).collect()
+    assert not any(r.base_failed for r in got)
+    assert {(r.doc_id % 5 != 0, r.kept) for r in got} == {(True, True), (False, False)}
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_labelled_documents_of_the_tables(spark, size):
+    path = f"/root/testdata/{size}"
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    told = {r.doc_id: r.quality for r in labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).collect()}
+    got = quality.quality_rules(spark.read.parquet(f"{path}/documents.parquet"), labels).select("doc_id", "base_failed", "kept").collect()
+    kept = lambda q: [r.kept for r in got if not r.base_failed and told.get(r.doc_id) == q]
+    good, bad = kept(1), kept(0)
+    assert bad and sum(bad) <= 0.05 * len(bad) and sum(good) >= 0.98 * len(good)
+
+
 def test_quality_without_labels_or_documents(make, labelled):
     docs = make([(1, "word " * 25, "a")])
     assert quality.quality_rules(docs, labelled([])).first().score == 0.0

@@ -2,9 +2,12 @@
 
 Unigrams and bigrams of every document are hashed into ``buckets`` bins.  Over
 all documents the bins' counts are the raw multinomial, over the documents that
-labels call good the target multinomial; the target is smoothed towards the raw
-one by a Dirichlet prior of ``prior`` grams, so a small target claims little.
-A document's score is the mean over its grams of
+labels call good the target multinomial.  A bin's share of the target is set
+against its share of the raw one with ``ADD`` grams added to the target's count
+and to the count that the raw share lets expect: a bin with little evidence
+claims nothing, one with much claims its ratio, however large the whole target
+is.  (With ``prior``, a Dirichlet prior of that many grams takes ADD's place;
+its pull on every bin depends on the target's size.)  A document's score is the mean over its grams of
 ``ln(target(bin) / raw(bin))``, and a document is kept when no base rule fails
 and the score is at least ``threshold``: the same verdict in every run.
 
@@ -32,6 +35,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
+#: Grams added to each bin's counts, and the least mean score that is kept; chosen together.
+ADD = 10.0
+THRESHOLD = -0.05
 
 
 def words_of(text: Column) -> Column:
@@ -87,20 +93,22 @@ def _hashes(docs: DataFrame, *keep: str) -> DataFrame:
         *keep, F.transform("words", lambda x: F.xxhash64(x)).alias("h"))
 
 
-def gram_weights(docs: DataFrame, labels: DataFrame, buckets: int, prior: float) -> DataFrame:
+def gram_weights(docs: DataFrame, labels: DataFrame, buckets: int, prior: float | None) -> DataFrame:
     """``bin, weight``: ln of the target's share over the raw share, for each bin that occurs."""
+    added, pull = (ADD, 0.0) if prior is None else (0.0, float(prior))
     good = (labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).filter("quality = 1")
             .select("doc_id", F.lit(1).alias("good")))
     told = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left")
     counts = saved(_hashes(told, "good").select("good", F.explode(gram_bins(F.col("h"), buckets)).alias("bin"))
                    .groupBy("bin").agg(F.count(F.lit(1)).alias("raw"), F.count("good").alias("target")), "gram-counts")
     all_raw, all_target = counts.agg(F.sum("raw")).scalar(), counts.agg(F.sum("target")).scalar()
-    return counts.select("bin", F.ln((F.col("target") * all_raw / F.col("raw") + F.lit(float(prior)))
-                                     / (all_target + F.lit(float(prior)))).alias("weight"))
+    share = F.col("raw") / all_raw
+    return counts.select("bin", F.ln((F.col("target") + share * F.lit(pull) + F.lit(added))
+                                     / (share * (all_target + F.lit(pull)) + F.lit(added))).alias("weight"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, carried: Column, buckets: int = 1 << 16, prior: float = 1e6,
-           threshold: float = -0.05) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, carried: Column, buckets: int = 1 << 16, prior: float | None = None,
+           threshold: float = THRESHOLD) -> DataFrame:
     """``row`` (the carried struct), the base counts, ``score, number, base_failed, kept``; one row per row of ``docs``."""
     spark = docs.sparkSession
     bins = spark.range(buckets).select(F.col("id").cast("int").alias("bin"))
