@@ -56,6 +56,35 @@ def test_spans_labels_and_score():
     assert clean["labels"] == "" and clean["score"] == 0.0 and clean["spans"] == []
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def best_first(words, notice, errors):
+    """Errors of the runs of words that match: the best run first, then what doesn't overlap it."""
+    runs = [(distance(" ".join(words[i:j]), notice), i, j) for i in range(len(words)) for j in range(i + 1, min(len(words), i + 9) + 1)]
+    taken = []
+    for e, i, j in sorted(runs):
+        if e <= errors and all(j <= a or b <= i for _, a, b in taken):
+            taken.append((e, i, j))
+    return [e for e, _, _ in sorted(taken, key=lambda x: x[1])]
+
+
+def test_every_repeat_of_a_notice_is_found():
+    scanner, rng, notice = licenses.Scanner(), np.random.default_rng(8), "licensed under the mit license"
+    found = lambda text: [s[2] for s in scanner.fuzzy(f" {text} ") if s[3] == "mit-notice"]
+    assert found("licensed undr the mit license " * 20 + notice) == [1] * 20 + [0]
+    assert found(f"licensed undr the mitt license {notice}") == [2, 0]
+    for _ in range(20):
+        text = " ".join(edited(notice, int(rng.integers(licenses.max_edits(notice) + 1)), rng) for _ in range(6))
+        assert found(text) == best_first(text.split(" "), notice, licenses.max_edits(notice)), text
+
+
 def test_marginals_match_all_sequences():
     rng = np.random.default_rng(4)
     move = rng.standard_normal((2, 2))

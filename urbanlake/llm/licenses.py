@@ -117,10 +117,13 @@ class Scanner:
         for k, spans in windows.items():
             size, _, pattern, label = self.notices[k]
             for low, high in spans:
-                at = low
-                while (m := pattern.search(text, at, high)) is not None:
-                    found.append((m.start(), m.end(), sum(m.fuzzy_counts), label))
-                    at = max(m.end(), m.start() + 1)
+                # The best match of a part comes first, wherever it stands: what is left and right of it is searched too.
+                parts = [(low, high)]
+                while parts:
+                    at, to = parts.pop()
+                    if (m := pattern.search(text, at, to)) is not None:
+                        found.append((m.start(), m.end(), sum(m.fuzzy_counts), label))
+                        parts += [(at, max(at, m.start() - 1)), (max(m.end(), m.start() + 1), to)]
         return sorted(found)
 
 
