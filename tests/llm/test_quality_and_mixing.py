@@ -142,6 +142,26 @@ def test_mixed_documents_are_the_plan(make):
     assert Counter(r.doc_id for r in mixed.collect()) == +plan
 
 
+@pytest.mark.parametrize("giant", [5_000, 11_000])
+def test_one_giant_document_does_not_stop_the_fill(make, giant):
+    """Whichever place the giant's hash gives it, the small documents behind it reach the target."""
+    rows = [(1000 * s + i, "w " * (giant if i == 0 else 100), f"s{s}") for s in range(6) for i in range(101)]
+    rows += [(None, f"{i} " + "w " * 9, "z") for i in range(2000)]
+    plan = mixing.mixing_plan(make(rows), budget=0.7, shards=4).collect()
+    taken, of, times = Counter(), {}, set()
+    for r in plan:
+        group = "z" if r.doc_id is None else r.doc_id // 1000
+        taken[group] += len(r.shards) * r["size"]
+        of[group] = r
+        if r.doc_id is None:
+            times.add(len(r.shards))
+    assert abs(taken["z"] - of["z"].target) <= 5 and len(times) == 2
+    for group in range(6):
+        size, want = of[group].source_size, of[group].target
+        best = min(abs(want - want // size * size - g * giant - k * 100) for g in (0, 1) for k in range(101))
+        assert abs(taken[group] - want) == pytest.approx(best), (group, taken[group], want)
+
+
 def test_leaves_hold_the_exact_quotas(spark):
     quotas = spark.createDataFrame([(0, 700), (1, 0), (2, 123), (3, 1)], "rank int, quota long")
     for shards in (1, 3, 8, 100):

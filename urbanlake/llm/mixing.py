@@ -7,9 +7,15 @@ and what is cut off is shared anew by weight among the others.
 
 Every source is dealt into ``blocks`` blocks by a hash of the document id,
 which permutes its documents.  A source at r whole times its size plus a rest
-takes all its blocks r times, then blocks in order up to the rest; in the block
-where the rest ends, documents in hash order, to the nearest one.  The taken
-blocks are the source's quota.  The quotas of all sources are split among the
+takes all its blocks r times, then fills the rest by classes of length, longest
+first: documents longer than the rest, then down to a 4th, a 16th and a 64th of
+it, then all shorter ones.  A class takes its share of what is left, in block
+and hash order, to the document before or after the share's end: the one that
+the shorter classes can make good, else the nearer one.  So no long document
+stands in the way of short ones behind it.  ``by_prefix`` fills the rest without
+classes: blocks in order, then documents in hash order to the nearest one, which
+may miss by half of the document at the end.  The taken blocks are the source's
+quota.  The quotas of all sources are split among the
 output shards by halving: a node that holds some shards gives its left half
 as many blocks as their share, and how many of each source is one draw of the
 multivariate hypergeometric distribution.  A leaf is a shard's exact quota of
@@ -24,7 +30,7 @@ record, so texts move only to their shards.
 
 Defined cases: null and blank texts have size 0 and are drawn like others (a
 source without words has target 0 and is not drawn); a null source is a source;
-a null ``doc_id`` hashes as an empty one; repeated rows are documents of their
+a null ``doc_id`` hashes as its text (as an empty id with ``by_prefix``); repeated rows are documents of their
 own and are drawn alike; an empty table gives an empty mix.
 """
 
@@ -39,6 +45,8 @@ WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MOST = 2
 BLOCKS = 1024
+#: A class's documents are longer than the rest divided by this; what is shorter than all is the last class.
+PARTS = (1, 4, 16, 64)
 
 
 def _uniform(*parts: Column) -> Column:
@@ -46,9 +54,10 @@ def _uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("-", *parts)), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def with_blocks(docs: DataFrame, blocks: int, seed: int) -> DataFrame:
+def with_blocks(docs: DataFrame, blocks: int, seed: int, by_prefix: bool = False) -> DataFrame:
     """Adds ``_key`` (of the source, never null), ``_size``, ``_hash`` and ``_block``."""
-    digest = F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    nameless = F.lit("") if by_prefix else F.concat(F.lit("text-"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    digest = F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), nameless)))
     return (docs.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
             .withColumn("_size", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long"))
             .withColumn("_hash", F.substring(digest, 9, 24))
@@ -150,20 +159,60 @@ def shard_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     return nodes.select(F.col("low").alias("shard"), F.posexplode("quotas").alias("rank", "blocks"))
 
 
-def source_records(sized: DataFrame, weights: tuple[int, ...], budget: float, most: float, blocks: int, shards: int,
-                   seed: int) -> DataFrame:
-    """A row for each source with all that decides its documents.
+def _length_class(size: Column, rest: Column) -> Column:
+    """The number of the document's class, the longest being 0."""
+    return sum((F.when(size * part > rest, 0).otherwise(1) for part in PARTS), F.lit(0)).cast("int")
 
-    ``_key, source_size, target``; ``whole``: times that every block is taken;
-    ``last``: the block in which the rest ends, with ``cut``: the last hash
-    taken in it; ``shard_of``: the shard of each block drawn, in drawing order.
+
+def _cuts_by_class(sized: DataFrame, targets: DataFrame, blocks: int) -> DataFrame:
+    """``_key, cuts``: for each class the block (``last``) and the hash in it (``cut``) up to which the rest takes it.
+
+    The classes follow each other, as a class is given what the longer ones left.
     """
-    by_block = saved(sized.groupBy("_key", "source", "_block").agg(F.sum("_size").alias("words")), "mix-blocks")
-    sizes = by_block.groupBy("_key", "source").agg(F.sum("words").alias("source_size"))
-    targets = source_targets(sizes, weights, budget, most)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
-    targets = saved(targets.withColumn("whole", whole)
-                    .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
+    classed = (sized.join(targets.select("_key", "rest"), "_key").filter("rest > 0")
+               .withColumn("_class", _length_class(F.col("_size"), F.col("rest"))))
+    by_block = saved(classed.groupBy("_key", "_class", "_block").agg(F.sum("_size").alias("words")), "mix-classes")
+    of_class = by_block.groupBy("_key").pivot("_class", list(range(len(PARTS) + 1))).agg(F.sum("words")).na.fill(0)
+    state = (targets.filter("rest > 0").select("_key", "rest").join(of_class, "_key")
+             .withColumn("left", F.col("rest"))
+             .withColumn("cuts", F.array().cast("array<struct<last:int,cut:string>>")))
+    for k in range(len(PARTS) + 1):
+        words = F.col(str(k)).cast("double")
+        below = sum((F.col(str(j)) for j in range(k + 1, len(PARTS) + 1)), F.lit(0)).cast("double")
+        goal = F.when(words > 0, F.greatest(F.col("left"), F.lit(0.0)) * words / (words + below)).otherwise(F.lit(0.0))
+        state = saved(state.withColumn("goal", goal).withColumn("below", below), "mix-goals")
+        in_order = Window.partitionBy("_key").orderBy("_block")
+        ends = (by_block.filter(F.col("_class") == k).withColumn("upto", F.sum("words").over(in_order))
+                .join(state.select("_key", "goal"), "_key").filter(F.col("upto") > F.col("goal"))
+                .groupBy("_key").agg(F.min(F.struct("_block", (F.col("upto") - F.col("words")).alias("before"), "goal")).alias("e"))
+                .select("_key", "e.*"))
+        hashed = Window.partitionBy("_key").orderBy("_hash")
+        passed = F.col("upto") > F.col("goal")
+        near = (classed.filter(F.col("_class") == k).join(ends, ["_key", "_block"])
+                .groupBy("_key", "_block", "before", "goal", "_hash").agg(F.sum("_size").alias("words"))
+                .withColumn("upto", F.col("before") + F.sum("words").over(hashed))
+                .groupBy("_key", "_block", "before")
+                .agg(F.max(F.when(~passed, F.struct("upto", F.col("_hash").alias("cut")))).alias("under"),
+                     F.min(F.when(passed, F.struct("upto", F.col("_hash").alias("cut")))).alias("over")))
+
+        def cost(upto: Column) -> Column:
+            miss = F.greatest(upto - F.col("left"), F.col("left") - F.col("below") - upto, F.lit(0.0))
+            return F.struct(miss.alias("miss"), F.abs(upto - F.col("goal")).alias("off"))
+
+        under = F.coalesce(F.col("under"), F.struct(F.col("before").alias("upto"), F.lit("").alias("cut")))
+        pick = F.when(cost(F.col("over.upto")) < cost(under["upto"]), F.col("over")).otherwise(under)
+        whole = F.col("_block").isNull()
+        state = (state.join(near, "_key", "left").withColumn("pick", pick)
+                 .select("_key", "rest", *[F.col(str(j)) for j in range(len(PARTS) + 1)],
+                         (F.col("left") - F.when(whole, F.col(str(k))).otherwise(F.col("pick.upto"))).alias("left"),
+                         F.concat("cuts", F.array(F.struct(
+                             F.when(whole, F.when(F.col(str(k)) > 0, blocks).otherwise(0)).otherwise(F.col("_block")).cast("int").alias("last"),
+                             F.when(whole, F.lit("")).otherwise(F.col("pick.cut")).alias("cut")))).alias("cuts")))
+    return state.select("_key", "cuts")
+
+
+def _cut_by_prefix(sized: DataFrame, by_block: DataFrame, targets: DataFrame) -> DataFrame:
+    """``_key, cuts`` with one class that holds all documents."""
     in_order = Window.partitionBy("_key").orderBy("_block")
     ends = (by_block.select("_key", "_block", "words", F.sum("words").over(in_order).alias("upto"))
             .join(targets.select("_key", "rest"), "_key")
@@ -172,53 +221,71 @@ def source_records(sized: DataFrame, weights: tuple[int, ...], budget: float, mo
             .groupBy("_key").agg(F.min(F.struct("_block", (F.col("upto") - F.col("words")).alias("before"), "rest")).alias("e"))
             .select("_key", "e.*"))
     hashed = Window.partitionBy("_key").orderBy("_hash", "doc_id", "_size")
-    cuts = (sized.join(ends, ["_key", "_block"])
+    return (sized.join(ends, ["_key", "_block"])
             .withColumn("upto", F.col("before") + F.sum("_size").over(hashed))
             .groupBy("_key", "_block")
-            .agg(F.max(F.when(F.col("upto") - F.col("_size") / 2 <= F.col("rest"), F.col("_hash"))).alias("cut")))
-    records = (targets.join(cuts.withColumnRenamed("_block", "last"), "_key", "left")
-               .withColumn("last", F.coalesce("last", F.lit(0))).withColumn("cut", F.coalesce("cut", F.lit("")))
-               .withColumn("quota", F.col("whole").cast("long") * blocks + F.col("last")
-                           + F.when(F.col("cut") != "", 1).otherwise(0)))
+            .agg(F.max(F.when(F.col("upto") - F.col("_size") / 2 <= F.col("rest"), F.col("_hash"))).alias("cut"))
+            .select("_key", F.array(F.struct(F.col("_block").alias("last"), F.coalesce("cut", F.lit("")).alias("cut"))).alias("cuts")))
+
+
+def source_records(sized: DataFrame, weights: tuple[int, ...], budget: float, most: float, blocks: int, shards: int,
+                   seed: int, by_prefix: bool = False) -> DataFrame:
+    """A row for each source with all that decides its documents.
+
+    ``_key, source_size, target``; ``whole``: times that every block is taken;
+    ``cuts``: for each class of length the block in which the rest ends, with
+    the last hash taken in it; ``shard_of``: the shard of each block drawn, in drawing order.
+    """
+    by_block = saved(sized.groupBy("_key", "source", "_block").agg(F.sum("_size").alias("words")), "mix-blocks")
+    sizes = by_block.groupBy("_key", "source").agg(F.sum("words").alias("source_size"))
+    targets = source_targets(sizes, weights, budget, most)
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
+    targets = saved(targets.withColumn("whole", whole)
+                    .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
+    cuts = _cut_by_prefix(sized, by_block, targets) if by_prefix else _cuts_by_class(sized, targets, blocks)
+    covered = F.array_max(F.transform("cuts", lambda x: x["last"] + F.when(x["cut"] != "", 1).otherwise(0)))
+    records = (targets.join(cuts, "_key", "left")
+               .withColumn("quota", F.col("whole").cast("long") * blocks + F.coalesce(covered, F.lit(0))))
     records = saved(records, "mix-records")
     shard_of = (shard_quotas(records.select("rank", "quota"), shards, seed)
                 .groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("shard", "blocks"))).alias("b"))
                 .select("rank", F.flatten(F.transform("b", lambda x: F.array_repeat(x["shard"], x["blocks"].cast("int")))).alias("shard_of")))
-    return records.join(shard_of, "rank").select("_key", "source_size", "target", "whole", "last", "cut", "shard_of")
+    return records.join(shard_of, "rank").select("_key", "source_size", "target", "whole", "rest", "cuts", "shard_of")
 
 
 def _draws(blocks: int, most: int) -> Column:
     """The shard of every draw of a row: one for each whole time, one more when the rest covers it."""
     whole = [F.when(F.col("whole") > i, F.get("shard_of", i * blocks + F.col("_block"))) for i in range(most)]
-    rest = F.when((F.col("_block") < F.col("last")) | ((F.col("_block") == F.col("last")) & (F.col("_hash") <= F.col("cut"))),
+    cut = F.when(F.size("cuts") == 1, F.get("cuts", F.lit(0))).otherwise(F.get("cuts", _length_class(F.col("_size"), F.col("rest"))))
+    rest = F.when((F.col("_block") < cut["last"]) | ((F.col("_block") == cut["last"]) & (F.col("_hash") <= cut["cut"])),
                   F.get("shard_of", F.col("whole") * blocks + F.col("_block")))
     return F.array_compact(F.array(*whole, rest))
 
 
 def _records(docs: DataFrame, weights: tuple[int, ...], budget: float, most: int, blocks: int, shards: int | None,
-             seed: int) -> tuple[DataFrame, DataFrame, int]:
+             seed: int, by_prefix: bool) -> tuple[DataFrame, DataFrame, int]:
     """The documents' sizes and blocks, the sources' records, and the number of shards."""
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sized = saved(with_blocks(docs.select("doc_id", "source", "text"), blocks, seed).drop("text"), "mix-sizes")
-    return sized, saved(source_records(sized, weights, budget, most, blocks, shards, seed), "mix-sources"), shards
+    sized = saved(with_blocks(docs.select("doc_id", "source", "text"), blocks, seed, by_prefix).drop("text"), "mix-sizes")
+    return sized, saved(source_records(sized, weights, budget, most, blocks, shards, seed, by_prefix), "mix-sources"), shards
 
 
 def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST,
-                blocks: int = BLOCKS, shards: int | None = None, seed: int = 7) -> DataFrame:
+                blocks: int = BLOCKS, shards: int | None = None, seed: int = 7, by_prefix: bool = False) -> DataFrame:
     """``doc_id, size, source_size, target, shards``: the shard of each time the document is taken.
 
     Without a number of shards there are as many as shuffle partitions.
     """
-    sized, records, _ = _records(docs, weights, budget, most, blocks, shards, seed)
+    sized, records, _ = _records(docs, weights, budget, most, blocks, shards, seed, by_prefix)
     return sized.join(records, "_key").select("doc_id", F.col("_size").alias("size"), "source_size", "target",
                                               _draws(blocks, most).alias("shards"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST,
-                    blocks: int = BLOCKS, shards: int | None = None, seed: int = 7) -> DataFrame:
+                    blocks: int = BLOCKS, shards: int | None = None, seed: int = 7, by_prefix: bool = False) -> DataFrame:
     """The rows of ``docs``, as often as the mix takes them, in their shards' partitions and order."""
-    _, records, shards = _records(docs, weights, budget, most, blocks, shards, seed)
-    rows = with_blocks(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), blocks, seed)
+    _, records, shards = _records(docs, weights, budget, most, blocks, shards, seed, by_prefix)
+    rows = with_blocks(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), blocks, seed, by_prefix)
     drawn = rows.join(records, "_key").select("row", F.posexplode(_draws(blocks, most)).alias("time", "shard"))
     order = F.xxhash64(F.coalesce(F.col("row.doc_id"), F.lit(0)), F.col("time"), F.lit(seed))
     return (drawn.withColumn("order", order).repartition(shards, "shard")

@@ -69,8 +69,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources at weights 5, 2, 1 share 150% of all words, none above twice its own."""
-    plan = mixing.mixing_plan(read_table(spark, sf_dir, "documents"))
+    """Sources at weights 5, 2, 1 share 150% of all words, none above twice its own; the rests filled as in its SQL."""
+    plan = mixing.mixing_plan(read_table(spark, sf_dir, "documents"), by_prefix=True)
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"))
 
 
