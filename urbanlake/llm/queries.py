@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.llm import licenses, lmscore, mixing, pieces, pstable, quality, simhash, tokenfile, toxicity, warc
-from urbanlake.session import read_table
+from urbanlake.llm import (
+    licenses,
+    lmscore,
+    mixing,
+    periodic,
+    pieces,
+    pstable,
+    quality,
+    simhash,
+    streamdedup,
+    tokenfile,
+    toxicity,
+    warc,
+    whitening,
+)
+from urbanlake.session import read_table, table_path, work_path
 
 
 def vocabulary(name: str) -> str:
@@ -172,3 +186,45 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, round(coalesce(x, 0), 4) AS log_sco
        round(CASE WHEN len(ws) > 0 THEN x / len(ws) ELSE 0 END, 4) AS mean_log_score
 FROM d LEFT JOIN s USING (doc_id)
 """
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: documents whose checksum ends in 0 with the loop that the contract puts into them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # each transform of one struct names a value once; a plain column would be worked out anew for every word
+    words = rf"transform(array(named_struct('g', g, 'words', regexp_extract_all(text, r'{periodic.WORD}', 0))), s -> "
+    start = "transform(array(named_struct('words', s.words, 'n', size(s.words), 'g', s.g, 'a', CAST(s.g % size(s.words) AS INT))), t -> "
+    loop = ("array_join(transform(t.words, (w, i) -> CASE WHEN i < t.a THEN w "
+            "ELSE t.words[CAST(t.a + (i - t.a) % (1 + (t.n - t.a) div (3 + t.g % 8)) AS INT)] END), ' ')")
+    done = f"CASE WHEN size(s.words) > 0 THEN {start}{loop})[0] ELSE '' END"
+    rows = docs.select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"), (h % 10 == 0).alias("loops"))
+    return rows.select("doc_id", F.expr(f"CASE WHEN loops AND text IS NOT NULL THEN {words}{done})[0] ELSE text END").alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs, and the digest of the text without their repeats."""
+    return periodic.digests(periodic.collapsed(looped(read_table(spark, sf_dir, "documents"))))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the four leading components."""
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"), components=4, grid=256)
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document streamed through the keyed state, with the document that stays in its place."""
+    docs = read_table(spark, sf_dir, "documents")
+    stream = streamdedup.document_stream(spark, table_path(sf_dir, "documents"), docs.schema)
+    found = streamdedup.deduplicate(stream, work_path(spark, "exact-dedup"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLE["op13_exact_dedup"] = r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY t)
+"""
