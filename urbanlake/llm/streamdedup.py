@@ -36,10 +36,12 @@ from pyspark.sql import functions as F
 
 BLANKS = r"[\x20\x09-\x0D]+"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: A store is closed once its batch is saved, so executors hold only the stores of running tasks; it reserves no space ahead.
 STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKS,
-         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+         "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
          "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}
+         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128"}
 CONTENT = "digest binary, text string, mark long, n long, first_id long, epoch long"
 MEMBERS = "digest binary, mark long, id long, epoch long"
 GROUPS = ("digest binary, n long, keep_id long, locator struct<epoch:long,file:string,row:long>, "
