@@ -34,6 +34,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanlake.llm.common import saved
+
 BLANKS = r"[\x20\x09-\x0D]+"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: A store is closed once its batch is saved, so executors hold only the stores of running tasks; it reserves no space ahead.
@@ -41,7 +43,8 @@ STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKS,
          "spark.sql.streaming.stateStore.unloadOnCommit": "true",
          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
          "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128"}
+         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+         "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8"}
 CONTENT = "digest binary, text string, mark long, n long, first_id long, epoch long"
 MEMBERS = "digest binary, mark long, id long, epoch long"
 GROUPS = ("digest binary, n long, keep_id long, locator struct<epoch:long,file:string,row:long>, "
@@ -138,8 +141,9 @@ def index(spark: SparkSession, store: str) -> None:
 def decisions(spark: SparkSession, store: str) -> DataFrame:
     """``id, keep_id, group_size, kept, digest`` for every document taken so far."""
     members = _table(spark, f"{store}/members", MEMBERS)
-    groups = (_table(spark, f"{store}/groups", GROUPS).groupBy("digest")
-              .agg(F.max("n").alias("group_size"), F.min("keep_id").alias("keep_id")))
+    # a written table: the join below then reads plain exchanges, which adaptive execution splits at a large group
+    groups = saved(_table(spark, f"{store}/groups", GROUPS).groupBy("digest")
+                   .agg(F.max("n").alias("group_size"), F.min("keep_id").alias("keep_id")), "dedup-groups")
     bad = _table(spark, f"{store}/collisions", "digest binary, epoch long").select("digest").distinct()
     apart = None
     if not bad.isEmpty():
