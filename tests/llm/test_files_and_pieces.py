@@ -117,6 +117,55 @@ def test_pieces_are_the_librarys(spark, make):
         assert r.n_pieces == len(next(x.ids for x in got if x.doc_id == r.doc_id))
 
 
+def test_runs_of_a_tokenizers_borders():
+    """Cut texts encode as whole ones, whatever signs, digits and apostrophes meet."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    tokenizer, rng = Tokenizer.from_file(VOCABULARY), np.random.default_rng(4)
+    letters = [*"abstrevmld", *"'" * 4, *".,!-12 9\n\t ́éßA’"]
+    texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(1500)]
+    texts += ["o'clock 'tis l'été a's!'s '!s x1y2 3.4, 5. a.b,c ...", "<|x a.b 1c", "", " "]
+    with open(VOCABULARY, encoding="utf-8") as f:
+        encoder = tokenfile.Encoder(f.read())
+    ids, counts = encoder.encode(pa.array([t.encode() for t in texts], pa.binary()))
+    for t, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        assert part.tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_other_tokenizers_are_refused():
+    import json
+    with open(VOCABULARY, encoding="utf-8") as f:
+        rules = json.load(f)
+    rules["normalizer"] = None
+    with pytest.raises(ValueError):
+        tokenfile.Encoder(json.dumps(rules))
+
+
+@pytest.mark.parametrize("unit", ["x", "ab", "andthenoinerst", "日本語漢字東京都", None])
+def test_long_words_without_blanks(unit):
+    """A megabyte in one word, by windows; each takes seconds."""
+    import time
+
+    import sentencepiece
+    rng = np.random.default_rng(2)
+    text = unit * (10**6 // len(unit)) if unit else "".join(rng.choice(list("etaoinshrdlu"), 10**6))
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    model = pieces.Pieces.load(MODEL)
+    began = time.perf_counter()
+    parts, counts = pieces.parts_of(model, [text])
+    ids, _ = pieces.RaggedCache(model.segment).gather(parts, counts)
+    assert time.perf_counter() - began < 20
+    assert ids.tolist() == library.encode(text)
+
+
+def test_words_whose_windows_share_no_border_go_whole():
+    strings = ["<unk>", "a", "b", "aa", "aaaa"]
+    model = pieces.Pieces(strings, [0.0, -5.0, -6.0, -1.0, -2.0], [], {0}, merges=True)
+    for n in (pieces.LONG + 1, pieces.LONG + 7, 9001):
+        flat, sizes = model.segment(["a" * n])
+        assert flat.tolist() == [4] * (n // 4) + [3] * (n % 4 // 2) + [1] * (n % 2) and sizes.tolist() == [len(flat)]
+
+
 def test_unigram_scores_take_the_best_sum():
     strings = ["<unk>", "a", "b", "ab", "abc", "c", "bc"]
     scores = [0.0, -2.0, -3.0, -4.0, -9.5, -3.5, -5.0]

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,11 +110,24 @@ def batches(rows: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[pa.Reco
             yield b.slice(at, size)
 
 
+def by_bytes(rows: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of a binary column, one row at least."""
+    for b in rows:
+        upto = np.cumsum(pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < b.num_rows:
+            end = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, side="right"))
+            end = min(max(end, at + 1), b.num_rows)
+            yield b.slice(at, end - at)
+            at = end
+
+
 class RaggedCache:
     """Integer sequences by string, filled by ``encode(strings) -> (integers one after the other, how many each)``.
 
-    Looks a batch's strings up at once and gathers their sequences without a
-    Python step for each integer.  When it holds more than ``most`` strings it
+    A batch's strings are numbered by Arrow, so only its distinct strings are
+    looked up, and their sequences are gathered without a Python step for each
+    integer.  When it holds more than ``most`` strings it
     starts anew, so its memory stays bounded.
     """
 
@@ -145,16 +158,18 @@ class RaggedCache:
         self.used += total
         self.code.update(zip(strings, range(n, n + len(strings)), strict=True))
 
-    def gather(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """All sequences one after the other, and how many integers each document has."""
+    def gather(self, strings: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All sequences one after the other, and how many integers each document has; ``counts``: its strings."""
         if len(self.code) > self.most:
             self._clear()
-        flat = list(chain.from_iterable(documents))
-        fresh = set(flat).difference(self.code)
-        if fresh:
-            self._add(list(fresh))
-        counts = np.fromiter(map(len, documents), dtype=np.int64, count=len(documents))
-        codes = np.fromiter(map(self.code.__getitem__, flat), dtype=np.int64, count=len(flat))
+        coded = strings.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        places = np.fromiter((-1 if c is None else c for c in map(self.code.get, distinct)), np.int64, len(distinct))
+        fresh = np.flatnonzero(places < 0)
+        if len(fresh):
+            places[fresh] = np.arange(len(self.code), len(self.code) + len(fresh))
+            self._add([distinct[i] for i in fresh.tolist()])
+        codes = places[coded.indices.to_numpy(zero_copy_only=False)]
         sizes = self.length[codes]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0

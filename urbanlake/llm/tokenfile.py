@@ -13,9 +13,8 @@ any block to be unpacked alone.  Layout of a file, little-endian::
     packed:    128 x width bits for each block, most significant bit first
     places of exceptions as bytes, their values (less the minimum) as unsigned 32-bit
 
-White space never joins tokens and is dropped, so a text is cut at blanks and
-line ends and each distinct run between them is encoded once for a task's
-cache; tests hold this against whole-text encoding.
+A text is cut where its tokenizer always ends a token, and each distinct run is
+encoded once for a worker's cache; tests hold this against whole-text encoding.
 
 The documents are range-partitioned by id, so a task writes the files of one
 range, ``file_ids`` ids or the document that passes them in each.  File names
@@ -27,7 +26,7 @@ their texts.
 
 from __future__ import annotations
 
-import re
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,14 +38,34 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from urbanlake.llm.common import RaggedCache, batches, saved, text_bytes
+from urbanlake.llm.common import RaggedCache, by_bytes, saved, text_bytes
 from urbanlake.session import work_path
 
 BLOCK_IDS = 128
 PERCENTILE = 90
 FILE_IDS = 4_000_000
+#: The normaliser and the pre-tokenizer whose borders are cut at.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 MAGIC = b"PFOR1\n"
-STOP = re.compile(rb"(?<=[a-z])[.,](?=[ \n])")
+#: What a byte is to the tokenizer's borders, and the pairs of kinds between which every text is cut.
+BLANK, LETTER, DIGIT, APOSTROPHE, MARK, OTHER = range(6)
+KINDS = np.full(256, OTHER, dtype=np.uint8)
+KINDS[0x21:0x7F] = MARK
+KINDS[ord("a"):ord("z") + 1] = KINDS[ord("A"):ord("Z") + 1] = LETTER
+KINDS[ord("0"):ord("9") + 1] = DIGIT
+KINDS[ord("'")] = APOSTROPHE
+KINDS[[0x20, 0x0A]] = BLANK
+BORDER = np.zeros(64, dtype=bool)
+for _a, _b in [(LETTER, MARK), (LETTER, APOSTROPHE), (MARK, LETTER), *((DIGIT, x) for x in (LETTER, DIGIT, MARK, APOSTROPHE)),
+               *((x, DIGIT) for x in (LETTER, MARK, APOSTROPHE)), *((BLANK, x) for x in range(1, 6))]:
+    BORDER[_a * 8 + _b] = True
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -124,18 +143,50 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
         get("<u4", outside, starts[4]), n)
 
 
+def runs_of(texts: list[bytes]) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The runs of all texts without the blanks between them, and how many each text has.
+
+    Texts are in lower case where that is A-Z only and are cut at blanks, line
+    ends and ASCII borders of tokens: on both sides of a digit, behind a letter,
+    and before a letter unless an apostrophe stands there, which may begin a
+    contraction.  A text that may hold a special token is cut at blanks alone.
+    """
+    special = np.array([b"<|" in t for t in texts], dtype=bool)
+    lowered = [t if x else t.lower() for t, x in zip(texts, special, strict=True)]
+    sizes = np.fromiter(map(len, lowered), dtype=np.int64, count=len(lowered))
+    first = np.cumsum(sizes) - sizes
+    kind = KINDS[np.frombuffer(b"".join(lowered), dtype=np.uint8)]
+    start = np.zeros(len(kind), dtype=bool)
+    start[1:] = BORDER[kind[:-1] * 8 + kind[1:]]
+    for i in np.flatnonzero(special).tolist():
+        one = kind[first[i]:first[i] + sizes[i]] == BLANK
+        start[first[i] + 1:first[i] + sizes[i]] = one[:-1]
+    start[first[sizes > 0]] = True
+    kept = kind != BLANK
+    start &= kept
+    at = np.flatnonzero(start)
+    upto = np.concatenate([[0], np.cumsum(kept)])
+    offsets = np.append(upto[at], upto[-1]).astype(np.int32)
+    data = np.frombuffer(b"".join(lowered), dtype=np.uint8)[kept]
+    runs = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return runs, np.diff(np.searchsorted(at, np.append(first, len(kind))))
+
+
 class Encoder:
-    """Batch encoder of whole texts through a cache of the runs between blanks.
+    """Batch encoder of whole texts through a cache of the runs that no token reaches across.
 
-    The tokenizer lower-cases and always parts letters from punctuation, so
-    A-Z are lowered first, which leaves texts with special tokens alone, and a
-    full stop or comma between a letter and a blank is a run of its own.
+    The cuts of :func:`runs_of` hold for tokenizers that put texts in lower case,
+    drop blanks and part words, digits and other signs as ``RULES`` says; any
+    other tokenizer is refused.
     """
 
     def __init__(self, tokenizer_json: str) -> None:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
         from tokenizers import Tokenizer
+        rules = json.loads(tokenizer_json)
+        if {k: rules[k] for k in RULES} != RULES:
+            raise ValueError("the cuts between runs are not known to hold for this tokenizer")
         tokenizer = Tokenizer.from_str(tokenizer_json)
 
         def encode(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -146,10 +197,9 @@ class Encoder:
 
         self.cache = RaggedCache(encode)
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
-        lowered = [t if b"<|" in t else t.lower() for t in texts]
-        return self.cache.gather([STOP.sub(rb" \g<0>", t).replace(b"\n", b" ").split(b" ") for t in lowered])
+        return self.cache.gather(*runs_of(texts.to_pylist()))
 
 
 FILES = "part int, seq int, file string, docs long, ids long"
@@ -183,10 +233,10 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2
             ids, lengths, names, held, seq = [], [], [], 0, seq + 1
             return out
 
-        for b in batches(rows):
+        for b in by_bytes(rows, "utf8"):
             if "encoder" not in kept:
                 kept["encoder"] = Encoder(kept["tokenizer"])
-            got, counts = kept["encoder"].encode(b.column("utf8").to_pylist())
+            got, counts = kept["encoder"].encode(b.column("utf8"))
             ids.append(np.insert(got, np.cumsum(counts), end_id).astype(np.uint32))
             lengths.append(counts + 1)
             names.extend(b.column("doc_id").to_pylist())
