@@ -2,11 +2,13 @@
 
 A text is normalised as the model says (a leading space mark, blanks as space
 marks) and cut where no piece can reach across: before a run of space marks,
-and around line ends, which no piece holds.  The distinct words of a batch are
-grouped by length, and the words of a group advance together, one character a
-step: hashes of the substrings that end there, of every length that pieces
-have, probe the sorted hashes of the pieces, and the best of the paths that
-they extend is kept with the length of its last piece as back-pointer.
+around line ends, and between characters that are neighbours in no piece.  The
+distinct words of a batch are grouped by length, and the words of a group
+advance together, one character a step: hashes of the substrings that end there,
+of every length that pieces have, probe the sorted hashes of the pieces, and the
+best of the paths that they extend is kept with the length of its last piece as
+back-pointer.  In a merge model a word of thousands of characters goes as
+overlapping windows that advance together.
 
 In a unigram model a path scores the sum of its pieces' scores; equal sums go
 to the longer last piece, and a character that no piece covers costs ten below
@@ -27,20 +29,21 @@ repeated rows are encoded each.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
-from urbanlake.llm.common import RaggedCache, batches, text_bytes
+from urbanlake.llm.common import RaggedCache, batches, by_bytes, text_bytes
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 BASE = np.uint64(0x9E3779B97F4A7C15)
-WORDS = regex.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+#: A word of more characters goes by windows that start at multiples of a stride and reach ``OVERLAP`` characters further.
+LONG, OVERLAP, STRIDES = 4096, 256, (1680, 1683, 1690)
 
 
 class Pieces:
@@ -65,6 +68,14 @@ class Pieces:
         self.utf8 = [s.encode() for s in strings]
         for byte, i in enumerate(byte_ids):
             self.utf8[i] = bytes([byte])
+        longer = [strings[i] for i in usable if len(strings[i]) > 1]
+        chars = sorted(set("".join(longer)))
+        self.char_no = np.zeros(sys.maxunicode + 1, dtype=np.uint16)     # 0: in no piece beside another character
+        self.char_no[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), dtype=bool)
+        for s in longer:
+            at = self.char_no[[ord(c) for c in s]]
+            self.joined[at[:-1], at[1:]] = True
         if merges:
             self._undo_merges([strings[i] for i in self.ids])
 
@@ -182,8 +193,12 @@ class Pieces:
         fine[pair] = self._neighbours(a, b, np.full(len(a), np.iinfo(np.int64).max))[where]
         return fine
 
-    def best(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The best segmentations, one after the other, and their sizes; all words have the same length."""
+    def paths(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best segmentations, one after the other, of words of the same length.
+
+        Places of the pieces (-1: a character outside the pieces), their
+        lengths, and how many pieces each word has.
+        """
         n, size = len(words), len(words[0])
         chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").reshape(n, size).astype(np.uint64)
         prefix = np.zeros((n, size + 1), dtype=np.uint64)
@@ -210,24 +225,86 @@ class Pieces:
             score[:, j] = total[rows, choice]
             taken[:, j] = lengths[choice]
             last[:, j] = found[rows, choice]
-        back = np.zeros((n, size), dtype=np.int64)             # pieces from the word's end; unknown: minus their place
+        place = np.zeros((n, size), dtype=np.int64)            # pieces from the word's end
+        span = np.zeros((n, size), dtype=np.int64)
         count, at, live, step = np.zeros(n, dtype=np.int64), np.full(n, size), rows, 0
         while len(live):
             here = at[live]
-            place = last[live, here]
-            back[live, size - 1 - step] = np.where(place >= 0, self.ids[place], -here)
+            place[live, size - 1 - step] = last[live, here]
+            span[live, size - 1 - step] = taken[live, here]
             count[live] += 1
             at[live] = here - taken[live, here]
             live, step = live[at[live] > 0], step + 1
-        flat = back[np.arange(size)[None, :] >= (size - count)[:, None]]
-        if (flat >= 0).all():
+        inside = np.arange(size)[None, :] >= (size - count)[:, None]
+        return place[inside], span[inside], count
+
+    def _to_ids(self, words: list[str], place: np.ndarray, span: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, a character outside them as its bytes, and how many each word has."""
+        flat = np.where(place >= 0, self.ids[place], -1)
+        if (place >= 0).all():
             return flat.astype(np.int32), count
-        owner = np.repeat(rows, count)
-        each = [[int(x)] if x >= 0 else [self.byte_ids[b] for b in words[r][-int(x) - 1].encode()]
-                for x, r in zip(flat, owner, strict=True)]
-        sizes = np.bincount(owner, [len(x) for x in each], n).astype(np.int64)
+        owner = np.repeat(np.arange(len(words)), count)
+        before = np.cumsum(span) - span
+        chars = "".join(words)                                 # words stand one after the other, as their pieces do
+        each = [[x] if x >= 0 else [self.byte_ids[b] for b in chars[i].encode()]
+                for x, i in zip(flat.tolist(), before.tolist(), strict=True)]
+        sizes = np.bincount(owner, [len(x) for x in each], len(words)).astype(np.int64)
         return np.array([i for x in each for i in x], dtype=np.int32), sizes
 
+    def best(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the best segmentations, one after the other, and their sizes; all words have the same length."""
+        if self.merges and len(words[0]) > LONG:
+            found = [self._long(w) for w in words]
+            place, span = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+            return self._to_ids(words, place, span, np.array([len(f[0]) for f in found]))
+        return self._to_ids(words, *self.paths(words))
+
+    def _long(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """Places and lengths of a long word's pieces in a merge model.
+
+        Overlapping windows advance together and are joined where two share a
+        border whose pieces may stand next to each other.  Then every step of
+        the joined path holds, and only the encoding is such a path.  Windows
+        start at multiples of most piece lengths, so those of an endless repeat
+        share borders too; if some don't for any stride, the word goes whole.
+        """
+        for stride in STRIDES:
+            starts = list(range(0, max(1, len(word) - OVERLAP), stride))
+            texts = [word[a:a + stride + OVERLAP] for a in starts[:-1]]
+            found = []
+            for at in range(0, len(texts), 256):
+                place, span, count = self.paths(texts[at:at + 256])
+                cuts = np.cumsum(count)[:-1]
+                found += zip(np.split(place, cuts), np.split(span, cuts), strict=True)
+            found.append(self.paths([word[starts[-1]:]])[:2])
+            joined = self._join(starts, found)
+            if joined is not None:
+                return joined
+        return self.paths([word])[:2]
+
+    def _join(self, starts: list[int], found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray] | None:
+        places, spans, begin = [], [], 0
+        for k, (place, span) in enumerate(found):
+            if k + 1 == len(found):
+                places.append(place[begin:])
+                spans.append(span[begin:])
+                return np.concatenate(places), np.concatenate(spans)
+            ends = starts[k] + np.cumsum(span)
+            next_place, next_span = found[k + 1]
+            heads = starts[k + 1] + np.cumsum(next_span) - next_span
+            _, a, b = np.intersect1d(ends, heads, assume_unique=True, return_indices=True)
+            a, b = a[a >= begin], b[a >= begin]
+            left, right = place[a], next_place[b]
+            fits = (left < 0) | (right < 0) | self._follow(left, np.maximum(right, 0))
+            a, b = a[fits], b[fits]
+            if not len(a):
+                return None
+            mid = len(a) // 2
+            places.append(place[begin:a[mid] + 1])
+            spans.append(span[begin:a[mid] + 1])
+            begin = int(b[mid])
+        return None
+
     def segment(self, words: list[str], cells: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
         """Best segmentations of words of any lengths, in order; ``cells`` bounds a group's characters."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
@@ -251,9 +328,28 @@ class Pieces:
         return text[1:] if text[:1] == " " else text
 
 
-def words_of(text: str) -> list[str]:
-    """The parts of the normalised text that no piece reaches across."""
-    return WORDS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+def parts_of(model: Pieces, texts: list[str]) -> tuple[pa.StringArray, np.ndarray]:
+    """The parts of the normalised texts that no piece reaches across, and how many each text has.
+
+    A cut is before a run of space marks, around line ends, and between two
+    characters that stand side by side in no piece: no merge crosses it.
+    """
+    normal = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
+    sizes = np.fromiter(map(len, normal), dtype=np.int64, count=len(normal))
+    first = np.cumsum(sizes) - sizes
+    whole = "".join(normal)
+    chars = np.frombuffer(whole.encode("utf-32-le"), dtype="<u4")
+    number = model.char_no[chars]
+    line, space = chars == 10, chars == ord(SPACE)
+    cut = np.zeros(len(chars), dtype=bool)
+    cut[1:] = ~model.joined[number[:-1], number[1:]] | line[1:] | line[:-1] | (space[1:] & ~space[:-1])
+    cut[first[sizes > 0]] = True
+    at = np.flatnonzero(cut)
+    width = 1 + (chars >= 0x80) + (chars >= 0x800).astype(np.int64) + (chars >= 0x10000)
+    upto = np.concatenate([[0], np.cumsum(width)])
+    offsets = np.append(upto[at], upto[-1]).astype(np.int32)
+    parts = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(whole.encode())])
+    return parts, np.diff(np.searchsorted(at, np.append(first, len(chars))))
 
 
 def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
@@ -264,9 +360,9 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Pieces.restore(shared.value["pieces"])
         cache = shared.value.setdefault("cache", RaggedCache(model.segment))
-        for b in batches(rows):
+        for b in by_bytes(rows, "utf8"):
             texts = [t.decode("utf-8", "replace") for t in b.column("utf8").to_pylist()]
-            ids, counts = cache.gather([words_of(t) for t in texts])
+            ids, counts = cache.gather(*parts_of(model, texts))
             ends = np.concatenate([[0], np.cumsum(counts)])
             same = [model.decode(ids[a:z].tolist()) == t.replace(SPACE, " ")
                     for a, z, t in zip(ends, ends[1:], texts, strict=False)]
