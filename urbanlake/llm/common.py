@@ -110,7 +110,7 @@ def batches(rows: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[pa.Reco
             yield b.slice(at, size)
 
 
-def by_bytes(rows: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(rows: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of a binary column, one row at least."""
     for b in rows:
         upto = np.cumsum(pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False))
