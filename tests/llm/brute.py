@@ -79,6 +79,38 @@ def targets(sizes, weights=(5, 2, 1), budget=1.5, most=2):
         capped |= above
 
 
+def class_fill(docs, target, blocks=1024, seed=7, parts=(1, 4, 16, 64)):
+    """How often each document ``(doc_id, size)`` of one source is taken: whole times, then classes by length."""
+    import hashlib
+    from itertools import groupby
+    total = sum(n for _, n in docs)
+    whole = int(target // total) if total else 0
+    rest = target - whole * total
+    rows = []
+    for at, (i, n) in enumerate(docs):
+        digest = hashlib.md5(f"{seed}-{i}".encode()).hexdigest()
+        rows.append((sum(n * p <= rest for p in parts), int(digest[:8], 16) % blocks, digest[8:32], n, at))
+    taken, left = [whole] * len(docs), rest
+    for k in range(len(parts) + 1 if rest > 0 else 0):
+        own = sorted(r for r in rows if r[0] == k)
+        words, below = sum(r[3] for r in own), sum(r[3] for r in rows if r[0] > k)
+        goal = max(left, 0.0) * words / (words + below) if words else 0.0
+        ends, upto = [(0, 0)], 0                                # words and documents up to each hash
+        for _, same in groupby(own, key=lambda r: r[1:3]):
+            same = list(same)
+            upto += sum(r[3] for r in same)
+            ends.append((upto, ends[-1][1] + len(same)))
+        def cost(e, left=left, below=below, goal=goal):
+            return max(e[0] - left, left - below - e[0], 0.0), abs(e[0] - goal)
+        under = max((e for e in ends if e[0] <= goal), key=lambda e: e)
+        over = min((e for e in ends if e[0] > goal), default=None)
+        pick = (words, len(own)) if over is None else over if cost(over) < cost(under) else under
+        left -= pick[0]
+        for r in own[:pick[1]]:
+            taken[r[4]] += 1
+    return taken
+
+
 def marginals(potential, move):
     """State 1's marginals of one chain by going through all state sequences."""
     import itertools

@@ -2,6 +2,7 @@
 
 import os
 import sys
+from collections import Counter
 
 import pytest
 
@@ -9,6 +10,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from oracle_compare import run  # noqa: E402
 
@@ -29,6 +33,33 @@ def test_all_are_registered():
     assert numbers == list(range(1, 14))
 
 
+@pytest.mark.parametrize("sf,miss", [("0.001", 0.03), ("0.01", 0.01)])
+def test_mixing_is_the_plain_fill(spark, sf, miss):
+    """Every document as often as a plain fill takes it, every source near its target, each shard its share of draws."""
+    base = f"/root/testdata/sf{sf}"
+    docs = read_table(spark, base, "documents").select("doc_id", "source", "text").collect()
+    got = {r.doc_id: r for r in QUERIES["op7_source_mixing"](spark, base).collect()}
+    assert len(got) == len(docs)
+    of = {}
+    for d in docs:
+        of.setdefault(d.source, []).append((d.doc_id, len(brute.WORD.findall(d.text or ""))))
+    want = brute.targets({s: sum(n for _, n in rows) for s, rows in of.items()})
+    shards = Counter()
+    for s, rows in of.items():
+        times = brute.class_fill(rows, want[s])
+        words = 0
+        for (i, n), k in zip(rows, times, strict=True):
+            r = got[i]
+            drawn = [int(x) for x in r.shards.split(",") if x]
+            assert (r.size, r.taken, len(drawn)) == (n, k * n, k), (s, i)
+            assert abs(r.target - want[s]) < 1e-6 * max(want[s], 1)
+            words += r.taken
+            shards.update(drawn)
+        assert abs(words - want[s]) <= miss * want[s], (s, words, want[s])
+    every = sum(shards.values())
+    assert max(shards.values()) < 3 * every / len(shards) + 20 and len(shards) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_pipeline_stages(spark):
     from urbanlake.llm import pieces, quality, simhash, toxicity
     from urbanlake.llm.common import saved
@@ -46,7 +77,12 @@ def test_pipeline_stages(spark):
     assert ids(clean) == sorted(r.doc_id for r in toxicity.toxicity(raw, labels).collect() if r.score < 0.5)
     assert ids(steps[1][2]) == sorted(r.doc_id for r in quality.quality_rules(clean, labels).collect() if r.kept)
     assert ids(steps[2][2]) == sorted(r.doc_id for r in simhash.near_duplicates(steps[2][1]).collect() if r.kept)
-    assert set(ids(steps[3][2])) <= set(ids(steps[3][1]))
+    of = {}
+    for d in steps[3][1].select("doc_id", "source", "text").collect():
+        of.setdefault(d.source, []).append((d.doc_id, len(brute.WORD.findall(d.text or ""))))
+    want = brute.targets({s: sum(n for _, n in rows) for s, rows in of.items()})
+    drawn = [i for s, rows in of.items() for (i, _), k in zip(rows, brute.class_fill(rows, want[s]), strict=True) for _ in range(k)]
+    assert ids(steps[3][2]) == sorted(drawn)
     model = corpus_pipeline.vocabulary("piece_bpe_32k.model")
     text = {r.doc_id: r.text for r in steps[4][1].collect()}
     assert all(r.text == text[r.doc_id].replace("▁", " ") for r in pieces.decode_documents(steps[4][2], model).collect())

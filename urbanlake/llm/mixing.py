@@ -12,9 +12,7 @@ first: documents longer than the rest, then down to a 4th, a 16th and a 64th of
 it, then all shorter ones.  A class takes its share of what is left, in block
 and hash order, to the document before or after the share's end: the one that
 the shorter classes can make good, else the nearer one.  So no long document
-stands in the way of short ones behind it.  ``by_prefix`` fills the rest without
-classes: blocks in order, then documents in hash order to the nearest one, which
-may miss by half of the document at the end.  The taken blocks are the source's
+stands in the way of short ones behind it.  The taken blocks are the source's
 quota.  The quotas of all sources are split among the
 output shards by halving: a node that holds some shards gives its left half
 as many blocks as their share, and how many of each source is one draw of the
@@ -30,7 +28,7 @@ record, so texts move only to their shards.
 
 Defined cases: null and blank texts have size 0 and are drawn like others (a
 source without words has target 0 and is not drawn); a null source is a source;
-a null ``doc_id`` hashes as its text (as an empty id with ``by_prefix``); repeated rows are documents of their
+a null ``doc_id`` hashes as its text; repeated rows are documents of their
 own and are drawn alike; an empty table gives an empty mix.
 """
 
@@ -54,9 +52,9 @@ def _uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("-", *parts)), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def with_blocks(docs: DataFrame, blocks: int, seed: int, by_prefix: bool = False) -> DataFrame:
+def with_blocks(docs: DataFrame, blocks: int, seed: int) -> DataFrame:
     """Adds ``_key`` (of the source, never null), ``_size``, ``_hash`` and ``_block``."""
-    nameless = F.lit("") if by_prefix else F.concat(F.lit("text-"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    nameless = F.concat(F.lit("text-"), F.md5(F.coalesce(F.col("text"), F.lit(""))))
     digest = F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), nameless)))
     return (docs.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
             .withColumn("_size", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long"))
@@ -211,25 +209,8 @@ def _cuts_by_class(sized: DataFrame, targets: DataFrame, blocks: int) -> DataFra
     return state.select("_key", "cuts")
 
 
-def _cut_by_prefix(sized: DataFrame, by_block: DataFrame, targets: DataFrame) -> DataFrame:
-    """``_key, cuts`` with one class that holds all documents."""
-    in_order = Window.partitionBy("_key").orderBy("_block")
-    ends = (by_block.select("_key", "_block", "words", F.sum("words").over(in_order).alias("upto"))
-            .join(targets.select("_key", "rest"), "_key")
-            .filter((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") <= F.col("rest"))
-                    & (F.col("rest") > 0))
-            .groupBy("_key").agg(F.min(F.struct("_block", (F.col("upto") - F.col("words")).alias("before"), "rest")).alias("e"))
-            .select("_key", "e.*"))
-    hashed = Window.partitionBy("_key").orderBy("_hash", "doc_id", "_size")
-    return (sized.join(ends, ["_key", "_block"])
-            .withColumn("upto", F.col("before") + F.sum("_size").over(hashed))
-            .groupBy("_key", "_block")
-            .agg(F.max(F.when(F.col("upto") - F.col("_size") / 2 <= F.col("rest"), F.col("_hash"))).alias("cut"))
-            .select("_key", F.array(F.struct(F.col("_block").alias("last"), F.coalesce("cut", F.lit("")).alias("cut"))).alias("cuts")))
-
-
 def source_records(sized: DataFrame, weights: tuple[int, ...], budget: float, most: float, blocks: int, shards: int,
-                   seed: int, by_prefix: bool = False) -> DataFrame:
+                   seed: int) -> DataFrame:
     """A row for each source with all that decides its documents.
 
     ``_key, source_size, target``; ``whole``: times that every block is taken;
@@ -242,7 +223,7 @@ def source_records(sized: DataFrame, weights: tuple[int, ...], budget: float, mo
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
     targets = saved(targets.withColumn("whole", whole)
                     .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
-    cuts = _cut_by_prefix(sized, by_block, targets) if by_prefix else _cuts_by_class(sized, targets, blocks)
+    cuts = _cuts_by_class(sized, targets, blocks)
     covered = F.array_max(F.transform("cuts", lambda x: x["last"] + F.when(x["cut"] != "", 1).otherwise(0)))
     records = (targets.join(cuts, "_key", "left")
                .withColumn("quota", F.col("whole").cast("long") * blocks + F.coalesce(covered, F.lit(0))))
@@ -256,36 +237,36 @@ def source_records(sized: DataFrame, weights: tuple[int, ...], budget: float, mo
 def _draws(blocks: int, most: int) -> Column:
     """The shard of every draw of a row: one for each whole time, one more when the rest covers it."""
     whole = [F.when(F.col("whole") > i, F.get("shard_of", i * blocks + F.col("_block"))) for i in range(most)]
-    cut = F.when(F.size("cuts") == 1, F.get("cuts", F.lit(0))).otherwise(F.get("cuts", _length_class(F.col("_size"), F.col("rest"))))
+    cut = F.get("cuts", _length_class(F.col("_size"), F.col("rest")))
     rest = F.when((F.col("_block") < cut["last"]) | ((F.col("_block") == cut["last"]) & (F.col("_hash") <= cut["cut"])),
                   F.get("shard_of", F.col("whole") * blocks + F.col("_block")))
     return F.array_compact(F.array(*whole, rest))
 
 
 def _records(docs: DataFrame, weights: tuple[int, ...], budget: float, most: int, blocks: int, shards: int | None,
-             seed: int, by_prefix: bool) -> tuple[DataFrame, DataFrame, int]:
+             seed: int) -> tuple[DataFrame, DataFrame, int]:
     """The documents' sizes and blocks, the sources' records, and the number of shards."""
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sized = saved(with_blocks(docs.select("doc_id", "source", "text"), blocks, seed, by_prefix).drop("text"), "mix-sizes")
-    return sized, saved(source_records(sized, weights, budget, most, blocks, shards, seed, by_prefix), "mix-sources"), shards
+    sized = saved(with_blocks(docs.select("doc_id", "source", "text"), blocks, seed).drop("text"), "mix-sizes")
+    return sized, saved(source_records(sized, weights, budget, most, blocks, shards, seed), "mix-sources"), shards
 
 
 def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST,
-                blocks: int = BLOCKS, shards: int | None = None, seed: int = 7, by_prefix: bool = False) -> DataFrame:
+                blocks: int = BLOCKS, shards: int | None = None, seed: int = 7) -> DataFrame:
     """``doc_id, size, source_size, target, shards``: the shard of each time the document is taken.
 
     Without a number of shards there are as many as shuffle partitions.
     """
-    sized, records, _ = _records(docs, weights, budget, most, blocks, shards, seed, by_prefix)
+    sized, records, _ = _records(docs, weights, budget, most, blocks, shards, seed)
     return sized.join(records, "_key").select("doc_id", F.col("_size").alias("size"), "source_size", "target",
                                               _draws(blocks, most).alias("shards"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST,
-                    blocks: int = BLOCKS, shards: int | None = None, seed: int = 7, by_prefix: bool = False) -> DataFrame:
+                    blocks: int = BLOCKS, shards: int | None = None, seed: int = 7) -> DataFrame:
     """The rows of ``docs``, as often as the mix takes them, in their shards' partitions and order."""
-    _, records, shards = _records(docs, weights, budget, most, blocks, shards, seed, by_prefix)
-    rows = with_blocks(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), blocks, seed, by_prefix)
+    _, records, shards = _records(docs, weights, budget, most, blocks, shards, seed)
+    rows = with_blocks(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), blocks, seed)
     drawn = rows.join(records, "_key").select("row", F.posexplode(_draws(blocks, most)).alias("time", "shard"))
     order = F.xxhash64(F.coalesce(F.col("row.doc_id"), F.lit(0)), F.col("time"), F.lit(seed))
     return (drawn.withColumn("order", order).repartition(shards, "shard")

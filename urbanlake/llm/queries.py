@@ -83,40 +83,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources at weights 5, 2, 1 share 150% of all words, none above twice its own; the rests filled as in its SQL."""
-    plan = mixing.mixing_plan(read_table(spark, sf_dir, "documents"), by_prefix=True)
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"))
-
-
-#: The same hashes, block sums and cuts; which shard a draw goes to doesn't show in these columns.
-ORACLE["op7_source_mixing"] = r"""
-WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('7-' || coalesce(doc_id::VARCHAR, '')) AS digest
-  FROM documents),
-h AS (SELECT doc_id, source, size, substr(digest, 9, 24) AS hash,
-             (('0x' || substr(digest, 1, 8))::BIGINT % 1024) AS block FROM d),
-s AS (SELECT source, sum(size)::BIGINT AS source_size FROM h GROUP BY source),
-r AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS rank FROM s),
-w AS (SELECT *, CASE rank % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, source_size * 2.0::DOUBLE AS cap FROM r),
-c AS (SELECT *, sum(source_size) OVER () * 1.5::DOUBLE AS budget,
-        coalesce(sum(cap) OVER o, 0) AS cap_before, coalesce(sum(weight) OVER o, 0) AS weight_before,
-        sum(weight) OVER () AS all_weight
-      FROM w WINDOW o AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-k AS (SELECT *, (budget - cap_before) / (all_weight - weight_before) * weight >= cap AS capped FROM c),
-t AS (SELECT source, source_size, CASE WHEN capped THEN cap ELSE
-        (budget - sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ())
-        / nullif(all_weight - sum(CASE WHEN capped THEN weight ELSE 0 END) OVER (), 0) * weight END AS target FROM k),
-p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
-q AS (SELECT *, target - whole * source_size AS rest FROM p),
-o AS (SELECT h.*, q.source_size, q.target, q.whole, q.rest,
-        sum(size) OVER (PARTITION BY h.source ORDER BY block, hash, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto,
-        sum(size) OVER (PARTITION BY h.source ORDER BY block) AS block_end
-      FROM h JOIN q ON h.source IS NOT DISTINCT FROM q.source)
-SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN rest > 0 AND (block_end <= rest OR upto - size / 2.0 <= rest) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM o
-"""
+    """Sources at weights 5, 2, 1 share 150% of all words, none above twice its own; the shard of each time a document is taken."""
+    plan = mixing.mixing_plan(read_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"),
+                       F.concat_ws(",", F.col("shards").cast("array<string>")).alias("shards"))
 
 
 @query
