@@ -18,6 +18,7 @@ def spark():
 
     builder = (SparkSession.builder.master("local[*]").appName("urbanlake-tests")
                .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.driver.memory", os.environ.get("URBANLAKE_DRIVER_MEMORY", "6g"))
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.ui.enabled", "false")
                .config("spark.sql.adaptive.enabled", "true"))

@@ -7,6 +7,7 @@ from urbanlake.operators import serving as sv
 from urbanlake.operators.gold import write_clustered
 from urbanlake.plans.catalog import QUERIES, gh, sil
 from urbanlake.sources.tables import TableCache, table_comment
+from urbanlake.sources.versions import read_stored
 from urbanlake.streaming.refresh import TablePaths, refresh
 
 
@@ -35,7 +36,7 @@ def test_refresh_writes_comments_and_processing_time(spark, tmp_dir):
     p = TablePaths(tmp_dir)
     write_bronze_csv(sr(spark, SF_SMALL).drop("event_id"), p.source)
     refresh(spark, p.source, tmp_dir)
-    assert table_comment(spark.read.parquet(p.gold_day)) == "Daily metrics per city and sensor type"
+    assert table_comment(read_stored(spark, p.gold_day)) == "Daily metrics per city and sensor type"
     assert spark.read.parquet(p.silver).filter(F.col("processed_at").isNull()).count() == 0
     cache = TableCache(spark, ttl_s=300)
     a = cache.get(p.gold_day)
@@ -64,7 +65,7 @@ def test_cli_refresh_and_score(spark, tmp_dir):
 
     write_bronze_csv(sr(spark, SF_SMALL).drop("event_id"), f"{tmp_dir}/src")
     assert main(["refresh", "--source", f"{tmp_dir}/src", "--base", f"{tmp_dir}/lake", "--scale", "2"]) == 0
-    assert spark.read.parquet(f"{tmp_dir}/lake/gold_day").count() > 0
+    assert read_stored(spark, f"{tmp_dir}/lake/gold_day").count() > 0
     policies(spark, SF_SMALL).write.parquet(f"{tmp_dir}/policies")
     assert main(["score", "--policies", f"{tmp_dir}/policies", "--out", f"{tmp_dir}/scored"]) == 0
     assert spark.read.parquet(f"{tmp_dir}/scored").count() == 4 * policies(spark, SF_SMALL).count()
@@ -96,8 +97,8 @@ def test_refresh_shared_and_separate_passes_agree(spark, tmp_dir):
     refresh(spark, f"{tmp_dir}/src", f"{tmp_dir}/a", scale=2, shared_pass=True)
     refresh(spark, f"{tmp_dir}/src", f"{tmp_dir}/b", scale=2, shared_pass=False)
     for view in ("gold_hour", "gold_day"):
-        a = spark.read.parquet(f"{tmp_dir}/a/{view}")
-        b = spark.read.parquet(f"{tmp_dir}/b/{view}").select(*a.columns)
+        a = read_stored(spark, f"{tmp_dir}/a/{view}")
+        b = read_stored(spark, f"{tmp_dir}/b/{view}").select(*a.columns)
         assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -115,7 +116,7 @@ def test_dashboard_panels(spark, tmp_dir):
         assert [r.city_id for r in dash.cities().collect()] == ["C0", "C1", "C2", "C3", "C4"]
         latest = dash.latest_metrics("C1").collect()
         assert len(latest) == 1 and latest[0].city_id == "C1"
-        full = {r.city_id: r for r in sv.kpi_latest(spark.read.parquet(p.gold_hour)).collect()}
+        full = {r.city_id: r for r in sv.kpi_latest(read_stored(spark, p.gold_hour)).collect()}
         assert latest[0] == full["C1"]
         assert dash.trend("C1", "daily").count() == 7
         assert "C1, latest 24 hourly rows" in dash.insights_text("C1").first().text

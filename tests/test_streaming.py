@@ -8,6 +8,7 @@ from urbanlake.operators.gold import gold_day
 from urbanlake.operators.silver import project_bronze
 from urbanlake.plans.catalog import sr
 from urbanlake.sources.csv import CSV_OPTIONS, infer_bronze_schema, read_bronze_batch, read_schema, write_bronze_csv
+from urbanlake.sources.versions import read_stored
 from urbanlake.streaming import ingest as st
 from urbanlake.streaming.refresh import TablePaths, refresh, refresh_gold_incremental
 
@@ -79,7 +80,7 @@ def test_refresh_and_incremental_gold(spark, tmp_dir):
     full = gold_day(spark.read.parquet(p.silver), scale=2)
     got = spark.read.parquet(inc).select(*full.columns)
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
-    assert spark.read.parquet(p.gold_day).count() == full.count()
+    assert read_stored(spark, p.gold_day).count() == full.count()
 
 
 def test_incremental_refresh_reads_only_touched_days(spark, tmp_dir):
@@ -209,7 +210,7 @@ def test_silver_files_of_a_day_are_few_and_tables_carry_comments(spark, tmp_dir)
     assert table_comment(spark.read.parquet(p.bronze)) == TABLES["bronze"].comment
     assert dict((n, f) for n, _, _, f in out["castable_metrics"])["well_formed"] == 0
     full = gold_day(silver, scale=2)
-    got = spark.read.parquet(f"{tmp_dir}/gold_day_by_day").select(*full.columns)
+    got = read_stored(spark, p.gold_day).select(*full.columns)
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
 
 

@@ -3,6 +3,7 @@
     python -m urbanlake refresh --source <csv dir> --base <table folder> [--scale 2] [--max-files-per-trigger N]
                                 [--zone UTC] [--incremental]
     python -m urbanlake train   --features <parquet> --model <folder> [--trees 100] [--depth 10] [--bins 32]
+                                [--task-memory-mb 256]
     python -m urbanlake score   --policies <parquet> --out <folder> [--model <folder>]
 
 The session is the one the launcher provides (``getOrCreate``); no master or
@@ -36,11 +37,11 @@ def cmd_refresh(args) -> dict:
 
 
 def cmd_train(args) -> dict:
-    from urbanlake.operators.ml import fit_demand_model, save_model
+    from urbanlake.operators.ml import fit_demand_model, save_model, signature
 
-    spark = _session()
-    model = fit_demand_model(spark.read.parquet(args.features), {"numTrees": args.trees, "maxDepth": args.depth, "maxBins": args.bins})
-    save_model(model, args.model)
+    features = _session().read.parquet(args.features)
+    params = {"numTrees": args.trees, "maxDepth": args.depth, "maxBins": args.bins, "maxMemoryInMB": args.task_memory_mb}
+    save_model(fit_demand_model(features, params), args.model, signature(features))
     return {"model": args.model}
 
 
@@ -49,7 +50,10 @@ def cmd_score(args) -> dict:
 
     spark = _session()
     feats = policy.policy_features(policy.validate_policies(spark.read.parquet(args.policies)))
-    scored = ml.score_policies(ml.load_model(spark, args.model), feats) if args.model else policy.score_elastic(feats)
+    if args.model:
+        scored = ml.score_policies(ml.load_model(spark, args.model), feats, ml.load_signature(spark, args.model))
+    else:
+        scored = policy.score_elastic(feats)
     scored.write.mode("overwrite").parquet(args.out)
     return {"out": args.out}
 
@@ -63,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--scale", type=int, default=None)
     r.add_argument("--max-files-per-trigger", type=int, default=1000)
     r.add_argument("--zone", default="UTC", help="zone of the wall-clock times that offsets are put in")
-    r.add_argument("--incremental", action="store_true", help="recompute only the days that new rows touch")
+    r.add_argument("--incremental", action="store_true", help="merge only new rows into the views' state")
     r.set_defaults(fn=cmd_refresh)
     t = sub.add_parser("train", help="fit the demand model on a feature table")
     t.add_argument("--features", required=True)
@@ -71,6 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--trees", type=int, default=100)
     t.add_argument("--depth", type=int, default=10)
     t.add_argument("--bins", type=int, default=32)
+    t.add_argument("--task-memory-mb", type=int, default=256, help="memory of a task's statistics while trees grow")
     t.set_defaults(fn=cmd_train)
     s = sub.add_parser("score", help="demand and revenue of every policy and service")
     s.add_argument("--policies", required=True)

@@ -1,9 +1,10 @@
 """The dashboard's panels as DataFrame queries over the stored gold tables.
 
 One object per application.  Every panel filters on the chosen city or
-cities before anything else.  With a time-to-live the gold tables are read
-through a ``TableCache`` (persisted on the executors, re-read after it
-expires) and the filter prunes cached batches by their statistics; with
+cities before anything else.  With a time-to-live the gold tables and the panels
+made from them are kept in a ``TableCache`` (persisted on the executors) by the
+table's version, so a panel that is shown again is not computed again, and a
+refresh shows at once; the filter prunes cached batches by their statistics.  With
 ``ttl_s=None`` each panel reads parquet and the filter reaches the scan of
 the clustered table.  Nothing is collected here; the caller collects the
 (small) panel results it shows.
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from urbanlake.operators import context as ctx
 from urbanlake.operators import serving as sv
 from urbanlake.sources.tables import TableCache
+from urbanlake.sources.versions import read_stored
 
 TREND_ROWS = {"hourly": 168, "daily": 7}
 SUMMARY_ROWS = 24
@@ -31,7 +33,14 @@ class CityDashboard:
         if granularity not in self.paths:
             raise ValueError("granularity must be 'hourly' or 'daily'")
         path = self.paths[granularity]
-        return self.cache.get(path) if self.cache else self.spark.read.parquet(path)
+        return self.cache.get(path) if self.cache else read_stored(self.spark, path)
+
+    def _panel(self, granularity: str, panel: tuple, make) -> DataFrame:
+        """A panel's result over one table, kept by the table's version when there is a cache."""
+        if self.cache is None:
+            return make(self.data(granularity))
+        self.data(granularity)
+        return self.cache.result(self.paths[granularity], panel, make)
 
     # ------------------------------------------------------------ city view
     def cities(self, granularity: str = "hourly") -> DataFrame:
@@ -43,7 +52,8 @@ class CityDashboard:
 
     def latest_metrics(self, city: str, granularity: str = "hourly", zero_change: bool = False) -> DataFrame:
         """Latest values and their change against the previous row (NULL or 0 when no positive previous)."""
-        return sv.kpi_latest(self.city(city, granularity), 0.0 if zero_change else None)
+        return self._panel(granularity, ("latest", city, zero_change),
+                           lambda t: sv.kpi_latest(sv.city_rows(t, city), 0.0 if zero_change else None))
 
     def insights_text(self, city: str, granularity: str = "hourly") -> DataFrame:
         """The metric summary of the city's latest rows, as prompt text."""
@@ -52,10 +62,11 @@ class CityDashboard:
 
     def trend(self, city: str, granularity: str = "hourly", rows: int | None = None) -> DataFrame:
         """The four series over the latest rows (168 hourly or 7 daily rows by default)."""
-        return sv.trend(self.city(city, granularity), rows or TREND_ROWS[granularity])
+        rows = rows or TREND_ROWS.get(granularity)
+        return self._panel(granularity, ("trend", city, rows), lambda t: sv.trend(sv.city_rows(t, city), rows))
 
     def breakdown(self, city: str, granularity: str = "hourly") -> DataFrame:
-        return sv.breakdown_by_sensor_type(self.city(city, granularity))
+        return self._panel(granularity, ("breakdown", city), lambda t: sv.breakdown_by_sensor_type(sv.city_rows(t, city)))
 
     # -------------------------------------------------------- proposal view
     def proposal_context(self, cities: list[str]) -> DataFrame:
@@ -66,7 +77,7 @@ class CityDashboard:
         return sv.context_kpis(self.data("daily"), cities)
 
     def comparison(self, cities: list[str]) -> DataFrame:
-        return sv.comparison_by_city_type(self.data("daily"), cities)
+        return self._panel("daily", ("comparison", *cities), lambda t: sv.comparison_by_city_type(t, cities))
 
     def close(self) -> None:
         if self.cache:

@@ -1,8 +1,8 @@
 """Demand model: a Spark ML random forest on the six weekly features.
 
 Training is distributed (``RandomForestRegressor`` grows all trees level by
-level over the partitioned data); scoring is a narrow ``transform`` of a whole
-policies table, with the fitted trees shipped to the tasks.  The fitted
+level over the partitioned data); scoring predicts each distinct feature vector of
+a policies table once and joins the predictions back.  The fitted
 pipeline is saved under the shared checkpoint folder (never on a machine-local
 disk) and loaded back by path, so a lost executor or a new process only
 re-reads it.
@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -22,10 +24,11 @@ from pyspark.sql import functions as F
 
 from urbanlake.functions.measures import fixed_sum
 from urbanlake.schemas import DEMAND_FEATURES
-from urbanlake.session import ensure_checkpoint_dir
+from urbanlake.session import ensure_checkpoint_dir, work_path
 
+#: ``maxMemoryInMB`` is what each task holds for its statistics: trees that need more are grown in further passes.
 DEFAULT_PARAMS = {"numTrees": 100, "maxDepth": 10, "maxBins": 32, "featureSubsetStrategy": "all",
-                  "subsamplingRate": 1.0, "maxMemoryInMB": 1024, "seed": 42}
+                  "subsamplingRate": 1.0, "maxMemoryInMB": 256, "seed": 42}
 
 
 def demand_pipeline(params: dict | None = None, label: str = "demand") -> Pipeline:
@@ -65,25 +68,54 @@ def signature(features: DataFrame) -> dict[str, str]:
     return {f: types.get(f, "missing") for f in DEMAND_FEATURES}
 
 
-def save_model(model: PipelineModel, path: str, types: dict[str, str] | None = None) -> None:
-    """Save a model with the types of its features beside it."""
+#: Numbers that hold every value of the type on the left.
+WIDER = {"tinyint": ("smallint", "int", "bigint", "float", "double"), "smallint": ("int", "bigint", "float", "double"),
+         "int": ("bigint", "double"), "float": ("double",)}
+
+
+def save_model(model: PipelineModel, path: str, types: dict[str, str] | None = None, overwrite: bool = True) -> None:
+    """Save a model with the types of its features beside it.
+
+    Both are written aside and put in place by one rename, so a folder of that
+    name always holds a whole model.  Without ``overwrite`` a model that
+    another job has put there meanwhile stays.
+    """
     spark = SparkSession.getActiveSession()
-    model.write().overwrite().save(path)
+    aside = f"{path.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+    model.write().save(f"{aside}/pipeline")
     rows = list((types or {f: "double" for f in DEMAND_FEATURES}).items())
-    spark.createDataFrame(rows, "feature string, type string").coalesce(1).write.mode("overwrite").parquet(f"{path}-signature")
+    spark.createDataFrame(rows, "feature string, type string").coalesce(1).write.parquet(f"{aside}/signature")
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = there(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.exists(there(path)):
+        if not overwrite:
+            store.delete(there(aside), True)
+            return
+        store.delete(there(path), True)
+    if not store.rename(there(aside), there(path)):
+        raise OSError(f"can't put the model in place at {path}")
+
+
+def load_signature(spark: SparkSession, path: str) -> dict[str, str]:
+    """Type of each feature that a saved model was fitted on."""
+    return {r.feature: r.type for r in spark.read.parquet(f"{path}/signature").collect()}
 
 
 def load_model(spark: SparkSession, path: str) -> PipelineModel:
     """A saved model; a folder without one, or without its signature, raises."""
-    listed = [r.feature for r in spark.read.parquet(f"{path}-signature").collect()]
+    listed = load_signature(spark, path)
     if sorted(listed) != sorted(DEMAND_FEATURES):
-        raise ValueError(f"the model at {path} takes {listed}, not {DEMAND_FEATURES}")
-    return PipelineModel.load(path)
+        raise ValueError(f"the model at {path} takes {sorted(listed)}, not {DEMAND_FEATURES}")
+    return PipelineModel.load(f"{path}/pipeline")
 
 
-def check_signature(features: DataFrame) -> None:
-    """Every model feature must be there as a number."""
-    bad = {f: t for f, t in signature(features).items() if t not in ("double", "float", "int", "bigint", "smallint", "tinyint")}
+def check_signature(features: DataFrame, expected: dict[str, str] | None = None) -> None:
+    """Every model feature must be there as a number, of the type it was fitted on or one that this type holds."""
+    found = signature(features)
+    if expected is None:
+        bad = {f: t for f, t in found.items() if t not in ("double", "float", "int", "bigint", "smallint", "tinyint")}
+    else:
+        bad = {f: f"{t}, not {expected[f]}" for f, t in found.items() if t != expected[f] and expected[f] not in WIDER.get(t, ())}
     if bad:
         raise ValueError(f"not the model's features: {bad}")
 
@@ -108,8 +140,8 @@ def fit_or_load(spark: SparkSession, features: DataFrame, params: dict | None =
     """
     check_signature(features)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/urbanlake/models/demand-{data_version(features, params)}"
-    if not _there(spark, f"{path}-signature/_SUCCESS"):
-        save_model(fit_demand_model(features, params), path, signature(features))
+    if not _there(spark, f"{path}/signature/_SUCCESS"):
+        save_model(fit_demand_model(features, params), path, signature(features), overwrite=False)
     return load_model(spark, path)
 
 
@@ -156,9 +188,32 @@ def model_card(spark: SparkSession, model: PipelineModel, label: str = "demand")
     return spark.createDataFrame(entries, "name string, value string")
 
 
-def score_policies(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """policy_id, service, demand, revenue predicted by the model for every (policy, service) row."""
-    check_signature(features)
-    return (model.transform(features)
+def predict_distinct(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """``features`` with ``prediction``: every distinct feature vector is predicted once, over all cores, and joined back.
+
+    The vectors are a written table, so they are dealt out evenly and neither
+    the trees nor a lost executor cost a vector twice.
+    """
+    spark = features.sparkSession
+    path = work_path(spark, "model-inputs")
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    features.select(*DEMAND_FEATURES).distinct().write.parquet(path)
+    inputs = spark.read.parquet(path).repartition(parts, *DEMAND_FEATURES)
+    predicted = model.transform(inputs).select(*DEMAND_FEATURES, "prediction")
+    done = work_path(spark, "model-outputs")
+    predicted.write.parquet(done)
+    return features.join(spark.read.parquet(done), DEMAND_FEATURES)
+
+
+def score_policies(model: PipelineModel, features: DataFrame, expected: dict[str, str] | None = None) -> DataFrame:
+    """policy_id, service, demand, revenue predicted by the model for every (policy, service) row.
+
+    ``expected``: the types that the model was fitted on (``load_signature``).
+    A policy without a feature raises.
+    """
+    check_signature(features, expected)
+    missing = reduce(lambda a, b: a | b, [F.col(f).isNull() for f in DEMAND_FEATURES])
+    whole = features.filter(F.when(missing, F.raise_error(F.lit("a policy lacks a feature"))).otherwise(F.lit(True)))
+    return (predict_distinct(model, whole)
             .select("policy_id", "service", F.col("prediction").alias("demand"),
                     (F.col("prediction") * F.col("price")).alias("revenue")))

@@ -37,7 +37,11 @@ from urbanlake.sources.fixtures import (
     sensor_readings,
     weekly_observations,
 )
+from urbanlake.sources.headers import start_bronze_mixed
+from urbanlake.sources.inference import inferred_types, merged_counts, read_types, type_counts, typed_by
+from urbanlake.sources.versions import TableStore, VersionedTable
 from urbanlake.streaming import ingest as st
+from urbanlake.streaming import merged
 from urbanlake.streaming.refresh import start_incremental_gold
 
 M2 = 2
@@ -356,18 +360,26 @@ def policy_score_rf(spark, sf_dir):
 
 @query()
 def policy_score_rf_summary(spark, sf_dir):
-    """Per service: scored policies, and how many break what every prediction keeps to.
+    """Per service: scored policies, and how many of them break what every prediction keeps to.
 
-    A forest's prediction lies within the labels it was fitted on, and the
-    revenue is the demand times the price.
+    A forest's demand lies within the labels it was fitted on; the revenue is
+    the demand times the price that the policy asks for the service, taken from
+    the policies themselves; and scoring a vector once for all policies that
+    share it gives what scoring row by row does.
     """
     feats = pol.policy_features(pol.validate_policies(policies(spark, sf_dir)))
     labels = demand_features_q(spark, sf_dir).agg(F.min("demand").alias("low"), F.max("demand").alias("high")).first()
-    scored = demand_model(spark, sf_dir).transform(feats).withColumn("revenue", F.col("prediction") * F.col("price"))
-    outside = ~F.col("prediction").between(labels.low * (1 - 1e-9), labels.high * (1 + 1e-9))
-    uneven = F.abs(F.col("revenue") - F.col("prediction") * F.col("price")) > 1e-6 * F.col("revenue")
-    return scored.groupBy("service").agg(F.count(F.lit(1)).alias("policies"), F.count_if(outside).alias("outside"),
-                                         F.count_if(uneven).alias("uneven"))
+    model = demand_model(spark, sf_dir)
+    scored = ml.score_policies(model, feats)
+    asked = pol.policy_unpivot(policies(spark, sf_dir))
+    few = feats.filter(F.pmod(F.xxhash64("policy_id"), F.lit(64)) == 0)
+    plain = model.transform(few).select("policy_id", "service", "prediction")
+    rows = scored.join(asked, ["policy_id", "service"]).join(plain, ["policy_id", "service"], "left")
+    outside = ~F.col("demand").between(labels.low * (1 - 1e-9), labels.high * (1 + 1e-9))
+    uneven = F.abs(F.col("revenue") - F.col("demand") * F.col("price")) > 1e-6 * F.abs(F.col("revenue"))
+    other = F.col("prediction").isNotNull() & (F.abs(F.col("prediction") - F.col("demand")) > 1e-9 * F.abs(F.col("demand")))
+    return rows.groupBy("service").agg(F.count(F.lit(1)).alias("policies"), F.count_if(outside).alias("outside"),
+                                       F.count_if(uneven | other).alias("uneven"))
 
 
 # ------------------------------------------------ streaming and table layout
@@ -497,3 +509,99 @@ def mv_refresh_hour(spark, sf_dir):
     for _ in range(2):
         write_clustered(gh(spark, sf_dir), path, ["city_id", "sensor_type"])
     return spark.read.parquet(path)
+
+
+# --------------------------------- views by merging, versions, mixed sources
+
+@query()
+def gold_hour_merged(spark, sf_dir):
+    """Hourly gold by merging three deliveries of silver into one state; the second one is delivered once more."""
+    base = work_path(spark, "merged")
+    rows = sil(spark, sf_dir)
+    run = "deliveries"
+    for i in range(3):
+        delivery = rows.filter(F.col("event_id") % 3 == i).drop("event_id")
+        delivery.withColumn("event_date", F.to_date("event_timestamp")).write.mode("append").partitionBy("event_date").parquet(f"{base}/silver")
+        st.wait(merged.start_merged_gold(spark, f"{base}/silver", base, run, scale=M2))
+        merged.publish(spark, base, scale=M2)
+    replayed = rows.filter(F.col("event_id") % 3 == 1).drop("event_id")
+    merged.merge_batch(spark, base, replayed, 1, run, scale=M2)
+    merged.publish(spark, base, scale=M2)
+    return VersionedTable(spark, f"{base}/gold_hour").read()
+
+
+@query()
+def city_data_versions(spark, sf_dir):
+    """The weekly table in two versions: a reader opened before the second one, and the table after it."""
+    store = TableStore(spark, work_path(spark, "store"))
+    store.drop("city_data", if_exists=True)
+    table = wk.city_data(weekly_table(spark, sf_dir), OBSERVATION_ORIGIN, keys=WO_KEYS)
+    store.save("city_data", table.filter("service <> 'water'"))
+    before = store.read("city_data")
+    store.save("city_data", table)
+    columns = [*WO_KEYS, "week", "service", "price", "demand", "revenue"]
+    return (before.select(F.lit(1).alias("version"), *columns)
+            .unionAll(store.read("city_data").select(F.lit(2).alias("version"), *columns)))
+
+
+#: Headers of the files that each third of the rows is written with: other orders, one column more, one less.
+MIXED_HEADERS = [
+    [h for h, _, _ in BRONZE_COLUMNS],
+    ["Cihaz", *[h for h, _, _ in reversed(BRONZE_COLUMNS)]],
+    [h for h, _, _ in sorted(BRONZE_COLUMNS, key=lambda c: c[1]) if h != "kWh"],
+]
+
+
+@query()
+def bronze_mixed_headers(spark, sf_dir):
+    """Files of one folder in three header orders; the third kind arrives when the stream has run."""
+    base = work_path(spark, "mixed")
+    text = to_bronze_text(sr(spark, sf_dir), keep=["event_id"]).withColumn("Cihaz", F.col("event_id").cast("string"))
+    for i, header in enumerate(MIXED_HEADERS):
+        rows = text.filter(F.col("event_id") % 3 == i).select(*[F.col(f"`{h}`") for h in header])
+        rows.write.mode("append").option("header", "true").csv(f"{base}/source")
+        if i:
+            st.wait(start_bronze_mixed(spark, f"{base}/source", f"{base}/bronze", f"{base}/ckpt"))
+    bronze = spark.read.parquet(f"{base}/bronze")
+    device = F.get_json_object("_extra", "$.Cihaz").cast("bigint").alias("device")
+    return bronze.select(*[F.col(f"`{h}`").alias(n) for h, n, _ in BRONZE_COLUMNS], device,
+                         F.col("_corrupt_record").isNotNull().alias("malformed"))
+
+
+@query()
+def bronze_inferred_types(spark, sf_dir):
+    """Counts of what the raw columns read as, added over three batches, and the types that follow."""
+    text = to_bronze_text(sr(spark, sf_dir), keep=["event_id"])
+    columns = [h for h, _, _ in BRONZE_COLUMNS]
+    batches = [type_counts(text.filter(F.col("event_id") % 3 == i), columns) for i in range(3)]
+    return inferred_types(merged_counts(batches))
+
+
+@query()
+def bronze_typed_rescue(spark, sf_dir):
+    """Raw text read by the types that the first third of the rows shows; what later ones break is rescued."""
+    text = to_bronze_text(sr(spark, sf_dir), keep=["event_id"])
+    count, speed = "Araç Sayısı", "kWh"
+    text = (text.withColumn(count, F.when(F.col("event_id") % 6 == 4, F.concat(F.col(f"`{count}`"), F.lit(" adet"))).otherwise(F.col(f"`{count}`")))
+            .withColumn(speed, F.when(F.col("event_id") % 6 == 5, F.lit("yok")).otherwise(F.col(f"`{speed}`"))))
+    types = read_types(type_counts(text.filter(F.col("event_id") % 3 == 0), [count, speed, "Tarih/Zaman", "Sensör Tipi"]))
+    typed = typed_by(text, types, keep=["event_id"])
+    rescued = F.from_json("_rescued", "map<string,string>")
+    return typed.select("event_id", F.col(f"`{count}`").alias("vehicle_count"), F.col(speed).alias("energy_kwh"),
+                        F.col("`Tarih/Zaman`").alias("event_timestamp"), F.col("`Sensör Tipi`").alias("sensor_type"),
+                        rescued[count].alias("rescued_count"), rescued[speed].alias("rescued_kwh"))
+
+
+@query()
+def dq_metrics_by_batch(spark, sf_dir):
+    """Quality counters kept with each micro-batch, summed: two runs of one stream over two deliveries."""
+    base = work_path(spark, "counted")
+    rows = sr(spark, sf_dir)
+    for i in range(2):
+        write_bronze_csv(rows.filter(F.col("event_id") % 2 == i).drop("event_id"), f"{base}/source", files=2)
+        st.wait(st.start_bronze(spark, f"{base}/source", f"{base}/bronze", f"{base}/bronze_ckpt"))
+        st.wait(st.start_counted_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/counts", f"{base}/silver_ckpt"))
+    by_batch = st.batch_metrics(spark, f"{base}/counts")
+    return by_batch.groupBy("expectation", "action").agg(
+        F.sum("passed").alias("passed"), F.sum("failed").alias("failed"), F.sum("rows").alias("rows"),
+        F.count_distinct("run", "batch").alias("batches"))

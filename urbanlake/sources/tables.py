@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from urbanlake.sources.versions import VersionedTable, read_stored, stored_version
+
 
 @dataclass(frozen=True)
 class TableInfo:
@@ -36,10 +38,12 @@ def table_comment(df: DataFrame) -> str | None:
 
 
 def replace_table(spark: SparkSession, written: str, path: str) -> None:
-    """Put a completely written folder in the place of ``path``.
+    """Put a completely written plain folder in the place of ``path``.
 
-    Until then readers see the old table, and a failed job leaves it as it
-    was.  The old folder is moved aside first and deleted last.
+    A failed job leaves the old folder as it was.  The old one is moved aside
+    first and deleted last: for a moment there is none, and readers that
+    listed its files lose them.  Tables that are read while they change are
+    versioned ones (``versions.py``).
     """
     jvm = spark.sparkContext._jvm
     new, place = jvm.org.apache.hadoop.fs.Path(written), jvm.org.apache.hadoop.fs.Path(path)
@@ -55,34 +59,43 @@ def replace_table(spark: SparkSession, written: str, path: str) -> None:
 
 
 class TableCache:
-    """Reuse loaded tables across dashboard queries for ``ttl_s`` seconds.
+    """Reuse loaded tables, and results made from them, until their version moves or ``ttl_s`` seconds are over.
 
-    Tables are persisted in executor memory/disk (never collected); after the
-    time-to-live they are unpersisted and read again on next use.
+    Tables and results are persisted in executor memory/disk (never collected)
+    under the version they were made from.  A versioned table that has a newer
+    version is read again at once; a plain folder has no version, so only the
+    time-to-live renews it.
     """
 
     def __init__(self, spark: SparkSession, ttl_s: float = 300.0):
         self.spark, self.ttl_s = spark, ttl_s
-        self._entries: dict[str, tuple[float, DataFrame]] = {}
+        self._entries: dict[tuple, tuple[float, int | None, DataFrame]] = {}
 
-    def get(self, path: str) -> DataFrame:
-        now = time.monotonic()
-        hit = self._entries.get(path)
-        if hit and now - hit[0] < self.ttl_s:
-            return hit[1]
+    def _kept(self, key: tuple, path: str, make) -> DataFrame:
+        now, version = time.monotonic(), stored_version(self.spark, path)
+        hit = self._entries.get(key)
+        if hit and now - hit[0] < self.ttl_s and hit[1] == version:
+            return hit[2]
         if hit:
-            hit[1].unpersist()
-        df = self.spark.read.parquet(path).persist()
-        self._entries[path] = (now, df)
+            hit[2].unpersist()
+        df = make().persist()
+        self._entries[key] = (now, version, df)
         return df
 
+    def get(self, path: str) -> DataFrame:
+        return self._kept((path,), path, lambda: read_stored(self.spark, path))
+
+    def result(self, path: str, panel: tuple, make) -> DataFrame:
+        """The result ``make(table)`` of a panel, kept by the table's version and the panel's name and arguments."""
+        return self._kept((path, *panel), path, lambda: make(self.get(path)))
+
     def clear(self) -> None:
-        for _, df in self._entries.values():
+        for _, _, df in self._entries.values():
             df.unpersist()
         self._entries.clear()
 
 
-# Table names of the data model, for SQL written against them.
+# --- Fixed values: table names of the data model, for SQL written against them.
 VIEW_NAMES = {
     "bronze": "bronze_sensor_data",
     "silver": "silver_sensor_data",
@@ -92,19 +105,19 @@ VIEW_NAMES = {
 
 
 def register_views(spark: SparkSession, base: str, extra: dict[str, str] | None = None) -> list[str]:
-    """Expose the tables under ``base`` (as written by ``refresh``) as session views for ``spark.sql``.
+    """Expose the current tables under ``base`` (as written by ``refresh``) as session views for ``spark.sql``.
 
     ``extra`` maps further view names to parquet paths (e.g. ``{"city_data": path}``).  Views are
     session-scoped and read the stored parquet, so filters in the SQL reach the scan.
     """
-    import os
-
     names = []
     paths = {view: f"{base.rstrip('/')}/{folder}" for folder, view in VIEW_NAMES.items()}
     paths.update(extra or {})
     for view, path in paths.items():
-        if "://" not in path and not os.path.exists(path):
-            continue
-        spark.read.parquet(path).createOrReplaceTempView(view)
+        if not VersionedTable(spark, path).exists():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+                continue
+        read_stored(spark, path).createOrReplaceTempView(view)
         names.append(view)
     return names

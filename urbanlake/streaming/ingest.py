@@ -18,7 +18,7 @@ from __future__ import annotations
 import threading
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -26,6 +26,7 @@ from urbanlake.operators.expectations import (
     SILVER_EXPECTATIONS,
     Expectation,
     apply_expectations,
+    metric_columns,
     metrics_from_observation,
     observe_expectations,
 )
@@ -36,7 +37,8 @@ from urbanlake.sources.tables import TABLES, with_comment
 
 DQ_METRIC = "silver_dq"
 CAST_METRIC = "silver_castable"
-#: Files that a micro-batch writes for one event date, each with a share of the (sensor type, city) keys.
+BATCH_COUNTS = "run string, rows bigint, expectation string, action string, passed bigint, failed bigint"
+#: Files that a micro-batch writes for one event date, each with an even share of its rows.
 FILES_PER_DAY = 4
 
 
@@ -74,9 +76,10 @@ def silver_stream_frame(spark: SparkSession, bronze_dir: str, rules: list[Expect
     kept = with_comment(apply_expectations(typed, rules), TABLES["silver"].comment)
     if not partition_by_date:
         return kept
-    # rows of a day meet in a few tasks by their clustering keys, so a batch writes few files for each day
-    keys = F.pmod(F.xxhash64(*TABLES["silver"].cluster_by), F.lit(files_per_day))
-    return kept.withColumn("event_date", F.to_date("event_timestamp")).repartition("event_date", keys)
+    # a day's rows meet in a few tasks by a hash of the whole row: few files, and no key that one task has alone
+    share = F.pmod(F.xxhash64("sensor_id", "event_timestamp", *TABLES["silver"].cluster_by, "latitude", "longitude"),
+                   F.lit(files_per_day))
+    return kept.withColumn("event_date", F.to_date("event_timestamp")).repartition("event_date", share)
 
 
 def start_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoint: str,
@@ -98,6 +101,41 @@ def start_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoi
                   ["event_date"] if partition_by_date else None)
 
 
+def start_counted_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, counts_dir: str, checkpoint: str,
+                         rules: list[Expectation] | None = None, available_now: bool = True,
+                         max_files_per_trigger: int = FILES_PER_BATCH, zone: str = "UTC") -> StreamingQuery:
+    """Bronze -> silver with the quality counters of every micro-batch as rows of a table.
+
+    A batch writes its silver rows and its counters (observed on the same
+    pass, before any drop) to folders of its number before it is committed.
+    A batch that is replayed after a failure replaces both, so the counters of
+    all batches are those of the rows in silver, whoever restarts the stream
+    and whatever a driver had in memory.
+    """
+    rules = SILVER_EXPECTATIONS if rules is None else rules
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"{DQ_METRIC}-{batch_id}")
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        typed = project_bronze(batch, zone=zone).observe(seen, F.count(F.lit(1)).alias("rows"), *metric_columns(rules))
+        kept = with_comment(apply_expectations(typed, rules), TABLES["silver"].comment)
+        kept.write.mode("overwrite").parquet(f"{silver_dir}/batch={batch_id}")
+        counted = [(run, seen.get["rows"], *row) for row in metrics_from_observation(seen.get, rules)]
+        (batch.sparkSession.createDataFrame(counted, BATCH_COUNTS).coalesce(1)
+         .write.mode("overwrite").parquet(f"{counts_dir}/batch={batch_id}"))
+
+    stream = (spark.readStream.schema(BRONZE_SCHEMA).option("maxFilesPerTrigger", str(max_files_per_trigger))
+              .parquet(bronze_dir))
+    w = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
+def batch_metrics(spark: SparkSession, counts_dir: str) -> DataFrame:
+    """``run, batch, rows, expectation, action, passed, failed`` of every micro-batch (``run``: the checkpoint's query id)."""
+    counts = spark.read.schema(f"{BATCH_COUNTS}, batch bigint").parquet(counts_dir)
+    return counts.select("run", "batch", "rows", "expectation", "action", "passed", "failed")
+
+
 def wait(query: StreamingQuery) -> StreamingQuery:
     """Wait for an availableNow query to finish, however long its backlog takes."""
     query.awaitTermination()

@@ -2,10 +2,12 @@
 
 Tables are folders under a base path (``<base>/bronze``, ``<base>/silver``,
 ``<base>/gold_hour``, ``<base>/gold_day``) with checkpoints beside them.  The
-gold tables are materialized views: a full recompute from silver, written
-clustered on (city_id, sensor_type) with an overwrite, so rows that arrive
-late are always included.  ``refresh_gold_incremental`` recomputes only the
-days touched by new silver rows (dynamic partition overwrite).
+gold tables are materialized views in versioned tables (``read_stored`` reads
+them): both a full and an incremental refresh stream silver into one state of
+partial aggregates (``merged.py``) and publish the same views from it, a full one
+from nothing, an incremental one with the new files alone.
+``refresh_gold_incremental`` is the form without a state: it recomputes the days
+touched by new silver rows from silver (dynamic partition overwrite).
 """
 
 from __future__ import annotations
@@ -15,12 +17,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanlake.operators.gold import gold_from_sensor_hours, gold_metrics, sensor_hours, write_clustered
+from urbanlake.operators.gold import gold_metrics, write_clustered
 from urbanlake.functions.periods import day_of
 from urbanlake.operators.silver import castable_expectations
 from urbanlake.sources.csv import FILES_PER_BATCH
 from urbanlake.sources.tables import TABLES, with_comment
+from urbanlake.sources.versions import VersionedTable
 from urbanlake.streaming.ingest import quality_counters, start_bronze, start_silver, stream_dq_metrics, wait
+from urbanlake.streaming.merged import VIEWS, current_run, day_part, publish, start_merged_gold
 
 
 @dataclass(frozen=True)
@@ -51,9 +55,11 @@ def refresh(spark: SparkSession, source_dir: str, base: str, scale: int | None =
     """Run bronze and silver to completion (new files only), then bring both gold views up to date.
 
     ``max_files_per_trigger`` bounds the micro-batches that a backlog is worked
-    off in; ``shared_pass`` builds both views from one scan of silver;
-    ``incremental`` recomputes only the days that new rows touch.  Returns the
-    counts of the quality rules and of what did not parse.
+    off in.  ``incremental`` merges only new silver files into the state of the
+    views; otherwise a new run takes all of silver.  Without ``shared_pass`` each
+    view is computed from silver by itself and has no state (the next incremental
+    refresh then starts a run).  Returns the counts of the quality rules and of
+    what did not parse.
     """
     p = TablePaths(base)
     counters = quality_counters(spark)          # sees every micro-batch, however many there are
@@ -62,38 +68,20 @@ def refresh(spark: SparkSession, source_dir: str, base: str, scale: int | None =
                            max_files_per_trigger=max_files_per_trigger, zone=zone))
     dq = stream_dq_metrics(sq, counters=counters)
     castable = stream_dq_metrics(sq, castable_expectations(zone), counters)
-    if incremental:
-        for grain, name in (("hour", "gold_hour"), ("day", "gold_day")):
-            wait(start_incremental_gold(spark, p.silver, getattr(p, f"{name}_by_day"), getattr(p, f"{name}_ckpt"), grain, scale,
-                                        max_files_per_trigger=max_files_per_trigger))
-    elif shared_pass:
-        refresh_views_shared(spark, p.silver, base, scale)
+    if not shared_pass and not incremental:
+        VersionedTable(spark, p.sensor_hour).drop()
+        silver = spark.read.parquet(p.silver).drop("event_date")
+        for grain, name in VIEWS.items():
+            gold = with_comment(gold_metrics(silver, grain, scale), TABLES[name].comment)
+            VersionedTable(spark, getattr(p, name)).commit(gold.repartitionByRange(day_part(grain), *TABLES[name].cluster_by),
+                                                           day_part(grain))
     else:
-        refresh_view(spark, p.silver, p.gold_hour, "hour", scale)
-        refresh_view(spark, p.silver, p.gold_day, "day", scale)
+        run = current_run(spark, base) if incremental else None
+        wait(start_merged_gold(spark, p.silver, base, run, scale, max_files_per_trigger=max_files_per_trigger))
+        publish(spark, base, scale)
     return {"paths": p, "dq_metrics": dq, "castable_metrics": castable}
 
 
-def refresh_views_shared(spark: SparkSession, silver_path: str, base: str, scale: int | None = None) -> None:
-    """Rebuild both gold views with one scan of silver.
-
-    Silver is reduced to one row per (city, type, hour, sensor) and written to
-    ``<base>/sensor_hour`` (a table in the shared folder, so the two views
-    start from it rather than from the silver lineage); both views aggregate
-    that table.  With a ``scale`` the results equal ``refresh_view`` exactly.
-    """
-    p = TablePaths(base)
-    silver = spark.read.parquet(silver_path)
-    if "event_date" in silver.columns:
-        silver = silver.drop("event_date")
-    sensor_hours(silver, scale).write.mode("overwrite").parquet(p.sensor_hour)
-    sh = spark.read.parquet(p.sensor_hour)
-    for grain, name in (("hour", "gold_hour"), ("day", "gold_day")):
-        info = TABLES[name]
-        gold = with_comment(gold_from_sensor_hours(sh, grain, scale), info.comment)
-        write_clustered(gold, getattr(p, name), list(info.cluster_by))
-
-
 def refresh_gold_incremental(spark: SparkSession, silver_path: str, new_rows: DataFrame, out_path: str,
                              grain: str = "day", scale: int | None = None) -> None:
     """Recompute only the days that ``new_rows`` touch and overwrite just those partitions.
