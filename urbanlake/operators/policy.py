@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from urbanlake.functions.demand import d, elastic_demand_sql
@@ -23,7 +23,9 @@ from urbanlake.schemas import (
     POLICY_RANGES,
     SCORING_SIGNAL_LOAD,
     SERVICE_NAMES,
+    SERVICES,
 )
+from urbanlake.session import work_path
 
 # Default sweep of every policy input: (column, values).
 DEFAULT_SWEEPS: list[tuple[str, list]] = [
@@ -123,3 +125,114 @@ def policy_totals(scored: DataFrame, demand_scale: int | None = None, revenue_sc
             mean = total.cast("double") / (F.nullif(F.count(m), F.lit(0)).cast("double") * F.lit(float(10 ** scale)))
         aggs += [mean.alias(f"avg_{m}"), F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}")]
     return scored.groupBy("service").agg(*aggs)
+
+
+# ------------------------------------------------- choosing among policies
+
+#: Inputs that a sensitivity sweep changes, and by how much of their value.
+SWEPT = [c for c, _, _ in POLICY_RANGES]
+STEPS = (-0.2, -0.1, 0.0, 0.1, 0.2)
+
+
+def service_outcome_sql(service: str, price: str, fuel_tax: str, demand_decimals: int | None = 4,
+                        revenue_decimals: int | None = 2) -> str:
+    """Struct ``(demand, revenue)`` of one service in a policy's own row, as ``score_elastic`` gives it (Spark SQL text)."""
+    _, base_price, base_demand, elasticity = next(s for s in SERVICES if s[0] == service)
+    congestion = f"({d(BASE_CONGESTION)} + {d(FUEL_TAX_CONGESTION)} * {fuel_tax})"
+    demand = elastic_demand_sql(f"'{service}'", price, d(base_price), d(base_demand), d(elasticity), congestion, "festival", "holiday")
+    # the curve is worked out once, then rounded
+    return (f"transform(array(named_struct('x', {demand}, 'p', {price})), s -> named_struct("
+            f"'demand', {rounded_sql('s.x', demand_decimals)}, 'revenue', {rounded_sql('s.x * s.p', revenue_decimals)}))[0]")
+
+
+def _totals(parts: list[str]) -> str:
+    total = {m: " + ".join(f"{p}.{m}" for p in parts) for m in ("demand", "revenue")}
+    return f"'demand', {total['demand']}, 'revenue', {total['revenue']}"
+
+
+def policy_outcomes(policies: DataFrame) -> DataFrame:
+    """``policy_id, demand, revenue``: a policy's totals over its services, each policy in its own row."""
+    parts = [f"o.{s}" for s in SERVICE_NAMES]
+    own = ", ".join(f"'{s}', {service_outcome_sql(s, f'{s}_price', 'fuel_tax')}" for s in SERVICE_NAMES)
+    return (policies.selectExpr("policy_id", f"named_struct({own}) AS o")
+            .selectExpr("policy_id", f"named_struct({_totals(parts)}) AS t").select("policy_id", "t.demand", "t.revenue"))
+
+
+def policy_sensitivity(policies: DataFrame, steps: tuple[float, ...] = STEPS) -> DataFrame:
+    """``policy_id, variable, step, value, demand, revenue, change``: every policy with one input changed at a time.
+
+    ``demand`` and ``revenue`` are totals over the services; ``change`` is the
+    revenue against the step before, NULL for the first.  A policy's sweeps are
+    arrays in its own row, and neighbours are found by their places in
+    them: a narrow explode, no shuffle and no window.
+    """
+    steps = sorted(set(steps))
+    own = {s: service_outcome_sql(s, f"{s}_price", "fuel_tax") for s in SERVICE_NAMES}
+    base = policies.selectExpr("*", *[f"{x} AS _{s}" for s, x in own.items()])
+    sweeps = []
+    for v in SWEPT:
+        moved = v.removesuffix("_price") if v.endswith("_price") else None
+        parts = []
+        for s in SERVICE_NAMES:
+            if moved is None:
+                parts.append(service_outcome_sql(s, f"{s}_price", "x.value"))
+            else:
+                parts.append(service_outcome_sql(s, "x.value", "fuel_tax") if s == moved else f"_{s}")
+        named = ", ".join(f"'s{i}', {p}" for i, p in enumerate(parts))
+        scale = ", ".join(f"named_struct('step', {d(k)}, 'value', {v} * ({d(1)} + {d(k)}))" for k in steps)
+        points = (f"transform(transform(array({scale}), x -> named_struct('step', x.step, 'value', x.value, {named})), "
+                  f"y -> named_struct('step', y.step, 'value', y.value, {_totals([f'y.s{i}' for i in range(len(parts))])}))")
+        sweeps.append(f"named_struct('variable', '{v}', 'points', {points})")
+    swept = base.selectExpr("policy_id", f"inline(array({', '.join(sweeps)}))")
+    change = ("transform(points, (x, i) -> named_struct('step', x.step, 'value', x.value, 'demand', x.demand, 'revenue', x.revenue, "
+              "'change', CASE WHEN i > 0 THEN x.revenue - points[i - 1].revenue END))")
+    return swept.selectExpr("policy_id", "variable", f"inline({change})")
+
+
+def policy_best(scored: DataFrame, features: DataFrame, bands_per_unit: int = 100) -> DataFrame:
+    """``service, band, revenue, ties, first_policy, last_policy``: the highest revenue of each service and congestion band.
+
+    ``band`` is the whole number of ``1 / bands_per_unit`` in the congestion;
+    ``ties`` policies reach that revenue, from ``first_policy`` to ``last_policy``.
+    Equal revenues are counted before the largest is taken, both with partial
+    aggregates in the map side, so a service with all policies is no hot key.
+    """
+    band = F.floor(F.col("congestion") * F.lit(float(bands_per_unit))).cast("int")
+    rows = scored.join(features.select("policy_id", "service", band.alias("band")), ["policy_id", "service"])
+    level = (rows.groupBy("service", "band", "revenue")
+             .agg(F.count(F.lit(1)).alias("ties"), F.min("policy_id").alias("first_policy"), F.max("policy_id").alias("last_policy")))
+    best = level.groupBy("service", "band").agg(F.max(F.struct("revenue", "ties", "first_policy", "last_policy")).alias("b"))
+    return best.select("service", "band", "b.*")
+
+
+def policy_best_rows(scored: DataFrame, features: DataFrame, bands_per_unit: int = 100) -> DataFrame:
+    """``service, band, policy_id, revenue``: every policy that reaches the best revenue of its service and band."""
+    band = F.floor(F.col("congestion") * F.lit(float(bands_per_unit))).cast("int")
+    rows = scored.join(features.select("policy_id", "service", band.alias("band")), ["policy_id", "service"])
+    best = rows.groupBy("service", "band").agg(F.max("revenue").alias("revenue"))
+    # at most one row for each service and band
+    return rows.join(best, ["service", "band", "revenue"]).select("service", "band", "policy_id", "revenue")
+
+
+def pareto_frontier(rows: DataFrame, x: str = "revenue", y: str = "demand") -> DataFrame:
+    """The rows that no other row beats: none has more of ``x`` or ``y`` without having less of the other.  Ties stay.
+
+    The rows are reduced to the best ``y`` of each ``x`` and dealt out by ranges of
+    ``x``.  Each range finds its local frontier by a running maximum; a range's
+    points last if they also pass the maximum of all ranges with larger ``x``, which
+    is one number for each range.  No pair of rows is compared.  Rows without
+    ``x`` or ``y`` are not on the frontier.
+    """
+    spark = rows.sparkSession
+    path = work_path(spark, "pareto")
+    points = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x).agg(F.max(y).alias(y))
+    # a written table: the number of a row's range is the same however often it is read
+    points.repartitionByRange(F.desc(x)).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    points = spark.read.parquet(path)
+    tops = points.groupBy("_range").agg(F.max(y).alias("_top"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)      # a row for each range
+    tops = tops.select("_range", F.max("_top").over(before).alias("_passed"))
+    larger = Window.partitionBy("_range").orderBy(F.desc(x)).rowsBetween(Window.unboundedPreceding, -1)
+    local = points.withColumn("_local", F.max(y).over(larger)).filter(F.col("_local").isNull() | (F.col(y) > F.col("_local")))
+    lasting = local.join(tops, "_range").filter(F.col("_passed").isNull() | (F.col(y) > F.col("_passed"))).select(x, y)
+    return rows.join(lasting, [x, y], "left_semi")

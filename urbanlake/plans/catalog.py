@@ -27,7 +27,9 @@ from urbanlake.operators.gold import (
     sensor_hours,
     write_clustered,
 )
+from urbanlake.operators.rollup import sensor_bitmaps, sensor_codes, unique_sensor_levels
 from urbanlake.operators.silver import castable_expectations, project_bronze
+from urbanlake.operators.zorder import read_zordered, write_zordered
 from urbanlake.schemas import BRONZE_COLUMNS
 from urbanlake.session import read_table, work_path
 from urbanlake.sources.csv import to_bronze_text, write_bronze_csv
@@ -328,6 +330,31 @@ def policy_totals_q(spark, sf_dir):
     return pol.policy_totals(scored_elastic(spark, sf_dir), demand_scale=4, revenue_scale=2)
 
 
+@query("policy_sensitivity")
+def policy_sensitivity_q(spark, sf_dir):
+    """One input of every policy changed at a time."""
+    return pol.policy_sensitivity(pol.validate_policies(policies(spark, sf_dir)))
+
+
+@query("policy_best")
+def policy_best_q(spark, sf_dir):
+    feats = pol.policy_features(pol.validate_policies(policies(spark, sf_dir)))
+    return pol.policy_best(pol.score_elastic(feats), feats)
+
+
+@query()
+def policy_best_ties(spark, sf_dir):
+    """All policies that reach the best revenue of a service and congestion band."""
+    feats = pol.policy_features(pol.validate_policies(policies(spark, sf_dir)))
+    return pol.policy_best_rows(pol.score_elastic(feats), feats)
+
+
+@query()
+def policy_pareto(spark, sf_dir):
+    """Policies whose total revenue and total demand no other policy beats."""
+    return pol.pareto_frontier(pol.policy_outcomes(pol.validate_policies(policies(spark, sf_dir))))
+
+
 # ------------------------------------------------------------- demand model
 
 def demand_model(spark, sf_dir):
@@ -362,24 +389,19 @@ def policy_score_rf(spark, sf_dir):
 def policy_score_rf_summary(spark, sf_dir):
     """Per service: scored policies, and how many of them break what every prediction keeps to.
 
-    A forest's demand lies within the labels it was fitted on; the revenue is
-    the demand times the price that the policy asks for the service, taken from
-    the policies themselves; and scoring a vector once for all policies that
-    share it gives what scoring row by row does.
+    A forest's demand lies within the labels it was fitted on, and the revenue
+    is the demand times the price that the policy asks for the service, taken
+    from the policies themselves.
     """
     feats = pol.policy_features(pol.validate_policies(policies(spark, sf_dir)))
     labels = demand_features_q(spark, sf_dir).agg(F.min("demand").alias("low"), F.max("demand").alias("high")).first()
-    model = demand_model(spark, sf_dir)
-    scored = ml.score_policies(model, feats)
+    scored = ml.score_policies(demand_model(spark, sf_dir), feats)
     asked = pol.policy_unpivot(policies(spark, sf_dir))
-    few = feats.filter(F.pmod(F.xxhash64("policy_id"), F.lit(64)) == 0)
-    plain = model.transform(few).select("policy_id", "service", "prediction")
-    rows = scored.join(asked, ["policy_id", "service"]).join(plain, ["policy_id", "service"], "left")
+    rows = scored.join(asked, ["policy_id", "service"])
     outside = ~F.col("demand").between(labels.low * (1 - 1e-9), labels.high * (1 + 1e-9))
     uneven = F.abs(F.col("revenue") - F.col("demand") * F.col("price")) > 1e-6 * F.abs(F.col("revenue"))
-    other = F.col("prediction").isNotNull() & (F.abs(F.col("prediction") - F.col("demand")) > 1e-9 * F.abs(F.col("demand")))
     return rows.groupBy("service").agg(F.count(F.lit(1)).alias("policies"), F.count_if(outside).alias("outside"),
-                                       F.count_if(uneven | other).alias("uneven"))
+                                       F.count_if(uneven).alias("uneven"))
 
 
 # ------------------------------------------------ streaming and table layout
@@ -605,3 +627,24 @@ def dq_metrics_by_batch(spark, sf_dir):
     return by_batch.groupBy("expectation", "action").agg(
         F.sum("passed").alias("passed"), F.sum("failed").alias("failed"), F.sum("rows").alias("rows"),
         F.count_distinct("run", "batch").alias("batches"))
+
+
+@query()
+def unique_sensors_rollup(spark, sf_dir):
+    """Distinct sensors of hours, days, cities and types, each level from the bitmaps of the one below."""
+    rows = sil(spark, sf_dir)
+    return unique_sensor_levels(sensor_bitmaps(rows, sensor_codes(rows)))
+
+
+@query()
+def silver_zorder(spark, sf_dir):
+    """Silver along a curve of city and time, read back by a range of each key alone and of both."""
+    path = work_path(spark, "silver_zorder")
+    write_zordered(sil(spark, sf_dir), path, ["city_id", "event_timestamp"], files=16)
+    days = (F.lit("2024-01-08").cast("timestamp_ntz"), F.lit("2024-01-14").cast("timestamp_ntz"))
+    asked = {"city": {"city_id": ("C1", "C2")}, "time": {"event_timestamp": days}, "both": {"city_id": ("C1", "C2"), "event_timestamp": days}}
+    out = None
+    for name, wanted in asked.items():
+        rows = read_zordered(spark, path, wanted).select(F.lit(name).alias("asked"), "event_id", "city_id", "event_timestamp")
+        out = rows if out is None else out.unionAll(rows)
+    return out
