@@ -6,7 +6,10 @@ is split into ``max_edits + 1`` pieces: however the errors fall, one piece
 stands unchanged (pigeonhole).  One automaton over the pieces of all notices
 finds these seeds in the document; around each seed, widened by the notice's
 length and the errors allowed, the regex library's bounded-error matching looks
-for the best match and gives its span and errors.
+for the best match and gives its span and errors.  A match holds its seed, so no
+search is longer than a notice with its errors.  Of overlapping finds of a notice
+the one with fewest errors stands (ties: the first), and the rest of their windows
+is searched again.
 
 Base labels come from exact phrases of whole words.
 
@@ -18,6 +21,8 @@ kept as it is.
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from collections.abc import Iterator
 
 import ahocorasick
@@ -53,16 +58,15 @@ NOTICES = {
     "this is free and unencumbered software released into the public domain": "unlicense",
     "all rights reserved worldwide": "all-rights-reserved",
 }
-#: One error is allowed for this many characters of a notice, three at most.
+#: One error is allowed for this many characters of a notice.
 CHARS_PER_EDIT = 12
-MOST_EDITS = 3
 
 #: Runs of what is neither ASCII punctuation, control, space nor (after lower-casing) upper case.
 WORD = regex.compile(rb"[0-9a-z\x80-\xff]+")
 
 
-def max_edits(notice: str) -> int:
-    return min(MOST_EDITS, len(notice) // CHARS_PER_EDIT)
+def max_edits(notice: str, chars_per_edit: int = CHARS_PER_EDIT) -> int:
+    return len(notice) // chars_per_edit
 
 
 def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
@@ -74,12 +78,13 @@ def pieces(notice: str, errors: int) -> list[tuple[int, str]]:
 class Scanner:
     """Finds phrases and notices in one normalised text."""
 
-    def __init__(self, notices: dict[str, str] = NOTICES, phrases: dict[str, str] = PHRASES) -> None:
+    def __init__(self, notices: dict[str, str] = NOTICES, phrases: dict[str, str] = PHRASES,
+                 chars_per_edit: int = CHARS_PER_EDIT) -> None:
         self.phrases = [(f" {p} ".encode(), label) for p, label in phrases.items()]
         self.notices = []
         seeds: dict[str, list[tuple[int, int]]] = {}
         for k, (notice, label) in enumerate(notices.items()):
-            errors = max_edits(notice)
+            errors = max_edits(notice, chars_per_edit)
             self.notices.append((len(notice), errors, regex.compile(
                 rf"(?b)(?<![^ ])(?:{regex.escape(notice, special_only=True)}){{e<={errors}}}(?![^ ])"), label))
             for at, piece in pieces(notice, errors):
@@ -100,39 +105,72 @@ class Scanner:
         return found
 
     def fuzzy(self, text: str) -> list[tuple[int, int, int, str]]:
-        """``(start, end, errors, label)`` of the notices found; overlapping finds of a notice are one."""
-        windows: dict[int, list[list[int]]] = {}
+        """``(start, end, errors, label)`` of the notices found, of each notice the best ones that don't overlap."""
+        windows: dict[int, set[int]] = {}
         for end, (length, uses) in self.seeds.iter(text):
             for k, at in uses:
-                size, errors, _, _ = self.notices[k]
-                low = max(0, end + 1 - length - at - errors - 1)
-                high = min(len(text), low + size + 2 * errors + 2)
-                spans = windows.setdefault(k, [])
-                if spans and low <= spans[-1][1]:
-                    spans[-1][0] = min(low, spans[-1][0])
-                    spans[-1][1] = max(high, spans[-1][1])
-                else:
-                    spans.append([low, high])
+                windows.setdefault(k, set()).add(end + 1 - length - at)
         found = []
-        for k, spans in windows.items():
-            size, _, pattern, label = self.notices[k]
-            for low, high in spans:
-                # The best match of a part comes first, wherever it stands: what is left and right of it is searched too.
-                parts = [(low, high)]
-                while parts:
-                    at, to = parts.pop()
-                    if (m := pattern.search(text, at, to)) is not None:
-                        found.append((m.start(), m.end(), sum(m.fuzzy_counts), label))
-                        parts += [(at, max(at, m.start() - 1)), (max(m.end(), m.start() + 1), to)]
+        for k, starts in windows.items():
+            found += [(*span, self.notices[k][3]) for span in self._best_of(text, k, sorted(starts))]
         return sorted(found)
 
+    def _best_of(self, text: str, k: int, starts: list[int]) -> list[tuple[int, int, int]]:
+        """Best-first finds of one notice around the places where its seeds let it start."""
+        size, errors, pattern, _ = self.notices[k]
+        known: dict[str, tuple[int, int, int] | None] = {}     # by a window's text: repeated lines are searched once
+
+        def search(low: int, high: int) -> tuple[int, int, int, int, int] | None:
+            """The best match between two places, as ``(errors, start, end, low, high)``; ``high`` is before a space."""
+            high = text.rfind(" ", low, high + 1)
+            if high - low < size - errors:
+                return None
+            part = text[max(low - 1, 0):high + 1]
+            if part not in known:
+                m = pattern.search(part, low - max(low - 1, 0), len(part) - 1)
+                known[part] = None if m is None else (sum(m.fuzzy_counts), m.start(), m.end())
+            hit = known[part]
+            if hit is None:
+                return None
+            shift = max(low - 1, 0)
+            return hit[0], hit[1] + shift, hit[2] + shift, low, high
+
+        heap, first = [], None
+        for at in starts:                                      # seeds of one occurrence differ by its errors at most
+            if first is not None and at - first <= 2 * errors + 2:
+                continue
+            first = at
+            low = max(0, at - errors - 1)
+            if (hit := search(low, min(len(text) - 1, at + size + 4 * errors + 4))) is not None:
+                heap.append(hit)
+        heapq.heapify(heap)
+        taken: list[tuple[int, int]] = []                      # sorted and apart
+        out = []
+        while heap:
+            wrong, start, end, low, high = heapq.heappop(heap)
+            i = bisect.bisect_right(taken, (start, len(text) + 1))
+            before = taken[i - 1] if i and taken[i - 1][1] > start else None
+            after = taken[i] if i < len(taken) and taken[i][0] < end else None
+            clash = before or after
+            if clash is None:
+                out.append((start, end, wrong))
+                taken.insert(i, (start, end))
+                clash = (start, end)
+            for a, z in ((low, clash[0] - 1), (max(clash[1], low), high)):
+                if z > a and (hit := search(a, z)) is not None:
+                    heapq.heappush(heap, hit)
+        return out
+
 
 def scan_text(utf8: bytes, scanner: Scanner) -> dict:
     """Counts, labels and spans of one document; spans are characters of the words joined by one space."""
     words = WORD.findall(utf8.lower())
     joined = b" " + b" ".join(words) + b" "
     base = scanner.phrase_starts(joined)
-    starts = [joined.count(b" ", 0, at + 1) - 1 for at, _ in base]
+    starts, blanks, upto = [], 0, 0
+    for at, _ in sorted(base):
+        blanks, upto = blanks + joined.count(b" ", upto, at + 1), at + 1
+        starts.append(blanks - 1)
     text = joined.decode("utf-8", "replace")
     fuzzy = scanner.fuzzy(text) if words else []
     labels = {label for _, label in base}
@@ -149,11 +187,12 @@ RESULT = pa.schema([
     ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32()), ("label", pa.string())])))])
 
 
-def license_scan(docs: DataFrame) -> DataFrame:
+def license_scan(docs: DataFrame, notices: dict[str, str] | None = None, chars_per_edit: int = CHARS_PER_EDIT) -> DataFrame:
     """One row per row of ``docs``: word count, base phrases, labels, score and the fuzzy notices' spans."""
+    notices = NOTICES if notices is None else notices
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner()
+        scanner = Scanner(notices, chars_per_edit=chars_per_edit)
         for b in batches(rows):
             out = [{"doc_id": d, **scan_text(t, scanner)}
                    for d, t in zip(b.column("doc_id").to_pylist(), b.column("utf8").to_pylist(), strict=True)]
