@@ -123,7 +123,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed:
     """
     fps, rooted = fingerprint_components(docs, shingle, max_bits, seed, blocks)
     ids = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    of_fp = rooted.join(ids, "root").select("fp", "component_id")
+    # a written table of one row for each fingerprint: the join reads plain exchanges, which adaptive execution splits
+    of_fp = saved(rooted.join(ids, "root").select("fp", "component_id"), "simhash-of-fp")
     return fps.join(of_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
@@ -132,8 +133,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed:
 def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int = 42, blocks: int = 5) -> DataFrame:
     """One row of ``docs`` for each component, as it is: the smallest id's, and of several with that id the smallest text hash's."""
     fps, rooted = fingerprint_components(docs, shingle, max_bits, seed, blocks)
-    best = (fps.join(rooted.select("fp", "root"), "fp").groupBy("root")
-            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("b"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    of_fp = fps.groupBy("fp").agg(F.min(first).alias("b"))              # copies are combined before the join
+    best = (of_fp.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min("b").alias("b"))
             .select(F.col("b.doc_id").alias("best_id"), F.col("b.text_hash").alias("best_hash")))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"),
                        F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("own_hash"))
