@@ -288,15 +288,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int) -> DataFrame:
-    """``doc_id, text, toxic`` of at most so many documents of each kind, chosen by a hash of their ids."""
+def training_sample(docs: DataFrame, labels: DataFrame, toxic: int, clean: int, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """``doc_id, text, toxic`` of at most so many documents of each kind, of at most ``chars`` characters.
+
+    They are chosen by a hash of their ids among the documents that are short
+    enough; of several texts with one id the one with the smallest hash is learnt.
+    """
     told = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    short = docs.filter(F.length("text") <= chars).select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                                                          F.xxhash64("text").alias("text_hash"))
+    there = short.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash")).join(told, "doc_id")
     order = F.xxhash64("doc_id")
-    chosen = (told.filter("toxic = 1").orderBy(order).limit(toxic)
-              .unionAll(told.filter("toxic = 0").orderBy(order).limit(clean)))
-    return (docs.filter(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
-            .join(F.broadcast(chosen), "doc_id")                     # at most toxic + clean ids
+    chosen = (there.filter("toxic = 1").orderBy(order).limit(toxic)
+              .unionAll(there.filter("toxic = 0").orderBy(order).limit(clean)))
+    return (short.join(F.broadcast(chosen), ["doc_id", "text_hash"])     # at most toxic + clean ids
             .dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic"))
 
 
