@@ -60,6 +60,94 @@ def test_mixing_is_the_plain_fill(spark, sf, miss):
     assert max(shards.values()) < 3 * every / len(shards) + 20 and len(shards) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def rows_of(spark, name, table):
+    """The query's rows and the table's, both by their id."""
+    out = QUERIES[name](spark, SMALL).collect()
+    given = read_table(spark, SMALL, table).collect()
+    key = "page_id" if table == "pages" else "doc_id"
+    by_id = {r[key]: r for r in out}
+    assert len(out) == len(given) == len(by_id)
+    return by_id, given
+
+
+def test_op3_query(spark):
+    got, docs = rows_of(spark, "op3_simhash_near_dedup", "documents")
+    prints = [brute.simhash(d.text) for d in docs]
+    roots = brute.components(len(docs), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
+    groups = {}
+    for d, r in zip(docs, roots, strict=True):
+        groups.setdefault(r, []).append(d.doc_id)
+    for d, p, r in zip(docs, prints, roots, strict=True):
+        g = got[d.doc_id]
+        assert (g.fingerprint, g.component_id, g.kept) == (f"{p:016x}", min(groups[r]), d.doc_id == min(groups[r]))
+
+
+def test_op4_query(spark):
+    got, docs = rows_of(spark, "op4_quality_rules", "documents")
+    labels = {r.doc_id: r.quality for r in read_table(spark, SMALL, "labels").collect()}
+    for d in docs:
+        g = got[d.doc_id]
+        base = brute.base_quality(d.text)
+        assert (g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words) == base
+        assert g.base_failed == (base[0] < 20 or 100 * base[4] > 30 * base[0])
+        assert not (g.base_failed and g.kept)
+    judged = [got[i] for i, q in labels.items() if q == 0 and i in got and not got[i].base_failed]
+    assert sum(r.kept for r in judged) <= len(judged) / 2
+
+
+def test_op5_query(spark):
+    from urbanlake.llm import licenses
+    got, docs = rows_of(spark, "op5_license_scan", "documents")
+    for d in docs:
+        g = got[d.doc_id]
+        assert (g.n_words, g.n_base, g.first_word, g.last_word, g.base_labels) == brute.phrases(d.text, licenses.PHRASES)
+        assert set(filter(None, g.base_labels.split(","))) <= set(g.labels.split(",")) and 0 <= g.score <= 1
+
+
+def test_op6_query(spark):
+    import base64
+    import hashlib
+    got, pages = rows_of(spark, "op6_warc_round_trip", "pages")
+    last = {}
+    for r in pages:
+        last[r.html or ""] = max(last.get(r.html or "", r.page_id), r.page_id)
+    for r in pages:
+        body, g = (r.html or "").encode(), got[r.page_id]
+        first = last[r.html or ""] == r.page_id
+        assert (g.payload_bytes, g.payload_digest) == (len(body), base64.b32encode(hashlib.sha1(body).digest()).decode())
+        assert (g.record_type, g.refers_to) == (("response", None) if first else ("revisit", last[r.html or ""]))
+
+
+def test_op8_query(spark):
+    import zlib
+    got, docs = rows_of(spark, "op8_toxicity", "documents")
+    assert all(g.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= g.score <= 1
+               and g.predicted == int(g.score >= 0.5) for i, g in got.items())
+    told = [(got[r.doc_id], r.toxic) for r in read_table(spark, SMALL, "labels").collect() if r.doc_id in got and r.toxic is not None]
+    held = [(g.predicted, t) for g, t in told if g.held_out]
+    assert sum(p == t for p, t in held) >= 0.85 * len(held)
+
+
+def test_op9_and_op10_queries(spark):
+    import zlib
+
+    import numpy as np
+    import sentencepiece
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(corpus_pipeline.vocabulary("word_bpe_49k.json"))
+    library = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.vocabulary("piece_bpe_32k.model"))
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    files, docs = rows_of(spark, "op9_token_files", "documents")
+    coded, _ = rows_of(spark, "op10_sentencepiece", "documents")
+    start = 0
+    for d in sorted(docs, key=lambda d: d.doc_id):
+        ids = tokenizer.encode(d.text or "", add_special_tokens=False).ids + [2]
+        assert (files[d.doc_id].start, files[d.doc_id].n_tokens, files[d.doc_id].ids_crc32) == (start, len(ids), crc(ids))
+        start += len(ids)
+        ids = library.encode(d.text or "")
+        assert (coded[d.doc_id].n_pieces, coded[d.doc_id].ids_crc32, coded[d.doc_id].round_trip) == (len(ids), crc(ids), True)
+
+
 def test_pipeline_stages(spark):
     from urbanlake.llm import pieces, quality, simhash, toxicity
     from urbanlake.llm.common import saved

@@ -169,3 +169,41 @@ def test_backoff_of_one_and_of_no_document(make):
     assert lmscore.backoff_scores(make([(1, "x", "a")]).limit(0)).count() == 0
     plain = lmscore.backoff_scores(make([(1, "a a", "a")]), order=2, leave_one_out=False).first()
     assert plain.log_score == pytest.approx(math.log(1.0) + math.log(1 / 2))
+
+
+@pytest.mark.parametrize("repeats", [35_000])
+def test_a_megabyte_of_near_notices(repeats):
+    """Searches are bounded by the notice, so time grows with the text: repeated lines, and lines edited one by one."""
+    import time
+    scanner, rng = licenses.Scanner(), np.random.default_rng(1)
+    began = time.perf_counter()
+    out = licenses.scan_text(b"licensed undr the mit license\n" * repeats, scanner)
+    assert len(out["spans"]) == repeats == out["n_base"] and (out["first_word"], out["last_word"]) == (3, 5 * repeats - 2)
+    notices = list(licenses.NOTICES)
+    edits = [min(i % 4, licenses.max_edits(notices[i % len(notices)])) for i in range(repeats // 2)]
+    lines = [edited(notices[i % len(notices)], n, rng) for i, n in enumerate(edits)]
+    out = licenses.scan_text("\n".join(lines).encode(), scanner)
+    assert len(out["spans"]) >= len(lines) * 0.99
+    assert time.perf_counter() - began < 60
+
+
+def test_errors_grow_with_the_notice():
+    notice = "redistribution and use in source and binary forms with or without modification are permitted"
+    text = notice.replace("source", "sorce").replace("binary", "binray").replace("permitted", "permited").replace("with or", "wiht or")
+    assert licenses.max_edits(notice) == 7
+    assert "bsd" in licenses.scan_text(text.encode(), licenses.Scanner())["labels"].split(",")
+    assert licenses.scan_text(text.encode(), licenses.Scanner(chars_per_edit=40))["labels"] == ""
+
+
+def test_training_takes_long_and_repeated_documents_in_their_turn(spark):
+    """Documents beyond the size take no places of the sample, and a repeated id is always learnt from the same text."""
+    from pyspark.sql import functions as F
+    rows = [(i, "long " * 50, "a") for i in range(40)] + [(i, "short one", "a") for i in range(100, 110)]
+    rows += [(100, "other text", "a"), (100, "other text", "a"), (None, "no id", "a"), (103, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in rows if i is not None] + [(105, None)], "doc_id long, toxic int")
+    taken = toxicity.training_sample(docs, labels, 4, 4, chars=20).collect()
+    outside = [r[0] for r in docs.filter(toxicity.held_out(F.col("doc_id")) & (F.col("doc_id") >= 100)).select("doc_id").distinct().collect()]
+    assert len(taken) == min(4, 10 - len(outside)) and all(r.doc_id >= 100 for r in taken)
+    again = toxicity.training_sample(docs.orderBy(F.rand(3)).repartition(7), labels, 4, 4, chars=20).collect()
+    assert sorted(map(tuple, taken)) == sorted(map(tuple, again))
