@@ -269,5 +269,5 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget:
     rows = with_blocks(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), blocks, seed)
     drawn = rows.join(records, "_key").select("row", F.posexplode(_draws(blocks, most)).alias("time", "shard"))
     order = F.xxhash64(F.coalesce(F.col("row.doc_id"), F.lit(0)), F.col("time"), F.lit(seed))
-    return (drawn.withColumn("order", order).repartition(shards, "shard")
+    return (drawn.withColumn("order", order).repartitionById(shards, "shard")
             .sortWithinPartitions("shard", "order").select("row.*"))
