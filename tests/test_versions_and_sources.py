@@ -214,6 +214,18 @@ def test_new_headers_while_the_stream_lives(spark, tmp_dir):
     assert [r["_extra"] for r in rows if r["_extra"]] == ['{"Yeni":"n"}']
 
 
+def test_a_refresh_over_mixed_headers(spark, tmp_dir):
+    p = TablePaths(tmp_dir)
+    for i in range(3):
+        header, row = list(BRONZE_HEADERS), [ROW[0], f"S{i}", *ROW[2:-1], "7.5"]
+        if i == 1:
+            header, row = header[::-1], row[::-1]
+        _write(p.source, f"f{i}", _text(header, row))
+        refresh(spark, p.source, tmp_dir, scale=2, incremental=True, mixed_headers=True)
+        day = read_stored(spark, p.gold_day).first()
+        assert (day.record_count, day.unique_sensors, day.total_energy_kwh, day.avg_noise_level) == (i + 1, i + 1, 2.5 * (i + 1), 7.5)
+
+
 def test_lines_of_a_large_file_come_after_its_header(spark, tmp_dir):
     """A file of several splits: its header is the first line of the first split."""
     _write(f"{tmp_dir}/src", "big", _text(BRONZE_HEADERS[::-1], *[ROW[::-1]] * 3000))

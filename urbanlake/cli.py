@@ -1,7 +1,7 @@
 """Command line for cluster jobs (run with ``spark-submit -m``-style launchers or ``python -m urbanlake``).
 
     python -m urbanlake refresh --source <csv dir> --base <table folder> [--scale 2] [--max-files-per-trigger N]
-                                [--zone UTC] [--incremental]
+                                [--zone UTC] [--incremental] [--mixed-headers]
     python -m urbanlake train   --features <parquet> --model <folder> [--trees 100] [--depth 10] [--bins 32]
                                 [--task-memory-mb 256]
     python -m urbanlake score   --policies <parquet> --out <folder> [--model <folder>]
@@ -32,7 +32,7 @@ def cmd_refresh(args) -> dict:
     from urbanlake.streaming.refresh import refresh
 
     out = refresh(_session(), args.source, args.base, scale=args.scale, max_files_per_trigger=args.max_files_per_trigger,
-                  zone=args.zone, incremental=args.incremental)
+                  zone=args.zone, incremental=args.incremental, mixed_headers=args.mixed_headers)
     return {"base": args.base, "dq_metrics": out["dq_metrics"], "castable_metrics": out["castable_metrics"]}
 
 
@@ -68,6 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--max-files-per-trigger", type=int, default=1000)
     r.add_argument("--zone", default="UTC", help="zone of the wall-clock times that offsets are put in")
     r.add_argument("--incremental", action="store_true", help="merge only new rows into the views' state")
+    r.add_argument("--mixed-headers", action="store_true", help="read each file by its own header")
     r.set_defaults(fn=cmd_refresh)
     t = sub.add_parser("train", help="fit the demand model on a feature table")
     t.add_argument("--features", required=True)

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urbanlake.schemas import SENSOR_TYPES
+from urbanlake.schemas import SENSOR_TYPES, SILVER_RULES
 
 ACTIONS = ("warn", "drop", "fail")
 
@@ -59,12 +59,7 @@ _quoted_types = ", ".join("'" + t + "'" for t in SENSOR_TYPES)
 
 # The quality rules of the silver sensor table, in declaration order.
 SILVER_EXPECTATIONS: list[Expectation] = [
-    expect("valid_sensor_id", "sensor_id IS NOT NULL"),
-    expect("valid_timestamp", "event_timestamp IS NOT NULL"),
-    expect("valid_coordinates", "latitude IS NOT NULL AND longitude IS NOT NULL"),
-    expect_or_drop("valid_latitude", "latitude BETWEEN -90 AND 90"),
-    expect_or_drop("valid_longitude", "longitude BETWEEN -180 AND 180"),
-    expect_or_drop("valid_sensor_type", f"sensor_type IN ({_quoted_types})"),
+    (expect_or_drop if drop else expect)(name, predicate.format(types=_quoted_types)) for name, predicate, drop in SILVER_RULES
 ]
 
 

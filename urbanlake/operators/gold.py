@@ -17,16 +17,13 @@ from pyspark.sql import types as T
 
 from urbanlake.functions.measures import sql_fixed_avg, sql_fixed_sum
 from urbanlake.functions.periods import GRAINS
+from urbanlake.schemas import DAILY_COLUMNS, HOURLY_COLUMNS
 from urbanlake.sources.tables import replace_table
 
-GOLD_KEYS = ["city_id", "sensor_type"]
+__all__ = ["DAILY_COLUMNS", "HOURLY_COLUMNS", "GOLD_KEYS", "METRICS", "gold_metrics", "gold_hour", "gold_day", "gold_measures",
+           "gold_measure_sql", "write_clustered", "sensor_hours", "gold_from_sensor_hours"]
 
-HOURLY_COLUMNS = ["city_id", "sensor_type", "event_hour", "total_vehicles", "avg_vehicles", "max_vehicles",
-                  "total_energy_kwh", "avg_energy_kwh", "max_energy_kwh", "avg_occupancy_rate",
-                  "max_occupancy_rate", "avg_noise_level", "max_noise_level", "record_count", "unique_sensors",
-                  "period_start", "period_end"]
-DAILY_COLUMNS = ["city_id", "sensor_type", "event_date", "total_vehicles", "avg_vehicles", "total_energy_kwh",
-                 "avg_energy_kwh", "avg_occupancy_rate", "avg_noise_level", "record_count", "unique_sensors"]
+GOLD_KEYS = ["city_id", "sensor_type"]
 
 
 def gold_measure_sql(grain: str, scale: int | None = None) -> list[str]:

@@ -67,6 +67,31 @@ DEFAULT_POLICY = {
 
 # Demand model features, in training order.
 DEMAND_FEATURES: list[str] = ["price", "population", "congestion", "signal_load", "festival", "holiday"]
+# Columns of the hourly and the daily gold table.
+HOURLY_COLUMNS = ["city_id", "sensor_type", "event_hour", "total_vehicles", "avg_vehicles", "max_vehicles",
+                  "total_energy_kwh", "avg_energy_kwh", "max_energy_kwh", "avg_occupancy_rate",
+                  "max_occupancy_rate", "avg_noise_level", "max_noise_level", "record_count", "unique_sensors",
+                  "period_start", "period_end"]
+DAILY_COLUMNS = ["city_id", "sensor_type", "event_date", "total_vehicles", "avg_vehicles", "total_energy_kwh",
+                 "avg_energy_kwh", "avg_occupancy_rate", "avg_noise_level", "record_count", "unique_sensors"]
+
+# Quality rules of the silver sensor table: (name, predicate, whether failing rows are dropped).
+SILVER_RULES: list[tuple[str, str, bool]] = [
+    ("valid_sensor_id", "sensor_id IS NOT NULL", False),
+    ("valid_timestamp", "event_timestamp IS NOT NULL", False),
+    ("valid_coordinates", "latitude IS NOT NULL AND longitude IS NOT NULL", False),
+    ("valid_latitude", "latitude BETWEEN -90 AND 90", True),
+    ("valid_longitude", "longitude BETWEEN -180 AND 180", True),
+    ("valid_sensor_type", "sensor_type IN ({types})", True),
+]
+
+# Table names of the data model, for SQL written against them.
+VIEW_NAMES = {
+    "bronze": "bronze_sensor_data",
+    "silver": "silver_sensor_data",
+    "gold_hour": "gold_sensor_metrics_by_city_hour",
+    "gold_day": "gold_sensor_metrics_by_city_day",
+}
 # --- end of fixed values ------------------------------------------------------
 
 BRONZE_HEADERS: list[str] = [h for h, _, _ in BRONZE_COLUMNS]

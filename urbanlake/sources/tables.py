@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from urbanlake.schemas import VIEW_NAMES
 from urbanlake.sources.versions import VersionedTable, read_stored, stored_version
 
 
@@ -95,15 +96,6 @@ class TableCache:
         self._entries.clear()
 
 
-# --- Fixed values: table names of the data model, for SQL written against them.
-VIEW_NAMES = {
-    "bronze": "bronze_sensor_data",
-    "silver": "silver_sensor_data",
-    "gold_hour": "gold_sensor_metrics_by_city_hour",
-    "gold_day": "gold_sensor_metrics_by_city_day",
-}
-
-
 def register_views(spark: SparkSession, base: str, extra: dict[str, str] | None = None) -> list[str]:
     """Expose the current tables under ``base`` (as written by ``refresh``) as session views for ``spark.sql``.
 

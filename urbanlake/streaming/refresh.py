@@ -21,6 +21,7 @@ from urbanlake.operators.gold import gold_metrics, write_clustered
 from urbanlake.functions.periods import day_of
 from urbanlake.operators.silver import castable_expectations
 from urbanlake.sources.csv import FILES_PER_BATCH
+from urbanlake.sources.headers import start_bronze_mixed
 from urbanlake.sources.tables import TABLES, with_comment
 from urbanlake.sources.versions import VersionedTable
 from urbanlake.streaming.ingest import quality_counters, start_bronze, start_silver, stream_dq_metrics, wait
@@ -51,19 +52,21 @@ def refresh_view(spark: SparkSession, silver_path: str, out_path: str, grain: st
 
 def refresh(spark: SparkSession, source_dir: str, base: str, scale: int | None = None,
             max_files_per_trigger: int = FILES_PER_BATCH, shared_pass: bool = True, zone: str = "UTC",
-            incremental: bool = False) -> dict:
+            incremental: bool = False, mixed_headers: bool = False) -> dict:
     """Run bronze and silver to completion (new files only), then bring both gold views up to date.
 
     ``max_files_per_trigger`` bounds the micro-batches that a backlog is worked
     off in.  ``incremental`` merges only new silver files into the state of the
     views; otherwise a new run takes all of silver.  Without ``shared_pass`` each
     view is computed from silver by itself and has no state (the next incremental
-    refresh then starts a run).  Returns the counts of the quality rules and of
+    refresh then starts a run).  With ``mixed_headers`` each file is read by its own
+    header; without, a file whose header is another one stops the stream.  Returns the counts of the quality rules and of
     what did not parse.
     """
     p = TablePaths(base)
     counters = quality_counters(spark)          # sees every micro-batch, however many there are
-    wait(start_bronze(spark, source_dir, p.bronze, p.bronze_ckpt, max_files_per_trigger=max_files_per_trigger))
+    start = start_bronze_mixed if mixed_headers else start_bronze
+    wait(start(spark, source_dir, p.bronze, p.bronze_ckpt, max_files_per_trigger=max_files_per_trigger))
     sq = wait(start_silver(spark, p.bronze, p.silver, p.silver_ckpt, partition_by_date=True,
                            max_files_per_trigger=max_files_per_trigger, zone=zone))
     dq = stream_dq_metrics(sq, counters=counters)
