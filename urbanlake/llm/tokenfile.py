@@ -44,6 +44,8 @@ from urbanlake.session import work_path
 BLOCK_IDS = 128
 PERCENTILE = 90
 FILE_IDS = 4_000_000
+#: Bytes of text that are cut and looked up at once.
+GROUP_BYTES = 8 << 20
 #: The normaliser and the pre-tokenizer whose borders are cut at.
 RULES = {
     "normalizer": {"type": "Sequence", "normalizers": [
@@ -233,7 +235,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2
             ids, lengths, names, held, seq = [], [], [], 0, seq + 1
             return out
 
-        for b in by_bytes(rows, "utf8"):
+        for b in by_bytes(rows, "utf8", GROUP_BYTES):
             if "encoder" not in kept:
                 kept["encoder"] = Encoder(kept["tokenizer"])
             got, counts = kept["encoder"].encode(b.column("utf8"))
