@@ -45,11 +45,11 @@ def test_sensitivity_is_narrow_and_centred(spark):
 
 def test_best_policies_keep_ties(spark):
     rows = [(1, "bus", 5.0), (2, "bus", 7.0), (3, "bus", 7.0), (4, "metro", 1.0), (5, "metro", None)]
-    scored = spark.createDataFrame(rows, "policy_id long, service string, revenue double")
-    feats = scored.select("policy_id", "service", F.when(F.col("policy_id") == 1, 0.71).otherwise(0.655).alias("congestion"))
-    best = {(r.service, r.band): (r.revenue, r.ties, r.first_policy, r.last_policy) for r in pol.policy_best(scored, feats).collect()}
+    scored = spark.createDataFrame(rows, "policy_id long, service string, revenue double").withColumn(
+        "congestion", F.when(F.col("policy_id") == 1, 0.71).otherwise(0.655))
+    best = {(r.service, r.band): (r.revenue, r.ties, r.first_policy, r.last_policy) for r in pol.policy_best(scored).collect()}
     assert best == {("bus", 71): (5.0, 1, 1, 1), ("bus", 65): (7.0, 2, 2, 3), ("metro", 65): (1.0, 1, 4, 4)}
-    ties = sorted((r.service, r.band, r.policy_id) for r in pol.policy_best_rows(scored, feats).collect())
+    ties = sorted((r.service, r.band, r.policy_id) for r in pol.policy_best_rows(scored).collect())
     assert ties == [("bus", 65, 2), ("bus", 65, 3), ("bus", 71, 1), ("metro", 65, 4)]
 
 

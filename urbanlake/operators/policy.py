@@ -88,17 +88,19 @@ def policy_features(policies: DataFrame) -> DataFrame:
 
 
 def score_elastic(features: DataFrame, demand_decimals: int | None = 4, revenue_decimals: int | None = 2,
-                  services: DataFrame | None = None) -> DataFrame:
+                  services: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
     """policy_id, service, demand, revenue from the closed-form curve (no season, no noise).
 
     ``services``: an optional dimension table replacing the built-in one.
+    ``keep``: features that are carried along.
     """
+    keep = keep or []
     j = with_service_attributes(features, services)
     demand = elastic_demand_sql("service", "price", "base_price", "base_demand", "elasticity", "congestion",
                                 "festival", "holiday")
-    out = j.selectExpr("policy_id", "service", "price", f"{demand} AS demand")
+    out = j.selectExpr("policy_id", "service", "price", f"{demand} AS demand", *keep)
     return out.selectExpr("policy_id", "service", f"{rounded_sql('demand', demand_decimals)} AS demand",
-                          f"{rounded_sql('demand * price', revenue_decimals)} AS revenue")
+                          f"{rounded_sql('demand * price', revenue_decimals)} AS revenue", *keep)
 
 
 #: Bits of the low part of a sum's units.
@@ -134,81 +136,75 @@ SWEPT = [c for c, _, _ in POLICY_RANGES]
 STEPS = (-0.2, -0.1, 0.0, 0.1, 0.2)
 
 
-def service_outcome_sql(service: str, price: str, fuel_tax: str, demand_decimals: int | None = 4,
-                        revenue_decimals: int | None = 2) -> str:
-    """Struct ``(demand, revenue)`` of one service in a policy's own row, as ``score_elastic`` gives it (Spark SQL text)."""
-    _, base_price, base_demand, elasticity = next(s for s in SERVICES if s[0] == service)
-    congestion = f"({d(BASE_CONGESTION)} + {d(FUEL_TAX_CONGESTION)} * {fuel_tax})"
-    demand = elastic_demand_sql(f"'{service}'", price, d(base_price), d(base_demand), d(elasticity), congestion, "festival", "holiday")
-    # the curve is worked out once, then rounded
-    return (f"transform(array(named_struct('x', {demand}, 'p', {price})), s -> named_struct("
-            f"'demand', {rounded_sql('s.x', demand_decimals)}, 'revenue', {rounded_sql('s.x * s.p', revenue_decimals)}))[0]")
+def _with_totals(rows: DataFrame, cases: list[tuple[dict[str, str], str]], keep: list[str], demand_decimals: int | None = 4,
+                 revenue_decimals: int | None = 2) -> DataFrame:
+    """``keep`` and, for each case ``i``, ``demand_i, revenue_i``: totals over the services, as ``score_elastic`` gives them.
 
-
-def _totals(parts: list[str]) -> str:
-    total = {m: " + ".join(f"{p}.{m}" for p in parts) for m in ("demand", "revenue")}
-    return f"'demand', {total['demand']}, 'revenue', {total['revenue']}"
+    A case is a price for each service and a fuel tax, as Spark SQL text.  Each
+    step is a projection of its own, so a curve is worked out once and the
+    whole row stays in generated code.
+    """
+    each = [(i, s, prices[s], tax) for i, (prices, tax) in enumerate(cases) for s in SERVICE_NAMES]
+    priced = rows.selectExpr(*keep, "festival", "holiday", *[f"{p} AS p_{i}_{s}" for i, s, p, _ in each],
+                             *[f"{d(BASE_CONGESTION)} + {d(FUEL_TAX_CONGESTION)} * {tax} AS c_{i}" for i, (_, tax) in enumerate(cases)])
+    of = {s: (base_price, base_demand, elasticity) for s, base_price, base_demand, elasticity in SERVICES}
+    curve = lambda i, s: elastic_demand_sql(f"'{s}'", f"p_{i}_{s}", *[d(x) for x in of[s]], f"c_{i}", "festival", "holiday")
+    curves = priced.selectExpr(*keep, *[f"p_{i}_{s}" for i, s, _, _ in each], *[f"{curve(i, s)} AS x_{i}_{s}" for i, s, _, _ in each])
+    total = lambda i, one: " + ".join(one(i, s) for s in SERVICE_NAMES)
+    demand = lambda i, s: rounded_sql(f"x_{i}_{s}", demand_decimals)
+    revenue = lambda i, s: rounded_sql(f"x_{i}_{s} * p_{i}_{s}", revenue_decimals)
+    return curves.selectExpr(*keep, *[f"{total(i, demand)} AS demand_{i}" for i in range(len(cases))],
+                             *[f"{total(i, revenue)} AS revenue_{i}" for i in range(len(cases))])
 
 
 def policy_outcomes(policies: DataFrame) -> DataFrame:
     """``policy_id, demand, revenue``: a policy's totals over its services, each policy in its own row."""
-    parts = [f"o.{s}" for s in SERVICE_NAMES]
-    own = ", ".join(f"'{s}', {service_outcome_sql(s, f'{s}_price', 'fuel_tax')}" for s in SERVICE_NAMES)
-    return (policies.selectExpr("policy_id", f"named_struct({own}) AS o")
-            .selectExpr("policy_id", f"named_struct({_totals(parts)}) AS t").select("policy_id", "t.demand", "t.revenue"))
+    given = ({s: f"{s}_price" for s in SERVICE_NAMES}, "fuel_tax")
+    return _with_totals(policies, [given], ["policy_id"]).selectExpr("policy_id", "demand_0 AS demand", "revenue_0 AS revenue")
 
 
 def policy_sensitivity(policies: DataFrame, steps: tuple[float, ...] = STEPS) -> DataFrame:
     """``policy_id, variable, step, value, demand, revenue, change``: every policy with one input changed at a time.
 
     ``demand`` and ``revenue`` are totals over the services; ``change`` is the
-    revenue against the step before, NULL for the first.  A policy's sweeps are
-    arrays in its own row, and neighbours are found by their places in
-    them: a narrow explode, no shuffle and no window.
+    revenue against the step before, NULL for the first.  A policy is exploded to a
+    row for each input, the steps of a sweep stand side by side in it, and each
+    is held against its neighbour there: no shuffle and no window.
     """
     steps = sorted(set(steps))
-    own = {s: service_outcome_sql(s, f"{s}_price", "fuel_tax") for s in SERVICE_NAMES}
-    base = policies.selectExpr("*", *[f"{x} AS _{s}" for s, x in own.items()])
-    sweeps = []
-    for v in SWEPT:
-        moved = v.removesuffix("_price") if v.endswith("_price") else None
-        parts = []
-        for s in SERVICE_NAMES:
-            if moved is None:
-                parts.append(service_outcome_sql(s, f"{s}_price", "x.value"))
-            else:
-                parts.append(service_outcome_sql(s, "x.value", "fuel_tax") if s == moved else f"_{s}")
-        named = ", ".join(f"'s{i}', {p}" for i, p in enumerate(parts))
-        scale = ", ".join(f"named_struct('step', {d(k)}, 'value', {v} * ({d(1)} + {d(k)}))" for k in steps)
-        points = (f"transform(transform(array({scale}), x -> named_struct('step', x.step, 'value', x.value, {named})), "
-                  f"y -> named_struct('step', y.step, 'value', y.value, {_totals([f'y.s{i}' for i in range(len(parts))])}))")
-        sweeps.append(f"named_struct('variable', '{v}', 'points', {points})")
-    swept = base.selectExpr("policy_id", f"inline(array({', '.join(sweeps)}))")
-    change = ("transform(points, (x, i) -> named_struct('step', x.step, 'value', x.value, 'demand', x.demand, 'revenue', x.revenue, "
-              "'change', CASE WHEN i > 0 THEN x.revenue - points[i - 1].revenue END))")
-    return swept.selectExpr("policy_id", "variable", f"inline({change})")
-
-
-def policy_best(scored: DataFrame, features: DataFrame, bands_per_unit: int = 100) -> DataFrame:
+    names = ", ".join(f"named_struct('variable', '{v}', 'given', {v})" for v in SWEPT)
+    rows = policies.selectExpr("*", f"inline(array({names}))")
+    at = lambda c, k: f"CASE WHEN variable = '{c}' THEN {c} * ({d(1)} + {d(k)}) ELSE {c} END"
+    cases = [({s: at(f"{s}_price", k) for s in SERVICE_NAMES}, f"({at('fuel_tax', k)})") for k in steps]
+    swept = _with_totals(rows, cases, ["policy_id", "variable", "given"])
+    points = ", ".join(
+        f"named_struct('step', {d(k)}, 'value', given * ({d(1)} + {d(k)}), 'demand', demand_{i}, 'revenue', revenue_{i}, "
+        f"'change', {f'revenue_{i} - revenue_{i - 1}' if i else 'CAST(NULL AS DOUBLE)'})" for i, k in enumerate(steps))
+    return swept.selectExpr("policy_id", "variable", f"inline(array({points}))")
+
+
+def _banded(scored: DataFrame, bands_per_unit: int) -> DataFrame:
+    return scored.withColumn("band", F.floor(F.col("congestion") * F.lit(float(bands_per_unit))).cast("int"))
+
+
+def policy_best(scored: DataFrame, bands_per_unit: int = 100) -> DataFrame:
     """``service, band, revenue, ties, first_policy, last_policy``: the highest revenue of each service and congestion band.
 
-    ``band`` is the whole number of ``1 / bands_per_unit`` in the congestion;
-    ``ties`` policies reach that revenue, from ``first_policy`` to ``last_policy``.
-    Equal revenues are counted before the largest is taken, both with partial
-    aggregates in the map side, so a service with all policies is no hot key.
+    ``scored`` has the policies' ``congestion`` beside their revenue; ``band`` is
+    the whole number of ``1 / bands_per_unit`` in it.  ``ties`` policies reach that
+    revenue, from ``first_policy`` to ``last_policy``.  Equal revenues are
+    counted before the largest is taken, both with partial aggregates in the
+    map side, so a service with all policies is no hot key.
     """
-    band = F.floor(F.col("congestion") * F.lit(float(bands_per_unit))).cast("int")
-    rows = scored.join(features.select("policy_id", "service", band.alias("band")), ["policy_id", "service"])
-    level = (rows.groupBy("service", "band", "revenue")
+    level = (_banded(scored, bands_per_unit).groupBy("service", "band", "revenue")
              .agg(F.count(F.lit(1)).alias("ties"), F.min("policy_id").alias("first_policy"), F.max("policy_id").alias("last_policy")))
     best = level.groupBy("service", "band").agg(F.max(F.struct("revenue", "ties", "first_policy", "last_policy")).alias("b"))
     return best.select("service", "band", "b.*")
 
 
-def policy_best_rows(scored: DataFrame, features: DataFrame, bands_per_unit: int = 100) -> DataFrame:
+def policy_best_rows(scored: DataFrame, bands_per_unit: int = 100) -> DataFrame:
     """``service, band, policy_id, revenue``: every policy that reaches the best revenue of its service and band."""
-    band = F.floor(F.col("congestion") * F.lit(float(bands_per_unit))).cast("int")
-    rows = scored.join(features.select("policy_id", "service", band.alias("band")), ["policy_id", "service"])
+    rows = _banded(scored, bands_per_unit)
     best = rows.groupBy("service", "band").agg(F.max("revenue").alias("revenue"))
     # at most one row for each service and band
     return rows.join(best, ["service", "band", "revenue"]).select("service", "band", "policy_id", "revenue")

@@ -48,12 +48,21 @@ def distinct_sensors(bitmaps: DataFrame, keys: list[str]) -> DataFrame:
 def unique_sensor_levels(hours: DataFrame) -> DataFrame:
     """``level, city_id, sensor_type, period, unique_sensors`` of hours, days, city and type, type, and everything.
 
-    Each level is the roll-up of the level before it.
+    Each level is the roll-up of the level before it, which is written, so none
+    is worked out twice.
     """
+    spark = hours.sparkSession
+
+    def written(bitmaps: DataFrame, level: str) -> DataFrame:
+        path = work_path(spark, f"bitmaps-{level}")
+        bitmaps.write.parquet(path)
+        return spark.read.schema(bitmaps.schema).parquet(path)
+
     day = F.to_date("event_hour").alias("event_date")
-    days = rolled_up(hours, [*GOLD_KEYS, day])
-    pairs = rolled_up(days, GOLD_KEYS)
-    types = rolled_up(pairs, ["sensor_type"])
+    hours = written(hours, "hour")
+    days = written(rolled_up(hours, [*GOLD_KEYS, day]), "day")
+    pairs = written(rolled_up(days, GOLD_KEYS), "city-type")
+    types = written(rolled_up(pairs, ["sensor_type"]), "type")
     every = types.groupBy("bucket").agg(F.expr("bitmap_or_agg(bitmap)").alias("bitmap"))
     levels = [("hour", hours, [*GOLD_KEYS, "event_hour"]), ("day", days, [*GOLD_KEYS, "event_date"]), ("city_type", pairs, GOLD_KEYS),
               ("type", types, ["sensor_type"]), ("all", every, [])]

@@ -339,14 +339,14 @@ def policy_sensitivity_q(spark, sf_dir):
 @query("policy_best")
 def policy_best_q(spark, sf_dir):
     feats = pol.policy_features(pol.validate_policies(policies(spark, sf_dir)))
-    return pol.policy_best(pol.score_elastic(feats), feats)
+    return pol.policy_best(pol.score_elastic(feats, keep=["congestion"]))
 
 
 @query()
 def policy_best_ties(spark, sf_dir):
     """All policies that reach the best revenue of a service and congestion band."""
     feats = pol.policy_features(pol.validate_policies(policies(spark, sf_dir)))
-    return pol.policy_best_rows(pol.score_elastic(feats), feats)
+    return pol.policy_best_rows(pol.score_elastic(feats, keep=["congestion"]))
 
 
 @query()
