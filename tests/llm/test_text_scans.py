@@ -150,10 +150,11 @@ def test_without_labels_of_both_kinds(make, labelled):
     assert toxicity.toxicity(docs.limit(0), labelled([])).count() == 0
 
 
-@pytest.mark.parametrize("size", [1_000_000, 50])
-def test_backoff_matches_brute_force(spark, make, monkeypatch, size):
+@pytest.mark.parametrize("size,most_cuts", [(1_000_000, 1_000), (50, 1_000), (50, 6), (50, 3)])
+def test_backoff_matches_brute_force(spark, make, monkeypatch, size, most_cuts):
     monkeypatch.setattr(lmscore, "BLOCK_TOKENS", size)
     monkeypatch.setattr(lmscore, "RANGE_GRAMS", max(40, size))
+    monkeypatch.setattr(lmscore, "MOST_CUTS", most_cuts)
     rng = np.random.default_rng(6)
     rows = [(i, " ".join(rng.choice(["the", "The", "of", "a", "b", "c"], int(rng.integers(1, 30)))), "a") for i in range(40)]
     rows += [(50, None, "a"), (51, "", "a"), (52, "unique words only", "a"), (None, "the of a", "a"), (3, rows[3][1], "a")]
@@ -171,6 +172,57 @@ def test_backoff_of_one_and_of_no_document(make):
     assert plain.log_score == pytest.approx(math.log(1.0) + math.log(1 / 2))
 
 
+@pytest.mark.parametrize("top", [0, 1, 255, 256, 2**33, 2**64 - 1])
+def test_numbers_come_back_from_planes(top):
+    rng = np.random.default_rng(top % 1000)
+    for n in (0, 1, 63, 64, 1000):
+        x = rng.integers(0, top, n, dtype=np.uint64, endpoint=True)
+        assert (lmscore.numbers(lmscore.planes(x)) == x).all()
+    assert len(lmscore.planes(np.array([top], dtype=np.uint64))) <= 9
+
+
+def test_no_list_is_cut_too_often():
+    for ranges in (0, 1, 2, 999, 1_000, 1_001, 12_000, 10**6, 10**6 + 1, 4 * 10**7):
+        fans = lmscore.cuts_for(ranges)
+        assert max(fans) <= lmscore.MOST_CUTS and math.prod(fans) >= ranges
+        assert len(set(fans)) == 1 and (fans[0] == 1 or (fans[0] - 1) ** len(fans) < ranges)
+    assert lmscore.cuts_for(201) == [201] and lmscore.cuts_for(12_000) == [110, 110]
+
+
+def test_rows_do_not_grow_with_blocks_times_ranges(spark, make, monkeypatch):
+    """A level has at most ``MOST_CUTS`` rows for each list and order; without levels four times the words give over ten times the rows."""
+    monkeypatch.setattr(lmscore, "BLOCK_TOKENS", 400)
+    monkeypatch.setattr(lmscore, "RANGE_GRAMS", 1_500)
+    rng = np.random.default_rng(8)
+    written = []
+    bucketed = lmscore.bucketed
+
+    def counted(df, name, *keys):
+        out = bucketed(df, name, *keys)
+        if name == "lists":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(lmscore, "bucketed", counted)
+    rows = {}
+    for most_cuts in (1_000, 8):
+        monkeypatch.setattr(lmscore, "MOST_CUTS", most_cuts)
+        for n in (150, 600):
+            written.clear()
+            texts = [" ".join(rng.integers(0, 10**6, 50).astype(str)) for _ in range(n)]
+            grams = []
+            keep = lmscore.range_counts
+            monkeypatch.setattr(lmscore, "range_counts", lambda g, keep=keep, grams=grams: (grams.append(g.count()), keep(g))[1])
+            assert lmscore.backoff_scores(make([(i, t, "a") for i, t in enumerate(texts)])).count() == n
+            monkeypatch.setattr(lmscore, "range_counts", keep)
+            rows[most_cuts, n] = sum(written) + sum(grams)
+    assert rows[1_000, 600] > 10 * rows[1_000, 150]
+    for n in (150, 600):
+        blocks, levels = n * 50 // 400 + 8, 2
+        assert rows[8, n] <= 3 * 8 * blocks * levels
+    assert rows[8, 600] < rows[1_000, 600] / 2
+
+
 @pytest.mark.parametrize("repeats", [35_000])
 def test_a_megabyte_of_near_notices(repeats):
     """Searches are bounded by the notice, so time grows with the text: repeated lines, and lines edited one by one."""
