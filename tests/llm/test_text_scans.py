@@ -194,28 +194,24 @@ def test_rows_do_not_grow_with_blocks_times_ranges(spark, make, monkeypatch):
     monkeypatch.setattr(lmscore, "BLOCK_TOKENS", 400)
     monkeypatch.setattr(lmscore, "RANGE_GRAMS", 1_500)
     rng = np.random.default_rng(8)
-    written = []
-    bucketed = lmscore.bucketed
+    rows, seen = {}, []
+    totals = lmscore.gram_totals
 
-    def counted(df, name, *keys):
-        out = bucketed(df, name, *keys)
-        if name == "lists":
-            written.append(out.count())
-        return out
+    def counted(grams, *more):
+        seen.append(grams.count())
+        return totals(grams, *more)
 
-    monkeypatch.setattr(lmscore, "bucketed", counted)
-    rows = {}
+    monkeypatch.setattr(lmscore, "gram_totals", counted)
     for most_cuts in (1_000, 8):
         monkeypatch.setattr(lmscore, "MOST_CUTS", most_cuts)
         for n in (150, 600):
-            written.clear()
+            seen.clear()
             texts = [" ".join(rng.integers(0, 10**6, 50).astype(str)) for _ in range(n)]
-            grams = []
-            keep = lmscore.range_counts
-            monkeypatch.setattr(lmscore, "range_counts", lambda g, keep=keep, grams=grams: (grams.append(g.count()), keep(g))[1])
-            assert lmscore.backoff_scores(make([(i, t, "a") for i, t in enumerate(texts)])).count() == n
-            monkeypatch.setattr(lmscore, "range_counts", keep)
-            rows[most_cuts, n] = sum(written) + sum(grams)
+            scores = lmscore.backoff_scores(make([(i, t, "a") for i, t in enumerate(texts)]))
+            assert len(scores.collect()) == n
+            rows[most_cuts, n] = sum(seen)
+            if len(seen) > 1:
+                assert "ReusedExchange" in scores._jdf.queryExecution().executedPlan().toString()
     assert rows[1_000, 600] > 10 * rows[1_000, 150]
     for n in (150, 600):
         blocks, levels = n * 50 // 400 + 8, 2

@@ -118,14 +118,6 @@ def gram_hashes(words: np.ndarray, lengths: np.ndarray, order: int, bits: int =
     return [h >> np.uint64(64 - bits) for h in out], within
 
 
-def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
-    """Written to the shared work folder as a table whose groups of ``keys`` need no further shuffle."""
-    spark, table = df.sparkSession, f"urbanlake_lm_{name}_{uuid.uuid4().hex}"
-    (df.write.format("parquet").option("path", work_path(spark, f"llm-lm-{name}"))
-     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).saveAsTable(table))
-    return spark.table(table)
-
-
 BLOCK_SCHEMA = "block long, doc_ids array<long>, lengths array<int>, vocabulary binary, tokens binary"
 
 
@@ -158,7 +150,10 @@ def token_blocks(docs: DataFrame) -> DataFrame:
         if doc_ids:
             yield block()
 
-    return bucketed(text_bytes(docs).mapInArrow(run, BLOCK_SCHEMA), "blocks", "block")
+    spark, table = docs.sparkSession, f"urbanlake_lm_blocks_{uuid.uuid4().hex}"
+    (text_bytes(docs).mapInArrow(run, BLOCK_SCHEMA).write.format("parquet").option("path", work_path(spark, "llm-lm-blocks"))
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(table))
+    return spark.table(table)
 
 
 def _block_grams(block: dict, order: int, bits: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -245,15 +240,14 @@ def gram_totals(grams: DataFrame, ranges: int, fans: list[int], members: int, he
 
     ``members`` lists meet in a range, of about ``held`` n-grams each.  As many
     as give ``RANGE_GRAMS`` are merged into one list, which is the member of the
-    narrower ranges that it is cut into; its counts come back to its lists.
+    narrower ranges that it is cut into; its counts come back to its lists, which
+    are shuffled once for both ways (the plan reuses the exchange).
     """
     if not fans:
         return range_counts(grams)
     fan, narrower = fans[0], ranges * fans[0]
     parts = max(1, math.ceil(members * held / RANGE_GRAMS))
-    grams = grams.withColumn("part", F.pmod(F.xxhash64("member"), F.lit(parts)).cast("long"))
-    buckets = int(grams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = bucketed(grams.repartition(buckets, "range", "part"), "lists", "range", "part")
+    lists = grams.withColumn("part", F.pmod(F.xxhash64("member"), F.lit(parts)).cast("long"))
 
     def merge(rows: pa.Table) -> pa.Table:
         inside, part = rows.column("range")[0].as_py(), rows.column("part")[0].as_py()
