@@ -59,6 +59,22 @@ def test_small_payloads_are_all_responses(spark):
     assert got == {1: "response", 2: "response", 3: "revisit", 4: "response"}
 
 
+def test_only_responses_carry_payloads(spark):
+    rows = [(i, f"http://h/{i}", "blank" if i % 3 else f"page {i}") for i in range(90)]
+    got = warc.captures(spark.createDataFrame(rows, PAGES)).collect()
+    assert len(got) == 90 and sum(r.payload is not None for r in got) == 31
+    assert {r.refers_to for r in got if r.payload is None} == {89}
+    assert {r.payload.decode() for r in got if r.payload is not None} == {h for _, _, h in rows}
+
+
+def test_index_merged_by_more_ranges_than_partitions(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_ENTRIES", 3)
+    monkeypatch.setattr(warc, "READ_BYTES", 100)
+    pages = spark.createDataFrame([(i, "http://one/", f"page {i % 50}") for i in range(100)], PAGES)
+    got = sorted(warc.archive_round_trip(pages, file_bytes=500).collect(), key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(100)) and [r.page_id for r in got] == list(range(100))
+
+
 def test_no_pages(spark):
     assert warc.archive_round_trip(spark.createDataFrame([], PAGES)).count() == 0
 

@@ -40,10 +40,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urbanlake.llm.common import saved
+from urbanlake.llm.common import batches, saved
 from urbanlake.session import work_path
 
 FILE_BYTES = 32 << 20
+#: Index entries that one range merges, and archive bytes that one task reads back, beyond the session's partitions.
+RANGE_ENTRIES, READ_BYTES = 200_000, 128 << 20
 #: Seconds of 2024-01-01 and the span that capture times repeat after.
 EPOCH, SPAN = 1_704_067_200, 1_000_000_000
 REVISIT = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -65,15 +67,16 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, ts: int, payload: bytes, refers_to: int | None) -> bytes:
-    """One WARC record with its two closing line ends."""
+def record(page_id: int | None, url: str | None, ts: int, sha1: str, size: int, payload: bytes | None,
+           refers_to: int | None) -> bytes:
+    """One WARC record with its two closing line ends; ``sha1`` (hex) and ``size`` are the payload's, which a revisit lacks."""
     name = lambda x: f"<urn:page:{'' if x is None else x}>"
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     head = ["WARC/1.0", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {name(page_id)}",
             f"WARC-Date: {datetime.fromtimestamp(ts, UTC):%Y-%m-%dT%H:%M:%SZ}",
             f"WARC-Target-URI: {quote(url or '', safe=':/?#[]@!$&()*+,;=%')}",
-            f"WARC-Payload-Digest: sha1:{digest32(payload)}"]
+            f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(sha1)).decode()}"]
     if refers_to is not None:
         head += [f"WARC-Refers-To: {name(refers_to)}", f"WARC-Profile: {REVISIT}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
@@ -144,32 +147,53 @@ class LoserTree:
             self._play(run)
 
 
-def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Writes the archives under ``folder``; the committed index entries, each with its run."""
+def captures(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """``page_id, url, sha1, size, refers_to, payload``: every capture, with a payload only where it is a response.
+
+    Which capture of a payload is the response is decided on rows without
+    payloads.  Payloads meet by digest once they are one for each map task, so a page
+    that a third of all captures share travels once for each task.
+    """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
                         F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
-    rows = rows.withColumn("sha1", F.sha1("payload"))
-    latest = (rows.filter(F.octet_length("payload") >= min_bytes).groupBy("sha1")
-              .agg(F.max("page_id").alias("latest")))
-    told = (rows.join(latest.hint("shuffle_hash"), "sha1", "left")
+    rows = rows.select("*", F.octet_length("payload").alias("size"), F.sha1("payload").alias("sha1"))
+    shared = rows.filter(F.col("size") >= min_bytes) if min_bytes > 0 else rows
+    narrow = saved(shared.select("page_id", "url", "sha1", "size"), "warc-captures")
+    # written tables: the join reads plain exchanges, which adaptive execution splits at a frequent digest
+    latest = saved(narrow.groupBy("sha1").agg(F.max("page_id").alias("latest")), "warc-latest")
+    later = F.coalesce(F.col("page_id") != F.col("latest"), F.col("page_id").isNull() & F.col("latest").isNotNull())
+    told = saved(narrow.join(latest, "sha1").select("page_id", "url", "sha1", "size", F.when(later, F.col("latest")).alias("refers_to")),
+                 "warc-decided")
+    payloads = shared.groupBy("sha1").agg(F.first("payload").alias("payload"))
+    out = (told.filter("refers_to IS NOT NULL").withColumn("payload", F.lit(None).cast("binary"))
+           .unionByName(told.filter("refers_to IS NULL").join(payloads, "sha1")))
+    if min_bytes > 0:
+        small = rows.filter(F.col("size") < min_bytes)
+        out = out.unionByName(small.withColumn("refers_to", F.lit(None).cast("long")))
+    return out
+
+
+def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Writes the archives under ``folder``; the committed index entries, each with its run."""
+    told = (captures(pages, min_bytes)
             .select(url_key(F.col("url")).alias("urlkey"),
-                    (F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(SPAN)) + EPOCH).alias("ts"), "page_id", "url", "payload",
-                    F.when(F.coalesce(F.col("page_id") != F.col("latest"), F.col("page_id").isNull() & F.col("latest").isNotNull()),
-                           F.col("latest")).alias("refers_to"))
+                    (F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(SPAN)) + EPOCH).alias("ts"), "page_id", "url", "sha1", "size",
+                    "payload", "refers_to")
             .sortWithinPartitions("urlkey", "ts", "page_id"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
         out, name, offset, seq, files = None, "", 0, 0, 0
-        for b in batches:
+        for b in batches(rows):
             entries = []
             for r in b.to_pylist():
                 if out is None:
                     name = f"captures-{task.partitionId():06d}-{task.taskAttemptId()}-{files:04d}.warc.gz"
                     out, offset, files = store.open_output_stream(f"{base}/{name}", compression=None), 0, files + 1
-                data = gzip.compress(record(r["page_id"], r["url"], r["ts"], r["payload"], r["refers_to"]), mtime=0)
+                data = gzip.compress(record(r["page_id"], r["url"], r["ts"], r["sha1"], r["size"], r["payload"],
+                                            r["refers_to"]), mtime=0)
                 out.write(data)
                 entries.append({"urlkey": r["urlkey"], "ts": r["ts"], "page_id": r["page_id"], "run": task.partitionId(),
                                 "seq": seq, "file": name, "offset": offset, "length": len(data)})
@@ -187,8 +211,8 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
 def merge_index(index: DataFrame, ranges: int) -> DataFrame:
     """The index in global order: its columns and ``position``, from 0 in order of URL key, timestamp and page id."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), INDEX_ARROW)      # one range of index entries
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(rows), INDEX_ARROW)      # one range of index entries
         if not table.num_rows:
             return
         of_run = table.column("run").to_pylist()
@@ -212,13 +236,16 @@ def merge_index(index: DataFrame, ranges: int) -> DataFrame:
             .drop("part", "place", "start"))
 
 
-def read_archives(index: DataFrame, folder: str) -> DataFrame:
-    """Every record that the index names, read and parsed: a record's fields, URL key, timestamp and position."""
-    files = index.groupBy("file").agg(F.collect_list(F.struct("offset", "length", "urlkey", "ts", "position")).alias("entries"))
+def read_archives(index: DataFrame, folder: str, tasks: int) -> DataFrame:
+    """Every record that the index names, read and parsed in ``tasks`` tasks: its fields, URL key, timestamp and position.
+
+    The number is explicit, as the index is small where the archives are not.
+    """
+    files = index.repartition(tasks, "file").groupBy("file").agg(F.collect_list(F.struct("offset", "length", "urlkey", "ts", "position")).alias("entries"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
-        for b in batches:
+        for b in batches(rows, 16):
             for row in range(b.num_rows):
                 out = []
                 entries = sorted(b.column("entries")[row].as_py(), key=lambda x: x["offset"])
@@ -243,5 +270,7 @@ def archive_round_trip(pages: DataFrame, min_bytes: int = 0, file_bytes: int = F
     spark = pages.sparkSession
     folder = work_path(spark, "llm-warc")
     index = write_archives(pages, folder, min_bytes, file_bytes)
-    merged = merge_index(index, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return read_archives(merged, folder)
+    entries, files, held = index.agg(F.count(F.lit(1)), F.countDistinct("file"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    merged = merge_index(index, max(few, -(-entries // RANGE_ENTRIES)))
+    return read_archives(merged, folder, max(1, min(files, few), -(-held // READ_BYTES)))
