@@ -211,6 +211,25 @@ def test_stream_dedup_over_batches(spark, weak):
     assert (collided.count() > 0) == weak
 
 
+def test_stream_dedup_after_a_check_that_failed(spark, monkeypatch):
+    """The state has taken the batches, the byte check has not run: the next call makes up for it."""
+    base = work_path(spark, "test-stream")
+    digest = lambda t: F.unhex(F.lpad(F.hex(F.octet_length(t) % 2), 2, "0"))
+    schema = in_files(spark, STREAMED[:8], f"{base}/docs")
+    stream = lambda: streamdedup.document_stream(spark, f"{base}/docs", schema, 2)
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(streamdedup, "check_hits", lost)
+        with pytest.raises(RuntimeError, match="executor lost"):
+            streamdedup.deduplicate(stream(), f"{base}/state", digest=digest)
+    found = streamdedup.deduplicate(stream(), f"{base}/state", digest=digest)
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.kept) for r in found.collect()), key=str) == plain_decisions(STREAMED[:8])
+    assert spark.read.parquet(f"{base}/state/collisions").count() > 0
+
+
 def test_stream_dedup_of_nothing(spark):
     base = work_path(spark, "test-stream")
     empty = spark.createDataFrame([], "doc_id long, text string")

@@ -11,8 +11,9 @@ tables and checkpoints in one folder:
 * ``index`` streams over the content rows without their texts.  Its state, in RocksDB
   on disk and backed up to the checkpoint, holds for each digest the smallest
   identifier, the number of documents and the locator (batch, file, row) of the first
-  content met.  A digest that was there before is a hit: the content at its locator
-  and the new ones are read back and compared in full.
+  content met.  A digest that was there before is a hit: when the run's batches are in
+  the state, the contents at the hits' locators and the new ones are read back, once
+  for the whole run, and compared in full.
 
 A hit whose bytes differ is written to ``collisions``; ``decisions`` then takes the
 documents of that digest apart by their texts.  Documents of one batch that share
@@ -102,18 +103,36 @@ def intake(docs: DataFrame, store: str, key: str = "doc_id", text: str = "text",
     _finish(rows.writeStream.foreachBatch(take).option("checkpointLocation", f"{store}/intake_ckpt"))
 
 
-def _check_bytes(spark: SparkSession, hits: DataFrame, content: DataFrame, done: int) -> DataFrame:
-    """``digest`` of the hits whose retained and new contents are not the same bytes."""
-    fresh = content.filter(F.col("epoch") > done).join(hits.select("digest"), "digest", "left_semi")
-    kept = hits.filter(F.col("locator.epoch") <= done).select("digest", F.col("locator.epoch").alias("epoch"))
-    both = fresh.select("digest", "text").unionAll(content.join(kept, ["epoch", "digest"]).select("digest", "text"))
-    texts = both.groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n"))
-    return texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest")
+def check_hits(spark: SparkSession, store: str) -> None:
+    """Compare in full the contents of every digest met again since the last check; those that differ are ``collisions``.
+
+    One pass for all micro-batches of a run, so texts are not read anew for each of
+    them.  The mark that it is done is written last: a check that failed is repeated.
+    """
+    groups = _table(spark, f"{store}/groups", GROUPS)
+    since = _table(spark, f"{store}/checked", "last long, epoch long").agg(F.max("epoch")).scalar()
+    new = groups.filter(F.col("epoch") > F.coalesce(since, F.lit(-1)))
+    last = new.agg(F.max("epoch"), F.max("last_epoch")).first()
+    if last[0] is None:
+        return
+    done = _table(spark, f"{store}/checked", "last long, epoch long").agg(F.max("last")).first()[0]
+    done = -1 if done is None else done
+    hits = saved(new.filter("pieces > 1").groupBy("digest").agg(F.min("locator").alias("locator")), "dedup-hits")
+    if not hits.isEmpty():
+        content = _table(spark, f"{store}/content", CONTENT).select("epoch", "digest", "text")
+        fresh = content.filter(F.col("epoch") > done).join(hits.select("digest"), "digest", "left_semi").select("digest", "text")
+        kept = hits.select(F.col("locator.epoch").alias("epoch"), "digest").filter(F.col("epoch") <= done)
+        both = fresh.unionAll(content.join(kept, ["epoch", "digest"]).select("digest", "text"))
+        texts = both.groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n"))
+        (texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest")
+         .write.mode("overwrite").parquet(f"{store}/collisions/epoch={last[0]}"))
+    spark.range(1).select(F.lit(last[1]).cast("long").alias("last")).write.mode("overwrite").parquet(
+        f"{store}/checked/epoch={last[0]}")
 
 
 def index(spark: SparkSession, store: str) -> None:
     """Bring the keyed state up to date with the content rows, and check the bytes of every hit."""
-    if not _table(spark, f"{store}/content", CONTENT).columns or _table(spark, f"{store}/content", CONTENT).isEmpty():
+    if _table(spark, f"{store}/content", CONTENT).isEmpty():
         return
     stream = (spark.readStream.schema(CONTENT).option("maxFileAge", "36500d").parquet(f"{store}/content")
               .select("digest", "n", "first_id", "epoch",
@@ -125,17 +144,11 @@ def index(spark: SparkSession, store: str) -> None:
 
     def note(changed: DataFrame, epoch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{store}/groups/epoch={epoch}")
-        groups = _table(spark, f"{store}/groups", GROUPS)
-        hits = groups.filter((F.col("epoch") == epoch) & (F.col("pieces") > 1))
-        if hits.isEmpty():
-            return
-        done = groups.filter(F.col("epoch") < epoch).agg(F.max("last_epoch")).first()[0]
-        (_check_bytes(spark, hits, _table(spark, f"{store}/content", CONTENT), -1 if done is None else done)
-         .write.mode("overwrite").parquet(f"{store}/collisions/epoch={epoch}"))
 
     with _settings(spark, STATE):
         _finish(state.writeStream.outputMode("update").foreachBatch(note)
                 .option("checkpointLocation", f"{store}/index_ckpt"))
+    check_hits(spark, store)
 
 
 def decisions(spark: SparkSession, store: str) -> DataFrame:
