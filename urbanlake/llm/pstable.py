@@ -130,12 +130,14 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = 0.98, tables: int =
     rooted = (classes.select("cid", "first_id").join(comp.withColumnRenamed("node", "cid"), "cid", "left")
               .withColumn("root", F.coalesce("component", "cid")))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    result = (classes.select("cid", "label", "embedding", "n")
-              .join(rooted.join(ids, "root").select("cid", "component_id"), "cid")
-              .join(links, "cid", "left")
-              .select("label", "embedding", "component_id",
-                      (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    linked = good.join(result, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
+    result = saved(classes.select("cid", "n").join(rooted.join(ids, "root").select("cid", "component_id"), "cid")
+                   .join(links, "cid", "left")
+                   .select("cid", "component_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")),
+                   "pstable-result")
+    # both joins read written tables through plain exchanges, which adaptive execution splits at a class of many copies;
+    # the second one carries numbers only
+    linked = (good.join(classes.select("label", "embedding", "cid"), ["label", "embedding"]).select("vec_id", "cid")
+              .join(result, "cid").select("vec_id", "n_links", "component_id"))
     alone = rows.filter(~usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                           F.col("vec_id").alias("component_id"))
     return linked.unionAll(alone).withColumn(
