@@ -69,6 +69,20 @@ def test_frontier_equals_brute_force(spark, parts):
     assert pol.pareto_frontier(rows.limit(0)).count() == 0
 
 
+def test_frontier_works_no_outcome_out_twice(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def worked_out(a):
+        seen.add(1)
+        return float(a)
+
+    one = F.udf(worked_out, "double")
+    given = spark.range(500).select("id", F.pmod("id", F.lit(37)).alias("a"), (F.lit(100) - F.pmod("id", F.lit(37))).alias("b"))
+    out = pol.pareto_frontier(given.select("id", one("a").alias("revenue"), F.col("b").cast("double").alias("demand")))
+    assert out.count() == 500 and seen.value == 500
+    assert "pow" not in plan_of(QUERIES["policy_pareto"](spark, SF_SMALL)).lower()
+
+
 # ---------------------------------------------------------- distinct sensors
 
 def test_bitmaps_over_many_blocks(spark):

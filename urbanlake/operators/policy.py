@@ -218,17 +218,25 @@ def pareto_frontier(rows: DataFrame, x: str = "revenue", y: str = "demand") -> D
     points last if they also pass the maximum of all ranges with larger ``x``, which
     is one number for each range.  No pair of rows is compared.  Rows without
     ``x`` or ``y`` are not on the frontier.
+
+    The rows are written first: a filter or join key on ``x`` would otherwise be
+    pushed below their projections and work ``x`` out again, in methods too long
+    for the JVM to compile, at every pass.  The frontier is written as well, so
+    its size is known when the rows are joined to it.
     """
     spark = rows.sparkSession
     path = work_path(spark, "pareto")
+    rows.write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
     points = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x).agg(F.max(y).alias(y))
     # a written table: the number of a row's range is the same however often it is read
-    points.repartitionByRange(F.desc(x)).withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    points = spark.read.parquet(path)
+    points.repartitionByRange(F.desc(x)).withColumn("_range", F.spark_partition_id()).write.parquet(f"{path}/ranges")
+    points = spark.read.parquet(f"{path}/ranges")
     tops = points.groupBy("_range").agg(F.max(y).alias("_top"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)      # a row for each range
     tops = tops.select("_range", F.max("_top").over(before).alias("_passed"))
     larger = Window.partitionBy("_range").orderBy(F.desc(x)).rowsBetween(Window.unboundedPreceding, -1)
     local = points.withColumn("_local", F.max(y).over(larger)).filter(F.col("_local").isNull() | (F.col(y) > F.col("_local")))
     lasting = local.join(tops, "_range").filter(F.col("_passed").isNull() | (F.col(y) > F.col("_passed"))).select(x, y)
-    return rows.join(lasting, [x, y], "left_semi")
+    lasting.write.parquet(f"{path}/frontier")
+    return rows.join(spark.read.parquet(f"{path}/frontier"), [x, y], "left_semi")
